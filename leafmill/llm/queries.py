@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, pfor, quality, simhash, warc
+from leafmill.llm import bpe, pfor, quality, simhash, suffix_dedup, toxicity, warc
 from leafmill.llm.shared import documents, labels
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(documents(spark, sf_dir))
 
