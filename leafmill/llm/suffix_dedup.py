@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import materialize, whole_text
+from leafmill.llm.shared import discard, materialize, release, whole_text
 
 LENGTH, GRAM = 400, 32
 #: Windows of a text that are looked at together.
@@ -158,27 +158,27 @@ def union(starts: np.ndarray, ends: np.ndarray) -> list[int]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__text", whole_text()).withColumn("__th", F.xxhash64("__text"))
+    return docs.withColumn("__text", whole_text()).withColumn("__th", F.hash("__text"))
 
 
 def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(h, s, doc_id, th, start, len, off) of every segment; s is its 128-bit hash."""
+    """(h, s, doc_id, th, start, len, off) of every segment; h and s together are its 128-bit hash."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_64_intdigest
 
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
         for batch in rows:
             for a in range(0, len(batch), 512):
                 part, out = batch.slice(a, 512), []
                 for doc_id, th, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     data = text.encode("utf-8", "surrogatepass")
                     if len(data) >= length:
-                        out += [(h, xxh3_128_digest(data[s : s + n], off), doc_id, th, s, n, off) for h, s, n, off in segments(np.frombuffer(data, np.uint8), length, gram)]
+                        out += [(h, xxh3_64_intdigest(data[s : s + n], off) - (1 << 63), doc_id, th, s, n, off) for h, s, n, off in segments(np.frombuffer(data, np.uint8), length, gram)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["h", "s", "doc_id", "th", "start", "len", "off"])
 
-    return _keyed(docs).select("doc_id", "__th", "__text").mapInArrow(run, "h bigint, s binary, doc_id bigint, th bigint, start bigint, len int, off int")
+    return _keyed(docs).select("doc_id", "__th", "__text").mapInArrow(run, "h bigint, s bigint, doc_id bigint, th int, start bigint, len int, off int")
 
 
 def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
@@ -187,24 +187,28 @@ def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     return docs.join(per_doc, on, how)
 
 
-def covers(docs: DataFrame, found: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(s, cover): for each segment with a repeated window, spans [from, to, ...] inside it."""
+def candidates(found: DataFrame) -> DataFrame:
+    """One row (h, s, n, kinds, and one occurrence) of each segment whose anchor is found more than once; kinds: the anchor's different segments."""
     counted = found.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "start", "len", "off")).alias("one"))
     anchors = counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").select("h", "kinds")
-    twice = materialize(counted.join(anchors, "h").select("h", "s", "n", "kinds", "one.*"), "segments")
+    return counted.join(anchors, "h").select("h", "s", "n", "kinds", "one.*")
+
+
+def covers(docs: DataFrame, twice: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(h, s, cover): for each segment with a repeated window, spans [from, to, ...] inside it."""
+    # A segment found twice is covered whole; its bytes are needed for the others of its anchor. Parts of a document are its own segments at most.
     wanted = twice.where("kinds > 1").groupBy(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
-    # One copy of the bytes of each segment; parts of a document are at most its own segments.
     texts = _join_docs(_keyed(docs.select("doc_id", "text")).select("doc_id", "__th", F.encode("__text", "utf-8").alias("data")), wanted, "inner")
     pieces = texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, int, bytes]] = []
+        held: list[tuple[int, int, int, bytes]] = []
 
         def flush() -> pa.RecordBatch:
             groups = np.unique(np.array([r[0] for r in held]), return_inverse=True)[1]
             spans = repeated(groups, [r[3] for r in held], np.array([r[2] for r in held]), length, gram)
-            out = [(r[1], c) for r, c in zip(held, spans, strict=True) if c]
-            return pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.binary()), pa.array([c for _, c in out], pa.list_(pa.int32()))], ["s", "cover"])
+            out = [(r[0], r[1], c) for r, c in zip(held, spans, strict=True) if c]
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))], ["h", "s", "cover"])
 
         for batch in rows:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -218,19 +222,31 @@ def covers(docs: DataFrame, found: DataFrame, length: int = LENGTH, gram: int =
             yield flush()
 
     sorted_pieces = pieces.select("h", "s", "off", "data").repartition("h").sortWithinPartitions("h", "s")
-    partial = sorted_pieces.mapInArrow(run, "s binary, cover array<int>")
-    whole = twice.where("n > 1").select("s", F.array(F.lit(0), F.col("len")).alias("cover"))
-    return partial.join(whole.select("s"), "s", "left_anti").unionByName(whole)
+    partial = sorted_pieces.mapInArrow(run, "h bigint, s bigint, cover array<int>")
+    whole = twice.where("n > 1").select("h", "s", F.array(F.lit(0), F.col("len")).alias("cover"))
+    return partial.unionByName(whole)  # a segment may have a row of each; spans are united per document
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(k_id, k_th, spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap."""
+    """(k_id, k_th, spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap.
+
+    Each step is written, so that the shuffle files of the one before can go.
+    """
+    spark = docs.sparkSession
     found = materialize(occurrences(docs, length, gram), "occurrences")
-    covered = covers(docs, found, length, gram)
-    # A segment with many occurrences is one row of `covered`; its occurrences are split by the skewed join's own dealing.
-    hits = found.select("s", "doc_id", "th", "start").join(covered, "s")
+    twice = materialize(candidates(found), "segments")
+    release(spark)
+    covered = materialize(covers(docs, twice, length, gram), "covers")
+    discard(twice)
+    release(spark)
     absolute = F.transform("cover", lambda x: x + F.col("start"))
-    return hits.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), absolute.alias("c")).groupBy("k_id", "k_th").agg(F.flatten(F.collect_list("c")).alias("spans"))
+    # One row of a segment with many occurrences meets them; the skewed side is split as the join needs.
+    hits = found.select("h", "s", "doc_id", "th", "start").join(covered, ["h", "s"])
+    removed = materialize(hits.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), absolute.alias("c")).groupBy("k_id", "k_th").agg(F.flatten(F.collect_list("c")).alias("spans")), "spans")
+    discard(found)
+    discard(covered)
+    release(spark)
+    return removed
 
 
 def _cut(text: str, covered: list[int] | None) -> tuple[bytes, bytes, list[int]]:
