@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, pfor, quality, simhash, suffix_dedup, toxicity, warc
+from leafmill.llm import bpe, media, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 from leafmill.llm.shared import documents, labels
 
 
@@ -15,10 +15,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(documents(spark, sf_dir))
 
@@ -27,6 +35,10 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.read_ids(pfor.write_ids(documents(spark, sf_dir)))
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.features(media.media_column(documents(spark, sf_dir)))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_ids(documents(spark, sf_dir))
 

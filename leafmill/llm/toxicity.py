@@ -251,3 +251,15 @@ def held_out() -> Column:
 def score_toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence; rows that are held out don't teach."""
     return score(docs, fit(docs, labelled, ~held_out())).select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence")
+
+
+def reject(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """docs without the rows that are predicted toxic; the columns stay as they are. Every label teaches."""
+    model = fit(docs, labelled)
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            keep = [model.score(t.as_py())[0] < 0.5 for t in batch.column(batch.schema.names.index("text"))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
