@@ -142,3 +142,14 @@ def _dup_lines(text: Column) -> Column:
 
 def score_quality(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     return apply_rules(docs, fit(docs, labelled))
+
+
+def keep(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The rows of docs that are kept, with their columns.
+
+    The task number holds the filter above the projection that computes the verdict: pushed below it,
+    each lambda of the rules would compute the arrays that it reads anew.
+    """
+    scored = score_quality(docs.withColumns({f"__c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}), labelled)
+    held = scored.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("kept").alias("__kept"), F.spark_partition_id().alias("__task"))
+    return held.where("__kept and __task >= 0").drop("__kept", "__task")
