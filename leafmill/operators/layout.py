@@ -179,7 +179,7 @@ def parse_regions(content: Column) -> Column:
     """The regions in a model's answer: unfenced, from the first bracket, closed after the last whole element; [] if none."""
     fenced = F.regexp_extract(content, r"(?s)```(?:json)?\s*(.*?)```", 1)
     body = F.when(fenced != "", fenced).otherwise(content)
-    cut = F.when(F.instr(body, "[") > 0, F.expr("rtrim(substring({0}, instr({0}, '[')))".format("__body")) if False else F.rtrim(F.regexp_extract(body, r"(?s)(\[.*)", 1))).otherwise("[]")
+    cut = F.when(F.instr(body, "[") > 0, F.rtrim(F.regexp_extract(body, r"(?s)(\[.*)", 1))).otherwise("[]")
     closed = F.when(cut.endswith("]"), cut).when(cut.contains("}"), F.concat(F.regexp_extract(cut, r"(?s)^(.*\})", 1), F.lit("]"))).otherwise("[]")
     found = F.from_json(closed, REGION_JSON)
     good = F.filter(found, lambda e: (F.size(e["bbox"]) == 4) & F.forall(e["bbox"], lambda v: v.isNotNull()) & (F.coalesce(e["category"], F.lit("")) != ""))
