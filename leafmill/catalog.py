@@ -2,5 +2,487 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.functions import text as T
+from leafmill.operators import chunk, clean, layout, metadata, order, tables
+from leafmill.plans import pipeline
+from leafmill.plans import tables as D
+from leafmill.sources import files
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+REG_DATE = "2024-01-01T00:00:00Z"
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- relations that several oracles share -------------------------------------------------------
+
+ITEMS = """items AS (
+  SELECT doc_id, CAST(i AS INT) AS seq, CAST(i // 10 + 1 AS INT) AS page, l[i + 1] AS text, CASE WHEN length(l[i + 1]) <= 40 THEN 'section_header' ELSE 'text' END AS category
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL) d, unnest(range(len(l))) AS r(i))"""
+SECTIONS = ITEMS + """, sec AS (SELECT *, sum(CASE WHEN category = 'section_header' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY seq) AS section FROM items),
+ grouped AS (SELECT doc_id, section, max(CASE WHEN category = 'section_header' THEN text END) AS heading, coalesce(string_agg(CASE WHEN category <> 'section_header' THEN text END, chr(10) ORDER BY seq), '') AS body, min(page) AS i_page, max(page) AS e_page FROM sec GROUP BY doc_id, section),
+ filled AS (SELECT * FROM grouped WHERE coalesce(heading, '') <> '' OR body <> '')"""
+
+
+def rendered(heading: str, body: str) -> str:
+    return f"CASE WHEN coalesce({heading}, '') = '' THEN {body} WHEN {body} = '' THEN {heading} ELSE {heading} || ', ' || {body} END"
+
+
+def cut(size: int, overlap: int, source: str, keys: str, body: str = "body") -> str:
+    step = size - overlap
+    return f"""(SELECT {keys}, i AS piece, substr({body}, i * {step} + 1, {size}) AS part, i * {step} AS s, least(i * {step} + {size}, length({body})) AS e
+      FROM {source}, unnest(range(greatest(1, CAST(ceil((length({body}) - {size}) / {step}.0) AS BIGINT) + 1))) AS r(i))"""
+
+
+def smart_sql(size: int, overlap: int) -> str:
+    return f"""{SECTIONS}, pieces AS {cut(size, overlap, "filled", "doc_id, section, heading, i_page, e_page")},
+ chunks AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section, piece) - 1 AS INT) AS chunk_no, {rendered("heading", "part")} AS text, i_page, e_page, section, piece, s, e FROM pieces)"""
+
+
+BASE = ITEMS + """, carried AS (SELECT *, last_value(CASE WHEN category = 'section_header' THEN text END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY seq) AS heading FROM items),
+ base AS (SELECT doc_id, seq, page, text, heading, row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS rn FROM carried WHERE category <> 'section_header' AND text <> '')"""
+PLAIN = ("doc_id", "chunk_no", "text", "i_page", "e_page")
+
+# --- text rules -----------------------------------------------------------------------------------
+
+_TYPO = "replace(replace(text, ' of ', ' • '), ', ', '’ ')"
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, seq, translate({_TYPO}, '⁄‘’“”•', '/''''\"\"·') AS text FROM items")
+def normalize_typography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = F.replace(F.replace("text", F.lit(" of "), F.lit(" • ")), F.lit(", "), F.lit("’ "))
+    return D.items_doc(spark, sf_dir).select("doc_id", "seq", T.normalize_typography(typed).alias("text"))
+
+
+CORRUPT = ITEMS + """, corrupt AS (SELECT doc_id, seq, page, CASE WHEN seq % 3 = 0 THEN replace(text, 'thth', chr(65533)) || CASE WHEN doc_id % 5 = 0 THEN 'GLYPH<41>' ELSE '' END ELSE text END AS text FROM items),
+ flags AS (SELECT *, length(text) - length(regexp_replace(text, '[\\x{FFFD}\\x{E000}-\\x{F8FF}]', '', 'g')) AS bad, regexp_matches(text, 'GLYPH<[0-9A-Fa-f]+>') OR regexp_matches(text, '(/G\\d+){2,}') OR regexp_matches(text, '^(/\\w+\\s*){2,}') AS garbled FROM corrupt)"""
+
+
+@query(f"WITH {CORRUPT} SELECT doc_id, seq, CAST(bad AS INT) AS n_bad FROM flags")
+def bad_char_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.corrupt_lines(spark, sf_dir).select("doc_id", "seq", T.bad_chars(F.col("text")).alias("n_bad"))
+
+
+@query(f"WITH {CORRUPT} SELECT doc_id, seq, garbled FROM flags")
+def garbled_glyph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.corrupt_lines(spark, sf_dir).select("doc_id", "seq", T.garbled(F.col("text")).alias("garbled"))
+
+
+@query(f"WITH {CORRUPT} SELECT doc_id, seq, bad >= 1 OR garbled AS corrupted FROM flags")
+def line_glyph_corruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.corrupt_lines(spark, sf_dir).select("doc_id", "seq", T.corrupted(F.col("text")).alias("corrupted"))
+
+
+@query(f"WITH {CORRUPT} SELECT doc_id, page, bool_or(garbled) OR sum(bad) > 3 AS damaged FROM flags GROUP BY doc_id, page")
+def page_glyph_corruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.corrupt_lines(spark, sf_dir).groupBy("doc_id", "page").agg((F.max(T.garbled(F.col("text"))) | (F.sum(T.bad_chars(F.col("text"))) > 3)).alias("damaged"))
+
+
+@query(f"WITH {CORRUPT}, pages AS (SELECT doc_id, CAST(page AS INT) AS page FROM corrupt UNION SELECT doc_id, 1000 FROM documents) SELECT p.doc_id, p.page, coalesce(bool_or(f.garbled) OR sum(f.bad) > 3, true) AS ocr FROM pages p LEFT JOIN flags f USING (doc_id, page) GROUP BY p.doc_id, p.page")
+def ocr_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = D.corrupt_lines(spark, sf_dir)
+    empty = D.read(spark, sf_dir, "documents").select("doc_id", F.lit(1000).alias("page"))
+    return pipeline.needs_ocr(lines, lines.select("doc_id", "page").union(empty).distinct())
+
+
+LABELS = "(['Text','Title','List-item','Table','Picture','Code','Strange label'])[CAST(c_custkey % 7 + 1 AS INT)]"
+REGIONS = f"""regions AS (SELECT c_custkey % 10 AS doc_id, CAST(c_custkey // 10 % 5 + 1 AS INT) AS page, CAST(c_custkey AS INT) AS region_no, {LABELS} AS label, (c_custkey % 100) / 100.0::DOUBLE AS confidence,
+  CAST(c_custkey // 100 * 41 % 480 + c_custkey % 3 AS DOUBLE) AS l, CAST(c_custkey // 100 * 59 % 640 AS DOUBLE) AS t, CAST(c_custkey // 100 * 41 % 480 + 40 + c_custkey % 80 AS DOUBLE) AS r, CAST(c_custkey // 100 * 59 % 640 + 30 + c_custkey % 70 AS DOUBLE) AS b FROM customer),
+ named AS (SELECT *, CASE label WHEN 'Strange label' THEN 'text' ELSE replace(lower(label), '-', '_') END AS category FROM regions)"""
+LINES = """lines AS (SELECT p_partkey % 10 AS doc_id, CAST(p_partkey // 10 % 5 + 1 AS INT) AS page, CAST(p_partkey AS INT) AS seq, p_name AS text, CAST(p_partkey * 37 % 500 AS DOUBLE) AS x0, CAST(p_partkey * 53 % 700 AS DOUBLE) AS y0,
+  CAST(p_partkey * 37 % 500 + 20 + p_partkey % 60 AS DOUBLE) AS x1, CAST(p_partkey * 53 % 700 + 8 + p_partkey % 9 AS DOUBLE) AS y1, CAST(8 + p_partkey % 4 * 2 AS DOUBLE) AS font_size FROM part)"""
+
+
+@query(f"WITH {REGIONS} SELECT doc_id, page, region_no, category FROM named")
+def label_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.boxes_regions(spark, sf_dir).select("doc_id", "page", "region_no", T.to_category(F.col("category")).alias("category"))
+
+
+@query(f"WITH {REGIONS} SELECT doc_id, page, region_no, CASE category WHEN 'title' THEN 'section_header' ELSE category END AS category FROM named WHERE confidence >= CASE WHEN category IN ('title', 'code') THEN 0.45 ELSE 0.5 END AND NOT (category = 'picture' AND (r - l) * (b - t) > 0.9 * 100 * 90)")
+def confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.filter_regions(D.boxes_regions(spark, sf_dir), 100.0, 90.0).select("doc_id", "page", "region_no", "category")
+
+
+# --- sources --------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, seq, page, category, text FROM items")
+def line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.items_doc(spark, sf_dir).select("doc_id", "seq", "page", "category", "text")
+
+
+@query("""WITH t AS (SELECT doc_id, list_filter(list_transform(string_split_regex(trim(replace(text, '. ', '.' || chr(10) || chr(10)), ' ' || chr(10) || chr(9) || chr(13)), '\\n\\s*\\n+'), lambda x: trim(x, ' ' || chr(10) || chr(9) || chr(13))), lambda x: x <> '') AS l FROM documents)
+ SELECT doc_id, CAST(i AS INT) AS seq, l[i + 1] AS text FROM t, unnest(range(len(l))) AS r(i)""")
+def txt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of documents as paragraphs of text files."""
+    text = T.strip(F.replace("text", F.lit(". "), F.lit(".\n\n")))
+    parts = F.filter(F.transform(F.split(text, r"\n\s*\n+"), T.strip), lambda x: x != "")
+    return D.read(spark, sf_dir, "documents").select("doc_id", F.posexplode(parts).alias("seq", "text"))
+
+
+def _contents(spark: SparkSession, sf_dir: str, table: str, key: str, column: str) -> DataFrame:
+    return D.read(spark, sf_dir, table).select(F.col(key).alias("key"), F.lit(None).cast("string").alias("path"), F.encode(column, "utf-8").alias("content"))
+
+
+@query()
+def html_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = files.lines_of(files.parse(_contents(spark, sf_dir, "pages", "page_id", "html"), "html"))
+    return layout.rule_layout(lines).select("doc_id", "seq", "category", "text", "font_size")
+
+
+@query()
+def md_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.lines_of(files.parse(_contents(spark, sf_dir, "documents", "doc_id", "text"), "md")).select("doc_id", "seq", "category", "text")
+
+
+@query()
+def csv_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.lines_of(files.parse(_contents(spark, sf_dir, "documents", "doc_id", "text"), "csv")).select("doc_id", "seq", "text")
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, seq, page, CAST((page - 1) // 2 AS INT) AS split_no FROM items")
+def page_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.split_pages(D.items_doc(spark, sf_dir), 2).select("doc_id", "seq", "page", "split_no")
+
+
+# --- chunkers and records --------------------------------------------------------------------------
+
+
+@query(f"WITH {BASE} SELECT doc_id, seq, heading FROM carried")
+def heading_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.carry_heading(D.items_doc(spark, sf_dir)).select("doc_id", "seq", "heading")
+
+
+@query(f"WITH {SECTIONS} SELECT doc_id, seq, CAST(section AS INT) AS section FROM sec")
+def section_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.sections(D.items_doc(spark, sf_dir)).select("doc_id", "seq", "section")
+
+
+@query(f"WITH {BASE} SELECT doc_id, CAST(rn - 1 AS INT) AS chunk_no, {rendered('heading', 'text')} AS text, page AS i_page, page AS e_page FROM base")
+def hierarchical_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.hierarchical(D.items_doc(spark, sf_dir)).select(*PLAIN)
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, chunk_no, text, i_page, e_page FROM chunks")
+def smart_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.smart(D.items_doc(spark, sf_dir), 1000, 100).select(*PLAIN)
+
+
+@query(f"WITH {SECTIONS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no, {rendered('heading', 'body')} AS text, i_page, e_page FROM filled")
+def smart_chunks_unsplit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.smart(D.items_doc(spark, sf_dir), 0).select(*PLAIN)
+
+
+@query(f"""WITH {smart_sql(200, 20)}, spans AS (SELECT doc_id, section, seq, s, s + length(text) AS e FROM (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id, section ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM sec WHERE category <> 'section_header')),
+ heads AS (SELECT doc_id, section, count(*) AS n FROM sec WHERE category = 'section_header' GROUP BY doc_id, section)
+ SELECT c.doc_id, c.chunk_no, CAST(coalesce(max(h.n), 0) + count(p.seq) AS INT) AS n_boxes FROM chunks c LEFT JOIN heads h ON h.doc_id = c.doc_id AND h.section = c.section
+ LEFT JOIN spans p ON p.doc_id = c.doc_id AND p.section = c.section AND p.s < c.e AND p.e > c.s GROUP BY c.doc_id, c.chunk_no""")
+def smart_chunk_bboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.smart(D.items_doc(spark, sf_dir), 200, 20).select("doc_id", "chunk_no", F.size("bboxes").alias("n_boxes"))
+
+
+def hybrid_sql(size: int, overlap: int) -> str:
+    return f"""WITH RECURSIVE {BASE}, walk AS (
+  SELECT doc_id, rn, CAST(0 AS BIGINT) AS g, CAST(length(text) AS BIGINT) AS held, heading FROM base WHERE rn = 1
+  UNION ALL SELECT b.doc_id, b.rn, CASE WHEN b.heading IS NOT DISTINCT FROM w.heading AND w.held + 1 + length(b.text) <= {size} THEN w.g ELSE w.g + 1 END,
+    CASE WHEN b.heading IS NOT DISTINCT FROM w.heading AND w.held + 1 + length(b.text) <= {size} THEN w.held + 1 + length(b.text) ELSE length(b.text) END, b.heading
+  FROM walk w JOIN base b ON b.doc_id = w.doc_id AND b.rn = w.rn + 1),
+ merged AS (SELECT b.doc_id, w.g, max(b.heading) AS heading, string_agg(b.text, chr(10) ORDER BY b.rn) AS body, min(page) AS i_page, max(page) AS e_page FROM base b JOIN walk w ON w.doc_id = b.doc_id AND w.rn = b.rn GROUP BY b.doc_id, w.g),
+ whole AS (SELECT doc_id, g, 0 AS piece, heading, body AS part, i_page, e_page FROM merged WHERE length({rendered("heading", "body")}) <= {size}),
+ long AS (SELECT * FROM merged WHERE length({rendered("heading", "body")}) > {size}),
+ pieces AS (SELECT doc_id, g, piece, heading, part, i_page, e_page FROM whole UNION ALL SELECT doc_id, g, piece, heading, part, i_page, e_page FROM {cut(size, overlap, "long", "doc_id, g, heading, i_page, e_page")})
+ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g, piece) - 1 AS INT) AS chunk_no, {rendered("heading", "part")} AS text, i_page, e_page FROM pieces"""
+
+
+@query(hybrid_sql(1000, 100))
+def hybrid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.hybrid(D.items_doc(spark, sf_dir), 1000, 100).select(*PLAIN)
+
+
+@query(ORACLES["hierarchical_chunks"])
+def hybrid_chunks_nomerge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.hybrid(D.items_doc(spark, sf_dir), 0).select(*PLAIN)
+
+
+@query(f"WITH docs AS (SELECT doc_id, text AS body FROM documents WHERE text <> '') SELECT doc_id, CAST(piece AS INT) AS chunk_no, part AS text FROM {cut(500, 50, 'docs', 'doc_id')}")
+def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.whole_document(D.items_doc(spark, sf_dir), 500, 50).select("doc_id", "chunk_no", "text")
+
+
+STATS = """CAST(length(text) AS INT) AS n_chars, CAST(len(list_filter(string_split_regex(text, '[\\t-\\r\\x1c-\\x20\\x85\\xa0]+'), lambda x: x <> '')) AS INT) AS n_words,
+ CAST(len(regexp_extract_all(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85]')) + CASE WHEN text <> '' AND NOT regexp_matches(text, '(\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85])$') THEN 1 ELSE 0 END AS INT) AS n_lines"""
+COUNTERS = """CAST(max(e_page) OVER (PARTITION BY doc_id) AS INT) AS n_page, CAST(row_number() OVER (PARTITION BY doc_id, i_page ORDER BY chunk_no) - 1 AS INT) AS i_chunk_on_page, CAST(count(*) OVER (PARTITION BY doc_id, i_page) AS INT) AS n_chunk_of_page,
+ CAST(row_number() OVER (PARTITION BY doc_id ORDER BY chunk_no) - 1 AS INT) AS i_chunk_on_doc, CAST(count(*) OVER (PARTITION BY doc_id) AS INT) AS n_chunk_of_doc"""
+
+
+@query(f"SELECT doc_id, {STATS} FROM documents")
+def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return D.read(spark, sf_dir, "documents").select("doc_id", F.length(t).alias("n_chars"), T.n_words(t).alias("n_words"), T.n_lines(t).alias("n_lines"))
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, chunk_no, {COUNTERS} FROM chunks")
+def page_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.counters(chunk.smart(D.items_doc(spark, sf_dir), 1000, 100)).select("doc_id", "chunk_no", "n_page", "i_chunk_on_page", "n_chunk_of_page", "i_chunk_on_doc", "n_chunk_of_doc")
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, text, {STATS}, i_page, e_page, {COUNTERS}, '{REG_DATE}' AS reg_date, CAST(NULL AS VARCHAR) AS chunk_bboxes FROM chunks")
+def metadata_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: sections, windows, statistics and counters of every document."""
+    return pipeline.run(D.items_doc(spark, sf_dir), pipeline.Config(chunker="smart", chunk_size=1000, over_lap=100, reg_date=REG_DATE))
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, count(*) AS num_vectors, CAST(sum(length(text)) AS BIGINT) AS total_chars FROM chunks GROUP BY doc_id")
+def regression_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.totals(metadata_vectors(spark, sf_dir))
+
+
+@query(f"""WITH {SECTIONS}, numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no FROM filled)
+ SELECT n.doc_id, n.chunk_no, count(*) AS n_boxes, round(sum((s.seq % 10 * 12) / 120.0), 6) AS top, round(sum(length(s.text) / 500.0), 6) AS rights FROM numbered n JOIN sec s ON s.doc_id = n.doc_id AND s.section = n.section GROUP BY n.doc_id, n.chunk_no""")
+def chunk_bboxes_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = chunk.smart(D.items_doc(spark, sf_dir), 0)
+    sizes = D.items_doc(spark, sf_dir).select("doc_id", "page").distinct().withColumns({"width": F.lit(500.0), "height": F.lit(120.0)})
+    boxed = metadata.normalized_boxes(chunks, sizes)
+    parsed = boxed.select("doc_id", "chunk_no", F.explode(F.from_json("chunk_bboxes", "array<struct<page: int, bbox: struct<l: double, t: double, r: double, b: double>>>")).alias("x"))
+    return parsed.groupBy("doc_id", "chunk_no").agg(F.count("*").alias("n_boxes"), F.round(F.sum("x.bbox.t"), 6).alias("top"), F.round(F.sum("x.bbox.r"), 6).alias("rights"))
+
+
+@query(f"WITH {SECTIONS}, numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no FROM filled) SELECT DISTINCT n.doc_id, n.chunk_no, s.page FROM numbered n JOIN sec s ON s.doc_id = n.doc_id AND s.section = n.section")
+def pages_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.pages_touched(chunk.smart(D.items_doc(spark, sf_dir), 0))
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, seq, page, category, text FROM items WHERE category = 'text'")
+def return_level_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = pipeline.Config(return_level="loader", preprocess=(lambda d: d.where("category = 'text'"),))
+    return pipeline.run(D.items_doc(spark, sf_dir), config).select("doc_id", "seq", "page", "category", "text")
+
+
+@query(ORACLES["smart_chunks"])
+def return_level_chunker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.run(D.items_doc(spark, sf_dir), pipeline.Config(return_level="chunker")).select(*PLAIN)
+
+
+@query(f"WITH {smart_sql(60, 0)} SELECT doc_id, chunk_no, trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS text FROM chunks WHERE trim(text, ' ' || chr(10) || chr(9) || chr(13)) <> ''")
+def postprocess_trim_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = pipeline.Config(chunk_size=60, over_lap=0, return_level="postprocess", postprocess=(pipeline.trim_and_drop,))
+    return pipeline.run(D.items_doc(spark, sf_dir), config).select("doc_id", "chunk_no", "text")
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, chunk_no AS chunk_id, text AS content, i_page AS first_page, e_page AS last_page FROM chunks")
+def simple_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = pipeline.Config(metadata=metadata.simple_records)
+    return pipeline.run(D.items_doc(spark, sf_dir), config).select("doc_id", "chunk_id", "content", F.get("page_range", 0).alias("first_page"), F.get("page_range", 1).alias("last_page"))
+
+
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, count(*) AS n_vectors FROM chunks GROUP BY doc_id")
+def vectors_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dumped = pipeline.dump(metadata_vectors(spark, sf_dir))
+    return dumped.select("doc_id", F.json_array_length(F.get_json_object("json", "$.vectors")).cast("bigint").alias("n_vectors"))
+
+
+# --- cleaning --------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {ITEMS}, counts AS (SELECT doc_id, max(page) AS n FROM items GROUP BY doc_id), pages AS (SELECT doc_id, n, CAST(i AS INT) AS page, source FROM counts JOIN documents USING (doc_id), unnest(range(1, n + 1)) AS r(i)),
+ paged AS (SELECT doc_id, page, seq + 1000 * page AS seq, text, (seq % 10) * 12 + 40.0 AS y0, (seq % 10) * 12 + 50.0 AS y1 FROM items UNION ALL SELECT doc_id, page, 1000 * page - 1, coalesce(source, ''), 0.0, 8.0 FROM pages
+   UNION ALL SELECT doc_id, page, 1000 * page + 999, 'Page ' || page || ' of ' || n, 190.0, 198.0 FROM pages),
+ keyed AS (SELECT *, CASE WHEN regexp_matches(trim(text, ' ' || chr(9) || chr(13)), '(?i)^[\\-\\s]*(page\\s*)?\\d+(\\s*(of|/)\\s*\\d+)?[\\-\\s]*$') THEN chr(1) || 'page' ELSE trim(text, ' ' || chr(9) || chr(13)) END AS k, min(y0) OVER (PARTITION BY doc_id, page) AS top, max(y1) OVER (PARTITION BY doc_id, page) AS bottom FROM paged),
+ kinds AS (SELECT *, CASE WHEN y1 <= top + greatest(bottom - top, 1) * 0.1 THEN 'h' WHEN y0 >= bottom - greatest(bottom - top, 1) * 0.1 THEN 'f' END AS kind FROM keyed),
+ once AS (SELECT doc_id, page, k, kind FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page, k ORDER BY seq) AS n FROM kinds WHERE kind IS NOT NULL AND k <> '') WHERE n = 1),
+ gone AS (SELECT DISTINCT o.doc_id, o.k FROM (SELECT doc_id, k, kind, count(*) AS c FROM once GROUP BY doc_id, k, kind) o JOIN counts p ON p.doc_id = o.doc_id WHERE p.n >= 3 AND o.c >= greatest(2, round(0.6 * p.n)))
+ SELECT doc_id, seq, page, text FROM keyed WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = keyed.doc_id AND g.k = keyed.k)""")
+def header_footer_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.strip_headers_footers(D.items_paged(spark, sf_dir)).select("doc_id", "seq", "page", "text")
+
+
+@query(f"""WITH {ITEMS}, parts AS (SELECT doc_id, CAST(seq * 10000 + piece AS INT) AS seq, page, trim(part, ' ' || chr(9) || chr(13)) AS text FROM {cut(60, 0, "(SELECT * FROM items WHERE text <> '')", "doc_id, seq, page", "text")}),
+ lagged AS (SELECT *, lag(text) OVER w AS before FROM parts WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+ linked AS (SELECT *, coalesce(regexp_full_match(before, '.+[a-z,\\-]\\s*') AND regexp_full_match(text, '\\s*[a-z].+'), false) AS link FROM lagged),
+ groups AS (SELECT *, sum(CASE WHEN link THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY seq) AS g FROM linked)
+ SELECT doc_id, CAST(min(seq) AS INT) AS seq, min(page) AS page, string_agg(CASE WHEN link AND right(before, 1) <> '-' THEN ' ' || text ELSE text END, '' ORDER BY seq) AS text FROM groups GROUP BY doc_id, g""")
+def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.merge_paragraphs(D.items_wrapped(spark, sf_dir)).select("doc_id", "seq", "page", "text")
+
+
+# --- layout ----------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {LINES}, sizes AS (SELECT doc_id, page, font_size, count(*) AS n FROM lines WHERE font_size > 0 GROUP BY doc_id, page, font_size),
+ body AS (SELECT doc_id, page, font_size AS body FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY n DESC, font_size) AS k FROM sizes) WHERE k = 1)
+ SELECT doc_id, page, seq, body, CASE WHEN font_size >= 1.2::DOUBLE * body THEN 'section_header' ELSE 'text' END AS category FROM lines JOIN body USING (doc_id, page)""")
+def rule_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = D.boxes_lines(spark, sf_dir)
+    return layout.rule_layout(lines).select("doc_id", "page", "seq", "category").join(layout.body_size(lines).select("doc_id", "page", "seq", "body"), ["doc_id", "page", "seq"])
+
+
+_INTER = "greatest(least({a}.x1, {b}.r) - greatest({a}.x0, {b}.l), 0) * greatest(least({a}.y1, {b}.b) - greatest({a}.y0, {b}.t), 0)".format(a="x", b="g")
+
+
+@query(f"""WITH {LINES}, {REGIONS}, best AS (SELECT x.doc_id, x.page, x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY {_INTER} / ((x.x1 - x.x0) * (x.y1 - x.y0)) DESC, g.region_no) AS k
+  FROM lines x JOIN regions g ON g.doc_id = x.doc_id AND g.page = x.page AND {_INTER} / ((x.x1 - x.x0) * (x.y1 - x.y0)) > 0.2)
+ SELECT l.doc_id, l.page, l.seq, b.region_no FROM lines l LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.seq = l.seq""")
+def region_match_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.match_overlap(D.boxes_lines(spark, sf_dir), D.boxes_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
+
+
+@query(f"""WITH {LINES}, {REGIONS}, best AS (SELECT x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN regions g ON g.doc_id = x.doc_id AND g.page = x.page
+  AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN g.t AND g.b)
+ SELECT l.doc_id, l.page, l.seq, b.region_no FROM lines l LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.seq = l.seq""")
+def region_match_center(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.match_center(D.boxes_lines(spark, sf_dir), D.boxes_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
+
+
+_RI = "greatest(least(x.r, y.r) - greatest(x.l, y.l), 0) * greatest(least(x.b, y.b) - greatest(x.t, y.t), 0)"
+_AX, _AY = "((x.r - x.l) * (x.b - x.t))", "((y.r - y.l) * (y.b - y.t))"
+_GRP = "CASE WHEN category = 'picture' THEN 'p' WHEN category IN ('form', 'key_value_region', 'table', 'document_index') THEN 'w' ELSE 'r' END"
+
+
+@query(f"""WITH {REGIONS}, grouped AS (SELECT *, {_GRP} AS grp FROM named) SELECT x.doc_id, x.page, x.region_no AS a, y.region_no AS b FROM grouped x JOIN grouped y ON x.doc_id = y.doc_id AND x.page = y.page AND x.grp = y.grp AND x.region_no < y.region_no
+ AND ({_RI} / ({_AX} + {_AY} - {_RI}) > 0.8 OR {_RI} / {_AX} > 0.8 OR {_RI} / {_AY} > 0.8)""")
+def region_overlap_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = D.boxes_regions(spark, sf_dir)
+    return layout.overlap_edges(regions.withColumn("category", T.to_category(F.col("category"))))
+
+
+@query()
+def region_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.remove_overlaps(layout.filter_regions(D.boxes_regions(spark, sf_dir)))
+
+
+_WIDE = "({a}.x0 < {b}.x1 AND {b}.x0 < {a}.x1)"
+
+
+@query(f"""WITH {LINES} SELECT a.doc_id, a.page, a.seq AS above, b.seq AS below FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND a.page = b.page AND a.seq <> b.seq AND a.y1 <= b.y0 AND {_WIDE.format(a="a", b="b")}
+ WHERE NOT EXISTS (SELECT 1 FROM lines c WHERE c.doc_id = a.doc_id AND c.page = a.page AND c.seq <> a.seq AND c.seq <> b.seq AND a.y1 <= c.y0 AND c.y1 <= b.y0 AND ({_WIDE.format(a="a", b="c")} OR {_WIDE.format(a="b", b="c")}))""")
+def reading_order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.edges(D.boxes_lines(spark, sf_dir))
+
+
+@query()
+def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = D.boxes_lines(spark, sf_dir).withColumn("category", F.when(F.col("seq") % 6 == 0, "formula").otherwise("text"))
+    return order.reading_order(lines).select("doc_id", "page", "seq", "position")
+
+
+@query(f"""WITH {LINES}, toks AS (SELECT *, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM lines), rows AS (SELECT doc_id, page, seq, x0, x1, CAST(i AS INT) AS k, w[i + 1] AS token FROM toks, unnest(range(len(w))) AS r(i)),
+ sums AS (SELECT *, coalesce(sum(length(token) + 1) OVER (PARTITION BY seq ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(length(token) + 1) OVER (PARTITION BY seq) - 1 AS total FROM rows)
+ SELECT doc_id, page, seq, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY seq, k) - 1 AS INT) AS id, token, round(x0 + (x1 - x0) * before / total, 6) AS l, round(x0 + (x1 - x0) * (before + length(token)) / total, 6) AS r FROM sums""")
+def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.word_tokens(D.boxes_lines(spark, sf_dir)).select("doc_id", "page", "seq", "id", "token", F.round("l", 6).alias("l"), F.round("r", 6).alias("r"))
+
+
+@query(f"WITH {LINES} SELECT doc_id, page, seq, round(x0 / (150 / 72.0::DOUBLE), 6) AS x0, round(y1 / (150 / 72.0::DOUBLE), 6) AS y1 FROM lines")
+def dpi_rescale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.boxes_lines(spark, sf_dir).select("doc_id", "page", "seq", F.round(layout.rescale(F.col("bbox.x0")), 6).alias("x0"), F.round(layout.rescale(F.col("bbox.y1")), 6).alias("y1"))
+
+
+_H, _W = "CAST(p_partkey * 7919 % 9000 AS DOUBLE)", "CAST(p_partkey * 104729 % 9000 AS DOUBLE)"
+
+
+@query(f"""WITH s AS (SELECT p_partkey AS id, {_H} AS h, {_W} AS w FROM part), r AS (SELECT *, greatest(28, round_even(h / 28, 0) * 28) AS h0, greatest(28, round_even(w / 28, 0) * 28) AS w0, sqrt(h * w / 11289600) AS sh, sqrt(3136 / (h * w)) AS gr FROM s WHERE h > 0 AND w > 0 AND greatest(h, w) / least(h, w) <= 200)
+ SELECT s.id, CAST(CASE WHEN h0 * w0 > 11289600 THEN greatest(28, floor(r.h / sh / 28) * 28) WHEN h0 * w0 < 3136 THEN ceil(r.h * gr / 28) * 28 ELSE h0 END AS INT) AS height, CAST(CASE WHEN h0 * w0 > 11289600 THEN greatest(28, floor(r.w / sh / 28) * 28) WHEN h0 * w0 < 3136 THEN ceil(r.w * gr / 28) * 28 ELSE w0 END AS INT) AS width FROM s LEFT JOIN r ON r.id = s.id""")
+def smart_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    sized = D.read(spark, sf_dir, "part").select(k.alias("id"), layout.smart_resize((k * 7919 % 9000).cast("double"), (k * 104729 % 9000).cast("double")).alias("s"))
+    return sized.select("id", F.col("s.height").alias("height"), F.col("s.width").alias("width"))
+
+
+@query(f"WITH {LINES} SELECT doc_id, page, seq, '[' || CAST(round_even(x0 + 0.5, 0) AS INT) || ', ' || CAST(round_even(y0 + 0.5, 0) AS INT) || ', ' || CAST(round_even(x1, 0) AS INT) || ', ' || CAST(round_even(y1, 0) AS INT) || ']' AS box FROM lines")
+def grounding_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = F.col("bbox")
+    return D.boxes_lines(spark, sf_dir).select("doc_id", "page", "seq", layout.grounding_box(b["x0"] + 0.5, b["y0"] + 0.5, b["x1"], b["y1"]).alias("box"))
+
+
+@query("SELECT p_partkey AS id, CAST(CASE p_partkey % 5 WHEN 4 THEN 0 ELSE 1 END AS INT) AS n_regions, CASE WHEN p_partkey % 5 <> 4 THEN 'Text' END AS label, CASE WHEN p_partkey % 5 <> 4 THEN CAST(p_partkey AS DOUBLE) END AS x0 FROM part")
+def vlm_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that are plain, fenced, cut short, have a bad element, or are no JSON."""
+    k = F.col("p_partkey").cast("string")
+    one = F.concat(F.lit('{"bbox": ['), k, F.lit(', 1, 2, 3], "category": "Text", "text": "a"}'))
+    answer = F.element_at(
+        F.array(F.concat(F.lit("["), one, F.lit("]")), F.concat(F.lit("Sure:\n```json\n["), one, F.lit("]\n```\nDone")), F.concat(F.lit("["), one, F.lit(', {"bbox": [1, 2')), F.concat(F.lit('[{"bbox": [1, 2], "category": "Text"}, '), one, F.lit("]")), F.lit("no regions here")),
+        (F.col("p_partkey") % 5 + 1).cast("int"),
+    )
+    found = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), layout.parse_regions(answer).alias("r"))
+    return found.select("id", F.size("r").alias("n_regions"), F.get("r", 0)["category"].alias("label"), F.get(F.get("r", 0)["bbox"], 0).alias("x0"))
+
+
+@query(f"WITH {LINES} SELECT doc_id, page, seq, round(x0 / 600 * 1200, 6) AS \"left\", round((1 - greatest(1 - y0 / 800, 1 - y1 / 800)) * 1600, 6) AS top, round((x1 - x0) / 600 * 1200, 6) AS width, round((y1 - y0) / 800 * 1600, 6) AS height, CAST(seq % 11 AS INT) AS colour FROM lines")
+def viewer_pixel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = F.col("bbox")
+    flipped = F.struct((b["x0"] / 600).alias("l"), (1 - b["y0"] / 800).alias("t"), (b["x1"] / 600).alias("r"), (1 - b["y1"] / 800).alias("b"), F.lit("BOTTOMLEFT").alias("coord_origin"))
+    rows = D.boxes_lines(spark, sf_dir).select("doc_id", "page", "seq", metadata.pixel_box(flipped, F.lit(1200), F.lit(1600)).alias("p"), (F.col("seq") % 11).cast("int").alias("colour"))
+    return rows.select("doc_id", "page", "seq", *[F.round(f"p.{c}", 6).alias(c) for c in ("left", "top", "width", "height")], "colour")
+
+
+@query(f"""WITH {LINES}, {REGIONS}, hit AS (SELECT x.seq, g.region_no, g.category, g.l, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN named g ON g.doc_id = x.doc_id AND g.page = x.page AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN g.t AND g.b),
+ rows AS (SELECT l.doc_id, l.page, l.seq, l.text, l.x0, h.region_no, h.category, h.l, row_number() OVER (PARTITION BY l.doc_id, l.page, h.region_no ORDER BY l.seq) AS n FROM lines l LEFT JOIN hit h ON h.seq = l.seq AND h.k = 1)
+ SELECT doc_id, page, seq, coalesce(category, 'text') AS category, CASE WHEN category = 'table' AND region_no % 2 = 0 THEN '<table>' || region_no || '</table>' ELSE text END AS text, CASE WHEN category = 'table' THEN l ELSE x0 END AS x0 FROM rows WHERE category IS DISTINCT FROM 'table' OR n = 1""")
+def table_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = D.boxes_regions(spark, sf_dir).withColumn("category", T.to_category(F.col("category")))
+    lines = layout.match_center(D.boxes_lines(spark, sf_dir), regions)
+    html = regions.where("category = 'table' and region_no % 2 = 0").select("doc_id", "page", "region_no", F.concat(F.lit("<table>"), F.col("region_no").cast("string"), F.lit("</table>")).alias("html"))
+    return layout.table_items(lines, regions, html).select("doc_id", "page", "seq", "category", "text", F.col("bbox.x0").alias("x0"))
+
+
+# --- tables ----------------------------------------------------------------------------------------
+
+GRID = """grid AS (SELECT r_regionkey * 100 AS row_no, [r_name, '', ''] AS cells FROM region UNION ALL SELECT r_regionkey * 100 + 1, ['key', 'nation', 'a<b & ''c'''] FROM region UNION ALL SELECT n_regionkey * 100 + 2 + n_nationkey, [CAST(n_nationkey AS VARCHAR), n_name, '<' || n_nationkey || '>'] FROM nation),
+ blocked AS (SELECT CAST(row_no // 100 + 1 AS INT) AS block, CAST(row_no AS BIGINT) AS row_no, cells FROM grid)"""
+
+
+@query(f"WITH {GRID} SELECT block, row_no, cells[1] AS first FROM blocked")
+def table_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.blocks(D.grid(spark, sf_dir)).select("block", "row_no", F.get("cells", 0).alias("first"))
+
+
+_ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+def _tr(tag: str) -> str:
+    return "'<tr>' || list_aggregate(list_transform(cells, lambda x: '<" + tag + ">' || " + _ESC.format("x") + " || '</" + tag + ">'), 'string_agg', '') || '</tr>'"
+
+
+@query(f"""WITH {GRID} SELECT block, '<table><caption>' || max(CASE WHEN row_no % 100 = 0 THEN cells[1] END) || '</caption><thead>' || max(CASE WHEN row_no % 100 = 1 THEN {_tr("th")} END) || '</thead><tbody>' || string_agg(CASE WHEN row_no % 100 > 1 THEN {_tr("td")} END, '' ORDER BY row_no) || '</tbody></table>' AS html FROM blocked GROUP BY block""")
+def rows_to_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.grid_tables(D.grid(spark, sf_dir)).select("block", "html")
+
+
+CELLS = """cells AS (SELECT CAST(n_regionkey % 2 AS BIGINT) AS table_id, CAST(n_nationkey // 5 AS INT) AS r, CAST(n_nationkey % 5 AS INT) AS c, CASE WHEN n_nationkey % 7 = 0 THEN 2 ELSE 1 END AS cs, n_nationkey // 5 = 0 AS head, n_name || ' x|y' AS text FROM nation),
+ slots AS (SELECT table_id, CAST(a AS INT) AS r, CAST(b AS INT) AS c FROM (SELECT DISTINCT table_id FROM cells), unnest(range(5)) AS x(a), unnest(range(5)) AS y(b))"""
+
+
+@query(f"""WITH {CELLS}, shown AS (SELECT s.table_id, s.r, s.c, CASE WHEN k.table_id IS NULL THEN '<td></td>' ELSE '<' || CASE WHEN k.head THEN 'th' ELSE 'td' END || CASE WHEN k.cs > 1 THEN ' colspan="2"' ELSE '' END || '>' || k.text || '</' || CASE WHEN k.head THEN 'th' ELSE 'td' END || '>' END AS x
+   FROM slots s LEFT JOIN cells k ON k.table_id = s.table_id AND k.r = s.r AND k.c = s.c WHERE NOT EXISTS (SELECT 1 FROM cells o WHERE o.table_id = s.table_id AND o.r = s.r AND o.cs = 2 AND o.c + 1 = s.c)),
+ lines AS (SELECT table_id, r, '<tr>' || string_agg(x, '' ORDER BY c) || '</tr>' AS line FROM shown GROUP BY table_id, r) SELECT table_id, '<table>' || string_agg(line, '' ORDER BY r) || '</table>' AS html FROM lines GROUP BY table_id""")
+def structure_to_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.structure_html(D.structures(spark, sf_dir))
+
+
+@query(f"""WITH {CELLS}, lines AS (SELECT s.table_id, s.r, '| ' || string_agg(replace(coalesce(k.text, ''), '|', chr(92) || '|'), ' | ' ORDER BY s.c) || ' |' AS line, coalesce(bool_or(k.head), false) AS head FROM slots s LEFT JOIN cells k ON k.table_id = s.table_id AND k.r = s.r AND k.c = s.c GROUP BY s.table_id, s.r)
+ SELECT table_id, string_agg(CASE WHEN head AND r = 0 THEN line || chr(10) || '| --- | --- | --- | --- | --- |' ELSE line END, chr(10) ORDER BY r) AS markdown FROM lines GROUP BY table_id""")
+def structure_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.structure_markdown(D.structures(spark, sf_dir))
+
+
+@query("SELECT n_regionkey AS doc_id, CAST(n_nationkey // 5 AS INT) AS r, CAST(n_nationkey % 5 AS INT) AS c, CASE WHEN n_nationkey // 5 <= 1 AND n_nationkey % 5 <= 1 THEN coalesce((SELECT m.n_name FROM nation m WHERE m.n_regionkey = nation.n_regionkey AND m.n_nationkey = 0), '') ELSE n_name END AS value FROM nation")
+def merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = D.read(spark, sf_dir, "nation")
+    cells = nation.select(F.col("n_regionkey").alias("doc_id"), F.expr("cast(n_nationkey div 5 as int)").alias("r"), F.expr("cast(n_nationkey % 5 as int)").alias("c"), F.col("n_name").alias("value"))
+    merged = nation.select(F.col("n_regionkey").alias("doc_id")).distinct().select("doc_id", F.lit(0).alias("r0"), F.lit(0).alias("c0"), F.lit(1).alias("r1"), F.lit(1).alias("c1"))
+    return tables.fill_merged(cells, merged)

@@ -12,7 +12,8 @@ from leafmill.functions.text import render, window_starts
 from leafmill.schemas import BBOX, HEADER
 
 ENTRY = f"struct<page: int, bbox: {BBOX}, category: string>"
-_doc = Window.partitionBy("doc_id")
+def _doc():
+    return Window.partitionBy("doc_id")
 
 
 def is_header():
@@ -21,18 +22,18 @@ def is_header():
 
 def carry_heading(items: DataFrame) -> DataFrame:
     """`heading`: text of the last section header so far; an empty one counts."""
-    w = _doc.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = _doc().orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return items.withColumn("heading", F.last(F.when(is_header(), F.coalesce("text", F.lit(""))), ignorenulls=True).over(w))
 
 
 def sections(items: DataFrame) -> DataFrame:
     """`section`: number of the section, which each header begins; 0 is what comes before the first."""
-    w = _doc.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = _doc().orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return items.withColumn("section", F.sum(is_header().cast("int")).over(w).cast("int"))
 
 
 def _numbered(rows: DataFrame, *order: str) -> DataFrame:
-    return rows.withColumn("chunk_no", F.row_number().over(_doc.orderBy(*order)) - 1)
+    return rows.withColumn("chunk_no", F.row_number().over(_doc().orderBy(*order)) - 1)
 
 
 def _base(items: DataFrame) -> DataFrame:

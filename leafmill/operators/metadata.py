@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.text import n_lines, n_words
 
-_doc = Window.partitionBy("doc_id")
+def _doc():
+    return Window.partitionBy("doc_id")
 
 
 def utc_now() -> Column:
@@ -18,11 +19,11 @@ def counters(chunks: DataFrame) -> DataFrame:
     """Place of each chunk in its first page and its document; all windows share one shuffle by doc_id."""
     page = Window.partitionBy("doc_id", "i_page")
     return chunks.withColumns({
-        "n_page": F.max("e_page").over(_doc),
+        "n_page": F.max("e_page").over(_doc()),
         "i_chunk_on_page": F.row_number().over(page.orderBy("chunk_no")) - 1,
         "n_chunk_of_page": F.count("*").over(page).cast("int"),
-        "i_chunk_on_doc": F.row_number().over(_doc.orderBy("chunk_no")) - 1,
-        "n_chunk_of_doc": F.count("*").over(_doc).cast("int"),
+        "i_chunk_on_doc": F.row_number().over(_doc().orderBy("chunk_no")) - 1,
+        "n_chunk_of_doc": F.count("*").over(_doc()).cast("int"),
     })
 
 
