@@ -16,10 +16,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from leafmill.llm.tokenizing import safe_pieces, tiktoken_encoding, vocabulary
-
-#: Characters of a piece that the library gets at once.
-PIECE = 50_000
+from leafmill.llm.tokenizing import PIECE, safe_pieces, tiktoken_encoding, vocabulary
 
 
 class Bpe:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, whole_text
-from leafmill.llm.tokenizing import END_ID, CachedEncoder, batches, vocabulary
+from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -137,7 +137,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
     path = tokenizer or vocabulary("byte_bpe_50k.json")
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedEncoder(path)
+        encoder = Encoder(path)
         held: list[bytes] = []
         doc_ids: list[int | None] = []
         part, seq = TaskContext.get().partitionId(), 0
