@@ -77,6 +77,6 @@ def test_folder_and_stream(spark, tmp_path):
     read = files.read_files(spark, str(tmp_path / "in"))
     assert read.where("error is not null").count() == 1
     config = pipeline.Config(reg_date="x")
-    assert {r["text"] for r in pipeline.process(spark, str(tmp_path / "in"), config).collect()} == {"Head, body of a", "one\ntwo"}
+    assert {r["text"] for r in pipeline.process(spark, str(tmp_path / "in"), config).collect()} == {"Head, body of a", "one two"}  # the second paragraph continues the first
     watch(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), config, once=True).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
