@@ -1,0 +1,284 @@
+"""Each training-data operator against brute force on a small table with nulls, empty and long texts, copies and clashing columns."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from leafmill.llm import bpe, media, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp
+from leafmill.llm.tokenizing import Encoder, json_tokenizer, safe_pieces, vocabulary
+
+random.seed(3)
+WORDS = [random.choice("abcdefgh") + random.choice("aeiou") + random.choice("lmnrst") for _ in range(60)]
+LONG = " ".join(random.choice(WORDS) for _ in range(4000))
+SHARED = " ".join(random.choice(WORDS) for _ in range(200))
+TEXTS = [None, "", "   \n ", "one two", "Grüße 日本 ☃\n\nß", LONG, SHARED, SHARED, f"{LONG[:300]} {SHARED} tail", "same line\nsame line\nother", "x" * 3000, "A b c " * 40] + [" ".join(random.choice(WORDS) for _ in range(n)) for n in (60, 61, 200, 300)]
+ROWS = [(i, t, i) for i, t in enumerate(TEXTS)] + [(6, SHARED, 0), (None, "text without an id " * 20, 1)]
+SCHEMA = "doc_id bigint, text string, score int"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_quality(spark, docs, empty):
+    labelled = spark.createDataFrame([(12, 1, 0), (13, 1, 0), (14, 0, None), (None, 1, 0), (12, 1, 0)], "doc_id bigint, quality int, toxic int")
+    rows = quality.score_quality(docs, labelled).collect()
+    assert len(rows) == len(ROWS)
+    texts = {(i, t): None for i, t, _ in ROWS}
+    for (i, t) in texts:
+        r = next(r for r in rows if r["doc_id"] == i and r["word_chars"] == sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        places: dict = {}
+        for k in range(len(w) - 2):
+            places.setdefault(tuple(w[k : k + 3]), []).append(k)
+        covered = {k + d for p in places.values() if len(p) > 1 for k in p for d in range(3)}
+        lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r["n_words"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered))
+        assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and (r["kept"] <= (not r["base_failed"]))
+    kept = quality.keep(docs, labelled)
+    assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in rows)
+    assert quality.score_quality(empty, labelled).count() == 0
+    assert {r["score"] for r in quality.score_quality(docs, labelled.where("false")).collect()} == {0.0}
+
+
+def test_toxicity_index_is_exact():
+    rng = np.random.default_rng(0)
+    make = lambda: {int(f): float(x) for f, x in zip(rng.choice(30, 4, False), rng.random(4), strict=True)}
+    unit = lambda v: {f: x / sum(y * y for y in v.values()) ** 0.5 for f, x in v.items()}
+    rows = [(i, i % 2, unit(make())) for i in range(500)]
+    index = toxicity.BlockMaxIndex(rows, 16)
+    for _ in range(50):
+        q = unit(make())
+        dots = sorted(((-round(sum(x * v.get(f, 0) for f, x in q.items()), 12), d) for d, _, v in rows), key=lambda z: z)[:16]
+        assert [(s, index.docs[i]) for s, i in index.nearest(q, 16)] == [(-s, d) for s, d in dots if s < 0]
+
+
+def test_toxicity(spark, empty):
+    bad = ["vile", "rotten", "foul"]
+    rows = [(i, " ".join([*random.choices(WORDS, k=40), *(random.choices(bad, k=4) if i % 4 == 0 else [])]), 0) for i in range(200)]
+    docs = spark.createDataFrame([*rows, (1000, None, 0), (1001, "", 0), (1000, None, 0)], SCHEMA)
+    labelled = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(3, None)], "doc_id bigint, toxic int")
+    out = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, labelled).collect()}
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert {i for i in held if out[i]["held_out"]} == set(held)
+    assert all(out[i]["predicted"] == int(i % 4 == 0) for i in held)
+    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[1000]["score"] == out[1001]["score"]
+    assert toxicity.reject(docs, labelled).columns == docs.columns
+    assert toxicity.score_toxicity(empty, labelled).count() == 0
+    assert {r["score"] for r in toxicity.score_toxicity(docs, labelled.where("false")).collect()} == {0.0}
+
+
+def test_packing(docs, empty):
+    rows = packing.pack(docs).collect()
+    tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
+    expected = sorted(zlib.crc32(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for _, t, _ in ROWS)
+    assert sum(r["length"] for r in rows) == sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in ROWS)
+    assert {r["ids_crc32"] for r in rows if r["length"] == r["doc_tokens"]} <= set(expected)
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WIDTH
+    assert packing.pack(empty).count() == 0
+
+
+def test_column_generation():
+    demand = {int(s): int(n) for s, n in zip(range(3, 512, 5), np.random.default_rng(1).integers(20, 60, 102), strict=True)}
+    used: dict = {}
+    total = 0
+    for pattern, n in packing.plan(demand):
+        assert sum(s * t for s, t in pattern) <= packing.WIDTH
+        total += n * packing.padded(sum(s * t for s, t in pattern), packing.WIDTH)
+        for s, t in pattern:
+            used[s] = used.get(s, 0) + n * t
+    assert used == demand and total <= 1.01 * sum(s * n for s, n in demand.items())
+    assert packing.plan({}) == []
+
+
+@pytest.mark.parametrize(("length", "gram"), [(40, 8), (400, 32)])
+def test_suffix_dedup(docs, empty, length, gram):
+    rows = suffix_dedup.digest(docs, length, gram).collect()
+    data = [(t or "").encode() for _, t, _ in ROWS]
+    seen: dict = {}
+    for b in data:
+        for i in range(len(b) - length + 1):
+            seen[b[i : i + length]] = seen.get(b[i : i + length], 0) + 1
+    expected = []
+    for (i, _, _), b in zip(ROWS, data, strict=True):
+        gone = np.zeros(len(b) + 1, bool)
+        for k in range(len(b) - length + 1):
+            if seen[b[k : k + length]] > 1:
+                gone[k : k + length] = True
+        kept = bytes(c for c, g in zip(b, gone, strict=False) if not g)
+        expected.append((i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in rows)
+    assert suffix_dedup.remove(docs, length, gram).columns == docs.columns
+    assert suffix_dedup.digest(empty).count() == 0
+
+
+def test_suffix_columns_in_files_give_the_same():
+    rows = [random.choice([b"abcdefgh" * 4, b"abcdefgX" * 4, bytes(random.choices(b"ab", k=32))]) for _ in range(50)]
+    args = np.array([i // 10 for i in range(50)]), rows, np.full(50, 12)
+    assert suffix_dedup.repeated(*args, 20, 8, memory_rows=1) == suffix_dedup.repeated(*args, 20, 8)
+
+
+def test_token_counts(docs, empty):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocabulary_ = list(token_counts.unigram_vocabulary(vocabulary("piece_bpe_32k.model")))
+    library = Tokenizer(models.Unigram(vocabulary_, unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    rows = token_counts.count_tokens(docs).collect()
+    assert sorted(r["n_tokens"] for r in rows) == sorted(len(library.encode(t or "", add_special_tokens=False).ids) for _, t, _ in ROWS)
+    assert token_counts.count_tokens(empty).count() == 0
+    tied = token_counts.Counter((("<unk>", 0.0), ("▁", -1.0), ("a", -1.0), ("aa", -2.0), ("▁a", -2.0)))
+    model = Tokenizer(models.Unigram([("<unk>", 0.0), ("▁", -1.0), ("a", -1.0), ("aa", -2.0), ("▁a", -2.0)], unk_id=0))
+    model.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    for n in range(1, 9):
+        assert tied.count("a" * n)[0] == len(model.encode("a" * n).ids)
+
+
+def test_simhash(docs, empty):
+    from xxhash import xxh64_intdigest
+
+    def slow(t):
+        w = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())
+        w = re.findall(rb"[^\x20\x09-\x0D]+", w)
+        s = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([b" ".join(w)] if w else [])
+        h = [xxh64_intdigest(x, 42) for x in s]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fps = [slow(t) for _, t, _ in ROWS]
+    label = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    least = {x: min((ROWS[k][0] for k in range(len(fps)) if label[k] == x and ROWS[k][0] is not None), default=None) for x in label}
+    expected = sorted(str((ROWS[k][0], f"{fps[k]:016x}", least[label[k]])) for k in range(len(fps)))
+    assert sorted(str(tuple(r)) for r in simhash.classes(docs).collect()) == expected
+    assert simhash.classes(empty).count() == 0
+
+
+def test_simhash_large_cells(monkeypatch):
+    monkeypatch.setattr(simhash, "CELL", 8)
+    rng = np.random.default_rng(5)
+    fps = np.unique(np.concatenate([np.uint64(1 << 40) ^ (np.uint64(1) << rng.integers(0, 60, 300, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 60, 300, dtype=np.uint64)), rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
+    forest = simhash.Forest(len(fps))
+    for i, (first, n) in enumerate(simhash.blocks(3)):
+        key = (fps >> np.uint64(first)) & np.uint64((1 << n) - 1)
+        simhash.link_cells(key, fps, 3, forest, np.arange(len(fps)), [r for r in ((0, first), (first + n, 64 - first - n)) if r[1]])
+    slow = simhash.Forest(len(fps))
+    for i in range(len(fps)):
+        near = np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3)
+        slow.add(np.full(len(near), i), near)
+    same = lambda f: [f.root[i] == f.root[j] for i in range(len(fps)) for j in range(0, i, 7)]
+    assert same(forest) == same(slow)
+
+
+def test_near_copies_go(spark):
+    texts = [" ".join(random.choices(WORDS, k=150)) for _ in range(20)]
+    rows = []
+    for i, t in enumerate(texts):
+        w = t.split()
+        w[40 + i] = "changed"
+        rows += [(2 * i, t, 0), (2 * i + 1, " ".join(w), 0)]
+    kept = {r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame([*rows, (0, texts[0], 0)], SCHEMA)).collect()}
+    assert kept == set(range(0, 40, 2))
+
+
+def test_token_ids(docs, empty):
+    rows = pfor.read_ids(pfor.write_ids(docs)).collect()
+    tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
+    ids = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]) for i, t, _ in ROWS]
+    assert sorted(map(str, ((i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids))) == sorted(str((r["doc_id"], r["n_tokens"], r["ids_crc32"])) for r in rows)
+    at = 0
+    for r in sorted(rows, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])] == sorted((i for i, _, _ in ROWS), key=lambda i: -1 if i is None else i)
+    assert pfor.read_ids(pfor.write_ids(empty)).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1024, 1025, 5000])
+def test_pfor_round_trip(n):
+    rng = np.random.default_rng(n)
+    for values in (rng.integers(0, 50257, n), rng.integers(0, 1 << 32, n, dtype=np.uint64), np.full(n, 7), np.where(rng.random(n) < 0.05, 4e9, 3)):
+        shard = pfor.Shard(pfor.write_shard(values.astype(np.uint32), [1], [n]))
+        assert np.array_equal(shard.read(0, n), values.astype(np.uint32))
+        assert np.array_equal(shard.read(n // 3, n // 2), values.astype(np.uint32)[n // 3 : n // 3 + n // 2])
+
+
+def test_encoder_is_the_library():
+    texts = [t or "" for t in TEXTS] + ["<|endoftext|> it's  I'LL\t\n x", " nbsp  　wide", "a" * 70_000, "tab\tword " * 9000]
+    library = json_tokenizer(vocabulary("byte_bpe_50k.json"))
+    for t, got in zip(texts, Encoder(vocabulary("byte_bpe_50k.json")).encode_batch(texts), strict=True):
+        assert np.frombuffer(got, "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_media(docs, empty):
+    rows = media.features(media.media_column(docs)).collect()
+    expected = []
+    for i, t, _ in ROWS:
+        b = (t or "").encode()
+        p = b + b"\xff" * (-len(b) % 576 if b else 576)
+        expected.append((i, len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:])))
+    assert sorted(map(str, expected)) == sorted(str(tuple(r)[:5]) for r in rows)
+    assert media.features(media.media_column(empty)).count() == 0
+
+
+def test_webp_features():
+    rng = np.random.default_rng(1)
+    images = [rng.integers(0, 256, (11, 19, 4), dtype=np.uint8), rng.integers(0, 256, (5, 4), dtype=np.uint8)[rng.integers(0, 5, (13, 21))], np.full((3, 3, 4), 255, np.uint8)]
+    for image in images:
+        for transforms in ((), (0,), (1,), (2,), (2, 0, 1), (3,), (3, 0)):
+            for cache, references, tiles, mode in ((0, False, 0, -1), (4, True, 3, 11), (10, True, 0, 13)):
+                assert transforms[:1] != (3,) or len(np.unique(image.reshape(-1, 4), axis=0)) <= 256
+                assert np.array_equal(webp.decode(webp.encode(image, transforms, cache, references, tiles, mode)), image)
+    with pytest.raises(ValueError):
+        webp.decode(b"RIFF....WEBPVP8 ")
+
+
+def test_bpe(docs, empty):
+    rows = bpe.digest_ids(docs).collect()
+    encoding = bpe.Bpe().encoding
+    expected = sorted(str((i, len(x := encoding.encode_ordinary(t or "")), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())) for i, t, _ in ROWS)
+    assert sorted(str(tuple(r)) for r in rows) == expected
+    assert bpe.digest_ids(empty).count() == 0
+    for size in (1, 7, 100):
+        for t in ("a b  c\n d 'll it's", LONG, "  x  y "):
+            pieces = list(safe_pieces(t, size))
+            assert "".join(pieces) == t and [i for p in pieces for i in encoding.encode_ordinary(p)] == encoding.encode_ordinary(t)
+
+
+def test_warc(spark):
+    rows = [(i, f"http://x/{i}", h, "clash") for i, h in enumerate(["<p>a</p>", "<p>a</p>", None, "", "<p>b\r\n\r\n</p>", "<p>a</p>"])] + [(5, None, "<p>a</p>", None), (9, "u\r\nWARC-Type: x", "ü" * 50_000, "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, digest string")
+    index = warc.write(pages)
+    assert index.count() == len(rows)
+    groups: dict = {}
+    for i, _, h, _ in rows:
+        groups.setdefault((h or "").encode(), []).append(i)
+    expected = sorted(str((i, "response" if i == max(groups[p]) else "revisit", base64.b32encode(hashlib.sha1(p).digest()).decode(), len(p), None if i == max(groups[p]) else max(groups[p]))) for i, _, h, _ in rows for p in [(h or "").encode()])
+    got = warc.read(index).collect()
+    assert sorted(str((r["page_id"], r["record_type"], r["digest"], r["payload_bytes"], r["refers_to"])) for r in got) == expected
+    assert all(bytes(r["payload"]) in groups for r in got if r["record_type"] == "response")
+    assert warc.read(index, index["page_id"] == 9).count() == 1
+    assert warc.write(pages.where("false")).count() == 0
+    assert list(warc.coalesced([(0, 10), (12, 5), (100, 5), (200, 90)], gap=5, span=50)) == [[(0, 10), (12, 5)], [(100, 5)], [(200, 90)]]
