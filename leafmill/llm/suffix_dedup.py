@@ -184,7 +184,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
     """docs (with __th) and a table of one row for each (k_id, k_th)."""
     on: Column = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("__th") == F.col("k_th"))
-    return docs.join(per_doc, on, how)
+    return docs.join(per_doc.hint("merge"), on, how)  # per_doc grows with the documents: never broadcast
 
 
 def candidates(found: DataFrame) -> DataFrame:
