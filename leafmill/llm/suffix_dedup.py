@@ -15,7 +15,9 @@ columns   Only anchors found with two or more different segments need bytes. One
           windows always lie in the same column: that keeps each round linear in the number of documents,
           where the unaligned form rewrites all columns inserted so far. Columns lie in sequential files:
           a group larger than MEMORY_ROWS is kept and read column by column on disk.
-spans     A prefix of `length` or more bytes common to neighbours marks both windows; covers go back to all
+hot       An anchor with over HOT different segments (a passage in many contexts) isn't brought to one
+          task: see hot_covers().
+spans   A prefix of `length` or more bytes common to neighbours marks both windows; covers go back to all
           occurrences of a segment, and the union of a document's covers is removed.
 
 Matches never cross documents; strings are judged on the input. Null and empty texts, and those
@@ -42,6 +44,9 @@ LENGTH, GRAM = 400, 32
 SPAN = 1 << 18
 #: Segments whose columns are held in memory; beyond that they are in files.
 MEMORY_ROWS = 16_384
+#: Different segments of an anchor that meet in one task; those of anchors with more are cut into slices of SLICE windows.
+HOT, SLICE = 512, 24
+COVER = "h bigint, s bigint, cover array<int>"
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -194,12 +199,16 @@ def candidates(found: DataFrame) -> DataFrame:
     return counted.join(anchors, "h").select("h", "s", "n", "kinds", "one.*")
 
 
-def covers(docs: DataFrame, twice: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(h, s, cover): for each segment with a repeated window, spans [from, to, ...] inside it."""
-    # A segment found twice is covered whole; its bytes are needed for the others of its anchor. Parts of a document are its own segments at most.
-    wanted = twice.where("kinds > 1").groupBy(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
-    texts = _join_docs(_keyed(docs.select("doc_id", "text")).select("doc_id", "__th", F.encode("__text", "utf-8").alias("data")), wanted, "inner")
-    pieces = texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
+def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, s, off, data): the bytes of wanted segments; a repeated document gives its own more than once."""
+    # Parts of a document are its own segments at most.
+    parts = wanted.groupBy(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
+    texts = _join_docs(_keyed(docs.select("doc_id", "text")).select("doc_id", "__th", F.encode("__text", "utf-8").alias("data")), parts, "inner")
+    return texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
+
+
+def constructed(rows_of: DataFrame, length: int, gram: int) -> DataFrame:
+    """(h, s, cover) of the rows (h, s, off, data), of which those with one h go through one construction."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
@@ -221,10 +230,94 @@ def covers(docs: DataFrame, twice: DataFrame, length: int = LENGTH, gram: int =
         if held:
             yield flush()
 
-    sorted_pieces = pieces.select("h", "s", "off", "data").repartition("h").sortWithinPartitions("h", "s")
-    partial = sorted_pieces.mapInArrow(run, "h bigint, s bigint, cover array<int>")
+    placed = rows_of.select("h", "s", "off", "data").repartition("h").sortWithinPartitions("h", "s")
+    return placed.mapInArrow(run, COVER)
+
+
+def slices(n: int, off: int, length: int, gram: int, width: int) -> Iterator[tuple[int, int, int, int]]:
+    """(a, b, from, to) of each slice of a segment of n bytes: the bytes of its windows that begin a to b bytes before the anchor."""
+    for a in range(0, length - gram + 1, width):
+        b = min(a + width - 1, length - gram)
+        first, last = max(a, off + length - n), min(b, off)
+        if first <= last:
+            yield a, b, off - last, off - first + length
+
+
+def sliced(segments_: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """(g, t, h, s, at, len, off): the slices of each segment.
+
+    g is a hash of the bytes that all windows of the slice have, so equal windows have equal g; g and t
+    together are the hash of the slice, which begins at byte `at` of the segment.
+    """
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        kinds = (*[pa.int64()] * 4, *[pa.int32()] * 3)
+        for batch in rows:
+            out = []
+            for h, s, off, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for a, b, start, end in slices(len(data), off, length, gram, width):
+                    core, own = data[off - a : off + length - b], data[start:end]
+                    out.append((xxh3_64_intdigest(core, a) - (1 << 63), xxh3_64_intdigest(own, length + off - start) - (1 << 63), h, s, start, end - start, off - start))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["g", "t", "h", "s", "at", "len", "off"])
+
+    return segments_.select("h", "s", "off", "data").mapInArrow(run, "g bigint, t bigint, h bigint, s bigint, at int, len int, off int")
+
+
+def windows(rows_of: DataFrame, length: int) -> DataFrame:
+    """(h, s, w, at): the hash of each window of the rows (h, s, off, data), told apart by its place before the anchor."""
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        for batch in rows:
+            out = [(h, s, xxh3_64_intdigest(data[i : i + length], off - i) - (1 << 63), i) for h, s, off, data in zip(*(c.to_pylist() for c in batch.columns), strict=True) for i in range(len(data) - length + 1)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["h", "s", "w", "at"])
+
+    return rows_of.select("h", "s", "off", "data").mapInArrow(run, "h bigint, s bigint, w bigint, at int")
+
+
+def hot_covers(segments_: DataFrame, length: int, gram: int, written: list[DataFrame]) -> DataFrame:
+    """(h, s, cover) of anchors with any number of different segments.
+
+    Segments are cut into slices of SLICE windows. Equal slices are counted before they meet; slices that
+    share no bytes with another go. Up to HOT different slices with the same common bytes go through one construction; where
+    there are more, each of their few windows is counted by its hash. Tables written here are added to `written`.
+    """
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        written.append(materialize(df, name))
+        return written[-1]
+
+    segments_ = write(segments_.dropDuplicates(["h", "s"]), "hot")
+    index = write(sliced(segments_, length, gram, SLICE), "slices")
+    counted = index.groupBy("g", "t").agg(F.count("*").alias("n"), F.min(F.struct("h", "s", "at", "len", "off")).alias("one"))
+    groups = counted.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").select("g", "kinds")
+    found = write(counted.join(groups, "g").select("g", "t", "n", "kinds", "one.*"), "groups")
+    cut = F.expr("substring(data, at + 1, len)")
+    bytes_of = lambda rows: rows.join(segments_.select("h", "s", "data"), ["h", "s"]).select(F.col("g").alias("h"), F.col("t").alias("s"), "off", cut.alias("data"))
+    several = constructed(bytes_of(found.where(F.col("kinds").between(2, HOT))), length, gram)
+    single = write(windows(bytes_of(found.where(F.col("kinds") > HOT)), length), "windows")
+    again = single.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
+    pairs = F.flatten(F.transform(F.collect_list("at"), lambda x: F.array(x, x + length)))  # SLICE windows at most
+    many = single.join(again, ["h", "w"]).groupBy("h", "s").agg(pairs.alias("cover"))
+    whole = found.where("n > 1").select(F.col("g").alias("h"), F.col("t").alias("s"), F.array(F.lit(0), F.col("len")).alias("cover"))
+    covered = several.unionByName(many).unionByName(whole).select(F.col("h").alias("g"), F.col("s").alias("t"), "cover")
+    return index.join(covered, ["g", "t"]).select("h", "s", F.transform("cover", lambda x: x + F.col("at")).alias("cover"))
+
+
+def covers(docs: DataFrame, twice: DataFrame, length: int = LENGTH, gram: int = GRAM, written: list[DataFrame] | None = None) -> DataFrame:
+    """(h, s, cover): for each segment with a repeated window, spans [from, to, ...] inside it; a segment may have several rows."""
+    # A segment found twice is covered whole; its bytes are needed for the others of its anchor.
     whole = twice.where("n > 1").select("h", "s", F.array(F.lit(0), F.col("len")).alias("cover"))
-    return partial.unionByName(whole)  # a segment may have a row of each; spans are united per document
+    found = constructed(pieces(docs, twice.where(F.col("kinds").between(2, HOT))), length, gram).unionByName(whole)
+    hot = twice.where(F.col("kinds") > HOT)
+    if hot.limit(1).count():
+        found = found.unionByName(hot_covers(pieces(docs, hot), length, gram, [] if written is None else written))
+    return found
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -236,8 +329,10 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     found = materialize(occurrences(docs, length, gram), "occurrences")
     twice = materialize(candidates(found), "segments")
     release(spark)
-    covered = materialize(covers(docs, twice, length, gram), "covers")
-    discard(twice)
+    written: list[DataFrame] = []
+    covered = materialize(covers(docs, twice, length, gram, written), "covers")
+    for table in (twice, *written):
+        discard(table)
     release(spark)
     absolute = F.transform("cover", lambda x: x + F.col("start"))
     # One row of a segment with many occurrences meets them; the skewed side is split as the join needs.

@@ -110,27 +110,43 @@ def test_column_generation():
     assert packing.plan({}) == []
 
 
-@pytest.mark.parametrize(("length", "gram"), [(40, 8), (400, 32)])
-def test_suffix_dedup(docs, empty, length, gram):
-    rows = suffix_dedup.digest(docs, length, gram).collect()
-    data = [(t or "").encode() for _, t, _ in ROWS]
+def removed_slowly(table, length):
+    """The rows of suffix_dedup.digest(), from every window of every text."""
+    data = [(t or "").encode() for _, t, _ in table]
     seen: dict = {}
     for b in data:
         for i in range(len(b) - length + 1):
             seen[b[i : i + length]] = seen.get(b[i : i + length], 0) + 1
     expected = []
-    for (i, _, _), b in zip(ROWS, data, strict=True):
+    for (i, _, _), b in zip(table, data, strict=True):
         gone = np.zeros(len(b) + 1, bool)
         for k in range(len(b) - length + 1):
             if seen[b[k : k + length]] > 1:
                 gone[k : k + length] = True
         kept = bytes(c for c, g in zip(b, gone, strict=False) if not g)
         expected.append((i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
-    assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in rows)
+    return sorted(map(str, expected))
+
+
+@pytest.mark.parametrize(("length", "gram"), [(40, 8), (400, 32)])
+def test_suffix_dedup(docs, empty, length, gram):
+    rows = suffix_dedup.digest(docs, length, gram).collect()
+    assert removed_slowly(ROWS, length) == sorted(str(tuple(r)) for r in rows)
     assert suffix_dedup.remove(docs, length, gram).columns == docs.columns
     assert suffix_dedup.digest(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 2, 6])
+@pytest.mark.parametrize(("length", "gram"), [(100, 8), (400, 32)])
+def test_suffix_dedup_hot_anchors(spark, monkeypatch, hot, length, gram):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    near = lambda k: " ".join(WORDS[(k * 7 + i * (1 + k % 2)) % 60] for i in range(40))
+    rows = [(i, f"{near(i)[-(i % 9) * 15 - 1:]}{SHARED[(i % 4) * 40 : 700 - (i % 3) * 50]}{near(i % 5)}", 0) for i in range(40)]
+    rows += [*ROWS, rows[3], rows[3]]
+    found = suffix_dedup.digest(spark.createDataFrame(rows, SCHEMA), length, gram).collect()
+    assert removed_slowly(rows, length) == sorted(str(tuple(r)) for r in found)
+
+
 def test_suffix_columns_in_files_give_the_same():
     rows = [random.choice([b"abcdefgh" * 4, b"abcdefgX" * 4, bytes(random.choices(b"ab", k=32))]) for _ in range(50)]
     args = np.array([i // 10 for i in range(50)]), rows, np.full(50, 12)
