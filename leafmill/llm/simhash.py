@@ -214,7 +214,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
 
 
 #: Near copies by similarity: words of 64 bits in a wide fingerprint, and bits of a grid block.
-WIDE, WIDE_BLOCK = 8, 16
+WIDE, WIDE_BLOCK = 16, 16
 
 
 def wide_fingerprint(text: str | None, shingle: int, words64: int = WIDE) -> bytes:
@@ -244,8 +244,10 @@ def wide_fingerprint(text: str | None, shingle: int, words64: int = WIDE) -> byt
 
 
 def wide_radius(similarity: float, words64: int = WIDE) -> int:
-    """Bits in which texts of that Jaccard similarity differ on average: their shingle vectors have the cosine 2s / (1 + s)."""
-    return round(64 * words64 * float(np.arccos(2 * similarity / (1 + similarity))) / float(np.pi))
+    """Bits that 5 in 6 pairs of texts of that Jaccard similarity don't exceed: their shingle vectors have the cosine
+    2s / (1 + s), so a bit differs with chance p; the mean and one standard deviation are allowed."""
+    p = float(np.arccos(2 * similarity / (1 + similarity))) / float(np.pi)
+    return round(64 * words64 * p + (64 * words64 * p * (1 - p)) ** 0.5)
 
 
 def wide_links(points: DataFrame, radius: int) -> DataFrame:
@@ -299,9 +301,9 @@ def wide_links(points: DataFrame, radius: int) -> DataFrame:
 def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one row, that of the least doc_id, of each group of near copies.
 
-    Copies are texts whose fingerprints of 64 * WIDE bits differ in no more bits than texts of that
-    Jaccard similarity of their shingles do on average. A pair must agree on one of the blocks of
-    WIDE_BLOCK bits: at similarity 0.9 all but about 1 in 500 pairs do, at 0.8 all but 1 in 10. Rows
+    Copies are texts whose fingerprints of 64 * WIDE bits differ in wide_radius() bits or fewer, which
+    is fuzzy by about 0.03 around that Jaccard similarity of their shingles. A pair must agree on one of the blocks of
+    WIDE_BLOCK bits: at similarity 0.8 all but about 1 in 120 pairs do, at 0.9 nearly all. Rows
     without doc_id stay only if their group has no doc_id; of repeated rows one stays.
     """
 
