@@ -15,6 +15,8 @@ classes       Each task gives a spanning forest of its links, never all pairs; l
               edges between distinct fingerprints with pointer jumping, each round written to the shared
               folder.
 
+deduplicate() doesn't use fingerprints: it joins the shingle sets themselves, see there.
+
 Null texts are empty. Repeated rows share a fingerprint, so they are one point. An empty table gives
 no rows. Rows with null doc_id take part; component_id is the least doc_id that isn't null, else null.
 Other columns are ignored by classes(), kept by deduplicate().
@@ -22,6 +24,7 @@ Other columns are ignored by classes(), kept by deduplicate().
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import discard, materialize, whole_text
+from leafmill.llm.shared import discard, materialize, release, whole_text
 
 SHINGLE, RADIUS = 3, 3
 #: Points of a cell that are swept without cutting it further.
@@ -213,107 +216,235 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Near copies by similarity: words of 64 bits in a wide fingerprint, and bits of a grid block.
-WIDE, WIDE_BLOCK = 8, 16
+#: Near copies by similarity: counts of a text's shingles by hash, cells that always take part in the first round, and one in so many of the others.
+COUNTS, SMALL_CELL, ROUND_ONE = 128, 32, 4
+#: Points of a cell that others are held against in the second round, and with how many of them each point is paired.
+HUBS, HUBS_TRIED = 8, 3
+#: One text in SAMPLED is looked at for common shingles; those found in COMMON of them are common, MOST_COMMON at most.
+SAMPLED, COMMON, MOST_COMMON = 16, 4, 100_000
+_NEAR = 1e-9
 
 
-def wide_fingerprint(text: str | None, shingle: int, words64: int = WIDE) -> bytes:
-    """As fingerprint(), with `words64` bits for each bit: each hash is mixed into so many more."""
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Rising 64-bit hashes of the different shingles of a text."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * words64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) < shingle:
-        hashes = [xxh64_intdigest(joined, 42)]
-    else:
-        ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
-        hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip([0, *[e + 1 for e in ends[:-1]]], ends[shingle - 1 :])]  # noqa: B905
-    counts = np.zeros(64 * words64, np.int64)
-    steps = np.arange(1, words64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(0, len(hashes), 4096):
-        h = np.array(hashes[i : i + 4096], np.uint64)[:, None] + steps
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-        bits = np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
-        for k in range(0, len(bits), 255):
-            counts += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
-    return np.packbits(2 * counts > len(hashes), bitorder="little").tobytes()
-
-
-def wide_radius(similarity: float, words64: int = WIDE) -> int:
-    """Bits in which texts of that Jaccard similarity differ on average: their shingle vectors have the cosine 2s / (1 + s)."""
-    return round(64 * words64 * float(np.arccos(2 * similarity / (1 + similarity))) / float(np.pi))
-
-
-def wide_links(points: DataFrame, radius: int) -> DataFrame:
-    """(a, b): links between nodes whose wide fingerprints agree on a block and differ in `radius` bits or fewer."""
-    n_blocks = 64 * WIDE // WIDE_BLOCK
-
-    def place(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            if not len(batch):
-                continue
-            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(len(batch), n_blocks)
-            cell = (np.arange(n_blocks, dtype=np.int32)[None, :] << WIDE_BLOCK) | fps
-            index = pa.array(np.repeat(np.arange(len(batch)), n_blocks))
-            yield pa.RecordBatch.from_arrays([pa.array(cell.ravel().astype(np.int32)), batch.column(0).take(index), batch.column(1).take(index)], ["cell", "node", "fp"])
+        return np.array([xxh64_intdigest(joined, 42)], np.uint64)
+    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
+    return np.unique(np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip([0, *[e + 1 for e in ends[:-1]]], ends[shingle - 1 :])], np.uint64))  # noqa: B905
+
+
+def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
+    """Rising hashes of shingles that many different texts have; only the order in prefixes depends on them, never the result."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        for batch in rows:
+            for t in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view(np.int64))], ["t"])
 
-        def flush(cell: np.ndarray, node: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-            forest, live, lag = Forest(len(node)), np.arange(len(node)), 1
-            while len(live):
-                live = live[live + lag < len(node)]
-                live = live[cell[live] == cell[live + lag]]
-                for s in range(0, len(live), 1 << 16):
-                    i = live[s : s + (1 << 16)]
-                    i = i[forest.root[i] != forest.root[i + lag]]  # what is joined already needs no other link
-                    near = np.bitwise_count(fps[i] ^ fps[i + lag]).sum(axis=1, dtype=np.int32) <= radius
-                    forest.add(i[near], i[near] + lag)
-                lag += 1
-            found = forest.all()
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], ["a", "b"])
+    some = docs.select(whole_text().alias("text")).where(F.expr(f"pmod(xxhash64(text), {SAMPLED}) = 0")).distinct()
+    found = some.mapInArrow(run, "t bigint").groupBy("t").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "t").limit(MOST_COMMON)
+    return np.sort(np.array([r["t"] for r in found.collect()], np.int64).view(np.uint64))
 
+
+def shingled(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, th (the text's hash), node (the hash of its shingle set), n (its size), prefix and counts of every row.
+
+    prefix: the first shingles of the set, common ones last; two sets of that similarity share one of
+    them. counts: shingles by their hash modulo COUNTS, 255 at most.
+    """
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
+        often = common.value
         for batch in rows:
-            if not len(batch):
-                continue
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u8").reshape(-1, WIDE)))
-            if sum(len(h[0]) for h in held) >= 100_000:
-                cell, node, fps = (np.concatenate(c) for c in zip(*held, strict=True))
-                done = int(np.flatnonzero(cell != cell[-1])[-1] + 1) if cell[0] != cell[-1] else 0
-                if done:
-                    yield from flush(cell[:done], node[:done], fps[:done])
-                held = [(cell[done:], node[done:], fps[done:])]
-        if held:
-            yield from flush(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            nodes, sizes, prefixes, counts = [], [], [], []
+            for t in batch.column(2):
+                found = shingle_set(t.as_py(), shingle)
+                n = len(found)
+                late = np.isin(found, often)
+                order = np.concatenate([found[~late], found[late]])
+                nodes.append(xxh3_64_intdigest(found.tobytes()) - (1 << 63))
+                sizes.append(n)
+                prefixes.append(order[: n - math.ceil(similarity * n - _NEAR) + 1 if n else 0].view(np.int64))
+                counts.append(np.minimum(np.bincount((found % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS), 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["doc_id", "th", "node", "n", "prefix", "counts"])
+
+    texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return texts.mapInArrow(run, "doc_id bigint, th bigint, node bigint, n int, prefix array<bigint>, counts binary")
+
+
+def whole_cells(rows: Iterable[pa.RecordBatch], most: int = 100_000) -> Iterator[list[np.ndarray]]:
+    """The columns of rows sorted by the first one, about `most` rows at a time, with no value of it in two parts."""
+    held: list[list[np.ndarray]] = []
+    for batch in rows:
+        if not len(batch):
+            continue
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        if sum(len(h[0]) for h in held) >= most:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            other = np.flatnonzero(columns[0] != columns[0][-1])
+            done = int(other[-1]) + 1 if len(other) else 0
+            if done:
+                yield [c[:done] for c in columns]
+            held = [[c[done:] for c in columns]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def shared_cells(points: DataFrame) -> DataFrame:
+    """(t, node, n, at): the prefix shingles that several points have; at: the place in the prefix."""
 
-    placed = points.select("node", "fp").mapInArrow(place, "cell int, node bigint, fp binary")
-    return placed.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a bigint, b bigint")
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in whole_cells(rows):
+            t = columns[0]
+            same = t[1:] == t[:-1]
+            keep = np.append(same, False) | np.append(False, same)
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["t", "node", "n", "at"])
 
+    placed = points.select("node", "n", F.posexplode("prefix").alias("at", "t")).select("t", "node", "n", "at")
+    return placed.repartition("t").sortWithinPartitions("t").mapInArrow(run, "t bigint, node bigint, n int, at int")
 
-def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs with one row, that of the least doc_id, of each group of near copies.
 
-    Copies are texts whose fingerprints of 64 * WIDE bits differ in no more bits than texts of that
-    Jaccard similarity of their shingles do on average. A pair must agree on one of the blocks of
-    WIDE_BLOCK bits: at similarity 0.9 all but about 1 in 500 pairs do, at 0.8 all but 1 in 10. Rows
-    without doc_id stay only if their group has no doc_id; of repeated rows one stays.
+def possible(n: np.ndarray, at: np.ndarray, m: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of n and m shingles whose first common one is at these places can be that similar."""
+    least = np.ceil(similarity / (1 + similarity) * (n + m) - _NEAR)
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - _NEAR) & (1 + np.minimum(n - at - 1, m - place - 1) >= least)
+
+
+def few_pairs(cells: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): a chain through each small cell and some of the others, in an order of the cell's own. Any pairs would do here."""
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, node, n, at in whole_cells(rows):
+            mixed = (node ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            order = np.lexsort((mixed, t))
+            t, node, n, at = t[order], node[order], n[order], at[order]
+            _, which, size = np.unique(t, return_inverse=True, return_counts=True)
+            i = np.flatnonzero((t[1:] == t[:-1]) & ((size[which[1:]] <= SMALL_CELL) | ((t[1:] >> 7) % ROUND_ONE == 0)))
+            i = i[possible(n[i], at[i], n[i + 1], at[i + 1], similarity)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[i + 1])), pa.array(np.maximum(node[i], node[i + 1]))], ["a", "b"])
+
+    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def chosen_pairs(cells: DataFrame, similarity: float, hubs: int) -> DataFrame:
+    """(a, b): pairs of each point and a few of its cell, where they aren't in one class yet. Any pairs would do here.
+
+    hubs: so many points with most links (degree) are paired with the others; 0: any points of the cell.
     """
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, node, n, at, label, degree in whole_cells(rows):
+            order = np.lexsort((node, -degree, t))
+            t, node, n, at, label = t[order], node[order], n[order], at[order], label[order]
+            _, first, which, size = np.unique(t, return_index=True, return_inverse=True, return_counts=True)
+            mixed = ((node if hubs else node ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+            for k in range(HUBS_TRIED if hubs else 1):
+                other = first[which] + ((mixed + np.uint64(k)) % (np.minimum(size, hubs) if hubs else size)[which].astype(np.uint64)).astype(np.int64)
+                i = np.flatnonzero((label != label[other]) & possible(n, at, n[other], at[other], similarity))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[other[i]])), pa.array(np.maximum(node[i], node[other[i]]))], ["a", "b"])
+
+    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of a cell that can be similar and aren't in one class (label) yet."""
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, node, n, at, label, _ in whole_cells(rows):
+            order = np.lexsort((n, t))
+            t, node, n, at, label = t[order], node[order], n[order], at[order], label[order]
+            edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if (label[x:y] == label[x]).all():
+                    continue
+                for i in range(x, y - 1):
+                    j = np.flatnonzero((label[i + 1 : y] != label[i]) & possible(n[i], at[i], n[i + 1 : y], at[i + 1 : y], similarity)) + i + 1
+                    if len(j):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
+
+    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def similar(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have that Jaccard similarity: those that their counts allow are compared whole."""
+
+    def allowed(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            if not len(batch):
+                continue
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTS).astype(np.int16) for i in (2, 3))
+            total = batch.column(4).to_numpy()
+            # The sets differ in as many shingles as their counts at least.
+            keep = np.abs(one - two).sum(axis=1) <= (1 - similarity) / (1 + similarity) * total + _NEAR
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
+
+    def compare(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, one = None, np.zeros(0, np.uint64)
         for batch in rows:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t.as_py(), shingle) for t in batch.column(1)], pa.binary())], ["doc_id", "fp"])
+            keep = []
+            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if a != last:
+                    last, one = a, shingle_set(x.as_py(), shingle)
+                two = shingle_set(y.as_py(), shingle)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(two) - both) - _NEAR)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
+
+    side = lambda df, name, *columns: df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+    counted = pairs.join(side(points, "a", "counts", "n"), "a").join(side(points, "b", "counts", "n"), "b")
+    left = materialize(counted.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(allowed, "a bigint, b bigint"), "pairs")
+    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("r_id"), F.col("rep.th").alias("r_th"))
+    texts = with_hash(docs.select("doc_id", whole_text().alias("text"))).join(reps, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("__th") == F.col("r_th"))).select("node", "text")
+    texts = materialize(texts.dropDuplicates(["node"]), "texts")
+    both = left.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b").select("a", "b", "text_a", "text_b")
+    found = materialize(both.mapInArrow(compare, "a bigint, b bigint"), "links")
+    discard(left)
+    discard(texts)
+    return found
+
+
+def with_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__th", F.xxhash64(whole_text()))
+
 
-    fps = docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id bigint, fp binary")
-    points = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.coalesce("doc_id", F.xxhash64("fp"))), "points")
-    label = components(materialize(wide_links(points, wide_radius(similarity)), "links"))
+def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each group of near copies: that of the least doc_id, then of the least hash of the text.
+
+    Near copies are texts whose sets of shingles have that Jaccard similarity, and what such links join.
+    Sets that similar share a shingle of their prefixes, so all pairs that can be are found there: first some
+    pairs of each cell, then those with the best linked points and with any others, then all that these didn't join. Each is held against the texts themselves. Rows
+    without doc_id come after the others of their group; of repeated rows one stays.
+    """
+    spark = docs.sparkSession
+    rows = materialize(shingled(docs, shingle, similarity), "shingled")
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("rep")
+    points = materialize(rows.groupBy("node").agg(rep, F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts")), "points")
+    discard(rows)
+    release(spark)
+    cells = materialize(shared_cells(points), "cells")
+    release(spark)
+    found = similar(few_pairs(cells, similarity), points, docs, shingle, similarity)
+    for hubs in (HUBS, 0, None):
+        label = components(found)
+        degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
+        labelled = cells.join(label.join(degree, "node"), "node", "left").select("t", "node", "n", "at", F.coalesce("label", "node").alias("label"), F.coalesce("degree", F.lit(0)).alias("degree"))
+        pairs = all_pairs(labelled, similarity) if hubs is None else chosen_pairs(labelled, similarity, hubs)
+        found = found.union(similar(pairs, points, docs, shingle, similarity))
+        release(spark)
+    label = components(found)
     named = points.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    kept = named.groupBy("label").agg(F.min("doc_id").alias("kept")).select("kept")
-    # Which row of a repeated doc_id: the first by text and other columns, chosen among those rows alone.
-    chosen = docs.join(kept.where("kept is not null").distinct(), F.col("doc_id") == F.col("kept"), "left_semi")
-    return chosen.dropDuplicates(["doc_id"]) if docs.columns else chosen
+    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("k_id"), F.col("rep.th").alias("k_th")), "kept")
+    release(spark)
+    chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("__th") == F.col("k_th")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)

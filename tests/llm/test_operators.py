@@ -219,6 +219,32 @@ def test_near_copies_go(spark):
     assert kept == set(range(0, 40, 2))
 
 
+def test_near_copies_are_exact(spark, empty):
+    """Groups by all pairs: edits spread so that similarities lie on both sides of 0.8."""
+    rng = random.Random(11)
+    texts = []
+    for k in range(40):
+        base = [rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(200)]
+        texts.append(" ".join(base))
+        for edits in (2, 3, 4, 5, 6, 8):
+            w = list(base)
+            for e in range(edits):
+                w[10 + 30 * e if edits < 7 else 10 + 22 * e] = f"edit{k}x{e}x{edits}"
+            texts.append(" ".join(w))
+    texts += ["", "   ", "one two", "One  TWO", "one three"]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)] if w else []) for w in (t.lower().split() for t in texts)]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or both >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    kept = sorted(r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], SCHEMA)).collect())
+    assert kept == sorted(set(label))
+    assert simhash.deduplicate(empty).count() == 0
+
+
 def test_token_ids(docs, empty):
     rows = pfor.read_ids(pfor.write_ids(docs)).collect()
     tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
