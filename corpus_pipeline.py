@@ -14,6 +14,9 @@ from leafmill.llm.shared import discard, documents, labels, materialize, release
 
 #: Near copies in the pipeline: word shingles and least Jaccard similarity.
 SHINGLE, SIMILARITY = 5, 0.8
+#: Repeated passages of more than so many words go; the shortest, of one-byte words, has PASSAGE_BYTES.
+PASSAGE_WORDS = 50
+PASSAGE_BYTES = 2 * PASSAGE_WORDS + 1
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +35,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of repeated strings."""
-    return suffix_dedup.remove(docs)
+    """Documents without the bytes of repeated passages of over PASSAGE_WORDS words, however short their words are."""
+    return suffix_dedup.remove(docs, PASSAGE_BYTES, over_words=PASSAGE_WORDS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -371,13 +371,27 @@ def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """docs with the removed bytes cut out of text; characters that lose some of their bytes go with them. n_chars, if there, follows."""
+def whole_words(data: bytes, a: int, b: int) -> int:
+    """Words of data that lie wholly in bytes a to b."""
+    n = len(data[a:b].split())
+    inside = lambda i: 0 < i < len(data) and not data[i - 1 : i].isspace() and not data[i : i + 1].isspace()
+    return max(0, n - inside(a) - inside(b))
+
+
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, over_words: int = 0) -> DataFrame:
+    """docs with the removed bytes cut out of text; characters that lose some of their bytes go with them. n_chars, if there, follows.
+
+    With over_words, only runs of more than so many whole words go; a run of w words has 2w - 1 bytes at least.
+    """
     from pyspark.sql.types import StringType
 
     @F.udf(StringType(), useArrow=True)
     def cut(text: str, covered: list[int] | None) -> str:
-        return _cut(text, covered)[1].decode("utf-8", "ignore")
+        data, kept, runs = _cut(text, covered)
+        if over_words and runs:
+            long = [x for a, b in zip(runs[::2], runs[1::2], strict=True) if whole_words(data, a, b) > over_words for x in (a, b)]
+            kept = _cut(text, long)[1]
+        return kept.decode("utf-8", "ignore")
 
     joined = _join_docs(_keyed(docs), spans(docs, length, gram), "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut("__text", "spans"))

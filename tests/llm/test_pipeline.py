@@ -20,3 +20,14 @@ def test_clean_documents_stay(spark, sf_dir):
     docs = documents(spark, sf_dir)
     good = docs.join(labels(spark, sf_dir).where("quality = 1"), "doc_id").where("n_chars > 600").select(*docs.columns)
     assert corpus_pipeline.quality_stage(spark, good, sf_dir).count() >= 0.95 * good.count()
+
+
+def test_short_passages_go(spark):
+    """51 words repeat in fewer than 400 bytes and go, even one-letter ones; 50 words stay."""
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    short, letters, few = words("w", 51), " ".join("abcdefghijklmnopqrstuvwxyz"[i * i % 26] for i in range(51)), words("longerword", 50)
+    rows = [(2 * k + d, f"{words(f'x{k}{d}', 60)} {p} {words(f'y{k}{d}', 60)}") for k, p in enumerate((short, letters, few)) for d in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup_stage(spark, docs, "").collect()}
+    assert all(short not in out[i] for i in (0, 1)) and all(letters not in out[i] for i in (2, 3)) and all(few in out[i] for i in (4, 5))
+    assert all(out[i].startswith(t[:150]) and out[i].endswith(t[-150:]) for i, t in rows)
