@@ -245,6 +245,13 @@ def test_near_copies_are_exact(spark, empty):
     assert simhash.deduplicate(empty).count() == 0
 
 
+def test_near_copies_without_or_with_repeated_ids(spark):
+    a, b, c, d = (" ".join(random.choices(WORDS, k=80)) for _ in range(4))
+    rows = [(None, a, 0), (None, a, 0), (None, b, 0), (1, b, 0), (7, c, 0), (7, d, 0), (8, d, 0)]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "text").collect()
+    assert sorted(kept, key=str) == sorted([(None, a), (1, b), (7, c), (7, d)], key=str)
+
+
 def test_token_ids(docs, empty):
     rows = pfor.read_ids(pfor.write_ids(docs)).collect()
     tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
