@@ -83,10 +83,17 @@ def digests(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", whole_text("html").alias("html")).mapInArrow(run, "page_id bigint, digest string, payload_bytes bigint")
 
 
+def base16(name: str) -> Column:
+    """A column of base-32 digests as lower-case hexadecimal digits."""
+    from pyspark.sql.types import StringType
+
+    return F.udf(lambda x: base64.b32decode(x).hex(), StringType(), useArrow=True)(name)
+
+
 def revisits(found: DataFrame, least: int = 0) -> DataFrame:
-    """page_id (of revisits) and the page_id of the response with the same payload."""
+    """page_id and digest (of revisits) and the page_id of the response with the same payload."""
     top = found.where(F.col("payload_bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return found.where(F.col("payload_bytes") >= least).join(top, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "refers_to").distinct()
+    return found.where(F.col("payload_bytes") >= least).join(top, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
 
 
 def write(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -94,10 +101,10 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
     refers = revisits(materialize(digests(pages), "digests"), least)
-    rows = pages.select("page_id", whole_text("url").alias("url"), whole_text("html").alias("html"))
-    refers = refers.withColumn("revisit", F.lit(True)).withColumnRenamed("page_id", "r_id")
-    # One row for each page_id on the right, so no key gathers the rows of a hot payload.
-    joined = rows.join(refers, F.col("page_id").eqNullSafe(F.col("r_id")), "left").select("page_id", "url", "html", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
+    rows = pages.select("page_id", whole_text("url").alias("url"), whole_text("html").alias("html")).withColumn("sha", F.sha1(F.encode("html", "utf-8")))
+    # digest is the same SHA-1 in base 32; each key on the right is one row: page_id keeps a hot payload's rows apart.
+    refers = refers.withColumn("revisit", F.lit(True)).select(F.col("page_id").alias("r_id"), base16("digest").alias("r_sha"), "refers_to", "revisit")
+    joined = rows.join(refers, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha") == F.col("r_sha")), "left").select("page_id", "url", "html", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs

@@ -331,3 +331,12 @@ def test_warc(spark):
     assert warc.read(index, index["page_id"] == 9).count() == 1
     assert warc.write(pages.where("false")).count() == 0
     assert list(warc.coalesced([(0, 10), (12, 5), (100, 5), (200, 90)], gap=5, span=50)) == [[(0, 10), (12, 5)], [(100, 5)], [(200, 90)]]
+
+
+def test_warc_revisits_hold_their_payload(spark):
+    """Rows with one page_id, or none, and different payloads: no payload is lost, no row is written twice."""
+    rows = [(None, "n/a", "A"), (None, "n/b", "B"), (7, "7/a", "A"), (3, "3/c", "C"), (3, "3/a", "A"), (9, "9/c", "C"), (3, "3/d", "D")]
+    got = warc.read(warc.write(spark.createDataFrame(rows, "page_id bigint, url string, html string"))).collect()
+    assert len(got) == len(rows)
+    assert {bytes(r["payload"]) for r in got if r["record_type"] == "response"} == {b"A", b"B", b"C", b"D"}
+    assert {r["url"]: r["refers_to"] for r in got if r["record_type"] == "revisit"} == {"n/a": 7, "3/a": 7, "3/c": 9}
