@@ -1,30 +1,31 @@
-"""SimHash near-duplicates: fingerprints, a segment-popcount grid, and connected classes.
+"""SimHash near-duplicates: fingerprints, a grid over segment popcounts, and connected classes.
 
 fingerprint   A-Z lower-cased, words split at white space, k-word shingles with repeats, XXH64 (seed
               42); a bit is 1 if set in over half the hashes. Fewer than k words: the whole sequence is
               one shingle; none: fingerprint zero, linked like any other.
-embedding     A fingerprint is a point of bit counts of segments. A pair within `radius` bits is within
-              Manhattan distance `radius` for any choice of segments, since a bit changes one count by one.
-grid          With radius + 1 blocks, a pair within `radius` bits agrees wholly on one. For each block,
-              the grid's cell is the block cut into one-bit segments; inside a cell, points are swept in
-              the order of the bit count of the rest, as far as `radius`, then held against the counts of
-              8-bit segments (the Manhattan bound), then compared exactly.
-large cells   A cell of over CELL points is cut again by sub-blocks of its remaining bits, by the same
-              argument, so that a group of many near copies isn't compared pair by pair.
+embedding     A fingerprint becomes the bit counts of its 32 segments of SEGMENT bits. Changing one bit changes
+              one count by one, so the Manhattan distance of counts is a lower bound of the differing bits.
+              Counts are kept in unary (the bits of each segment sorted): that distance is then the number of
+              differing bits of two such words.
+grid          The segments are dealt into radius // 2 + 1 groups, so a pair within `radius` is within 1 in the
+              counts of some group. A cell is one vector of a group's counts. Range join: each point is at
+              home in its cell of every group and visits the cells where one of the counts is larger by one;
+              homes of a cell are held against its homes and visitors, first by the Manhattan distance of all
+              counts, then bit by bit.
+hot cells     A cell with over CELL points is cut in the plan, before anything meets in a task: its points go on by
+              the counts of radius + 1 parts of the other groups' segments, of which a pair within `radius` shares one,
+              and again, LEVELS times at most. What still is in one cell then has nearly all counts in common.
 classes       Each task gives a spanning forest of its links, never all pairs; labels spread over these
               edges between distinct fingerprints with pointer jumping, each round written to the shared
               folder.
 
-deduplicate() doesn't use fingerprints: it joins the shingle sets themselves, see there.
-
 Null texts are empty. Repeated rows share a fingerprint, so they are one point. An empty table gives
 no rows. Rows with null doc_id take part; component_id is the least doc_id that isn't null, else null.
-Other columns are ignored by classes(), kept by deduplicate().
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,35 +33,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import discard, materialize, release, whole_text
+from leafmill.llm.shared import discard, materialize, whole_text
 
 SHINGLE, RADIUS = 3, 3
-#: Points of a cell that are swept without cutting it further.
-CELL = 1024
-#: Bits that a cut of a cell leaves to its sub-blocks at least.
-LEAST_BITS = 3
+#: Bits of a segment. Wider ones make cells coarser (eight of 8 bits tell 2**20 cells apart, 32 of 2 bits 2**48).
+SEGMENT = 2
+#: Points of a cell that meet in one task without further cuts, and cuts at most.
+CELL, LEVELS = 1024, 3
+_LOW = np.uint64(0x5555555555555555)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def hashes_of(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of the shingles of a text, repeats included."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) < shingle:
-        hashes = [xxh64_intdigest(joined, 42)]
-    else:
-        ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
-        starts = [0, *[e + 1 for e in ends[:-1]]]
-        hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :])]  # noqa: B905
+        return np.array([xxh64_intdigest(joined, 42)], np.uint64)
+    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
+    return np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip([0, *[e + 1 for e in ends[:-1]]], ends[shingle - 1 :])], np.uint64)  # noqa: B905
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
-        part = np.array(hashes[i : i + (1 << 16)], "<u8")
+        part = hashes[i : i + (1 << 16)].astype("<u8")
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return fingerprint_of(hashes_of(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of every row."""
 
@@ -72,10 +80,72 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def blocks(radius: int, bits: int = 64) -> list[tuple[int, int]]:
-    """(first bit, bits) of radius + 1 blocks."""
-    edges = [bits * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+def embed(fps: np.ndarray) -> np.ndarray:
+    """Counts of the 2-bit segments of unsigned fingerprints in unary: 00, 01 or 11. differing() of two gives their Manhattan distance."""
+    one, two = fps & _LOW, (fps >> np.uint64(1)) & _LOW
+    return (one | two) | (one & two) << np.uint64(1)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b)
+
+
+class Grid:
+    """The groups of segments for a radius: cells are `group << 56 | unary counts of the group`."""
+
+    def __init__(self, radius: int):
+        self.radius = radius
+        n = max(2, radius // 2 + 1)
+        edges = [SEGMENT * (64 // SEGMENT * i // n) for i in range(n + 1)]
+        self.groups = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+    def cell(self, counts: np.ndarray, group: int) -> np.ndarray:
+        first, bits = self.groups[group]
+        return ((counts >> np.uint64(first)) & np.uint64((1 << bits) - 1)) | np.uint64(group << 56)
+
+    def homes(self, fps: np.ndarray) -> np.ndarray:
+        """(groups, points): the cell of each point in each group."""
+        counts = embed(fps)
+        return np.stack([self.cell(counts, g) for g in range(len(self.groups))])
+
+    def above(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which, cell): the cells with one count larger by one, for each of `cells`."""
+        which, found = [], []
+        group = cells >> np.uint64(56)
+        for g, (_, bits) in enumerate(self.groups):
+            own = np.flatnonzero(group == np.uint64(g))
+            for k in range(0, bits, SEGMENT):
+                count = cells[own] >> np.uint64(k) & np.uint64(3)
+                able = own[count != 3]
+                found.append(cells[able] | np.uint64(1) << (np.uint64(k) + (count[count != 3] & np.uint64(1))))
+                which.append(able)
+        return np.concatenate(which), np.concatenate(found)
+
+    def at_home(self, cells: np.ndarray, fps: np.ndarray) -> np.ndarray:
+        homes = self.homes(fps)
+        return homes[(cells >> np.uint64(56)).astype(np.int64), np.arange(len(fps))] == cells
+
+    def free(self, group: int) -> int:
+        """The bits of the other groups."""
+        first, bits = self.groups[group]
+        return ((1 << 64) - 1) ^ (((1 << bits) - 1) << first)
+
+    def parts(self, free: int) -> list[int]:
+        """Masks of radius + 1 parts of the segments in `free`; none if there are too few."""
+        segments = [k for k in range(0, 64, SEGMENT) if free >> k & 1]
+        n = self.radius + 1
+        if len(segments) < 2 * n:
+            return []
+        edges = [len(segments) * i // n for i in range(n + 1)]
+        return [sum(3 << k for k in segments[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64), pa.int64())
+
+
+def _unsigned(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
 class Forest:
@@ -103,89 +173,121 @@ class Forest:
         return np.concatenate(self.links) if self.links else np.zeros((0, 2), np.int64)
 
 
-def segment_counts(fps: np.ndarray) -> np.ndarray:
-    """Bits of each of the 8 segments of 8 bits."""
-    return np.bitwise_count(fps.view(np.uint8).reshape(-1, 8)).astype(np.int8)
-
-
-def sweep(cell: np.ndarray, fps: np.ndarray, radius: int, forest: Forest, at: np.ndarray) -> None:
-    """Join in `forest` all points at[i], at[j] of one cell that differ in `radius` bits or fewer."""
-    total = np.bitwise_count(fps).astype(np.int16)
-    order = np.lexsort((total, cell))
-    cell, fps, total, at = cell[order], fps[order], total[order], at[order]
-    counts = segment_counts(fps)
-    live = np.arange(len(fps))
-    lag = 1
-    while len(live):
-        live = live[live + lag < len(fps)]
-        other = live + lag
-        near = (cell[live] == cell[other]) & (total[other] - total[live] <= radius)
-        live = live[near]
-        other = live + lag
+def join_cells(cell: np.ndarray, home: np.ndarray, fps: np.ndarray, radius: int) -> np.ndarray:
+    """(a, b): places of a spanning forest of the links between the homes of a cell and its other points. cell: numbers that rise.
+
+    Points of a cell are taken at growing distances in the list; cells whose points are all linked drop out.
+    """
+    order = np.lexsort((~home, cell))
+    cell, home, fps = cell[order], home[order], fps[order]
+    counts, forest = embed(fps), Forest(len(fps))
+    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    ends = np.append(starts[1:], len(cell))
+    which = np.repeat(np.arange(len(starts)), ends - starts)
+    live, lag = np.flatnonzero(home), 1
+    while len(live := live[live + lag < ends[which[live]]]):
         for s in range(0, len(live), 1 << 18):
-            i, j = live[s : s + (1 << 18)], other[s : s + (1 << 18)]
-            bound = np.abs(counts[i] - counts[j]).sum(axis=1) <= radius
-            i, j = i[bound], j[bound]
-            exact = np.bitwise_count(fps[i] ^ fps[j]) <= radius
-            forest.add(at[i[exact]], at[j[exact]])
+            i = live[s : s + (1 << 18)]
+            i = i[differing(counts[i], counts[i + lag]) <= radius]
+            i = i[differing(fps[i], fps[i + lag]) <= radius]
+            forest.add(i, i + lag)
         lag += 1
+        if lag >= 32 and lag & (lag - 1) == 0:
+            open_ = np.minimum.reduceat(forest.root, starts) != np.maximum.reduceat(forest.root, starts)
+            live = live[open_[which[live]]]
+    return order[forest.all()]
+
+
+def hot_cells(points: DataFrame, grid: Grid) -> DataFrame:
+    """`cell` of the cells that over CELL points are at home in or visit.
+
+    Counted from the homes: a cell has so many only if one of the at most 33 cells whose points come
+    here has over CELL / 34 homes, so only such cells pass their numbers on.
+    """
 
+    def homes(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            yield pa.RecordBatch.from_arrays([_signed(np.ascontiguousarray(grid.homes(_unsigned(batch.column(0)))).ravel())], ["cell"])
+
+    def spread(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            cells, n = _unsigned(batch.column(0)), batch.column(1).to_numpy()
+            which, above = grid.above(cells)
+            yield pa.RecordBatch.from_arrays([_signed(np.concatenate([cells, above])), pa.array(np.concatenate([n, n[which]]))], ["cell", "n"])
 
-def link_cells(cell: np.ndarray, fps: np.ndarray, radius: int, forest: Forest, at: np.ndarray, free: list[tuple[int, int]]) -> None:
-    """As sweep(), with cells of over CELL points cut by sub-blocks of the free bits (runs of (first, bits))."""
-    _, which, size = np.unique(cell, return_inverse=True, return_counts=True)
-    large = size[which] > CELL
-    width = sum(n for _, n in free) // (radius + 1)
-    if width < LEAST_BITS:
-        large[:] = False
-    if (~large).any():
-        sweep(cell[~large], fps[~large], radius, forest, at[~large])
-    if not large.any():
-        return
-    which, fps, at = which[large].astype(np.uint64), fps[large], at[large]
-    bits = [b for first, n in free for b in range(first, first + n)]
-    edges = [len(bits) * i // (radius + 1) for i in range(radius + 2)]
-    for a, b in zip(edges, edges[1:], strict=False):
-        own, rest = bits[a:b], bits[:a] + bits[b:]
-        key = np.zeros(len(fps), np.uint64)
-        for k in own:
-            key = (key << np.uint64(1)) | ((fps >> np.uint64(k)) & np.uint64(1))
-        link_cells((which << np.uint64(32)) | key, fps, radius, forest, at, [(k, 1) for k in rest])
+    counted = points.select("fp").mapInArrow(homes, "cell bigint").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL // 34)
+    return counted.mapInArrow(spread, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > CELL).select("cell")
 
 
 def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): a spanning forest, for each task, of the distinct fingerprints `fp` within `radius` bits."""
-    cut = blocks(radius)
-    cells = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", first).bitwiseAND((1 << n) - 1).alias("bits")) for i, (first, n) in enumerate(cut)])
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-
-        def flush(upto: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-            block, bits, fps = upto
-            forest = Forest(len(fps))
-            for i, (first, n) in enumerate(cut):
-                own = np.flatnonzero(block == i)
-                free = [r for r in ((0, first), (first + n, 64 - first - n)) if r[1]]
-                if len(own) > 1:
-                    link_cells(bits[own].astype(np.uint64), fps[own].view(np.uint64), radius, forest, own, free)
-            found = forest.all()
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(fps[found[:, 0]]), pa.array(fps[found[:, 1]])], ["a", "b"])
+    grid = Grid(radius)
+    schema = "cell bigint, sub bigint, free bigint, fp bigint"
+    names = ["cell", "sub", "free", "fp"]
+    mix = np.uint64(0x9E3779B97F4A7C15)
 
+    def place(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = np.array([grid.free(g) for g in range(len(grid.groups))], np.uint64)
         for batch in rows:
-            held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
-            if sum(len(h[0]) for h in held) >= 200_000:  # whole cells go on; the last may be cut, so it stays
-                block, bits, fps = (np.concatenate(c) for c in zip(*held, strict=True))
-                done = int(np.flatnonzero((block != block[-1]) | (bits != bits[-1]))[-1] + 1) if (block[0], bits[0]) != (block[-1], bits[-1]) else 0
-                if done:
-                    yield from flush((block[:done], bits[:done], fps[:done]))
-                held = [(block[done:], bits[done:], fps[done:])]
-        if held:
-            yield from flush(tuple(np.concatenate(c) for c in zip(*held, strict=True)))
+            for a in range(0, len(batch), 10_000):
+                fps = _unsigned(batch.column(0).slice(a, 10_000))
+                homes = grid.homes(fps).ravel()
+                own = np.tile(fps, len(grid.groups))
+                which, above = grid.above(homes)
+                cells = np.concatenate([homes, above])
+                yield pa.RecordBatch.from_arrays([_signed(cells), pa.array(np.zeros(len(cells), np.int64)), _signed(free[(cells >> np.uint64(56)).astype(np.int64)]), _signed(np.concatenate([own, own[which]]))], names)
+
+    def refine(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            cell, sub, free, fps = (_unsigned(c) for c in batch.columns)
+            counts = embed(fps)
+            for mask in np.unique(free).tolist():
+                own = np.flatnonzero(free == np.uint64(mask))
+                for k, part in enumerate(grid.parts(mask) or [0]):  # too few segments are left: the cell stays whole
+                    key = ((counts[own] & np.uint64(part)) * mix ^ sub[own] ^ np.uint64(k + 1)) * mix
+                    key ^= key >> np.uint64(31)
+                    yield pa.RecordBatch.from_arrays([_signed(cell[own]), _signed(key | np.uint64(1)), _signed(np.full(len(own), mask & ~part, np.uint64)), _signed(fps[own])], names)
 
-    placed = points.select("fp", F.explode(cells).alias("c")).select(F.col("c.block").alias("block"), F.col("c.bits").alias("bits"), "fp")
-    return placed.repartition("block", "bits").sortWithinPartitions("block", "bits").mapInArrow(run, "a bigint, b bigint")
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, sub, fp in whole_cells(rows, 2, 200_000):
+            fps = fp.view(np.uint64)
+            home = grid.at_home(cell.view(np.uint64), fps)
+            at = np.cumsum(np.append(0, (cell[1:] != cell[:-1]) | (sub[1:] != sub[:-1])))
+            found = join_cells(at, home, fps, radius)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(fp[found[:, 0]]), pa.array(fp[found[:, 1]])], ["a", "b"])
+
+    placed = points.select("fp").mapInArrow(place, schema)
+    hot, keys, done = materialize(hot_cells(points, grid), "hot-cells"), ["cell"], []
+    for level in range(LEVELS):
+        if not hot.limit(1).count():
+            break
+        done.append(placed.join(hot, keys, "left_anti").select(names))
+        placed = materialize(placed.join(hot, keys, "left_semi").select(names).mapInArrow(refine, schema), "cells")
+        keys = ["cell", "sub"]
+        if level + 1 < LEVELS:
+            hot = materialize(placed.groupBy(keys).agg(F.count("*").alias("n")).where(F.col("n") > CELL).select(keys), "hot-cells")
+    for part in done:
+        placed = placed.unionByName(part)
+    return placed.select("cell", "sub", "fp").repartition("cell", "sub").sortWithinPartitions("cell", "sub").mapInArrow(run, "a bigint, b bigint")
+
+
+def whole_cells(rows: Iterable[pa.RecordBatch], keys: int = 1, most: int = 100_000) -> Iterator[list[np.ndarray]]:
+    """The columns of rows sorted by the first `keys`, about `most` rows at a time, with no value of these in two parts."""
+    held: list[list[np.ndarray]] = []
+    for batch in rows:
+        if not len(batch):
+            continue
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        if sum(len(h[0]) for h in held) >= most:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            other = np.flatnonzero(np.any([c != c[-1] for c in columns[:keys]], axis=0))
+            done = int(other[-1]) + 1 if len(other) else 0
+            if done:
+                yield [c[:done] for c in columns]
+            held = [[c[done:] for c in columns]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -214,237 +316,3 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of = materialize(named.join(least, "label").select("fp", "component_id"), "classes")
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-#: Near copies by similarity: counts of a text's shingles by hash, cells that always take part in the first round, and one in so many of the others.
-COUNTS, SMALL_CELL, ROUND_ONE = 128, 32, 4
-#: Points of a cell that others are held against in the second round, and with how many of them each point is paired.
-HUBS, HUBS_TRIED = 8, 3
-#: One text in SAMPLED is looked at for common shingles; those found in COMMON of them are common, MOST_COMMON at most.
-SAMPLED, COMMON, MOST_COMMON = 16, 4, 100_000
-_NEAR = 1e-9
-
-
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Rising 64-bit hashes of the different shingles of a text."""
-    from xxhash import xxh64_intdigest
-
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    if len(words) < shingle:
-        return np.array([xxh64_intdigest(joined, 42)], np.uint64)
-    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
-    return np.unique(np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip([0, *[e + 1 for e in ends[:-1]]], ends[shingle - 1 :])], np.uint64))  # noqa: B905
-
-
-def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Rising hashes of shingles that many different texts have; only the order in prefixes depends on them, never the result."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for t in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view(np.int64))], ["t"])
-
-    some = docs.select(whole_text().alias("text")).where(F.expr(f"pmod(xxhash64(text), {SAMPLED}) = 0")).distinct()
-    found = some.mapInArrow(run, "t bigint").groupBy("t").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "t").limit(MOST_COMMON)
-    return np.sort(np.array([r["t"] for r in found.collect()], np.int64).view(np.uint64))
-
-
-def shingled(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, th (the text's hash), node (the hash of its shingle set), n (its size), prefix and counts of every row.
-
-    prefix: the first shingles of the set, common ones last; two sets of that similarity share one of
-    them. counts: shingles by their hash modulo COUNTS, 255 at most.
-    """
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle))
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
-
-        often = common.value
-        for batch in rows:
-            nodes, sizes, prefixes, counts = [], [], [], []
-            for t in batch.column(2):
-                found = shingle_set(t.as_py(), shingle)
-                n = len(found)
-                late = np.isin(found, often)
-                order = np.concatenate([found[~late], found[late]])
-                nodes.append(xxh3_64_intdigest(found.tobytes()) - (1 << 63))
-                sizes.append(n)
-                prefixes.append(order[: n - math.ceil(similarity * n - _NEAR) + 1 if n else 0].view(np.int64))
-                counts.append(np.minimum(np.bincount((found % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS), 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["doc_id", "th", "node", "n", "prefix", "counts"])
-
-    texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return texts.mapInArrow(run, "doc_id bigint, th bigint, node bigint, n int, prefix array<bigint>, counts binary")
-
-
-def whole_cells(rows: Iterable[pa.RecordBatch], most: int = 100_000) -> Iterator[list[np.ndarray]]:
-    """The columns of rows sorted by the first one, about `most` rows at a time, with no value of it in two parts."""
-    held: list[list[np.ndarray]] = []
-    for batch in rows:
-        if not len(batch):
-            continue
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        if sum(len(h[0]) for h in held) >= most:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            other = np.flatnonzero(columns[0] != columns[0][-1])
-            done = int(other[-1]) + 1 if len(other) else 0
-            if done:
-                yield [c[:done] for c in columns]
-            held = [[c[done:] for c in columns]]
-    if held:
-        yield [np.concatenate(c) for c in zip(*held, strict=True)]
-
-
-def shared_cells(points: DataFrame) -> DataFrame:
-    """(t, node, n, at): the prefix shingles that several points have; at: the place in the prefix."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in whole_cells(rows):
-            t = columns[0]
-            same = t[1:] == t[:-1]
-            keep = np.append(same, False) | np.append(False, same)
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["t", "node", "n", "at"])
-
-    placed = points.select("node", "n", F.posexplode("prefix").alias("at", "t")).select("t", "node", "n", "at")
-    return placed.repartition("t").sortWithinPartitions("t").mapInArrow(run, "t bigint, node bigint, n int, at int")
-
-
-def possible(n: np.ndarray, at: np.ndarray, m: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether sets of n and m shingles whose first common one is at these places can be that similar."""
-    least = np.ceil(similarity / (1 + similarity) * (n + m) - _NEAR)
-    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - _NEAR) & (1 + np.minimum(n - at - 1, m - place - 1) >= least)
-
-
-def few_pairs(cells: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): a chain through each small cell and some of the others, in an order of the cell's own. Any pairs would do here."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, node, n, at in whole_cells(rows):
-            mixed = (node ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            order = np.lexsort((mixed, t))
-            t, node, n, at = t[order], node[order], n[order], at[order]
-            _, which, size = np.unique(t, return_inverse=True, return_counts=True)
-            i = np.flatnonzero((t[1:] == t[:-1]) & ((size[which[1:]] <= SMALL_CELL) | ((t[1:] >> 7) % ROUND_ONE == 0)))
-            i = i[possible(n[i], at[i], n[i + 1], at[i + 1], similarity)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[i + 1])), pa.array(np.maximum(node[i], node[i + 1]))], ["a", "b"])
-
-    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def chosen_pairs(cells: DataFrame, similarity: float, hubs: int) -> DataFrame:
-    """(a, b): pairs of each point and a few of its cell, where they aren't in one class yet. Any pairs would do here.
-
-    hubs: so many points with most links (degree) are paired with the others; 0: any points of the cell.
-    """
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, node, n, at, label, degree in whole_cells(rows):
-            order = np.lexsort((node, -degree, t))
-            t, node, n, at, label = t[order], node[order], n[order], at[order], label[order]
-            _, first, which, size = np.unique(t, return_index=True, return_inverse=True, return_counts=True)
-            mixed = ((node if hubs else node ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-            for k in range(HUBS_TRIED if hubs else 1):
-                other = first[which] + ((mixed + np.uint64(k)) % (np.minimum(size, hubs) if hubs else size)[which].astype(np.uint64)).astype(np.int64)
-                i = np.flatnonzero((label != label[other]) & possible(n, at, n[other], at[other], similarity))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[other[i]])), pa.array(np.maximum(node[i], node[other[i]]))], ["a", "b"])
-
-    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of a cell that can be similar and aren't in one class (label) yet."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, node, n, at, label, _ in whole_cells(rows):
-            order = np.lexsort((n, t))
-            t, node, n, at, label = t[order], node[order], n[order], at[order], label[order]
-            edges = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
-            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if (label[x:y] == label[x]).all():
-                    continue
-                for i in range(x, y - 1):
-                    j = np.flatnonzero((label[i + 1 : y] != label[i]) & possible(n[i], at[i], n[i + 1 : y], at[i + 1 : y], similarity)) + i + 1
-                    if len(j):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"])
-
-    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def similar(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have that Jaccard similarity: those that their counts allow are compared whole."""
-
-    def allowed(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            if not len(batch):
-                continue
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTS).astype(np.int16) for i in (2, 3))
-            total = batch.column(4).to_numpy()
-            # The sets differ in as many shingles as their counts at least.
-            keep = np.abs(one - two).sum(axis=1) <= (1 - similarity) / (1 + similarity) * total + _NEAR
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
-
-    def compare(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, one = None, np.zeros(0, np.uint64)
-        for batch in rows:
-            keep = []
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if a != last:
-                    last, one = a, shingle_set(x.as_py(), shingle)
-                two = shingle_set(y.as_py(), shingle)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(both >= similarity * (len(one) + len(two) - both) - _NEAR)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
-
-    side = lambda df, name, *columns: df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
-    counted = pairs.join(side(points, "a", "counts", "n"), "a").join(side(points, "b", "counts", "n"), "b")
-    left = materialize(counted.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(allowed, "a bigint, b bigint"), "pairs")
-    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("r_id"), F.col("rep.th").alias("r_th"))
-    texts = with_hash(docs.select("doc_id", whole_text().alias("text"))).join(reps, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("__th") == F.col("r_th"))).select("node", "text")
-    texts = materialize(texts.dropDuplicates(["node"]), "texts")
-    both = left.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b").select("a", "b", "text_a", "text_b")
-    found = materialize(both.mapInArrow(compare, "a bigint, b bigint"), "links")
-    discard(left)
-    discard(texts)
-    return found
-
-
-def with_hash(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__th", F.xxhash64(whole_text()))
-
-
-def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs with one row of each group of near copies: that of the least doc_id, then of the least hash of the text.
-
-    Near copies are texts whose sets of shingles have that Jaccard similarity, and what such links join.
-    Sets that similar share a shingle of their prefixes, so all pairs that can be are found there: first some
-    pairs of each cell, then those with the best linked points and with any others, then all that these didn't join. Each is held against the texts themselves. Rows
-    without doc_id come after the others of their group; of repeated rows one stays.
-    """
-    spark = docs.sparkSession
-    rows = materialize(shingled(docs, shingle, similarity), "shingled")
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("rep")
-    points = materialize(rows.groupBy("node").agg(rep, F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("counts").alias("counts")), "points")
-    discard(rows)
-    release(spark)
-    cells = materialize(shared_cells(points), "cells")
-    release(spark)
-    found = similar(few_pairs(cells, similarity), points, docs, shingle, similarity)
-    for hubs in (HUBS, 0, None):
-        label = components(found)
-        degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count("*").alias("degree"))
-        labelled = cells.join(label.join(degree, "node"), "node", "left").select("t", "node", "n", "at", F.coalesce("label", "node").alias("label"), F.coalesce("degree", F.lit(0)).alias("degree"))
-        pairs = all_pairs(labelled, similarity) if hubs is None else chosen_pairs(labelled, similarity, hubs)
-        found = found.union(similar(pairs, points, docs, shingle, similarity))
-        release(spark)
-    label = components(found)
-    named = points.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("k_id"), F.col("rep.th").alias("k_th")), "kept")
-    release(spark)
-    chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("__th") == F.col("k_th")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)

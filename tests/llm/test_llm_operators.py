@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from leafmill.llm import bpe, media, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp
+from leafmill.llm import bpe, media, near_copies, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp
 from leafmill.llm.tokenizing import Encoder, json_tokenizer, safe_pieces, vocabulary
 
 random.seed(3)
@@ -192,20 +192,31 @@ def test_simhash(docs, empty):
     assert simhash.classes(empty).count() == 0
 
 
-def test_simhash_large_cells(monkeypatch):
-    monkeypatch.setattr(simhash, "CELL", 8)
+def test_embedding_is_the_manhattan_distance_of_segment_counts():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 1 << 63, (2, 500), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, (2, 500), dtype=np.uint64)
+    counts = lambda x: np.stack([np.bitwise_count(x >> np.uint64(k) & np.uint64(3)) for k in range(0, 64, 2)]).astype(int)
+    assert np.array_equal(np.abs(counts(a) - counts(b)).sum(axis=0), simhash.differing(simhash.embed(a), simhash.embed(b)))
+    assert (simhash.differing(simhash.embed(a), simhash.embed(b)) <= simhash.differing(a, b)).all()
+
+
+@pytest.mark.parametrize(("cell", "radius"), [(1024, 3), (8, 3), (2, 3), (8, 2), (8, 1), (4, 5)])
+def test_simhash_links(spark, monkeypatch, cell, radius):
+    """Classes of the linked points are those of all pairs, whether cells are cut or not."""
+    monkeypatch.setattr(simhash, "CELL", cell)
     rng = np.random.default_rng(5)
-    fps = np.unique(np.concatenate([np.uint64(1 << 40) ^ (np.uint64(1) << rng.integers(0, 60, 300, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 60, 300, dtype=np.uint64)), rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
-    forest = simhash.Forest(len(fps))
-    for i, (first, n) in enumerate(simhash.blocks(3)):
-        key = (fps >> np.uint64(first)) & np.uint64((1 << n) - 1)
-        simhash.link_cells(key, fps, 3, forest, np.arange(len(fps)), [r for r in ((0, first), (first + n, 64 - first - n)) if r[1]])
-    slow = simhash.Forest(len(fps))
+    one = lambda n: np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)
+    near = np.uint64(0x0F0F_1234_5678_9ABC) ^ one(300) ^ one(300) ^ one(300)
+    fps = np.unique(np.concatenate([near, near[:40] ^ np.uint64(0xFFFF << 20), rng.integers(0, 1 << 63, 100, dtype=np.uint64), np.array([0, 1, (1 << 64) - 1], np.uint64)]))
+    found = simhash.links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint"), radius).collect()
+    place = {int(x): i for i, x in enumerate(fps.view(np.int64))}
+    forest, slow = simhash.Forest(len(fps)), simhash.Forest(len(fps))
+    forest.add(np.array([place[r["a"]] for r in found], np.int64), np.array([place[r["b"]] for r in found], np.int64))
+    assert all(int(fps[place[r["a"]]] ^ fps[place[r["b"]]]).bit_count() <= radius for r in found)
     for i in range(len(fps)):
-        near = np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3)
-        slow.add(np.full(len(near), i), near)
-    same = lambda f: [f.root[i] == f.root[j] for i in range(len(fps)) for j in range(0, i, 7)]
-    assert same(forest) == same(slow)
+        close = np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= radius)
+        slow.add(np.full(len(close), i), close)
+    assert np.array_equal(forest.root, slow.root)
 
 
 def test_near_copies_go(spark):
@@ -215,7 +226,7 @@ def test_near_copies_go(spark):
         w = t.split()
         w[40 + i] = "changed"
         rows += [(2 * i, t, 0), (2 * i + 1, " ".join(w), 0)]
-    kept = {r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame([*rows, (0, texts[0], 0)], SCHEMA)).collect()}
+    kept = {r["doc_id"] for r in near_copies.deduplicate(spark.createDataFrame([*rows, (0, texts[0], 0)], SCHEMA)).collect()}
     assert kept == set(range(0, 40, 2))
 
 
@@ -240,15 +251,15 @@ def test_near_copies_are_exact(spark, empty):
             if sets[i] == sets[j] or both >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
                 a, b = label[i], label[j]
                 label = [min(a, b) if x in (a, b) else x for x in label]
-    kept = sorted(r["doc_id"] for r in simhash.deduplicate(spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], SCHEMA)).collect())
+    kept = sorted(r["doc_id"] for r in near_copies.deduplicate(spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], SCHEMA)).collect())
     assert kept == sorted(set(label))
-    assert simhash.deduplicate(empty).count() == 0
+    assert near_copies.deduplicate(empty).count() == 0
 
 
 def test_near_copies_without_or_with_repeated_ids(spark):
     a, b, c, d = (" ".join(random.choices(WORDS, k=80)) for _ in range(4))
     rows = [(None, a, 0), (None, a, 0), (None, b, 0), (1, b, 0), (7, c, 0), (7, d, 0), (8, d, 0)]
-    kept = simhash.deduplicate(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "text").collect()
+    kept = near_copies.deduplicate(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "text").collect()
     assert sorted(kept, key=str) == sorted([(None, a), (1, b), (7, c), (7, d)], key=str)
 
 
