@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import packing, quality, simhash, suffix_dedup, toxicity
+from leafmill.llm import near_copies, packing, quality, suffix_dedup, toxicity
 from leafmill.llm.shared import discard, documents, labels, materialize, release
 
 #: Near copies in the pipeline: word shingles and least Jaccard similarity.
@@ -31,7 +31,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near copies."""
-    return simhash.deduplicate(docs, shingle=SHINGLE, similarity=SIMILARITY)
+    return near_copies.deduplicate(docs, SHINGLE, SIMILARITY)
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
