@@ -26,9 +26,9 @@ from leafmill.llm.shared import discard, materialize, release, whole_text
 from leafmill.llm.simhash import components, hashes_of, whole_cells
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Counts of a text's shingles by hash, cells that always take part in the first round, and one in so many of the others.
-COUNTS, SMALL_CELL, ROUND_ONE = 128, 32, 4
-#: Points of a cell that others are held against in the second round, and with how many of them each point is paired.
+#: Counts of a text's shingles by hash.
+COUNTS = 512
+#: Points of a cell that others are held against in the first round after the grid, and with how many of them each point is paired.
 HUBS, HUBS_TRIED = 8, 3
 #: One text in SAMPLED is looked at for common shingles; those found in COMMON of them are common, MOST_COMMON at most.
 SAMPLED, COMMON, MOST_COMMON = 16, 4, 100_000
@@ -72,7 +72,7 @@ def shingled(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
                 fps.append(simhash.fingerprint_of(hashes))
                 found = np.unique(hashes)
                 n = len(found)
-                late = np.isin(found, often)
+                late = often[np.minimum(np.searchsorted(often, found), len(often) - 1)] == found if len(often) else np.zeros(n, bool)
                 order = np.concatenate([found[~late], found[late]])
                 nodes.append(xxh3_64_intdigest(found.tobytes()) - (1 << 63))
                 sizes.append(n)
@@ -104,23 +104,6 @@ def possible(n: np.ndarray, at: np.ndarray, m: np.ndarray, place: np.ndarray, si
     return (np.minimum(n, m) >= similarity * np.maximum(n, m) - _NEAR) & (1 + np.minimum(n - at - 1, m - place - 1) >= least)
 
 
-def few_pairs(cells: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): a chain through each small cell and some of the others, in an order of the cell's own. Any pairs would do here."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, node, n, at in whole_cells(rows):
-            mixed = (node ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            order = np.lexsort((mixed, t))
-            t, node, n, at = t[order], node[order], n[order], at[order]
-            _, which, size = np.unique(t, return_inverse=True, return_counts=True)
-            i = np.flatnonzero((t[1:] == t[:-1]) & ((size[which[1:]] <= SMALL_CELL) | ((t[1:] >> 7) % ROUND_ONE == 0)))
-            i = i[possible(n[i], at[i], n[i + 1], at[i + 1], similarity)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[i + 1])), pa.array(np.maximum(node[i], node[i + 1]))], ["a", "b"])
-
-    return cells.repartition("t").sortWithinPartitions("t").mapInArrow(run, "a bigint, b bigint").distinct()
-
-
 def chosen_pairs(cells: DataFrame, similarity: float, hubs: int) -> DataFrame:
     """(a, b): pairs of each point and a few of its cell, where they aren't in one class yet. Any pairs would do here.
 
@@ -216,8 +199,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     """docs with one row of each class: that of the least doc_id, then of the least hash of the text.
 
     Links are pairs of texts whose sets of shingles have that Jaccard similarity. The first round takes the pairs of the
-    SimHash grid and some of each prefix cell; the next ones the best linked points and any others of a cell, then all that
-    these didn't join and that can be similar.
+    SimHash grid; the next ones pair the points of a prefix cell with the best linked ones and with any others of it, the
+    last takes all pairs that can be similar and that these didn't join.
     """
     spark = docs.sparkSession
     rows = materialize(shingled(docs, shingle, similarity), "shingled")
@@ -227,7 +210,7 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
     release(spark)
     cells = materialize(shared_cells(points), "cells")
     release(spark)
-    found = similar(grid_pairs(points).union(few_pairs(cells, similarity)).distinct(), points, docs, shingle, similarity)
+    found = similar(grid_pairs(points).distinct(), points, docs, shingle, similarity)
     for hubs in (HUBS, 0, None):
         label = components(found)
         degree = found.select(F.col("a").alias("node")).union(found.select("b")).groupBy("node").agg(F.count("*").alias("degree"))

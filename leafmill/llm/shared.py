@@ -43,13 +43,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, f)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

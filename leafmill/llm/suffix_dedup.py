@@ -4,19 +4,19 @@ Every byte covered by a `length`-byte string that also starts anywhere else goes
 
 anchors   In each window of `length` bytes, the `gram`-byte string with the least hash (leftmost of
           equals) is its anchor: equal windows have equal anchors at equal offsets. A run of windows with
-          one anchor is a segment; one row per segment has the anchor's hash and a 128-bit hash of the
-          segment. Equal segments are counted before anything is shuffled by anchor, so thousands of
-          copies become one row with a count.
+          one anchor is a segment; anchors are counted alone first, and only segments whose anchor is found twice
+          go on: one row each with the anchor's hash and a 128-bit hash of the segment. Equal segments are
+          counted before they meet, so thousands of copies become one row with a count.
 columns   Only anchors found with two or more different segments need bytes. One copy of each such
           segment is a document of the construction, aligned at its anchor. Columns are read from right to
           left; each round inserts one symbol of every document, sorts the documents by (symbol, order so
           far) and updates the common prefixes of neighbours. The symbols a round sorts are the collection's
           Burrows-Wheeler transform for that column. Suffixes of different columns aren't merged, as equal
           windows always lie in the same column: that keeps each round linear in the number of documents,
-          where the unaligned form rewrites all columns inserted so far. Columns lie in sequential files:
-          a group larger than MEMORY_ROWS is kept and read column by column on disk.
+          where the unaligned form rewrites all columns inserted so far. The columns of a construction are a
+          file in the shared folder, written once in the order of the rounds and read on by one column in each.
 hot       An anchor with over HOT different segments (a passage in many contexts) isn't brought to one
-          task: see hot_covers().
+          task but cut by what its segments have around the anchor: see hot_covers().
 spans   A prefix of `length` or more bytes common to neighbours marks both windows; covers go back to all
           occurrences of a segment, and the union of a document's covers is removed.
 
@@ -29,7 +29,7 @@ by doc_id (which may be null) and the text's hash. Other columns stay in remove(
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import discard, materialize, release, whole_text
+from leafmill.llm.shared import delete, discard, materialize, new_path, release, whole_text
 
 LENGTH, GRAM = 400, 32
 #: Windows of a text that are looked at together.
 SPAN = 1 << 18
-#: Segments whose columns are held in memory; beyond that they are in files.
-MEMORY_ROWS = 16_384
+#: Segments of one construction; the last anchor's may add HOT.
+ROWS = 2048
 #: Different segments of an anchor that meet in one task; those of anchors with more are cut into slices of SLICE windows.
 HOT, SLICE = 512, 24
 COVER = "h bigint, s bigint, cover array<int>"
@@ -97,36 +97,42 @@ def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterat
 
 
 class Columns:
-    """A matrix of bytes + 1 (0: nothing there) that is written by rows and read by columns."""
+    """A file of the columns of aligned rows (byte + 1; 0: nothing there), from the last to the first, read once in that order."""
 
-    def __init__(self, rows: int, width: int, memory_rows: int = MEMORY_ROWS):
-        self.file = tempfile.TemporaryFile() if rows > memory_rows else None
-        self.data = np.memmap(self.file, np.uint16, "w+", shape=(width, rows)) if self.file else np.zeros((width, rows), np.uint16)
+    def __init__(self, folder: str, rows: list[bytes], starts: np.ndarray, width: int):
+        from pyarrow import fs
+
+        self.store, base = fs.FileSystem.from_uri(folder)
+        self.store.create_dir(base, recursive=True)
+        self.name, self.bytes = f"{base}/{uuid.uuid4().hex}.columns", 2 * len(rows)
+        matrix = np.zeros((len(rows), width), "<u2")
+        for i, (row, start) in enumerate(zip(rows, starts.tolist(), strict=True)):
+            matrix[i, start : start + len(row)] = np.frombuffer(row, np.uint8)
+            matrix[i, start : start + len(row)] += 1
+        with self.store.open_output_stream(self.name, compression=None) as out:
+            out.write(np.ascontiguousarray(matrix[:, ::-1].T).data)
+        self.file = self.store.open_input_stream(self.name, compression=None)
+
+    def next(self) -> np.ndarray:
+        return np.frombuffer(self.file.read(self.bytes), "<u2")
 
     def close(self) -> None:
-        del self.data
-        if self.file:
-            self.file.close()
+        self.file.close()
+        self.store.delete_file(self.name)
 
 
-def repeated(groups: np.ndarray, rows: list[bytes], offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, memory_rows: int = MEMORY_ROWS) -> list[list[int]]:
+def repeated(groups: np.ndarray, rows: list[bytes], offsets: np.ndarray, length: int, gram: int, folder: str) -> list[list[int]]:
     """Spans [from, to, ...] of each row covered by a window that another row of its group has in the same column.
 
-    groups: rising numbers; offsets: the anchor's place in each row.
+    groups: rising numbers; offsets: the anchor's place in each row; folder: where the columns' file is.
     """
     left, n = length - gram, len(rows)
-    matrix, marks = Columns(n, left + length, memory_rows), Columns(n, left + 1, memory_rows)
-    for a in range(0, n, 4096):
-        part = np.zeros((min(4096, n - a), left + length), np.uint16)
-        for i in range(len(part)):
-            part[i, left - offsets[a + i] : left - offsets[a + i] + len(rows[a + i])] = np.frombuffer(rows[a + i], np.uint8)
-            part[i, left - offsets[a + i] : left - offsets[a + i] + len(rows[a + i])] += 1
-        matrix.data[:, a : a + len(part)] = part.T
+    columns, marks = Columns(folder, rows, left - offsets, left + length), np.zeros((left + 1, n), bool)
     group = groups.astype(np.int64) * 257
     order, common = np.arange(n), np.zeros(n + 1, np.int32)
     same_group = np.zeros(n, bool)
     for column in range(left + length - 1, -1, -1):
-        symbols = np.asarray(matrix.data[column])[order]
+        symbols = columns.next()[order]
         key = group[order] + symbols
         at = np.argsort(key, kind="stable")
         key, symbols = key[at], symbols[at]
@@ -139,16 +145,13 @@ def repeated(groups: np.ndarray, rows: list[bytes], offsets: np.ndarray, length:
         new[:n][same_group] = least[same_group] + 1
         order, common = order[at], new
         if column <= left and (hit := np.flatnonzero(common[:n] >= length)).size:
-            marks.data[column, order[hit]] = 1
-            marks.data[column, order[hit - 1]] = 1
+            marks[column, order[hit]] = True
+            marks[column, order[hit - 1]] = True
+    columns.close()
     found: list[list[int]] = []
-    for a in range(0, n, 4096):
-        part = np.asarray(marks.data[:, a : a + 4096]).T
-        for i, row in enumerate(part):
-            starts = np.flatnonzero(row) - (left - int(offsets[a + i]))
-            found.append(union(starts, starts + length))
-    matrix.close()
-    marks.close()
+    for i in range(n):
+        starts = np.flatnonzero(marks[:, i]) - (left - int(offsets[i]))
+        found.append(union(starts, starts + length))
     return found
 
 
@@ -166,6 +169,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__text", whole_text()).withColumn("__th", F.hash("__text"))
 
 
+def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """h, the hash of the anchor, of every segment."""
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for text in batch.column(0):
+                data = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                if found := [h for h, _, _, _ in segments(data, length, gram)]:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["h"])
+
+    return docs.select(whole_text().alias("text")).mapInArrow(run, "h bigint")
+
+
 def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(h, s, doc_id, th, start, len, off) of every segment; h and s together are its 128-bit hash."""
 
@@ -193,10 +209,10 @@ def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """One row (h, s, n, kinds, and one occurrence) of each segment whose anchor is found more than once; kinds: the anchor's different segments."""
+    """One row (h, s, n, kinds, and one occurrence) of each segment; kinds: its anchor's different segments."""
     counted = found.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "start", "len", "off")).alias("one"))
-    anchors = counted.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1").select("h", "kinds")
-    return counted.join(anchors, "h").select("h", "s", "n", "kinds", "one.*")
+    kinds = counted.groupBy("h").agg(F.count("*").alias("kinds"))
+    return counted.join(kinds, "h").select("h", "s", "n", "kinds", "one.*")
 
 
 def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -207,7 +223,7 @@ def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
 
 
-def constructed(rows_of: DataFrame, length: int, gram: int) -> DataFrame:
+def constructed(rows_of: DataFrame, length: int, gram: int, folder: str) -> DataFrame:
     """(h, s, cover) of the rows (h, s, off, data), of which those with one h go through one construction."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +231,7 @@ def constructed(rows_of: DataFrame, length: int, gram: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             groups = np.unique(np.array([r[0] for r in held]), return_inverse=True)[1]
-            spans = repeated(groups, [r[3] for r in held], np.array([r[2] for r in held]), length, gram)
+            spans = repeated(groups, [r[3] for r in held], np.array([r[2] for r in held]), length, gram, folder)
             out = [(r[0], r[1], c) for r, c in zip(held, spans, strict=True) if c]
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))], ["h", "s", "cover"])
 
@@ -223,7 +239,7 @@ def constructed(rows_of: DataFrame, length: int, gram: int) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[:2] == held[-1][:2]:  # a repeated document gave it twice
                     continue
-                if len(held) >= 2048 and row[0] != held[-1][0]:
+                if len(held) >= ROWS and row[0] != held[-1][0]:
                     yield flush()
                     held = []
                 held.append(row)
@@ -267,25 +283,26 @@ def sliced(segments_: DataFrame, length: int, gram: int, width: int) -> DataFram
 
 
 def windows(rows_of: DataFrame, length: int) -> DataFrame:
-    """(h, s, w, at): the hash of each window of the rows (h, s, off, data), told apart by its place before the anchor."""
+    """(h, s, w, at): the 128-bit hash of each window of the rows (h, s, off, data), told apart by its place before the anchor."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest
+        from xxhash import xxh3_128_digest
 
         for batch in rows:
-            out = [(h, s, xxh3_64_intdigest(data[i : i + length], off - i) - (1 << 63), i) for h, s, off, data in zip(*(c.to_pylist() for c in batch.columns), strict=True) for i in range(len(data) - length + 1)]
+            out = [(h, s, xxh3_128_digest(data[i : i + length], off - i), i) for h, s, off, data in zip(*(c.to_pylist() for c in batch.columns), strict=True) for i in range(len(data) - length + 1)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["h", "s", "w", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.int32()), strict=True)], ["h", "s", "w", "at"])
 
-    return rows_of.select("h", "s", "off", "data").mapInArrow(run, "h bigint, s bigint, w bigint, at int")
+    return rows_of.select("h", "s", "off", "data").mapInArrow(run, "h bigint, s bigint, w binary, at int")
 
 
-def hot_covers(segments_: DataFrame, length: int, gram: int, written: list[DataFrame]) -> DataFrame:
+def hot_covers(segments_: DataFrame, length: int, gram: int, folder: str, written: list[DataFrame]) -> DataFrame:
     """(h, s, cover) of anchors with any number of different segments.
 
     Segments are cut into slices of SLICE windows. Equal slices are counted before they meet; slices that
     share no bytes with another go. Up to HOT different slices with the same common bytes go through one construction; where
-    there are more, each of their few windows is counted by its hash. Tables written here are added to `written`.
+    there are more, they are cut once more, into slices of one window: those of a group are equal whole, so counting
+    them is all there is to construct. Tables written here are added to `written`.
     """
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -299,7 +316,7 @@ def hot_covers(segments_: DataFrame, length: int, gram: int, written: list[DataF
     found = write(counted.join(groups, "g").select("g", "t", "n", "kinds", "one.*"), "groups")
     cut = F.expr("substring(data, at + 1, len)")
     bytes_of = lambda rows: rows.join(segments_.select("h", "s", "data"), ["h", "s"]).select(F.col("g").alias("h"), F.col("t").alias("s"), "off", cut.alias("data"))
-    several = constructed(bytes_of(found.where(F.col("kinds").between(2, HOT))), length, gram)
+    several = constructed(bytes_of(found.where(F.col("kinds").between(2, HOT))), length, gram, folder)
     single = write(windows(bytes_of(found.where(F.col("kinds") > HOT)), length), "windows")
     again = single.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
     pairs = F.flatten(F.transform(F.collect_list("at"), lambda x: F.array(x, x + length)))  # SLICE windows at most
@@ -309,14 +326,14 @@ def hot_covers(segments_: DataFrame, length: int, gram: int, written: list[DataF
     return index.join(covered, ["g", "t"]).select("h", "s", F.transform("cover", lambda x: x + F.col("at")).alias("cover"))
 
 
-def covers(docs: DataFrame, twice: DataFrame, length: int = LENGTH, gram: int = GRAM, written: list[DataFrame] | None = None) -> DataFrame:
+def covers(docs: DataFrame, twice: DataFrame, length: int, gram: int, folder: str, written: list[DataFrame]) -> DataFrame:
     """(h, s, cover): for each segment with a repeated window, spans [from, to, ...] inside it; a segment may have several rows."""
     # A segment found twice is covered whole; its bytes are needed for the others of its anchor.
     whole = twice.where("n > 1").select("h", "s", F.array(F.lit(0), F.col("len")).alias("cover"))
-    found = constructed(pieces(docs, twice.where(F.col("kinds").between(2, HOT))), length, gram).unionByName(whole)
+    found = constructed(pieces(docs, twice.where(F.col("kinds").between(2, HOT))), length, gram, folder).unionByName(whole)
     hot = twice.where(F.col("kinds") > HOT)
     if hot.limit(1).count():
-        found = found.unionByName(hot_covers(pieces(docs, hot), length, gram, [] if written is None else written))
+        found = found.unionByName(hot_covers(pieces(docs, hot), length, gram, folder, written))
     return found
 
 
@@ -326,11 +343,18 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     Each step is written, so that the shuffle files of the one before can go.
     """
     spark = docs.sparkSession
-    found = materialize(occurrences(docs, length, gram), "occurrences")
+    # Most anchors are found once: eight bytes of each are shuffled here, and none of their segments are written.
+    again = materialize(anchors(docs, length, gram).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
+    release(spark)
+    found = materialize(occurrences(docs, length, gram).join(again.hint("merge"), "h", "left_semi"), "occurrences")
+    discard(again)
+    release(spark)
     twice = materialize(candidates(found), "segments")
     release(spark)
     written: list[DataFrame] = []
-    covered = materialize(covers(docs, twice, length, gram, written), "covers")
+    folder = new_path(spark, "columns")
+    covered = materialize(covers(docs, twice, length, gram, folder, written), "covers")
+    delete(spark, folder)
     for table in (twice, *written):
         discard(table)
     release(spark)

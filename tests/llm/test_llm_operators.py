@@ -128,12 +128,28 @@ def removed_slowly(table, length):
     return sorted(map(str, expected))
 
 
+def texts_left_slowly(table, length):
+    """The rows of suffix_dedup.remove(), from every window of every text."""
+    data = [(t or "").encode() for _, t, _ in table]
+    seen: dict = {}
+    for b in data:
+        for i in range(len(b) - length + 1):
+            seen[b[i : i + length]] = seen.get(b[i : i + length], 0) + 1
+    left = []
+    for (i, t, s), b in zip(table, data, strict=True):
+        gone = {k + d for k in range(len(b) - length + 1) if seen[b[k : k + length]] > 1 for d in range(length)}
+        left.append((i, bytes(c for k, c in enumerate(b) if k not in gone).decode("utf-8", "ignore") if gone else t, s))
+    return sorted(map(str, left))
+
+
 @pytest.mark.parametrize(("length", "gram"), [(40, 8), (400, 32)])
 def test_suffix_dedup(docs, empty, length, gram):
     rows = suffix_dedup.digest(docs, length, gram).collect()
     assert removed_slowly(ROWS, length) == sorted(str(tuple(r)) for r in rows)
-    assert suffix_dedup.remove(docs, length, gram).columns == docs.columns
-    assert suffix_dedup.digest(empty).count() == 0
+    removed = suffix_dedup.remove(docs, length, gram)
+    assert removed.columns == docs.columns
+    assert sorted(str((r["doc_id"], r["text"], r["score"])) for r in removed.collect()) == texts_left_slowly(ROWS, length)
+    assert suffix_dedup.digest(empty).count() == suffix_dedup.remove(empty).count() == 0
 
 
 @pytest.mark.parametrize("hot", [1, 2, 6])
@@ -147,10 +163,15 @@ def test_suffix_dedup_hot_anchors(spark, monkeypatch, hot, length, gram):
     assert removed_slowly(rows, length) == sorted(str(tuple(r)) for r in found)
 
 
-def test_suffix_columns_in_files_give_the_same():
+def test_suffix_construction(tmp_path):
+    """Spans of windows that another row of the group has in the same column, from all pairs; the columns' file is gone after."""
     rows = [random.choice([b"abcdefgh" * 4, b"abcdefgX" * 4, bytes(random.choices(b"ab", k=32))]) for _ in range(50)]
-    args = np.array([i // 10 for i in range(50)]), rows, np.full(50, 12)
-    assert suffix_dedup.repeated(*args, 20, 8, memory_rows=1) == suffix_dedup.repeated(*args, 20, 8)
+    groups, offsets = np.array([i // 10 for i in range(50)]), np.array([12 if len(r) > 30 else 0 for r in rows])
+    got = suffix_dedup.repeated(groups, rows, offsets, 20, 8, f"file://{tmp_path}")
+    for i, r in enumerate(rows):
+        starts = [k for k in range(13) if any(j != i and groups[j] == groups[i] and rows[j][k : k + 20] == r[k : k + 20] for j in range(50))]
+        assert got[i] == suffix_dedup.union(np.array(starts, int), np.array(starts, int) + 20)
+    assert not list(tmp_path.glob("*.columns"))
 
 
 def test_token_counts(docs, empty):
