@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
-from leafmill.operators import chunk, clean, layout, metadata, order, tables
-from leafmill.plans import pipeline
+from leafmill.operators import chunk, clean, layout, metadata, models, order, tables
+from leafmill.plans import pipeline, stubs
 from leafmill.plans import tables as D
 from leafmill.sources import files
 
@@ -90,7 +90,9 @@ def line_glyph_corruption(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {CORRUPT} SELECT doc_id, page, bool_or(garbled) OR sum(bad) > 3 AS damaged FROM flags GROUP BY doc_id, page")
 def page_glyph_corruption(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.corrupt_lines(spark, sf_dir).groupBy("doc_id", "page").agg((F.max(T.garbled(F.col("text"))) | (F.sum(T.bad_chars(F.col("text"))) > 3)).alias("damaged"))
+    """The gate's verdict over pages that all have lines."""
+    lines = D.corrupt_lines(spark, sf_dir)
+    return pipeline.needs_ocr(lines, lines.select("doc_id", "page").distinct()).withColumnRenamed("ocr", "damaged")
 
 
 @query(f"WITH {CORRUPT}, pages AS (SELECT doc_id, CAST(page AS INT) AS page FROM corrupt UNION SELECT doc_id, 1000 FROM documents) SELECT p.doc_id, p.page, coalesce(bool_or(f.garbled) OR sum(f.bad) > 3, true) AS ocr FROM pages p LEFT JOIN flags f USING (doc_id, page) GROUP BY p.doc_id, p.page")
@@ -130,9 +132,9 @@ def line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT doc_id, CAST(i AS INT) AS seq, l[i + 1] AS text FROM t, unnest(range(len(l))) AS r(i)""")
 def txt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences of documents as paragraphs of text files."""
-    text = T.strip(F.replace("text", F.lit(". "), F.lit(".\n\n")))
-    parts = F.filter(F.transform(F.split(text, r"\n\s*\n+"), T.strip), lambda x: x != "")
-    return D.read(spark, sf_dir, "documents").select("doc_id", F.posexplode(parts).alias("seq", "text"))
+    made = F.replace("text", F.lit(". "), F.lit(".\n\n"))
+    rows = D.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), F.lit(None).cast("string").alias("path"), F.encode(made, "utf-8").alias("content"))
+    return files.lines_of(files.parse(rows, "txt")).select("doc_id", "seq", "text")
 
 
 def _contents(spark: SparkSession, sf_dir: str, table: str, key: str, column: str) -> DataFrame:
@@ -188,12 +190,12 @@ def smart_chunks_unsplit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.smart(D.items_doc(spark, sf_dir), 0).select(*PLAIN)
 
 
-@query(f"""WITH {smart_sql(200, 20)}, spans AS (SELECT doc_id, section, seq, s, s + length(text) AS e FROM (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id, section ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM sec WHERE category <> 'section_header')),
- heads AS (SELECT doc_id, section, count(*) AS n FROM sec WHERE category = 'section_header' GROUP BY doc_id, section)
- SELECT c.doc_id, c.chunk_no, CAST(coalesce(max(h.n), 0) + count(p.seq) AS INT) AS n_boxes FROM chunks c LEFT JOIN heads h ON h.doc_id = c.doc_id AND h.section = c.section
+@query(f"""WITH {smart_sql(200, 20)}, spans AS (SELECT doc_id, section, seq, text, s, s + length(text) AS e FROM (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id, section ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM sec WHERE category <> 'section_header')),
+ heads AS (SELECT doc_id, section, count(*) AS n, sum(length(text)) AS w FROM sec WHERE category = 'section_header' GROUP BY doc_id, section)
+ SELECT c.doc_id, c.chunk_no, CAST(coalesce(max(h.n), 0) + count(p.seq) AS INT) AS n_boxes, CAST(coalesce(max(h.w), 0) + coalesce(sum(length(p.text)), 0) AS DOUBLE) AS widths FROM chunks c LEFT JOIN heads h ON h.doc_id = c.doc_id AND h.section = c.section
  LEFT JOIN spans p ON p.doc_id = c.doc_id AND p.section = c.section AND p.s < c.e AND p.e > c.s GROUP BY c.doc_id, c.chunk_no""")
 def smart_chunk_bboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk.smart(D.items_doc(spark, sf_dir), 200, 20).select("doc_id", "chunk_no", F.size("bboxes").alias("n_boxes"))
+    return chunk.smart(D.items_doc(spark, sf_dir), 200, 20).select("doc_id", "chunk_no", F.size("bboxes").alias("n_boxes"), F.aggregate("bboxes", F.lit(0.0), lambda a, b: a + b["bbox"]["x1"]).alias("widths"))
 
 
 def hybrid_sql(size: int, overlap: int) -> str:
@@ -290,10 +292,13 @@ def simple_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.run(D.items_doc(spark, sf_dir), config).select("doc_id", "chunk_id", "content", F.get("page_range", 0).alias("first_page"), F.get("page_range", 1).alias("last_page"))
 
 
-@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, count(*) AS n_vectors FROM chunks GROUP BY doc_id")
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, CAST(doc_id AS VARCHAR) AS source, chunk_no, text, i_page, e_page, CAST(length(text) AS INT) AS n_chars, count(*) OVER (PARTITION BY doc_id) AS n_vectors FROM chunks")
 def vectors_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON of each document's records, read back."""
     dumped = pipeline.dump(metadata_vectors(spark, sf_dir))
-    return dumped.select("doc_id", F.json_array_length(F.get_json_object("json", "$.vectors")).cast("bigint").alias("n_vectors"))
+    read = F.from_json("json", "source string, vectors array<struct<text: string, i_page: int, e_page: int, n_chars: int, i_chunk_on_doc: int>>")
+    rows = dumped.select("doc_id", read.alias("r")).select("doc_id", "r.source", F.size("r.vectors").cast("bigint").alias("n_vectors"), F.explode("r.vectors").alias("v"))
+    return rows.select("doc_id", "source", F.col("v.i_chunk_on_doc").alias("chunk_no"), "v.text", "v.i_page", "v.e_page", "v.n_chars", "n_vectors")
 
 
 # --- cleaning --------------------------------------------------------------------------------------
@@ -311,13 +316,14 @@ def header_footer_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.strip_headers_footers(D.items_paged(spark, sf_dir)).select("doc_id", "seq", "page", "text")
 
 
-@query(f"""WITH {ITEMS}, parts AS (SELECT doc_id, CAST(seq * 10000 + piece AS INT) AS seq, page, trim(part, ' ' || chr(9) || chr(13)) AS text FROM {cut(60, 0, "(SELECT * FROM items WHERE text <> '')", "doc_id, seq, page", "text")}),
+@query(f"""WITH {ITEMS}, parts AS (SELECT doc_id, CAST(seq * 10000 + piece AS INT) AS seq, page, CAST(length(text) AS DOUBLE) AS width, CAST(piece AS DOUBLE) AS piece, trim(part, ' ' || chr(9) || chr(13)) AS text FROM {cut(60, 0, "(SELECT * FROM items WHERE text <> '')", "doc_id, seq, page, text", "text")}),
  lagged AS (SELECT *, lag(text) OVER w AS before FROM parts WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
  linked AS (SELECT *, coalesce(regexp_full_match(before, '.+[a-z,\\-]\\s*') AND regexp_full_match(text, '\\s*[a-z].+'), false) AS link FROM lagged),
  groups AS (SELECT *, sum(CASE WHEN link THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY seq) AS g FROM linked)
- SELECT doc_id, CAST(min(seq) AS INT) AS seq, min(page) AS page, string_agg(CASE WHEN link AND right(before, 1) <> '-' THEN ' ' || text ELSE text END, '' ORDER BY seq) AS text FROM groups GROUP BY doc_id, g""")
+ SELECT doc_id, CAST(min(seq) AS INT) AS seq, min(page) AS page, string_agg(CASE WHEN link AND right(before, 1) <> '-' THEN ' ' || text ELSE text END, '' ORDER BY seq) AS text,
+  max(CASE WHEN page = head THEN width END) AS x1, min(CASE WHEN page = head THEN piece END) AS y0 FROM (SELECT *, min(page) OVER (PARTITION BY doc_id, g) AS head FROM groups) GROUP BY doc_id, g""")
 def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.merge_paragraphs(D.items_wrapped(spark, sf_dir)).select("doc_id", "seq", "page", "text")
+    return clean.merge_paragraphs(D.items_wrapped(spark, sf_dir)).select("doc_id", "seq", "page", "text", F.col("bbox.x1").alias("x1"), F.col("bbox.y0").alias("y0"))
 
 
 # --- layout ----------------------------------------------------------------------------------------
@@ -360,11 +366,6 @@ def region_overlap_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.overlap_edges(regions.withColumn("category", T.to_category(F.col("category"))))
 
 
-@query()
-def region_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.remove_overlaps(layout.filter_regions(D.boxes_regions(spark, sf_dir)))
-
-
 _WIDE = "({a}.x0 < {b}.x1 AND {b}.x0 < {a}.x1)"
 
 
@@ -486,3 +487,228 @@ def merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = nation.select(F.col("n_regionkey").alias("doc_id"), F.expr("cast(n_nationkey div 5 as int)").alias("r"), F.expr("cast(n_nationkey % 5 as int)").alias("c"), F.col("n_name").alias("value"))
     merged = nation.select(F.col("n_regionkey").alias("doc_id")).distinct().select("doc_id", F.lit(0).alias("r0"), F.lit(0).alias("c0"), F.lit(1).alias("r1"), F.lit(1).alias("c1"))
     return tables.fill_merged(cells, merged)
+
+
+# --- sources and reading order, over contents and pages made from the tables ------------------------
+
+
+@query("""WITH t AS (SELECT p_partkey AS doc_id, [p_name, p_brand, p_type] AS l FROM part)
+ SELECT doc_id, CAST(i AS INT) AS seq, CASE WHEN i = 0 THEN 'section_header' ELSE 'text' END AS category, l[i + 1] AS text, CASE WHEN i = 0 THEN 24.0::DOUBLE ELSE 12.0::DOUBLE END AS font_size FROM t, unnest(range(3)) AS r(i)""")
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.concat(F.lit("<!DOCTYPE html><html><h1>"), "p_name", F.lit("</h1><script>x()</script>\n<p>"), "p_brand", F.lit("</p><ul><li>"), "p_type", F.lit("</li></ul></html>"))
+    rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a.txt").alias("path"), F.encode(page, "utf-8").alias("content"))
+    return layout.rule_layout(files.lines_of(files.parse(rows))).select("doc_id", "seq", "category", "text", "font_size")
+
+
+@query("""SELECT p_partkey AS doc_id, CAST(i AS INT) AS seq, ['section_header', 'list_item', 'list_item', 'table', 'code', 'text'][i + 1] AS category,
+ [p_name, p_brand, p_type, '<table><thead><tr><th>size</th><th>key</th></tr></thead><tbody><tr><td>' || p_size || '</td><td>' || p_partkey || '</td></tr></tbody></table>', '# ' || p_name, p_type][i + 1] AS text FROM part, unnest(range(6)) AS r(i)""")
+def md_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.concat(F.lit("## "), "p_name", F.lit("\n\n- "), "p_brand", F.lit("\n12. "), "p_type", F.lit("\n| size | key |\n|---|:-:|\n| "), F.col("p_size").cast("string"), F.lit(" | "), F.col("p_partkey").cast("string"), F.lit(" |\n```sql\n# "), "p_name", F.lit("\n```\n  "), "p_type")
+    rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a.md").alias("path"), F.encode(page, "utf-8").alias("content"))
+    return files.lines_of(files.parse(rows)).select("doc_id", "seq", "category", "text")
+
+
+@query(f"""WITH rows AS (SELECT n_regionkey AS doc_id, n_nationkey, [n_name, CAST(n_nationkey AS VARCHAR), ''] AS cells FROM nation)
+ SELECT CAST(doc_id AS BIGINT) AS doc_id, 0 AS seq, '<table><caption>' || max(r_name) || '</caption><thead><tr><th>name</th><th>key, &quot;n&quot;</th><th></th></tr></thead><tbody>' || string_agg({_tr("td")}, '' ORDER BY n_nationkey) || '</tbody></table>' AS text FROM rows JOIN region ON r_regionkey = doc_id GROUP BY doc_id
+ UNION ALL SELECT CAST(r_regionkey AS BIGINT), 1, '<table><thead><tr><th>a</th><th>b</th><th>' || r_name || '</th></tr></thead><tbody></tbody></table>' FROM region""")
+def csv_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ragged file with a byte-order mark, a quoted head, a blank row and a second table."""
+    nation, region = D.read(spark, sf_dir, "nation"), D.read(spark, sf_dir, "region")
+    body = nation.groupBy("n_regionkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: F.concat(x["n_name"], F.lit(","), x["n_nationkey"].cast("string"))), "\r\n").alias("body"))
+    page = F.concat(F.lit("\ufeff"), "r_name", F.lit('\r\nname,"key, ""n"""\r\n'), "body", F.lit("\r\n\r\na,b,"), "r_name", F.lit("\r\n"))
+    rows = region.join(body, F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("r_regionkey").cast("bigint").alias("key"), F.lit("a.csv").alias("path"), F.encode(page, "utf-8").alias("content"))
+    return files.lines_of(files.parse(rows)).select("doc_id", "seq", "text")
+
+
+COLUMNED = ITEMS + """, columned AS (SELECT doc_id, page, seq, 'Line ' || seq || ' of document ' || doc_id || '.' AS text FROM items)"""
+
+
+def _columned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """items_doc as lines of two columns a page, left and right by turns, numbered page by page."""
+    right, row = F.col("seq") % 2 * 300.0, F.floor(F.col("seq") % 10 / 2) * 20.0 + 5
+    text = F.concat(F.lit("Line "), F.col("seq").cast("string"), F.lit(" of document "), F.col("doc_id").cast("string"), F.lit("."))
+    box = F.struct(right.cast("double").alias("x0"), row.cast("double").alias("y0"), (right + 200).cast("double").alias("x1"), (row + 15).cast("double").alias("y1"))
+    return D.items_doc(spark, sf_dir).select("doc_id", "page", "seq", F.lit("text").alias("category"), text.alias("text"), box.alias("bbox"), F.lit(10.0).alias("font_size"))
+
+
+@query(f"WITH {COLUMNED} SELECT doc_id, page, seq, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY seq % 2, seq) - 1 AS INT) AS position FROM columned")
+def reading_order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.reading_order(_columned(spark, sf_dir)).select("doc_id", "page", "seq", "position")
+
+
+@query(f"WITH {COLUMNED} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, seq % 2, seq) - 1 AS INT) AS seq, page, CAST((page - 1) // 50 AS INT) AS split_no, text, 'text' AS category FROM columned")
+def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole load step: lines of pages of two columns become items in reading order, page after page."""
+    line = F.struct("seq", "page", F.lit(None).cast("string").alias("category"), "text", "bbox", "font_size")
+    parsed = _columned(spark, sf_dir).groupBy(F.col("doc_id").alias("key")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    parsed = parsed.select("key", F.lit("a.pdf").alias("path"), F.lit("pdf").alias("ext"), F.lit(None).cast("string").alias("error"), "lines", F.array().cast(files.PAGES.removeprefix("pages ")).alias("pages"))
+    return pipeline.load(parsed, pipeline.Config()).select("doc_id", "seq", "page", "split_no", "text", "category")
+
+
+@query("""WITH s AS (SELECT l_orderkey AS doc_id, CAST(l_partkey % 3 + 1 AS INT) AS page, CAST(l_suppkey % 4 AS INT) AS line_no, row_number() OVER (PARTITION BY l_orderkey, l_partkey % 3, l_suppkey % 4 ORDER BY l_linenumber, l_partkey) AS seq, l_linenumber * 40 + l_quantity / 2 AS x0, l_quantity AS w, CAST(8 + l_suppkey % 3 * 2 + l_linenumber % 2 AS DOUBLE) AS size, l_returnflag || CASE WHEN l_linenumber % 3 = 0 THEN ' ' ELSE '' END AS text FROM lineitem),
+ g AS (SELECT *, lag(x0 + w) OVER k AS x1b, lag(size) OVER k AS sizeb, lag(text) OVER k AS textb, sum(length(text)) OVER (PARTITION BY doc_id, page, line_no, size) AS n, min(seq) OVER (PARTITION BY doc_id, page, line_no, size) AS f FROM s WINDOW k AS (PARTITION BY doc_id, page, line_no ORDER BY seq)),
+ p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page, line_no ORDER BY n DESC, f) AS best FROM g)
+ SELECT doc_id, page, line_no AS seq, string_agg(CASE WHEN x0 - x1b > (size + sizeb) / 2 * 0.25 AND right(textb, 1) <> ' ' THEN ' ' || text ELSE text END, '' ORDER BY seq) AS text, min(x0) AS x0, max(x0 + w) AS x1, max(CASE WHEN best = 1 THEN size END) AS font_size FROM p GROUP BY doc_id, page, line_no""")
+def span_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans made from line items, joined to lines."""
+    x0 = F.col("l_linenumber") * 40 + F.col("l_quantity") / 2
+    w = Window.partitionBy("l_orderkey", F.col("l_partkey") % 3, F.col("l_suppkey") % 4).orderBy("l_linenumber", "l_partkey")
+    spans = D.read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("doc_id"), (F.col("l_partkey") % 3 + 1).cast("int").alias("page"), (F.col("l_suppkey") % 4).cast("int").alias("line_no"), F.row_number().over(w).alias("seq"),
+        F.concat("l_returnflag", F.when(F.col("l_linenumber") % 3 == 0, " ").otherwise("")).alias("text"), (8 + F.col("l_suppkey") % 3 * 2 + F.col("l_linenumber") % 2).cast("double").alias("size"),
+        F.struct(x0.alias("x0"), F.lit(0.0).alias("y0"), (x0 + F.col("l_quantity")).alias("x1"), F.lit(9.0).alias("y1")).alias("bbox"),
+    )
+    return layout.span_lines(spans).select("doc_id", "page", "seq", "text", F.col("bbox.x0").alias("x0"), F.col("bbox.x1").alias("x1"), "font_size")
+
+
+@query("""WITH f AS (SELECT o_custkey AS doc_id, 1 AS page, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq, CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE o_orderpriority END AS text, CAST(o_orderkey % 97 AS DOUBLE) AS x, CAST(o_orderkey // 64 % 3 AS DOUBLE) AS y, CAST(8 + o_orderkey % 5 AS DOUBLE) AS size FROM orders),
+ n AS (SELECT *, CASE WHEN abs(y - lag(y) OVER (PARTITION BY doc_id ORDER BY seq)) > 1 THEN 1 ELSE 0 END AS new FROM f WHERE trim(text) <> ''), l AS (SELECT *, CAST(sum(new) OVER (PARTITION BY doc_id ORDER BY seq) AS INT) AS line FROM n)
+ SELECT doc_id, page, line AS seq, string_agg(text, '' ORDER BY seq) AS text, min_by(x, seq) AS x0, max_by(y, seq) AS y0, min_by(x, seq) + max_by(size, seq) / 2 * length(string_agg(text, '' ORDER BY seq)) AS x1, max_by(size, seq) AS font_size FROM l GROUP BY doc_id, page, line""")
+def fragment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text fragments made from orders, joined to lines where y steps."""
+    k = F.col("o_orderkey")
+    fragments = D.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.lit(1).alias("page"), F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("seq"), F.when(k % 11 == 0, " ").otherwise(F.col("o_orderpriority")).alias("text"), (k % 97).cast("double").alias("x"), F.expr("cast(o_orderkey div 64 % 3 as double)").alias("y"), (8 + k % 5).cast("double").alias("font_size"))
+    return layout.fragment_lines(fragments).select("doc_id", "page", "seq", "text", F.col("bbox.x0").alias("x0"), F.col("bbox.y0").alias("y0"), F.col("bbox.x1").alias("x1"), "font_size")
+
+
+@query("SELECT p_partkey AS doc_id, 1 AS page, CAST(p_partkey AS DOUBLE) AS width, CAST(p_size AS DOUBLE) AS height FROM part")
+def image_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG files as pages without lines, their sizes read from their headers in the plan."""
+    number = lambda c: F.lpad(F.hex(c), 8, "0")
+    content = F.unhex(F.concat(F.lit(stubs.PNG[:32]), number("p_partkey"), number(F.col("p_size").cast("bigint"))))
+    parsed = files.parse(D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("scan").alias("path"), content.alias("content")))
+    return files.pages_of(parsed).select("doc_id", "page", models.png_size(F.col("image")).alias("s")).select("doc_id", "page", "s.width", "s.height")
+
+
+@query(f"WITH {LINES} SELECT doc_id, page, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY seq) - 1 AS INT) AS id, text, x0 FROM lines WHERE doc_id % 2 = 0")
+def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a parser found on pages; pages without them have none."""
+    word = F.struct("seq", F.struct("text", "bbox").alias("w"))
+    pages = D.boxes_lines(spark, sf_dir).groupBy("doc_id", "page").agg(F.transform(F.sort_array(F.collect_list(word)), lambda x: x["w"]).alias("words"))
+    return files.words_of(pages.withColumn("words", F.when(F.col("doc_id") % 2 == 0, F.col("words")))).select("doc_id", "page", "id", "text", F.col("bbox.x0").alias("x0"))
+
+
+@query(f"""WITH {SECTIONS}, numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no FROM filled)
+ SELECT n.doc_id, n.chunk_no, count(*) AS n_boxes, round(sum(length(s.text) / (500.0 + s.page)), 6) AS rights FROM numbered n JOIN sec s ON s.doc_id = n.doc_id AND s.section = n.section WHERE n.doc_id % 3 = 0 GROUP BY n.doc_id, n.chunk_no""")
+def pdf_page_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of records as shares of their page: only files named .pdf have page sizes."""
+    items = D.items_doc(spark, sf_dir)
+    pages = items.select("doc_id", "page").distinct().select("doc_id", F.when(F.col("doc_id") % 3 == 0, "a/B.PDF").otherwise("a.html").alias("path"), "page", (500.0 + F.col("page")).alias("width"), F.lit(120.0).alias("height"))
+    records = pipeline.run(items, pipeline.Config(chunk_size=0, reg_date=REG_DATE), files.page_sizes(pages))
+    parsed = records.select("doc_id", F.col("i_chunk_on_doc").alias("chunk_no"), F.explode(F.from_json("chunk_bboxes", "array<struct<bbox: struct<r: double>>>")).alias("x"))
+    return parsed.groupBy("doc_id", "chunk_no").agg(F.count("*").alias("n_boxes"), F.round(F.sum("x.bbox.r"), 6).alias("rights"))
+
+
+@query("SELECT doc_id, base64(encode(text)) AS encoded FROM documents")
+def base64_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.read(spark, sf_dir, "documents").select("doc_id", models.base64_of(F.encode("text", "utf-8")).alias("encoded"))
+
+
+@query("SELECT p_partkey AS id, 1.0::DOUBLE AS same, 0.0::DOUBLE AS other, 2.0::DOUBLE * length(p_brand) / (2 * length(p_brand) + 3) AS longer FROM part")
+def similarity_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratio of a text with itself, with one that shares no character, and with itself and three more."""
+    text = F.col("p_brand")
+    return D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.similarity(text, text).alias("same"), T.similarity(text, F.lit("~~~")).alias("other"), T.similarity(text, F.concat(text, F.lit("~~~"))).alias("longer"))
+
+
+# --- layout by models, with stand-ins for the services ------------------------------------------------
+
+_NAMED = "CASE label WHEN 'Strange label' THEN 'text' ELSE replace(lower(label), '-', '_') END"
+_LABEL = "(['" + "','".join(stubs.LABELS) + "'])[CAST((p.doc_id + p.page + k) % 7 + 1 AS INT)]"
+PAGES = LINES + f""", pages AS (SELECT DISTINCT doc_id, page FROM lines),
+ found AS (SELECT p.doc_id, p.page, CAST(k AS INT) AS region_no, {_LABEL} AS label, ((p.doc_id * 7 + p.page * 13 + k * 29) % 100) / 100.0::DOUBLE AS confidence, 120.0::DOUBLE * k AS l, 120.0::DOUBLE * k + 110 AS r FROM pages p, unnest(range(4)) AS u(k) WHERE p.page < 5),
+ kept AS (SELECT doc_id, page, region_no, CASE WHEN category = 'title' THEN 'section_header' ELSE category END AS category, l, r FROM (SELECT *, {_NAMED} AS category FROM found) WHERE confidence >= CASE WHEN category IN ('title', 'code') THEN 0.45 ELSE 0.5 END),
+ over AS (SELECT x.seq, g.region_no, g.category, g.l, row_number() OVER (PARTITION BY x.seq ORDER BY greatest(least(x.x1, g.r) - greatest(x.x0, g.l), 0) * greatest(least(x.y1, 700) - x.y0, 0) / ((x.x1 - x.x0) * (x.y1 - x.y0)) DESC, g.region_no) AS k FROM lines x JOIN kept g ON g.doc_id = x.doc_id AND g.page = x.page
+   AND greatest(least(x.x1, g.r) - greatest(x.x0, g.l), 0) * greatest(least(x.y1, 700) - x.y0, 0) / ((x.x1 - x.x0) * (x.y1 - x.y0)) > 0.2)"""
+SX, SY = f"({stubs.SEEN[0]} / {stubs.WIDTH}.0::DOUBLE * 150 / 72)", f"({stubs.SEEN[1]} / {stubs.HEIGHT}.0::DOUBLE * 150 / 72)"
+SEEN = LINES + f""", pages AS (SELECT DISTINCT doc_id, page FROM lines),
+ found AS (SELECT p.doc_id, p.page, CAST(k AS INT) AS region_no, {_LABEL} AS label, 250 * k / {SX} AS l, (250 * k + 230) / {SX} AS r, 1500 / {SY} AS b, CASE WHEN k = 2 THEN '' ELSE 'text ' || k END AS text FROM pages p, unnest(range(4)) AS u(k) WHERE p.page < 5),
+ kept AS (SELECT *, {_NAMED} AS category FROM found),
+ held AS (SELECT x.seq, g.region_no, g.category, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * g.b, g.region_no) AS k FROM lines x JOIN kept g ON g.doc_id = x.doc_id AND g.page = x.page AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN 0 AND g.b)"""
+
+
+def _damaged(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("text", F.when(F.col("seq") % 4 == 0, F.concat("text", F.lit("\ufffd"))).otherwise(F.col("text")))
+
+
+def _laid_out(name: str, spark: SparkSession, sf_dir: str, clients: models.Clients = stubs.CLIENTS) -> DataFrame:
+    lines, pages = _damaged(D.boxes_lines(spark, sf_dir)), stubs.pages(spark, sf_dir)
+    return models.strategy(name, clients).apply(lines, pages, None, clients).select("doc_id", "page", "seq", "category", "text")
+
+
+_DAMAGED = "CASE WHEN x.seq % 4 = 0 THEN x.text || chr(65533) ELSE x.text END"
+
+
+@query(f"WITH {PAGES} SELECT x.doc_id, x.page, x.seq, coalesce(o.category, 'text') AS category, {_DAMAGED} AS text FROM lines x LEFT JOIN over o ON o.seq = x.seq AND o.k = 1")
+def layout_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("detector", spark, sf_dir)
+
+
+@query(f"""WITH {PAGES}, tokens AS (SELECT doc_id, page, CAST(sum(len(string_split(text, ' '))) AS INT) AS n FROM lines GROUP BY doc_id, page), rows AS (SELECT x.*, o.region_no, o.category, o.l, row_number() OVER (PARTITION BY x.doc_id, x.page, o.region_no ORDER BY x.seq) AS first FROM lines x LEFT JOIN over o ON o.seq = x.seq AND o.k = 1)
+ SELECT x.doc_id, x.page, x.seq, coalesce(x.category, 'text') AS category, CASE WHEN x.category = 'table' THEN '<table><tr><th>' || n || ' tokens</th><td colspan="2">a|b</td></tr></table>' ELSE {_DAMAGED} END AS text FROM rows x JOIN tokens USING (doc_id, page) WHERE x.category IS DISTINCT FROM 'table' OR first = 1""")
+def layout_table_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("detector", spark, sf_dir, stubs.WITH_TABLES)
+
+
+@query(f"WITH {SEEN} SELECT x.doc_id, x.page, x.seq, coalesce(h.category, 'text') AS category, {_DAMAGED} AS text FROM lines x LEFT JOIN held h ON h.seq = x.seq AND h.k = 1")
+def layout_vlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("vlm", spark, sf_dir)
+
+
+@query(f"WITH {SEEN} SELECT doc_id, page, region_no AS seq, category, text FROM kept WHERE text <> ''")
+def layout_vlm_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("vlm_all", spark, sf_dir)
+
+
+_READ = "'box [' || 250 * {0} || ', 0, ' || (250 * {0} + 230) || ', 1500]'"
+
+
+@query(f"WITH {SEEN} SELECT doc_id, page, region_no AS seq, category, {_READ.format('region_no')} AS text FROM kept WHERE category <> 'picture' AND region_no > 0")
+def layout_vlm_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("vlm_grounding", spark, sf_dir)
+
+
+@query(f"WITH {SEEN} SELECT x.doc_id, x.page, x.seq, coalesce(h.category, 'text') AS category, CASE WHEN x.seq % 4 = 0 AND h.region_no > 0 THEN {_READ.format('h.region_no')} ELSE {_DAMAGED} END AS text FROM lines x LEFT JOIN held h ON h.seq = x.seq AND h.k = 1")
+def layout_vlm_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _laid_out("vlm_auto", spark, sf_dir)
+
+
+@query(f"WITH {SEEN} SELECT doc_id, page, region_no, round(l, 6) AS l, round(r, 6) AS r, round(b, 6) AS b, CAST(250 * region_no AS DOUBLE) AS rl, CAST(1500 AS DOUBLE) AS rb, '{models.GROUNDING_PROMPT}[' || 250 * region_no || ', 0, ' || (250 * region_no + 230) || ', 1500]' AS prompt FROM kept")
+def vlm_region_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both boxes of each region, and the prompt that asks for its text."""
+    found = models.vlm_regions(stubs.pages(spark, sf_dir), stubs.vlm)
+    prompt = F.concat(F.lit(models.GROUNDING_PROMPT), layout.grounding_box(*[F.col(c) for c in ("rl", "rt", "rr", "rb")]))
+    return found.select("doc_id", "page", "region_no", *[F.round(c, 6).alias(c) for c in "lrb"], "rl", "rb", prompt.alias("prompt"))
+
+
+@query(f"""WITH {LINES}, pages AS (SELECT DISTINCT doc_id, page FROM lines), gate AS (SELECT doc_id, page FROM pages WHERE page < 5 AND (doc_id + page) % 2 = 0)
+ SELECT x.doc_id, x.page, x.seq, x.text, x.x0 FROM lines x ANTI JOIN gate g ON g.doc_id = x.doc_id AND g.page = x.page UNION ALL SELECT doc_id, page, CAST(k AS INT), 'read ' || doc_id || ' ' || k, 10.0::DOUBLE * k * 72 / 150 FROM gate, unnest(range(page)) AS u(k)""")
+def ocr_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with damaged glyphs and an image are read by OCR, the others keep their lines."""
+    lines = D.boxes_lines(spark, sf_dir)
+    lines = lines.withColumn("text", F.when((F.col("doc_id") + F.col("page")) % 2 == 0, F.concat("text", F.lit("GLYPH<1f>"))).otherwise(F.col("text")))
+    read, _ = pipeline.read_again(lines, stubs.pages(spark, sf_dir), pipeline.Config(clients=stubs.CLIENTS))
+    return read.select("doc_id", "page", "seq", F.replace("text", F.lit("GLYPH<1f>"), F.lit("")).alias("text"), F.col("bbox.x0").alias("x0"))
+
+
+@query("SELECT * FROM (VALUES ('rule', false, false, false), ('detector', true, true, false), ('detector with tables', true, true, true), ('vlm', true, false, false), ('vlm_all', true, false, true), ('vlm_grounding', true, false, true), ('vlm_auto', true, false, true), ('no such layout', false, false, false)) t(layout, needs_image, needs_words, produces_items)")
+def layout_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each layout needs and gives; an unknown name is the rule layout."""
+    chosen = [(n, models.strategy(n)) for n in (*models.STRATEGIES, "no such layout")] + [("detector with tables", models.strategy("detector", stubs.WITH_TABLES))]
+    return spark.createDataFrame([(n, s.needs_image, s.needs_words, s.produces_items) for n, s in chosen], "layout string, needs_image boolean, needs_words boolean, produces_items boolean")
+
+
+_AREA = "({0}.r - {0}.l) * ({0}.b - {0}.t)"
+_BOTH = "greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0) * greatest(least({0}.b, {1}.b) - greatest({0}.t, {1}.t), 0)"
+
+
+@query(f"""WITH RECURSIVE {REGIONS}, x AS (SELECT doc_id, page, region_no, CASE WHEN category = 'title' THEN 'section_header' ELSE category END AS category, confidence, l, t, r, b, (r - l) * (b - t) AS area FROM named WHERE confidence >= CASE WHEN category IN ('title', 'code') THEN 0.45 ELSE 0.5 END),
+ g AS (SELECT *, {_GRP} AS grp, CASE WHEN category = 'picture' OR category = 'table' THEN 2.0 ELSE 1.3 END AS most, CASE WHEN category = 'picture' THEN 0.3 WHEN category = 'table' THEN 0.2 ELSE 0.05 END AS loss FROM x),
+ e AS (SELECT p.region_no AS a, q.region_no AS b FROM g p JOIN g q ON p.doc_id = q.doc_id AND p.page = q.page AND p.grp = q.grp AND p.region_no <> q.region_no AND ({_BOTH.format("p", "q")} / (p.area + q.area - {_BOTH.format("p", "q")}) > 0.8 OR {_BOTH.format("p", "q")} / p.area > 0.8 OR {_BOTH.format("p", "q")} / q.area > 0.8)),
+ reach(a, b) AS (SELECT region_no, region_no FROM g UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b), cluster AS (SELECT a AS region_no, min(b) AS c FROM reach GROUP BY a), m AS (SELECT g.*, c FROM g JOIN cluster USING (region_no)),
+ cand AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY region_no) AS n FROM m p WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.c = p.c AND q.region_no <> p.region_no AND NOT (p.category = 'list_item' AND q.category = 'text' AND abs(1 - p.area / q.area) < 0.2) AND NOT (p.category = 'code' AND {_BOTH.format("p", "q")} / q.area > 0.8) AND p.area / q.area <= p.most AND q.confidence - p.confidence > p.loss)),
+ walk AS (SELECT c, n, region_no, area, confidence FROM cand WHERE n = 1 UNION ALL SELECT w.c, k.n, CASE WHEN k.area > w.area AND w.confidence - k.confidence <= k.loss THEN k.region_no ELSE w.region_no END, CASE WHEN k.area > w.area AND w.confidence - k.confidence <= k.loss THEN k.area ELSE w.area END, CASE WHEN k.area > w.area AND w.confidence - k.confidence <= k.loss THEN k.confidence ELSE w.confidence END FROM walk w JOIN cand k ON k.c = w.c AND k.n = w.n + 1),
+ best AS (SELECT c, max_by(region_no, n) AS region_no FROM walk GROUP BY c) SELECT m.doc_id, m.page, m.region_no, m.category, m.confidence, m.l, m.t, m.r, m.b FROM m JOIN (SELECT c, coalesce(b.region_no, c) AS region_no FROM (SELECT DISTINCT c FROM m) LEFT JOIN best b USING (c)) k USING (region_no)""")
+def region_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlap removal, with the SQL walking each cluster as a recursion."""
+    return layout.remove_overlaps(layout.filter_regions(D.boxes_regions(spark, sf_dir)))

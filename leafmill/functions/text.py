@@ -13,8 +13,12 @@ LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 BAD = r"[\x{FFFD}\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]"
 
 
+#: The characters of WS.
+WS_CHARS = "".join(x for x in map(chr, range(0x3001)) if x.isspace())
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def normalize_typography(c: Column) -> Column:
@@ -42,11 +46,12 @@ def to_category(label: Column) -> Column:
 
 
 def n_words(c: Column) -> Column:
-    return F.size(F.array_remove(F.split(c, f"{WS}+"), ""))
+    return F.regexp_count(c, F.lit(f"[^{WS[1:]}+"))
 
 
 def n_lines(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(LINE_ENDS)) + F.when((c != "") & ~c.rlike(f"(?:{LINE_ENDS})\\z"), 1).otherwise(0)
+    """Line ends, and one for a last line without one."""
+    return F.regexp_count(c, F.lit(LINE_ENDS)) + F.when((c != "") & ~F.right(c, F.lit(1)).rlike(LINE_ENDS), 1).otherwise(0)
 
 
 def escape(c: Column) -> Column:
@@ -68,3 +73,12 @@ def window_starts(length: Column, size: int, overlap: int) -> Column:
     step = size - overlap
     last = F.greatest(F.ceil((length - size) / step), F.lit(0)).cast("int")
     return F.when(length > 0, F.transform(F.sequence(F.lit(0), last), lambda i: i * step)).otherwise(F.array().cast("array<int>"))
+
+
+def similarity(a: Column, b: Column) -> Column:
+    """The matching-blocks ratio of two texts, by difflib: the measure that compares records with expected ones. For samples, not for a corpus."""
+    from difflib import SequenceMatcher
+
+    from pyspark.sql.types import DoubleType
+
+    return F.udf(lambda x, y: None if x is None or y is None else SequenceMatcher(None, x, y).ratio(), DoubleType(), useArrow=True)(a, b)

@@ -17,47 +17,59 @@ def _split(items: DataFrame) -> DataFrame:
 
 
 def strip_headers_footers(items: DataFrame) -> DataFrame:
-    """items without the lines that repeat at the top or the bottom of enough pages of their split."""
-    rows = _split(items).withColumn("__key", strip(F.coalesce("text", F.lit("")))).withColumn("__key", F.when(F.col("__key").rlike(PAGE_NUMBER), F.lit("\x00page")).otherwise(F.col("__key")))
-    page = Window.partitionBy("doc_id", "split_no", "page")
-    top, bottom = F.min("bbox.y0").over(page), F.max("bbox.y1").over(page)
+    """items without the lines that repeat at the top or the bottom of enough pages of their split.
+
+    Every step is a window inside a split, so items are shuffled once, by (doc_id, split_no).
+    """
+    whole, page = ["doc_id", "split_no"], ["doc_id", "split_no", "page"]
+    by = Window.partitionBy
+    rows = _split(items).repartition(*whole).withColumn("__key", strip(F.coalesce("text", F.lit(""))))
+    rows = rows.withColumn("__key", F.when(F.col("__key").rlike(PAGE_NUMBER), F.lit("\x00page")).otherwise(F.col("__key")))
+    top, bottom = F.min("bbox.y0").over(by(*page)), F.max("bbox.y1").over(by(*page))
     banded = rows.withColumns({"__top": top, "__bottom": bottom}).withColumn("__band", F.greatest(F.col("__bottom") - F.col("__top"), F.lit(1.0)) * BAND)
     kind = F.when(F.col("bbox.y1") <= F.col("__top") + F.col("__band"), "h").when(F.col("bbox.y0") >= F.col("__bottom") - F.col("__band"), "f")
-    first = Window.partitionBy("doc_id", "split_no", "page", "__key").orderBy("seq")
-    once = banded.withColumn("__kind", kind).where("__kind is not null and __key <> ''").withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    pages = rows.groupBy("doc_id", "split_no").agg(F.count_distinct("page").alias("__pages"))
-    counted = once.groupBy("doc_id", "split_no", "__key", "__kind").agg(F.count("*").alias("__count")).join(pages, ["doc_id", "split_no"])
-    gone = counted.where((F.col("__pages") >= MIN_PAGES) & (F.col("__count") >= F.greatest(F.lit(2), F.round(REPEAT * F.col("__pages"))))).select("doc_id", "split_no", "__key").distinct()
-    kept = rows.join(gone, ["doc_id", "split_no", "__key"], "left_anti").drop("__key")
-    return kept.select(*items.columns)
+    kinds = banded.withColumn("__kind", F.when(F.col("__key") != "", kind)).drop("__top", "__bottom", "__band")
+    # The first banded line of a key on a page says which of the two it is there.
+    first = F.row_number().over(by(*page, "__key").orderBy(F.col("__kind").isNull(), "seq"))
+    once = kinds.withColumn("__kind", F.when(first == 1, F.col("__kind")))
+    count = lambda k: F.count(F.when(F.col("__kind") == k, 1)).over(by(*whole, "__key"))
+    counted = once.withColumns({"__n": F.greatest(count("h"), count("f")), "__pages": F.size(F.collect_set("page").over(by(*whole)))})
+    stay = (F.col("__pages") < MIN_PAGES) | (F.col("__n") < F.greatest(F.lit(2), F.round(REPEAT * F.col("__pages"))))
+    return counted.where(stay).select(*items.columns)
 
 
 def merge_paragraphs(items: DataFrame) -> DataFrame:
     """Adjacent text items joined where one ends and the next begins inside a sentence.
 
-    Each link depends on two neighbours only, so links are a lag and groups a running sum. A head keeps
-    its page; its box takes in the members on that page. Items are taken as stripped texts.
+    Each link depends on two neighbours only, so links are a lag and groups a running sum. What a line says about
+    its ends is a few booleans, and only these are passed to its neighbours. A head keeps its page; its box takes in the members on
+    that page. Items are taken as stripped texts, in the order of page and seq.
     """
-    w = Window.partitionBy("doc_id", "split_no").orderBy("seq")
-    rows = _split(items)
-    mid = (F.col("category") == "text") & (F.lag("category").over(w) == "text") & F.lag("text").over(w).rlike(r"(?d)^.+[a-z,\-]\s*\z") & F.col("text").rlike(r"(?d)^\s*[a-z].+\z")
-    linked = rows.withColumn("__link", F.coalesce(mid, F.lit(False)))
-    before = F.lag("text").over(w)
-    alnum = r"(?U)^[\p{L}\p{N}]+$"
-    last_word = F.regexp_extract(before, r"(?U)(\w+)\W*$", 1)
-    first_word = F.regexp_extract("text", r"(?U)^\W*(\w+)", 1)
-    hyphen, words = before.endswith("-"), last_word.rlike(alnum) & first_word.rlike(alnum)
-    glue = F.when(~F.col("__link"), "").when(hyphen & words, "-").when(hyphen, "").otherwise(" ")
-    glued = linked.withColumns({"__glue": glue, "__cut": F.lead("__link").over(w) & F.lead(F.when(F.col("__link") & hyphen & words, True).otherwise(False)).over(w)})
-    part = F.concat(F.when(F.col("__glue") == " ", " ").otherwise(""), F.when(F.coalesce("__cut", F.lit(False)), F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text")))
-    grouped = glued.withColumn("__part", part).withColumn("__group", F.sum((~F.col("__link")).cast("int")).over(w))
-    head = Window.partitionBy("doc_id", "split_no", "__group").orderBy("seq")
+    split = Window.partitionBy("doc_id", "split_no")
+    w = split.orderBy("page", "seq")
+    t, text = F.col("text"), F.col("category") == "text"
+    word = lambda pattern: F.regexp_extract(t, pattern, 1).rlike(r"(?U)^[\p{L}\p{N}]+$")
+    ends, begins = text & t.rlike(r"(?d)^.+[a-z,\-]\s*\z"), text & t.rlike(r"(?d)^\s*[a-z].+\z")
+    hyphen = ends & t.endswith("-")
+    rows = _split(items).withColumns({"__ends": ends, "__begins": begins, "__hyphen": hyphen, "__last": hyphen & word(r"(?U)(\w+)\W*$"), "__first": begins & word(r"(?U)^\W*(\w+)")})
+    before = lambda c: F.coalesce(F.lag(c).over(w), F.lit(False))
+    after = lambda c: F.coalesce(F.lead(c).over(w), F.lit(False))
+    link = F.coalesce(F.col("__begins"), F.lit(False)) & before("__ends")
+    # A hyphen between two halves of a word goes; one after something else stays, without a space; all others get a space.
+    space = link & ~before("__hyphen")
+    cut = F.coalesce(F.col("__hyphen") & F.col("__last"), F.lit(False)) & after("__begins") & after("__first")
+    marked = rows.withColumns({"__link": link, "__space": space, "__cut": cut})
+    part = F.concat(F.when(F.col("__space"), " ").otherwise(""), F.when(F.col("__cut"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(t))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    grouped = marked.withColumns({"__part": part, "__group": F.sum((~F.col("__link")).cast("int")).over(upto)})
+    head = Window.partitionBy("doc_id", "split_no", "__group").orderBy("page", "seq")
     same = grouped.withColumn("__page", F.first("page").over(head)).withColumn("__box", F.when(F.col("page") == F.col("__page"), F.col("bbox")))
+    at = F.struct("page", "seq")
     out = same.groupBy("doc_id", "split_no", "__group").agg(
-        F.min("seq").alias("seq"),
+        F.min(at)["seq"].alias("seq"),
         F.min("__page").alias("page"),
-        F.min_by("category", "seq").alias("category"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "__part"))), lambda x: x["__part"]), "").alias("text"),
+        F.min_by("category", at).alias("category"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "seq", "__part"))), lambda x: x["__part"]), "").alias("text"),
         F.when(F.count("__box") > 0, F.struct(F.min("__box.x0").alias("x0"), F.min("__box.y0").alias("y0"), F.max("__box.x1").alias("x1"), F.max("__box.y1").alias("y1"))).alias("bbox"),
     )
     return out.select(*[c for c in ("doc_id", "split_no", "seq", "page", "category", "text", "bbox") if c in items.columns])

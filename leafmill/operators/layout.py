@@ -5,13 +5,11 @@ lines: doc_id, page, seq, text, bbox, font_size; regions: doc_id, page, region_n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import to_category
+from leafmill.functions.text import strip, to_category
 
 #: Headings are so much larger than the body; overlap of lines and of regions; thresholds.
 HEADING_RATIO, LINE_OVERLAP, REGION_OVERLAP, FULL_PAGE = 1.2, 0.2, 0.8, 0.9
@@ -186,15 +184,37 @@ def parse_regions(content: Column) -> Column:
     return F.coalesce(good, F.array().cast(REGION_JSON))
 
 
-def ask(pages: DataFrame, client, schema: str) -> DataFrame:
-    """Rows that a model client gives for pages: client(list of dicts) -> list of lists of dicts, made once for each task."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = client()
-        for batch in batches:
-            rows = batch.to_dict("records")
-            out = [{"doc_id": r["doc_id"], "page": r["page"], **x} for r, xs in zip(rows, call(rows), strict=True) for x in xs]
-            if out:
-                yield pd.DataFrame(out)
-
-    return pages.mapInPandas(run, schema)
+def span_lines(spans: DataFrame) -> DataFrame:
+    """Lines of spans (doc_id, page, line_no, seq, text, size, bbox): texts with a space where the gap asks for one, the box of all, the size of most characters.
+
+    A gap asks for a space if it is over a quarter of the two sizes' mean and neither side has one. Of sizes with as many
+    characters the one found first counts. Blank lines go.
+    """
+    line = Window.partitionBy("doc_id", "page", "line_no")
+    w = line.orderBy("seq")
+    before = lambda c: F.lag(c).over(w)
+    gap = F.col("bbox.x0") - before("bbox")["x1"]
+    space = (gap > (F.col("size") + before("size")) / 2 * 0.25) & ~before("text").endswith(" ") & ~F.col("text").startswith(" ")
+    weight, first = F.sum(F.length("text")).over(Window.partitionBy("doc_id", "page", "line_no", "size")), F.min("seq").over(Window.partitionBy("doc_id", "page", "line_no", "size"))
+    rows = spans.withColumns({"__part": F.concat(F.when(space, " ").otherwise(""), F.col("text")), "__size": F.struct(weight.alias("n"), (-first).alias("first"), F.col("size").alias("size"))})
+    box = F.struct(F.min("bbox.x0").alias("x0"), F.min("bbox.y0").alias("y0"), F.max("bbox.x1").alias("x1"), F.max("bbox.y1").alias("y1"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "__part"))), lambda x: x["__part"]), "")
+    made = rows.groupBy("doc_id", "page", "line_no").agg(text.alias("text"), box.alias("bbox"), F.max("__size")["size"].alias("font_size"))
+    return made.where(strip(F.col("text")) != "").withColumnRenamed("line_no", "seq")
+
+
+def fragment_lines(fragments: DataFrame) -> DataFrame:
+    """Lines of text fragments (doc_id, page, seq, text, x, y, font_size): a step in y of more than a point begins a line.
+
+    Blank fragments don't count. A line starts at its first fragment and has the y and size of its last; its width is
+    half that size a character.
+    """
+    w = Window.partitionBy("doc_id", "page").orderBy("seq")
+    rows = fragments.where(strip(F.coalesce("text", F.lit(""))) != "")
+    new = F.coalesce(F.abs(F.col("y") - F.lag("y").over(w)) > 1, F.lit(False))
+    rows = rows.withColumn("__new", new).withColumn("__line", F.sum(F.col("__new").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "")
+    made = rows.groupBy("doc_id", "page", "__line").agg(text.alias("text"), F.min_by("x", "seq").alias("x"), F.max_by(F.struct("y", "font_size"), "seq").alias("e"))
+    size = F.col("e.font_size")
+    box = F.struct(F.col("x").alias("x0"), F.col("e.y").alias("y0"), (F.col("x") + size / 2 * F.length("text")).alias("x1"), (F.col("e.y") + size).alias("y1"))
+    return made.select("doc_id", "page", F.col("__line").cast("int").alias("seq"), "text", box.alias("bbox"), size.alias("font_size"))

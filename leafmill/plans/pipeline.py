@@ -8,26 +8,29 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import corrupted, garbled, normalize_typography
-from leafmill.operators import chunk, clean, layout, metadata, order
+from leafmill.functions.text import bad_chars, corrupted, garbled, normalize_typography
+from leafmill.operators import chunk, clean, metadata, models, order
 from leafmill.sources import files
 
 LEVELS = ("loader", "chunker", "postprocess", "build_metadata")
 Hook = Callable[[DataFrame], DataFrame]
-NATIVE = ("md", "txt", "csv", "xlsx", "docx")
+OCR_MODES = ("auto", "force", "disable")
 
 
 @dataclass(frozen=True)
 class Config:
+    """layout: a name of models.STRATEGIES, any other is `rule`; ocr: one of OCR_MODES, any other is `auto`; clients: the services these call."""
+
     chunker: str = "smart"
     chunk_size: int = 1000
     over_lap: int = 100
     max_page_split: int = 50
     layout: str = "rule"
     ocr: str = "auto"
+    clients: models.Clients = field(default_factory=models.Clients)
     reorder: bool = True
     return_level: str = "build_metadata"
     reg_date: str | None = None
@@ -49,36 +52,59 @@ class Config:
 
 def needs_ocr(lines: DataFrame, pages: DataFrame, mode: str = "auto") -> DataFrame:
     """pages (doc_id, page) with `ocr`: never, always, or where there are no lines or the glyphs are damaged."""
-    damaged = lines.groupBy("doc_id", "page").agg((F.max(garbled(F.col("text"))) | (F.sum(layout_bad()) > 3)).alias("damaged"))
+    damaged = lines.groupBy("doc_id", "page").agg((F.max(garbled(F.col("text"))) | (F.sum(bad_chars(F.col("text"))) > 3)).alias("damaged"))
     auto = pages.join(damaged, ["doc_id", "page"], "left").withColumn("ocr", F.coalesce("damaged", F.lit(True)))
     rule = {"disable": F.lit(False), "force": F.lit(True)}.get(mode, F.col("ocr"))
     return auto.withColumn("ocr", rule).drop("damaged")
 
 
-def layout_bad():
-    from leafmill.functions.text import bad_chars
-
-    return bad_chars(F.col("text"))
-
-
 def apply_hooks(df: DataFrame, hooks: tuple[Hook, ...]) -> DataFrame:
     for hook in hooks:
         df = df.transform(hook)
     return df
 
 
+def read_again(lines: DataFrame, pages: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
+    """lines with those of pages that the gate sends to OCR replaced by what it reads, and these pages (doc_id, page)."""
+    shown = pages.where("image is not null")
+    gate = needs_ocr(lines.select("doc_id", "page", "text"), shown.select("doc_id", "page"), config.ocr).where("ocr").select("doc_id", "page")
+    read = models.ocr_lines(shown.join(gate, ["doc_id", "page"], "left_semi"), config.clients.of("ocr"), config.clients.dpi)
+    return lines.join(gate, ["doc_id", "page"], "left_anti").select(*read.columns).unionByName(read), gate
+
+
+def analysed(lines: DataFrame, pages: DataFrame, config: Config) -> DataFrame:
+    """Items of lines without category, by OCR and the layout of config; flow lines in reading order where the layout keeps lines."""
+    lines = lines.select("doc_id", "page", "seq", "text", "bbox", "font_size")
+    strategy, words = models.strategy(config.layout, config.clients), None
+    if strategy.needs_words and config.clients.structure is not None:
+        words = files.words_of(pages)
+    if config.ocr != "disable" and config.clients.ocr is not None:
+        lines, again = read_again(lines, pages, config)
+        if words is not None:  # words of such a page are those that OCR was to replace
+            words = words.join(again, ["doc_id", "page"], "left_anti")
+    if words is not None:  # pages without words of their own: their lines are cut
+        cut = models.layout.word_tokens(lines.join(words.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti"))
+        words = words.unionByName(cut.select("doc_id", "page", "id", F.col("token").alias("text"), models._box("l", "t", "r", "b")))
+    items = strategy.apply(lines, pages, words, config.clients).select("doc_id", "page", "seq", "category", "text", "bbox")
+    if strategy.produces_items or not config.reorder:
+        return items
+    # Dummy boxes have no order of their own: only pages with geometry are put in order.
+    shaped = items.withColumn("__shaped", F.max(F.col("bbox.x1") > F.col("bbox.x0")).over(Window.partitionBy("doc_id", "page")))
+    moved = order.reading_order(shaped.where("__shaped").drop("__shaped")).withColumn("seq", F.col("position")).drop("position")
+    return shaped.where("not coalesce(__shaped, false)").drop("__shaped").unionByName(moved)
+
+
 def load(parsed: DataFrame, config: Config) -> DataFrame:
-    """Items of parsed files: native categories as they are, the rest by layout, then cleaning per split."""
-    lines = files.lines_of(parsed.where("error is null"))
-    given, bare = lines.where("category is not null"), lines.where("category is null")
-    ruled = layout.rule_layout(bare).select(*lines.columns)
-    items = given.unionByName(ruled).withColumn("text", normalize_typography(F.col("text")))
-    split = files.split_pages(items, config.max_page_split)
-    if config.reorder:
-        # Dummy boxes have no order of their own: only pages with geometry are grouped.
-        flat = F.col("bbox.x1") <= F.col("bbox.x0")
-        moved = order.reading_order(split.where(~flat)).withColumn("seq", F.col("position")).drop("position")
-        split = split.where(flat).unionByName(moved)
+    """Items of parsed files: native categories as they are, the rest by OCR and layout, then cleaning per split.
+
+    seq counts up over a document, page by page.
+    """
+    lines, pages = files.lines_of(parsed.where("error is null")), files.pages_of(parsed)
+    columns = ["doc_id", "page", "seq", "category", "text", "bbox"]
+    given = lines.where("category is not null").select(*columns)
+    items = given.unionByName(analysed(lines.where("category is null"), pages, config)).withColumn("text", normalize_typography(F.col("text")))
+    numbered = items.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "seq")) - 1)
+    split = files.split_pages(numbered, config.max_page_split)
     return clean.merge_paragraphs(clean.strip_headers_footers(split.select("doc_id", "split_no", "seq", "page", "category", "text", "bbox")))
 
 
@@ -103,9 +129,15 @@ def run(items: DataFrame, config: Config | None = None, page_sizes: DataFrame |
 
 
 def process(spark: SparkSession, path: str, config: Config | None = None) -> DataFrame:
-    """Records of the files under `path`."""
+    """Records of the files under `path`; those of PDFs have their boxes as shares of the page."""
     config = config or Config()
-    return run(load(files.read_files(spark, path), config), config)
+    parsed = files.read_files(spark, path)
+    return run(load(parsed, config), config, files.page_sizes(files.pages_of(parsed)))
+
+
+def fixed_pipeline(spark: SparkSession, path: str, size: int = 1000, overlap: int = 100) -> DataFrame:
+    """A pipeline without configuration: rule layout, no OCR, sections, records."""
+    return process(spark, path, Config(chunker="smart", chunk_size=size, over_lap=overlap, ocr="disable"))
 
 
 def trim_and_drop(chunks: DataFrame) -> DataFrame:

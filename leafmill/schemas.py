@@ -13,4 +13,3 @@ FLOW = ("text", "section_header", "title", "list_item")
 
 BBOX = "struct<x0: double, y0: double, x1: double, y1: double>"
 ITEM = f"doc_id bigint, seq int, page int, category string, text string, bbox {BBOX}"
-FILE_ITEM = f"path string, seq int, page int, category string, text string, bbox {BBOX}"

@@ -1,7 +1,8 @@
 """Files as items: Spark's binaryFile scan, the type of each file, and one parser per format.
 
-Parsers take bytes and give (page, category, text, bbox, font_size) rows; they run inside mapInArrow on the
-executors. PDF and images need optional libraries; a file without a parser is a row with an error.
+Parsers take bytes and give (page, category, text, bbox, font_size) rows, and a Page where a page has a size, an image
+or words; they run inside mapInArrow on the executors. PDF and JPEG need optional libraries; a file without a parser is a
+row with an error.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import subprocess
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -22,6 +24,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Row = tuple[int, str | None, str, tuple[float, float, float, float], float | None]
+
+
+class Page(NamedTuple):
+    """What a page has besides lines: its size in points, its image as PNG, and (text, box) of its words."""
+
+    page: int
+    width: float | None = None
+    height: float | None = None
+    image: bytes | None = None
+    words: list[tuple[str, tuple[float, float, float, float]]] | None = None
+
+
 NOWHERE = (0.0, 0.0, 0.0, 0.0)
 #: Block tags, virtual font sizes, magic bytes.
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "td", "th", "blockquote", "pre")
@@ -236,12 +250,16 @@ def parse_docx(content: bytes) -> Iterator[Row]:
     yield from walk(ElementTree.fromstring(z.read("word/document.xml")).find(f"{W}body"))
 
 
-def parse_pdf(content: bytes) -> Iterator[Row]:
-    """Lines of a PDF by its spans; needs PyMuPDF."""
-    import fitz
-
+def parse_pdf(content: bytes, dpi: int | None = 150) -> Iterator[Row | Page]:
+    """Lines of a PDF by its spans, with size, image (unless dpi is None) and words of each page; needs PyMuPDF, else see pdf_fragments()."""
+    try:
+        import fitz
+    except ImportError:
+        yield from pdf_fragments(content)
+        return
     with fitz.open(stream=content, filetype="pdf") as pdf:
         for number, page in enumerate(pdf, 1):
+            yield Page(number, page.rect.width, page.rect.height, page.get_pixmap(dpi=dpi).tobytes("png") if dpi else None, [(w[4], tuple(w[:4])) for w in page.get_text("words")] if dpi else None)
             for line in (x for b in page.get_text("dict")["blocks"] for x in b.get("lines", [])):
                 spans = [(s["text"], s["size"], s["bbox"]) for s in line["spans"]]
                 text, size = join_spans(spans), dominant_size(spans)
@@ -250,6 +268,28 @@ def parse_pdf(content: bytes) -> Iterator[Row]:
                     yield number, None, text, (min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)), size
 
 
+def pdf_fragments(content: bytes) -> Iterator[Row]:
+    """Lines of a PDF by its text fragments, without images; needs pypdf."""
+    import pypdf
+
+    for number, page in enumerate(pypdf.PdfReader(io.BytesIO(content)).pages, 1):
+        found: list[tuple[str, float, float, float]] = []
+        page.extract_text(visitor_text=lambda text, _, at, font, size, found=found: found.append((text, at[4], at[5], size)))
+        yield from ((number, None, text, box, size) for text, box, size in lines_of_fragments(found))
+
+
+def lines_of_fragments(found: Iterable[tuple[str, float, float, float]]) -> Iterator[tuple[str, tuple[float, float, float, float], float]]:
+    """(text, box, size) of the lines that (text, x, y, size) fragments make; operators.layout.fragment_lines does it over a table."""
+    line: list[tuple[str, float, float, float]] = []
+    for f in [*(f for f in found if f[0] and f[0].strip()), None]:
+        if line and (f is None or abs(f[2] - line[-1][2]) > 1):
+            text, x, y, size = "".join(x[0] for x in line), line[0][1], line[-1][2], line[-1][3]
+            yield text, (x, y, x + size / 2 * len(text), y + size), size
+            line = []
+        if f is not None:
+            line.append(f)
+
+
 def join_spans(spans: list[tuple]) -> str:
     """Texts of a line's spans with a space where the gap is over a quarter of their mean size."""
     out, before = "", None
@@ -268,9 +308,16 @@ def dominant_size(spans: list[tuple]) -> float:
     return max(weights, key=weights.get, default=0.0)
 
 
-def parse_image(content: bytes) -> Iterator[Row]:
-    """An image has no lines of its own; OCR or a model gives them."""
-    return iter(())
+def parse_image(content: bytes) -> Iterator[Page]:
+    """One page without lines, at one point a pixel: OCR or a model reads it. JPEG needs Pillow, which turns it into a PNG."""
+    if not png_size(content):
+        from PIL import Image
+
+        out = io.BytesIO()
+        with Image.open(io.BytesIO(content)) as image:
+            image.convert("RGB").save(out, "PNG")
+        content = out.getvalue()
+    yield Page(1, image=content)
 
 
 def png_size(content: bytes) -> tuple[int, int] | None:
@@ -311,6 +358,9 @@ PARSERS: dict[str, Callable[[bytes], Iterator[Row]]] = {
 }
 
 LINE_TYPE = pa.struct([("seq", pa.int32()), ("page", pa.int32()), ("category", pa.string()), ("text", pa.string()), ("bbox", pa.struct([(k, pa.float64()) for k in ("x0", "y0", "x1", "y1")])), ("font_size", pa.float64())])
+PAGE_TYPE = pa.struct([("page", pa.int32()), ("width", pa.float64()), ("height", pa.float64()), ("image", pa.binary()), ("words", pa.list_(pa.struct([("text", pa.string()), ("bbox", pa.struct([(k, pa.float64()) for k in ("x0", "y0", "x1", "y1")]))])))])
+BOX = "struct<x0: double, y0: double, x1: double, y1: double>"
+PAGES = f"pages array<struct<page: int, width: double, height: double, image: binary, words: array<struct<text: string, bbox: {BOX}>>>>"
 LINES = "ext string, error string, lines array<struct<seq: int, page: int, category: string, text: string, bbox: struct<x0: double, y0: double, x1: double, y1: double>, font_size: double>>"
 
 
@@ -320,27 +370,54 @@ def register_parser(kind: str, parser: Callable[[bytes], Iterator[Row]]) -> None
 
 
 def parse(rows: DataFrame, kind: str | None = None) -> DataFrame:
-    """rows (key, path, content binary) with ext, error and lines. kind: of all rows, else each is sniffed."""
+    """rows (key, path, content binary) with ext, error, lines and pages. kind: of all rows, else each is sniffed.
+
+    An error is `Name: text` of what a parser raised: errors_by_kind() counts them, so a fault of a parser shows.
+    """
     parsers = dict(PARSERS)
+    boxed = lambda b: dict(zip(("x0", "y0", "x1", "y1"), b, strict=True))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            exts, errors, lines = [], [], []
+            exts, errors, lines, pages = [], [], [], []
             for path, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ext, error, found = kind, None, []
+                ext, error, found, sheets = kind, None, [], []
                 try:
                     ext = kind or sniff(path or "", content or b"")
                     if ext not in parsers:
                         raise ValueError(f"no parser for {ext}")
-                    found = [{"seq": i, "page": p, "category": c, "text": t, "bbox": dict(zip(("x0", "y0", "x1", "y1"), b, strict=True)), "font_size": s} for i, (p, c, t, b, s) in enumerate(parsers[ext](content or b""))]
+                    made = list(parsers[ext](content or b""))
+                    sheets = [x._asdict() | {"words": None if x.words is None else [{"text": t, "bbox": boxed(b)} for t, b in x.words]} for x in made if isinstance(x, Page)]
+                    found = [{"seq": i, "page": p, "category": c, "text": t, "bbox": boxed(b), "font_size": s} for i, (p, c, t, b, s) in enumerate(x for x in made if not isinstance(x, Page))]
                 except Exception as e:  # one bad file is a row with an error, not a failed job
-                    error, found = f"{type(e).__name__}: {e}", []
+                    error, found, sheets = f"{type(e).__name__}: {e}", [], []
                 exts.append(ext)
                 errors.append(error)
                 lines.append(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exts, pa.string()), pa.array(errors, pa.string()), pa.array(lines, pa.list_(LINE_TYPE))], ["key", "path", "ext", "error", "lines"])
+                pages.append(sheets)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exts, pa.string()), pa.array(errors, pa.string()), pa.array(lines, pa.list_(LINE_TYPE)), pa.array(pages, pa.list_(PAGE_TYPE))], ["key", "path", "ext", "error", "lines", "pages"])
+
+    return rows.select("key", "path", "content").mapInArrow(run, f"key bigint, path string, {LINES}, {PAGES}")
+
+
+def errors_by_kind(parsed: DataFrame) -> DataFrame:
+    """(ext, error, n): how often files failed, by type and by the error's name."""
+    return parsed.where("error is not null").groupBy("ext", F.substring_index("error", ":", 1).alias("error")).agg(F.count("*").alias("n"))
+
+
+def pages_of(parsed: DataFrame) -> DataFrame:
+    """doc_id, path, page, width, height, image, words of every page that a parser described."""
+    return parsed.where("error is null").select(F.col("key").alias("doc_id"), "path", F.explode("pages").alias("x")).select("doc_id", "path", "x.*")
+
+
+def words_of(pages: DataFrame) -> DataFrame:
+    """doc_id, page, id, text, bbox of the words of pages."""
+    return pages.select("doc_id", "page", F.posexplode("words").alias("id", "x")).select("doc_id", "page", "id", "x.text", "x.bbox")
+
 
-    return rows.select("key", "path", "content").mapInArrow(run, f"key bigint, path string, {LINES}")
+def page_sizes(pages: DataFrame) -> DataFrame:
+    """doc_id, page, width, height of the pages of files named .pdf."""
+    return pages.where(F.lower("path").endswith(".pdf") & F.col("width").isNotNull()).select("doc_id", "page", "width", "height")
 
 
 def lines_of(parsed: DataFrame) -> DataFrame:

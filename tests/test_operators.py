@@ -1,14 +1,17 @@
 """Small literal cases of the document operators."""
 
+import urllib.error
+
 import pytest
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
-from leafmill.operators import chunk, clean, layout, metadata, order
-from leafmill.plans import pipeline
+from leafmill.operators import chunk, clean, layout, metadata, models, order
+from leafmill.plans import pipeline, stubs
 from leafmill.schemas import BBOX, ITEM
+from leafmill.sources import files
 
-SECTIONED = [("section_header", 1, "Intro"), ("text", 1, "para one on page 1"), ("text", 2, "para two on page 2"), ("section_header", 3, "Chapter 2"), ("text", 3, "para three on page 3")]
+SECTIONED = [("section_header", 1, "Harbour"), ("text", 1, "Ships lie at the east quay."), ("text", 2, "Cranes stand to the west."), ("section_header", 3, "Lighthouse"), ("text", 3, "It burns from dusk.")]
 
 
 def items(spark, rows):
@@ -20,7 +23,7 @@ def got(df):
 
 
 def test_hierarchical(spark):
-    assert got(chunk.hierarchical(items(spark, SECTIONED))) == [("Intro, para one on page 1", 1, 1), ("Intro, para two on page 2", 2, 2), ("Chapter 2, para three on page 3", 3, 3)]
+    assert got(chunk.hierarchical(items(spark, SECTIONED))) == [("Harbour, Ships lie at the east quay.", 1, 1), ("Harbour, Cranes stand to the west.", 2, 2), ("Lighthouse, It burns from dusk.", 3, 3)]
 
 
 def test_smart(spark):
@@ -54,15 +57,16 @@ def test_headers_and_footers(spark):
 
 def test_paragraphs(spark):
     merge = lambda *rows: [r["text"] for r in clean.merge_paragraphs(items(spark, rows)).orderBy("seq").collect()]
-    assert merge(("text", 1, "this describes the informa-"), ("text", 2, "tion theory basics.")) == ["this describes the information theory basics."]
-    assert merge(("text", 1, "as we saw in the previous section,"), ("text", 1, "the result follows directly.")) == ["as we saw in the previous section, the result follows directly."]
-    assert len(merge(("text", 1, "The end."), ("text", 1, "the next"))) == 2
-    assert len(merge(("text", 1, "so that"), ("formula", 1, "x = y"), ("text", 1, "follows"))) == 3
+    assert merge(("text", 1, "gulls nest on the break-"), ("text", 2, "water in spring.")) == ["gulls nest on the breakwater in spring."]
+    assert merge(("text", 1, "when the tide is out,"), ("text", 1, "boats rest on mud.")) == ["when the tide is out, boats rest on mud."]
+    assert len(merge(("text", 1, "Nets dry."), ("text", 1, "ropes too"))) == 2
+    assert len(merge(("text", 1, "a depth of"), ("formula", 1, "d = 3t"), ("text", 1, "is enough"))) == 3
 
 
 def test_reading_order():
-    title, right, left = (0, 0, 210, 10), [(110, 12, 210, 22), (110, 24, 210, 34)], [(0, 12, 100, 22), (0, 24, 100, 34)]
-    assert order.sort_boxes([title, *right, *left]) == [0, 3, 4, 1, 2]
+    banner, east, west = (5, 1, 305, 21), [(165, 30, 300, 44), (165, 50, 300, 64), (165, 70, 290, 84)], [(5, 31, 150, 45), (5, 52, 140, 66)]
+    assert order.sort_boxes([*east, banner, *west]) == [3, 0, 1, 2, 4, 5]
+    assert order.sort_boxes([banner, *[(a, b + 2, c, d + 2) for a, b, c, d in east], *west]) == [0, 4, 5, 1, 2, 3]
     assert order.sort_boxes([(0, 0, 0, 0)] * 3) == [0, 1, 2]
 
 
@@ -75,8 +79,8 @@ def test_overlapping_regions(spark):
 
 def test_words(spark):
     schema = f"doc_id bigint, page int, seq int, text string, bbox {BBOX}"
-    out = layout.word_tokens(spark.createDataFrame([(1, 1, 0, "a bb", (0.0, 0.0, 30.0, 10.0))], schema)).orderBy("id").collect()
-    assert [r["token"] for r in out] == ["a", "bb"] and abs((out[1]["r"] - out[1]["l"]) / (out[0]["r"] - out[0]["l"]) - 2) < 1e-9
+    out = layout.word_tokens(spark.createDataFrame([(1, 1, 0, "x yz", (0.0, 0.0, 60.0, 8.0))], schema)).orderBy("id").collect()
+    assert [r["token"] for r in out] == ["x", "yz"] and abs((out[1]["r"] - out[1]["l"]) / (out[0]["r"] - out[0]["l"]) - 2) < 1e-9
 
 
 def test_text_rules(spark):
@@ -86,7 +90,7 @@ def test_text_rules(spark):
 
 
 def test_records(spark):
-    chunks = spark.createDataFrame([(1, 0, "hello world", 1, 1), (1, 1, "second chunk page1", 1, 1), (1, 2, "third chunk page2\nline2", 2, 3)], "doc_id bigint, chunk_no int, text string, i_page int, e_page int").withColumn("bboxes", F.lit(None).cast(f"array<{chunk.ENTRY}>"))
+    chunks = spark.createDataFrame([(1, 0, "tide table", 1, 1), (1, 1, "low water", 1, 1), (1, 2, "high water\nat noon", 2, 3)], "doc_id bigint, chunk_no int, text string, i_page int, e_page int").withColumn("bboxes", F.lit(None).cast(f"array<{chunk.ENTRY}>"))
     rows = metadata.vectors(chunks, reg_date="x").orderBy("i_chunk_on_doc").collect()
     assert [r["i_chunk_on_page"] for r in rows] == [0, 1, 0] and [r["n_chunk_of_page"] for r in rows] == [2, 2, 1]
     assert rows[0]["n_chunk_of_doc"] == 3 and rows[0]["n_page"] == 3 and (rows[2]["n_words"], rows[2]["n_lines"]) == (4, 2)
@@ -96,3 +100,68 @@ def test_levels(spark):
     with pytest.raises(ValueError):
         pipeline.run(items(spark, SECTIONED), pipeline.Config(return_level="nothing"))
     assert pipeline.Config.merged({"chunk_size": 5}, {"chunk_size": 7}).chunk_size == 7
+
+
+def test_records_are_written_as_json(spark, tmp_path):
+    records = pipeline.run(items(spark, SECTIONED), pipeline.Config(reg_date="x"))
+    pipeline.write_records(records, str(tmp_path / "out"))
+    assert sorted(r["text"] for r in spark.read.json(str(tmp_path / "out")).collect()) == sorted(r["text"] for r in records.collect())
+
+
+def test_paragraphs_keep_to_their_page_order(spark):
+    """Lines whose numbers begin anew on each page are told apart by the page."""
+    rows = [(1, i, p, "text", f"Berth {p}{i}.", (0.0, 10.0 * i, 9.0, 10.0 * i + 5)) for p in (2, 1) for i in range(3)]
+    merged = clean.merge_paragraphs(spark.createDataFrame(rows, ITEM)).orderBy("page", "seq").collect()
+    assert [r["text"] for r in merged] == [f"Berth {p}{i}." for p in (1, 2) for i in range(3)]
+
+
+def test_load_keeps_pages_apart(spark):
+    lines = [(i, p, None, f"Berth {p}{i}.", (0.0, 20.0 * i, 90.0, 20.0 * i + 10), 10.0) for p in (1, 2) for i in range(3)]
+    schema = f"key bigint, path string, {files.LINES}, {files.PAGES}"
+    parsed = spark.createDataFrame([(5, "a.pdf", "pdf", None, lines, [])], schema)
+    assert [r["text"] for r in pipeline.load(parsed, pipeline.Config()).orderBy("seq").collect()] == [f"Berth {p}{i}." for p in (1, 2) for i in range(3)]
+
+
+def test_scanned_pages_are_read(spark):
+    """An image without lines goes to OCR unless it is disabled; without a client nothing is asked."""
+    png = stubs.PNG
+    parsed = files.parse(spark.createDataFrame([(3, "scan", bytes.fromhex(png))], "key bigint, path string, content binary"))
+    texts = lambda **more: [r["text"] for r in pipeline.load(parsed, pipeline.Config(**more)).orderBy("seq").collect()]
+    assert texts(clients=stubs.CLIENTS) == ["read 3 0"]
+    assert texts(clients=stubs.CLIENTS, ocr="disable") == [] == texts()
+    assert texts(clients=stubs.CLIENTS, ocr="disable", layout="vlm_all") == ["text 0", "text 1", "text 3"]
+    with pytest.raises(ValueError):
+        texts(layout="vlm_all")
+
+
+def test_clients_of_services():
+    sent = []
+
+    def send(url, body, timeout, key=None):
+        sent.append((url, body, key))
+        if "max_completion_tokens" in body:
+            raise urllib.error.HTTPError(url, 400, "", None, None)
+        found = {"rec_texts": ["a", "b"], "rec_scores": [1.0], "rec_boxes": [[0, 0, 1, 1], [1, 1, 2, 2]]}
+        return {"choices": [{"message": {"content": "said"}}], "results": [[{"label": "Text"}]], "result": {"ocrResults": [{"prunedResult": found}]}}
+
+    assert models.Vlm("u", key="k", model="m", send=send)()([{"image": b"x", "prompt": "p"}]) == ["said"]
+    first, second = sent[0][1], sent[1][1]
+    assert first.pop("max_completion_tokens") == second.pop("max_tokens") and first == second and sent[0][2] == "k"
+    assert first["messages"][0]["content"][0]["image_url"]["url"] == "data:image/png;base64,eA=="
+    assert models.Detector("u/", send=send)()([{"image": b"x"}]) == [[{"label": "Text"}]] and sent[-1][0] == "u/detect"
+    assert models.Ocr("u", send=send)()([{"image": b"x"}]) == [[{"text": "a", "box": [0, 0, 1, 1]}]]
+    assert models.Structure("u", send=send)()([{"image": b"x", "boxes": [[0.0] * 4], "tokens": []}]) == [[{"label": "Text"}]]
+
+    def refuse(url, body, timeout, key=None):
+        raise urllib.error.HTTPError(url, 500, "", None, None)
+
+    with pytest.raises(urllib.error.HTTPError):
+        models.Vlm("u", send=refuse)()([{"image": b"x", "prompt": "p"}])
+
+
+def test_empty_relations(spark):
+    lines = spark.createDataFrame([], f"doc_id bigint, page int, seq int, text string, bbox {BBOX}, font_size double")
+    pages = spark.createDataFrame([], "doc_id bigint, page int, image binary")
+    for name in models.STRATEGIES:
+        assert models.strategy(name).apply(lines, pages, None, stubs.CLIENTS).count() == 0
+    assert clean.strip_headers_footers(spark.createDataFrame([], ITEM)).count() == clean.merge_paragraphs(spark.createDataFrame([], ITEM)).count() == 0
