@@ -20,6 +20,7 @@ has no pieces. Ties of a rank (repeated doc_ids) go by the tail's checksum. Othe
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -27,7 +28,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, whole_text
@@ -258,8 +259,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> D
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     placed = ranked.mapInArrow(assign, schema)
     whole = cut.where(F.col("length") == width)
-    # One row for each task that cut whole pieces: a running sum over a small table.
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bases = whole.groupBy("part").agg(F.count("*").alias("n")).select("part", (F.sum("n").over(upto) - F.col("n") + sequences).alias("base"))
-    alone = whole.join(bases, "part").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("number")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    # One number for each task that cut whole pieces is added up on the driver.
+    cuts = {r["part"]: r["count"] for r in whole.groupBy("part").count().collect()}
+    before = dict(zip(sorted(cuts), itertools.accumulate([sequences, *[cuts[p] for p in sorted(cuts)]]), strict=False))
+    bases = docs.sparkSession.createDataFrame(list(before.items()), "part bigint, base bigint")
+    alone = whole.join(F.broadcast(bases), "part").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("number")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return placed.unionByName(alone)

@@ -1,6 +1,6 @@
-"""Token ids in a binary format of patched frame-of-reference blocks.
+"""Token ids in binary files of patched frame-of-reference blocks.
 
-A shard (one binary value) holds the ids of a run of documents in ascending doc_id order:
+A file holds the ids of a run of documents in ascending doc_id order:
 
     header   magic "PFR1", block size, ids, blocks, documents (little-endian, 4 + 4 + 8 + 4 + 4 bytes)
     blocks   each: minimum u32, count u32, width u8, exceptions u16, pad u8; (value - minimum) mod
@@ -12,15 +12,17 @@ A shard (one binary value) holds the ids of a run of documents in ascending doc_
 The width of a block is that of its PERCENTILE-th largest value above the minimum; larger values
 go to the exception list. A reader finds the block of an id by the index and decodes it alone.
 
-Shards are Parquet rows in the shared folder (Spark writes and commits them, so a lost executor's
-attempts vanish). Null texts are empty: their ids are the end id alone. Repeated doc_ids follow one
-another in the order of their texts. An empty table gives no shards and no rows. Null doc_ids are
-kept and come first. Other columns are ignored.
+Files lie in the shared folder under names of their own; a row of the index names each. Only the rows of tasks that
+committed are kept, so an attempt that is lost leaves a file that nothing refers to. Null texts are empty: their ids are
+the end id alone. Repeated doc_ids follow one another in the order of their texts' hashes, and may lie in several files. An
+empty table gives no files and no rows. Null doc_ids are kept and come first. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import materialize, whole_text
+from leafmill.llm.shared import materialize, new_path, whole_text
 from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
 
 MAGIC = b"PFR1"
@@ -49,6 +51,40 @@ def _widths(above: np.ndarray, percentile: int) -> np.ndarray:
     return np.frexp(np.partition(above, at, axis=1)[:, at].astype(float))[1].astype(np.uint8)
 
 
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of unsigned values, `width` bits each, as rows of bytes: the lowest bits first. Eight values of up to 16 bits go through two words."""
+    rows, n = values.shape
+    size = (n * width + 7) // 8
+    if width > 16:
+        bits = ((values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
+        return np.packbits(bits.reshape(rows, n * width), axis=1, bitorder="little")
+    eights = np.zeros((rows, -(-n // 8) * 8), np.uint64)
+    eights[:, :n] = values
+    eights = eights.reshape(rows, -1, 2, 4)
+    low, high = (sum((eights[:, :, k, i] << np.uint64(i * width) for i in range(1, 4)), eights[:, :, k, 0]) for k in (0, 1))
+    words = np.stack([low | (high << np.uint64(4 * width) if width < 16 else np.uint64(0)), high >> np.uint64(64 - 4 * width)], axis=-1)
+    return words.view(np.uint8)[:, :, :width].reshape(rows, -1)[:, :size]
+
+
+def _unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
+    """n values that _pack() made a row of bytes of."""
+    if width > 16:
+        padded = np.zeros((n, 32), np.uint8)
+        padded[:, :width] = np.unpackbits(data, count=n * width, bitorder="little").reshape(n, width)
+        return np.packbits(padded, axis=1, bitorder="little").view("<u4")[:, 0]
+    groups = -(-n // 8)
+    flat = np.zeros(groups * width, np.uint8)
+    flat[: len(data)] = data
+    words = np.zeros((groups, 16), np.uint8)
+    words[:, :width] = flat.reshape(groups, width)
+    low, high = words.view(np.uint64).T
+    half = np.uint64((1 << 4 * width) - 1)
+    pair = low & half, (low >> np.uint64(4 * width) | high << np.uint64(64 - 4 * width) if width < 16 else high) & half
+    shifts = np.arange(4, dtype=np.uint64) * np.uint64(width)
+    out = np.stack(pair, axis=1)[:, :, None] >> shifts & np.uint64((1 << width) - 1)
+    return out.reshape(-1)[:n].astype(np.uint32)
+
+
 def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
     """The blocks of ids (unsigned, up to 32 bits), and the offset of each from the first."""
     if not 0 < block <= 65536:
@@ -65,8 +101,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENT
         for w in np.unique(widths):
             own = np.flatnonzero(widths == w)
             v, w = above[own], int(w)
-            bits = ((v[:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8) if w else np.zeros((len(own), n, 0), np.uint8)
-            packed = np.packbits(bits.reshape(len(own), n * w), axis=1, bitorder="little")
+            packed = _pack(v & np.uint32((1 << w) - 1), w) if w else np.zeros((len(own), 0), np.uint8)
             over = v >> np.uint32(w) if w < 32 else np.zeros_like(v)
             for k, i in enumerate(own):
                 places = np.flatnonzero(over[k])
@@ -85,10 +120,7 @@ def decode_block(data: memoryview | bytes, at: int) -> np.ndarray:
     size = (n * width + 7) // 8
     out = np.zeros(n, np.uint32)
     if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-        padded = np.zeros((n, 32 if width > 16 else 16), np.uint8)
-        padded[:, :width] = bits
-        out[:] = np.packbits(padded, axis=1, bitorder="little").view("<u4" if width > 16 else "<u2")[:, 0]
+        out[:] = _unpack(np.frombuffer(data, np.uint8, size, at), n, width)
     if exceptions:
         places = np.frombuffer(data, "<u2", exceptions, at + size)
         out[places] |= np.frombuffer(data, "<u4", exceptions, at + size + 2 * exceptions) << np.uint32(width)
@@ -125,19 +157,24 @@ class Shard:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-#: part: the task that wrote the shard, in order of its documents; seq: its number there.
-SHARDS = "part bigint, seq bigint, null_docs bigint, n_ids bigint, shard binary"
+#: part: the task that wrote the file, in order of its documents; seq: its number there.
+INDEX = "part bigint, seq bigint, null_docs bigint, n_ids bigint, store string, file string"
 
 
-def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK, percentile: int = PERCENTILE) -> DataFrame:
-    """Write the ids of every text, each with the end id, and return the written shards.
+def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK, percentile: int = PERCENTILE, special_as_text: bool = False) -> DataFrame:
+    """Write the ids of every text, each with the end id, and return the index of the files.
 
-    One range shuffle of the texts puts the documents in order; each task then encodes and writes its run.
+    One range shuffle of the texts puts the documents in order; each task then encodes and writes its run. Rows of one
+    doc_id, or of none, are told apart by text and row, so that none of them fills a task.
     """
-    path = tokenizer or vocabulary("byte_bpe_50k.json")
+    path, folder = tokenizer or vocabulary("byte_bpe_50k.json"), new_path(docs.sparkSession, "pfor-files")
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        encoder = Encoder(path, special_as_text)
         held: list[bytes] = []
         doc_ids: list[int | None] = []
         part, seq = TaskContext.get().partitionId(), 0
@@ -146,9 +183,11 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
 
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u2")
-            shard = write_shard(ids, [d or 0 for d in doc_ids], [len(h) // 2 for h in held], block, percentile)
-            row = [[part], [seq], [sum(d is None for d in doc_ids)], [len(ids)], [shard]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.int64(),) * 4 + (pa.binary(),), strict=True)], ["part", "seq", "null_docs", "n_ids", "shard"])
+            name = f"{base}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.pfr"
+            with store.open_output_stream(name, compression=None) as out:
+                out.write(write_shard(ids, [d or 0 for d in doc_ids], [len(h) // 2 for h in held], block, percentile))
+            row = [[part], [seq], [sum(d is None for d in doc_ids)], [len(ids)], [folder], [name]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.int64(),) * 4 + (pa.string(),) * 2, strict=True)], ["part", "seq", "null_docs", "n_ids", "store", "file"])
 
         for batch in rows:
             texts, ids = (batch.column(i).to_pylist() for i in range(2))
@@ -163,24 +202,31 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
         if held:
             yield flush()
 
-    ordered = docs.select(whole_text().alias("text"), "doc_id").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return materialize(ordered.mapInArrow(run, SHARDS), "pfor")
+    rows = docs.select(whole_text().alias("text"), "doc_id").withColumns({"__h": F.xxhash64("text"), "__row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange("doc_id", "__h", "__row").sortWithinPartitions("doc_id", "__h", "__row").select("text", "doc_id")
+    return materialize(ordered.mapInArrow(run, INDEX), "pfor")
 
 
-def read_ids(shards: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document, from the shards."""
-    # One row for each SHARD_IDS ids, without their bytes: the running sum is over a small table.
-    order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bases = shards.select("part", "seq", "n_ids").select("part", "seq", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("base"))
+def read_ids(index: DataFrame) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document, from the files."""
+    # The driver adds up one number for each task that wrote; the files of a task are added up where they are.
+    totals = {r["part"]: r["n"] for r in index.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
+    parts = sorted(totals)
+    before = dict(zip(parts, itertools.accumulate([0, *[totals[p] for p in parts]]), strict=False))
+    order = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = index.select("null_docs", "store", "file", "part", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("base"))
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for batch in rows:
-            for part, seq, nulls, data in zip(*(batch.column(i) for i in range(4)), strict=True):
-                shard, nulls = Shard(data.as_py()), nulls.as_py()
+            for nulls, folder, file, part, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store, _ = fs.FileSystem.from_uri(folder)
+                with store.open_input_file(file) as f:
+                    shard = Shard(f.read())
                 crcs = [zlib.crc32(shard.read(int(f), int(n)).astype("<u4").tobytes()) for f, n in zip(shard.docs["first"], shard.docs["n"], strict=True)]
                 ids = [None] * nulls + shard.docs["doc"][nulls:].tolist()
-                columns = [pa.array(ids, pa.int64()), pa.array(shard.docs["first"].astype(np.int64)), pa.array(shard.docs["n"].astype(np.int64)), pa.array(crcs, pa.int64()), pa.array([part.as_py()] * len(ids), pa.int64()), pa.array([seq.as_py()] * len(ids), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "n_tokens", "ids_crc32", "part", "seq"])
+                columns = [pa.array(ids, pa.int64()), pa.array(shard.docs["first"].astype(np.int64) + base + before[part]), pa.array(shard.docs["n"].astype(np.int64)), pa.array(crcs, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    read = shards.select("part", "seq", "null_docs", "shard").mapInArrow(run, "doc_id bigint, first bigint, n_tokens bigint, ids_crc32 bigint, part bigint, seq bigint")
-    return read.join(bases, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    return placed.repartition("file").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -7,6 +7,7 @@ import functools
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 #: The end id that follows each document.
@@ -34,12 +35,14 @@ def tiktoken_encoding(path: str):
 
 
 @functools.cache
-def json_tokenizer(path: str):
+def json_tokenizer(path: str, special_as_text: bool = False):
+    """The tokenizer of a file. special_as_text: a special token's string inside a text is ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # a special token's string inside a text is ordinary text
+    if special_as_text:
+        found.encode_special_tokens = True
     return found
 
 
@@ -52,52 +55,104 @@ def safe_pieces(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-@functools.cache
-def ranked_encoding(path: str):
-    """The tiktoken encoding with the vocabulary and merges of a tokenizers file, or None if the two could differ.
-
-    Both merge the pair of least rank first, leftmost of equals. tiktoken ranks a pair by the id of what it
-    makes, the tokenizers library by its place in the merges: the same if merge i makes the i-th id after
-    the single bytes, which is checked here, as is that nothing but byte-level splitting is configured.
-    """
-    import public_tokenizers
-    import tiktoken
-
-    file = json.loads(json_tokenizer(path).to_str())
-    model, before = file["model"], file["pre_tokenizer"] or {}
-    if model["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex") or file["normalizer"] or model.get("dropout") or model.get("ignore_merges"):
-        return None
-    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-    if any(model["vocab"].get(x + y) != 256 + i for i, (x, y) in enumerate(merges)) or len(merges) + 256 != len(model["vocab"]):
-        return None
-    # Printable stand-ins of the byte-level alphabet: bytes that are printable stand for themselves, the others follow from 256 on.
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-    ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items()}
-    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+#: Chunks whose ids a worker keeps at most.
+CACHE = 600_000
+#: A mark after letters that ends a word: the pattern begins a new match there.
+MARKS = frozenset(".,;:!?")
+#: Printable stand-ins of the byte-level alphabet: bytes that are printable stand for themselves, the others follow from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_STAND_INS = str.maketrans({chr(b): chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)})
 
 
 class Encoder:
-    """The ids of texts by a tokenizers file, as little-endian unsigned 16-bit bytes (vocabularies of up to 65,536 ids).
-
-    The library itself encodes 1.5 to 2.6 MB a second; where ranked_encoding() shows the ids to be the same,
-    tiktoken does the merging, and the library encodes the first text of each call to hold against it.
+    """The ids of texts by the tokenizers library, as little-endian unsigned 16-bit bytes (vocabularies of up to 65,536 ids).
+
+    The library's byte-level pre-tokenizer matches nothing across a single line end between two characters that aren't
+    white space, nor across the place before such a single space. A text is cut there, and each different chunk is
+    encoded once while it is kept: a word of letters, with a mark after it or not, by the library's model alone (no
+    match of the pattern is in doubt), any other chunk by the whole tokenizer. Texts with more white space at
+    such a place or at an end, or with a special token's string, and files with another pre-tokenizer or a normalizer go to
+    the library whole.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer, self.fast = json_tokenizer(path), ranked_encoding(path)
+    def __init__(self, path: str, special_as_text: bool = False):
+        self.tokenizer = json_tokenizer(path, special_as_text)
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("the vocabulary has more than 65,536 ids")
+        file = json.loads(self.tokenizer.to_str())
+        before = file["pre_tokenizer"] or {}
+        self.cuts = file["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not file["normalizer"]
+        self.special = [] if special_as_text else [x["content"] for x in file["added_tokens"]]
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of_match(self, text: str) -> bytes:
+        """The ids of one match of the pattern."""
+        return array("H", [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_STAND_INS))]).tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
+        if not self.cuts or not texts:
+            return self.whole(texts)
         import numpy as np
-
-        if self.fast is None:
-            return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        out = [np.array([i for p in safe_pieces(t, PIECE) for i in self.fast.encode_ordinary(p)] if len(t) > PIECE else self.fast.encode_ordinary(t), "<u2").tobytes() for t in texts]
-        if texts and np.array(self.tokenizer.encode(texts[0], add_special_tokens=False).ids, "<u2").tobytes() != out[0]:
-            raise ValueError("the tokenizers library gives other ids")
-        return out
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # Chunks, with each line end as one of them; white space beside a cut leaves an empty chunk or one that has some at its end.
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n "), " ")
+        at, chunks = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
+        index, different = chunks.indices.to_numpy().astype(np.int64), chunks.dictionary.to_pylist()
+        # The first chunk of a line has no space before it: it is kept with one, as all others go without.
+        first = np.append(True, index[:-1] == pc.index(chunks.dictionary, "\n").as_py())
+        first[at[:-1]] = True
+        code = 2 * index + first
+        used = np.zeros(2 * len(different), bool)
+        used[code] = True
+        keys = [f" {different[c >> 1]}" if c & 1 else different[c >> 1] for c in np.flatnonzero(used).tolist()]
+        if len(self.known) > CACHE or len(self.words) > CACHE:
+            self.known.clear()
+            self.words.clear()
+        if not self.known:
+            self.known["\n"] = self.known[" \n"] = self.of_match("\n")
+        self.learn([k for k in keys if k not in self.known and not self.apart(k)])
+        found = [self.known.get(k) for k in keys]
+        place = np.cumsum(used)[code] - 1
+        odd = np.array([x is None for x in found])[place]
+        sizes = np.array([len(x or b"") // 2 for x in found])
+        starts, length = (np.cumsum(sizes) - sizes)[place], sizes[place]
+        ends = np.cumsum(length)
+        ids = np.frombuffer(b"".join([x or b"" for x in found]), "<u2")[np.repeat(starts - ends + length, length) + np.arange(ends[-1])].tobytes()
+        edges = (2 * np.append(0, ends)[at]).tolist()
+        alone = {i for i, x in enumerate(np.logical_or.reduceat(odd, at[:-1]).tolist()) if x} | {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        whole = dict(zip(sorted(alone), self.whole([texts[i] for i in sorted(alone)]), strict=True))
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+
+    def apart(self, key: str) -> bool:
+        """Whether a text with this chunk is encoded whole."""
+        return key in ("", " ") or key[key[0] == " "].isspace() or key[-1].isspace()
+
+    def learn(self, chunks: list[str]) -> None:
+        """Keep the ids of chunks."""
+        known, words, rest, tokenize, gap = self.known, self.words, [], self.model.tokenize, " ".translate(_STAND_INS)
+        for c in chunks:
+            first = c[0] == " "
+            body = c[1:] if first else c
+            mark = body[-1] if body[-1] in MARKS else ""
+            word = body[:-1] if mark else body
+            if not word.isalpha() or not word.isascii() and max(word) > "\u024f":
+                rest.append(c)
+                continue
+            key = word if first else f" {word}"
+            found = words.get(key)
+            if found is None:
+                found = words[key] = array("H", [t.id for t in tokenize(word if first else gap + word)]).tobytes() if word.isascii() else self.of_match(key)
+            if mark and mark not in words:
+                words[mark] = self.of_match(mark)
+            known[c] = found + words[mark] if mark else found
+        known.update(zip(rest, self.whole([c[1:] if c[0] == " " else f" {c}" for c in rest]), strict=True))
 
 
 def batches(texts: list[str], characters: int = 2_000_000) -> Iterator[tuple[int, int]]:

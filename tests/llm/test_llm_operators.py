@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from leafmill.llm import bpe, media, near_copies, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp
-from leafmill.llm.tokenizing import Encoder, json_tokenizer, safe_pieces, vocabulary
+from leafmill.llm.tokenizing import Encoder, safe_pieces, vocabulary
 
 random.seed(3)
 WORDS = [random.choice("abcdefgh") + random.choice("aeiou") + random.choice("lmnrst") for _ in range(60)]
@@ -79,12 +79,38 @@ def test_toxicity(spark, empty):
     assert {r["score"] for r in toxicity.score_toxicity(docs, labelled.where("false")).collect()} == {0.0}
 
 
-def test_packing(docs, empty):
-    rows = packing.pack(docs).collect()
-    tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
-    expected = sorted(zlib.crc32(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes()) for _, t, _ in ROWS)
-    assert sum(r["length"] for r in rows) == sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in ROWS)
-    assert {r["ids_crc32"] for r in rows if r["length"] == r["doc_tokens"]} <= set(expected)
+def ids_of(text, special_as_text=False):
+    """Ids by an untouched tokenizer, with the end id."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = special_as_text
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def crc_of(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+SPECIAL = [(50, "a <|endoftext|> b", 0), (51, "<|endoftext|><|endoftext|>", 0), (52, "a " * 1100 + "b" * 700, 0)]
+
+
+def test_packing(spark, empty):
+    """Each id lies in exactly one piece whose checksum is that of its ids; sequences have no gaps and little padding."""
+    table = ROWS + SPECIAL
+    rows = packing.pack(spark.createDataFrame(table, SCHEMA)).collect()
+    by_doc: dict = {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for doc_id, pieces in by_doc.items():
+        wanted = sorted((ids_of(t) for i, t, _ in table if i == doc_id), key=len)
+        assert sorted({r["doc_tokens"] for r in pieces}) == sorted({len(x) for x in wanted})
+        expected = []
+        for ids in wanted:
+            own = sorted({(r["start"], r["length"]) for r in pieces if r["doc_tokens"] == len(ids)})
+            assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) == len(ids)  # noqa: B905
+            expected += [(a, n, len(ids), crc_of(ids[a : a + n])) for a, n in own]
+        assert sorted(expected) == sorted((r["start"], r["length"], r["doc_tokens"], r["ids_crc32"]) for r in pieces)
     by: dict = {}
     for r in rows:
         by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
@@ -94,6 +120,9 @@ def test_packing(docs, empty):
             assert offset == at
             at += length
         assert at <= packing.WIDTH
+    size = sum(packing.padded(sum(n for _, n in p), packing.WIDTH) for p in by.values())
+    tokens = sum(r["length"] for r in rows)
+    assert tokens == sum(len(ids_of(t)) for _, t, _ in table) and size < tokens + packing.WIDTH
     assert packing.pack(empty).count() == 0
 
 
@@ -284,19 +313,47 @@ def test_near_copies_without_or_with_repeated_ids(spark):
     assert sorted(kept, key=str) == sorted([(None, a), (1, b), (7, c), (7, d)], key=str)
 
 
-def test_token_ids(docs, empty):
-    rows = pfor.read_ids(pfor.write_ids(docs)).collect()
-    tokenizer = json_tokenizer(vocabulary("byte_bpe_50k.json"))
-    ids = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]) for i, t, _ in ROWS]
-    assert sorted(map(str, ((i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids))) == sorted(str((r["doc_id"], r["n_tokens"], r["ids_crc32"])) for r in rows)
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_token_ids(spark, empty, special_as_text):
+    table = ROWS + SPECIAL
+    index = pfor.write_ids(spark.createDataFrame(table, SCHEMA), special_as_text=special_as_text)
+    rows = pfor.read_ids(index).collect()
+    ids = [(i, ids_of(t, special_as_text)) for i, t, _ in table]
+    assert sorted(map(str, ((i, len(x), crc_of(x)) for i, x in ids))) == sorted(str((r["doc_id"], r["n_tokens"], r["ids_crc32"])) for r in rows)
     at = 0
     for r in sorted(rows, key=lambda r: r["start"]):
         assert r["start"] == at
         at += r["n_tokens"]
-    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])] == sorted((i for i, _, _ in ROWS), key=lambda i: -1 if i is None else i)
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: r["start"])] == sorted((i for i, _, _ in table), key=lambda i: -1 if i is None else i)
+    with open(index.first()["file"], "rb") as f:
+        assert f.read(4) == pfor.MAGIC
     assert pfor.read_ids(pfor.write_ids(empty)).count() == 0
 
 
+def test_token_ids_of_one_doc_id_lie_in_several_tasks(spark):
+    rows = [(None, f"text {i % 3}", 0) for i in range(300)] + [(5, f"text {i}", 0) for i in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = pfor.write_ids(spark.createDataFrame(rows, SCHEMA))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert index.select("part").distinct().count() > 2
+    read = pfor.read_ids(index).orderBy("start").collect()
+    assert [r["doc_id"] for r in read] == [None] * 300 + [5] * 300
+    assert sorted(r["ids_crc32"] for r in read) == sorted(crc_of(ids_of(t)) for _, t, _ in rows)
+
+
+@pytest.mark.parametrize("width", range(1, 33))
+def test_packed_bits(width):
+    """Values of any width and number come back, and lie lowest bit first."""
+    for n in (1, 7, 8, 9, 100):
+        values = np.random.default_rng(n).integers(0, 1 << width, (2, n), dtype=np.uint64).astype(np.uint32)
+        packed = pfor._pack(values, width)
+        assert packed.shape == (2, (n * width + 7) // 8)
+        assert int.from_bytes(packed[1].tobytes(), "little") == sum(int(v) << i * width for i, v in enumerate(values[1]))
+        assert np.array_equal(pfor._unpack(packed[0], n, width), values[0])
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1024, 1025, 5000])
 def test_pfor_round_trip(n):
     rng = np.random.default_rng(n)
@@ -306,11 +363,22 @@ def test_pfor_round_trip(n):
         assert np.array_equal(shard.read(n // 3, n // 2), values.astype(np.uint32)[n // 3 : n // 3 + n // 2])
 
 
-def test_encoder_is_the_library():
-    texts = [t or "" for t in TEXTS] + ["<|endoftext|> it's  I'LL\t\n x", " nbsp  　wide", "a" * 70_000, "tab\tword " * 9000]
-    library = json_tokenizer(vocabulary("byte_bpe_50k.json"))
-    for t, got in zip(texts, Encoder(vocabulary("byte_bpe_50k.json")).encode_batch(texts), strict=True):
-        assert np.frombuffer(got, "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_encoder_is_the_library(special_as_text):
+    texts = [t or "" for t in TEXTS] + ["<|endoftext|> it's  I'LL\t\n x", " nbsp\u00a0\u3000wide", "a" * 70_000, "tab\tword " * 9000, "Abc.\nDef, ghi!", "a\n\nb", "a \nb", "\na\n", "don't. stop,now x1 \u00b2. y", "o'clock 's 'll", "x\u0301y \u0301 z\u1e9e.", "x\x1cy z\x85 w", "\u4e2d\u6587 \u4e2d. !a ?", "a\rb \rc"]
+    encoder = Encoder(vocabulary("byte_bpe_50k.json"), special_as_text)
+    for batch in (texts, texts[::-1], []):  # the second time from what is kept
+        for t, got in zip(batch, encoder.encode_batch(batch), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == ids_of(t, special_as_text)[:-1]
+
+
+def test_encoder_of_other_files():
+    """A tokenizer that isn't byte-level gets whole texts."""
+    from tokenizers import Tokenizer
+
+    library, texts = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), ["Some words,\nand a line.", "", "x  y"]
+    got = Encoder(vocabulary("word_bpe_49k.json")).encode_batch(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_media(docs, empty):
