@@ -1,26 +1,26 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-fit     At most TRAIN labelled rows, those whose hashed doc_id is least. Features are words (lower case,
-        punctuation stripped) and word beginnings of PREFIXES characters, the latter also as "at least
-        so many in a thousand words" (LEVELS); those that go with label 1 by the G-squared statistic
-        and have it in LEAST_SHARE of their rows are kept, FEATURES at most. The rows become unit vectors of
-        (1 + log tf) * idf.
-index   Postings of each feature in blocks of BLOCK examples, with the largest weight of each block
-        (examples with like features lie together). A query adds up each block's bound and opens blocks
-        from the largest on until the next bound is below the NEIGHBOURS-th similarity: exact.
+fit     At most TRAIN labelled rows, those whose hashed doc_id is least, are the examples: rows of both labels, with
+        all their terms. Terms are words (lower case, punctuation stripped) and word beginnings of PREFIXES
+        characters. A term's weight is its idf times FLOOR plus its association with label 1 (G-squared over FULL, 1
+        at most, 0 for terms that go with label 0): no term is dropped, and those that tell nothing weigh a twentieth. Rows
+        become unit vectors of (1 + log tf) * weight; terms that no example has can't match and don't count.
+index   Examples with like terms lie together in blocks of BLOCK. The DENSE most frequent terms are kept as rows of
+        each block, with the largest weight of each in the block; the other terms as postings. A query adds up its
+        postings and each block's bound, opens the blocks with the largest bounds first, and then those whose
+        bound reaches its NEIGHBOURS-th similarity. What is found is computed again in double precision: exact.
 score   Votes of the nearest examples weighted by similarity (1 - distance), with PRIOR of the share of
-        label 1 among examples without any feature; a monotone map fitted on leave-one-out votes
-        calibrates them. The neighbours that voted are the evidence.
+        label 1 among all; a monotone map fitted on leave-one-out votes calibrates them. The neighbours that
+        voted are the evidence.
 
 Labels, lang, source and doc_id are no inputs of a score; with held_out_fifth, rows whose
-crc32(doc_id as text) mod 5 is 0 never teach. Null and empty texts have no features and get the score
-of such texts. Of repeated labels of a doc_id the largest counts; repeated documents score alike. Ties of
+crc32(doc_id as text) mod 5 is 0 never teach. Null and empty texts, and those without a known term, have the share of
+label 1 as their score. Of repeated labels of a doc_id the largest counts; repeated documents score alike. Ties of
 similarity go to the smaller doc_id. Without labels every score is 0. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -30,21 +30,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import whole_text
+from leafmill.llm.shared import discard, materialize, whole_text
 
-#: Labelled rows to learn from at most, features at most, and least G-squared of a feature.
-TRAIN, FEATURES, LEAST_G2 = 12_000, 4096, 24.0
+#: Labelled rows to learn from at most: a bounded fit, the same at every size.
+TRAIN = 3000
 PREFIXES = (4, 5, 6)
-#: Beginnings found LEAST_COUNT times and in so many of a thousand words are terms of their own.
-LEVELS, LEAST_COUNT = (4, 8), 2
-#: Least share of label 1 among the rows with a feature.
-LEAST_SHARE = 0.6
-NEIGHBOURS, BLOCK = 16, 64
+#: Weight of a term without association, and G-squared of full association.
+FLOOR, FULL = 0.05, 50.0
+NEIGHBOURS, BLOCK, DENSE = 16, 64, 1024
+#: Queries that are looked up together, and blocks that each opens first.
+BATCH, FIRST = 128, 8
+#: Similarities in single precision are off by less.
+NEAR = 1e-4
 #: Weight of the prior in a vote, as so much similarity.
 PRIOR = 0.25
 STRIP = string.punctuation + "«»“”„‘’…¿¡"
 #: Words that a worker's cache holds at most.
-CACHE = 500_000
+CACHE = 300_000
 
 SCHEMA = "doc_id bigint, score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
@@ -55,95 +57,134 @@ def features_of(word: str) -> list[str]:
     return [word, *[f"{word[:n]}*" for n in PREFIXES if len(word) >= n]] if word else []
 
 
-def levels_of(base: str, count: int, words: int) -> list[str]:
-    """The terms that `count` of `words` words with the feature `base` give."""
-    if not base.endswith("*") or count < LEAST_COUNT:
-        return [base]
-    return [base, *[f"{base}{n}" for n in LEVELS if 1000 * count >= n * words]]
-
-
 def terms(text: str) -> set[str]:
     """All terms of a text."""
-    counts: Counter[str] = Counter()
-    words = Counter(text.lower().split())
-    for word, n in words.items():
-        for f in features_of(word):
-            counts[f] += n
-    total = words.total()
-    return {t for f, n in counts.items() for t in levels_of(f, n, total)}
+    return {f for word in set(text.lower().split()) for f in features_of(word)}
+
+
+Vector = tuple[np.ndarray, np.ndarray]  # rising numbers of terms, weights
 
 
 class Vectors:
-    """Unit TF-IDF vectors over chosen terms."""
+    """Unit TF-IDF vectors over the terms of the examples."""
 
-    def __init__(self, names: list[str], idf: list[float]):
-        self.ids, self.idf, self.cache = {n: i for i, n in enumerate(names)}, idf, {}
-        self.bases = {n if "*" not in n else n[: n.rindex("*") + 1] for n in names}
+    def __init__(self, names: list[str], weights: np.ndarray):
+        self.weights, self.cache = weights, {}
+        self.words = {n: i for i, n in enumerate(names) if n[-1] != "*"}
+        self.beginnings = {n[:-1]: i for i, n in enumerate(names) if n[-1] == "*"}
 
     def __getstate__(self):
         return self.__dict__ | {"cache": {}}
 
-    def __call__(self, text: str | None) -> dict[int, float]:
-        cache, counts = self.cache, Counter()
+    def known(self, word: str) -> list[int]:
+        """Numbers of the features of a word that examples have: without its shortest beginning they have none of it."""
+        word, found = word.strip(STRIP), []
+        for n in PREFIXES:
+            if len(word) < n:
+                break
+            i = self.beginnings.get(word[:n])
+            if i is None:
+                return found
+            found.append(i)
+        i = self.words.get(word)
+        return found if i is None else [*found, i]
+
+    def __call__(self, text: str | None) -> Vector:
+        cache, ids, counts = self.cache, [], []
         if len(cache) > CACHE:
             cache.clear()
-        words = Counter((text or "").lower().split())
-        for word, n in words.items():
+        for word, n in Counter((text or "").lower().split()).items():
             found = cache.get(word)
             if found is None:
-                found = cache[word] = tuple(f for f in features_of(word) if f in self.bases)
-            for f in found:
-                counts[f] += n
-        if not counts:
-            return {}
-        total = words.total()
-        return self.unit({self.ids[t]: n for f, n in counts.items() for t in levels_of(f, n, total) if t in self.ids})
-
-    def unit(self, tf: dict[int, int]) -> dict[int, float]:
-        found = {f: (1 + math.log(n)) * self.idf[f] for f, n in sorted(tf.items())}
-        norm = math.sqrt(sum(x * x for x in found.values()))
-        return {f: x / norm for f, x in found.items()} if norm else {}
+                found = cache[word] = self.known(word)
+            if found:
+                ids += found
+                counts += [n] * len(found)
+        if not ids:
+            return np.zeros(0, np.int64), np.zeros(0)
+        own, place = np.unique(np.array(ids), return_inverse=True)
+        x = (1 + np.log(np.bincount(place, counts))) * self.weights[own]
+        return own, x / np.sqrt(x @ x)
 
 
 class BlockMaxIndex:
-    """Exact top-k by dot product over unit vectors."""
-
-    def __init__(self, rows: list[tuple[int, int, dict[int, float]]], block: int = BLOCK):
-        """rows: doc_id, label and vector of each example that has features."""
-        rows = sorted(rows, key=lambda r: (sorted(r[2], key=lambda f: (-r[2][f], f)), r[0]))
-        self.docs, self.labels = [r[0] for r in rows], [r[1] for r in rows]
-        self.n, self.block, self.n_blocks = len(rows), block, -(-len(rows) // block)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for i, (_, _, v) in enumerate(rows):
-            for f, x in v.items():
-                postings.setdefault(f, []).append((i, x))
-        self.postings = {}
-        for f, p in postings.items():
-            at, weight = np.array([i for i, _ in p]), np.array([x for _, x in p])
-            blocks, starts = np.unique(at // block, return_index=True)
-            self.postings[f] = (blocks, np.append(starts, len(at)), np.maximum.reduceat(weight, starts), at, weight)
-
-    def nearest(self, query: dict[int, float], k: int, without: int | None = None) -> list[tuple[float, int]]:
-        """(similarity, place) of the k nearest examples with similarity over 0, best first; ties by doc_id."""
-        own = [(q, self.postings[f]) for f, q in query.items() if f in self.postings]
-        if not own:
-            return []
-        bound = np.zeros(self.n_blocks)
-        for q, (blocks, _, largest, _, _) in own:
-            bound[blocks] += q * largest
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            dot = np.zeros(self.block)
-            for q, (blocks, starts, _, at, weight) in own:
-                i = np.searchsorted(blocks, b)
-                if i < len(blocks) and blocks[i] == b:
-                    s = slice(starts[i], starts[i + 1])
-                    dot[at[s] - b * self.block] += q * weight[s]
-            places = np.flatnonzero(dot > 0)
-            best = sorted(best + [(-round(float(dot[p]), 12), self.docs[i], i) for p in places if (i := int(p + b * self.block)) != without])[:k]
-        return [(-s, i) for s, _, i in best]
+    """Exact top-k by dot product over unit vectors without negative weights."""
+
+    def __init__(self, rows: list[tuple[int, int, np.ndarray, np.ndarray]], block: int = BLOCK, dense: int = DENSE):
+        """rows: doc_id, label, numbers and weights of the terms of each example."""
+        rows = sorted(rows, key=lambda r: (r[2][np.lexsort((r[2], -r[3]))[:3]].tolist(), r[0]))
+        self.n, self.docs, self.labels = len(rows), [r[0] for r in rows], [r[1] for r in rows]
+        sizes = np.array([len(r[2]) for r in rows], np.int64)
+        self.starts = np.append(0, np.cumsum(sizes))
+        self.ids = np.concatenate([np.zeros(0, np.int32), *[r[2] for r in rows]]).astype(np.int32)
+        self.weights = np.concatenate([np.zeros(0, np.float32), *[r[3] for r in rows]]).astype(np.float32)
+        self.n_terms = int(self.ids.max()) + 1 if len(self.ids) else 0
+        found = np.bincount(self.ids, minlength=self.n_terms)
+        common = np.argsort(-found, kind="stable")[:dense]
+        self.column = np.full(self.n_terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        owner, column = np.repeat(np.arange(self.n, dtype=np.int32), sizes), self.column[self.ids]
+        held = column >= 0
+        self.blocks = -(-self.n // block)
+        matrix = np.zeros((self.blocks * block, len(common)), np.float32)
+        matrix[owner[held], column[held]] = self.weights[held]
+        self.matrix = matrix.reshape(self.blocks, block, len(common))
+        self.largest = self.matrix.max(axis=1) if self.n else matrix
+        order = np.argsort(self.ids[~held], kind="stable")
+        self.posting, self.weight = owner[~held][order], self.weights[~held][order]
+        self.first = np.searchsorted(self.ids[~held][order], np.arange(self.n_terms + 1))
+
+    def nearest(self, queries: list[Vector], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """(similarity, place) of the k nearest examples with similarity over 0 of each query, best first; ties by doc_id. without: a place that doesn't count for each."""
+        if not self.n:
+            return [[] for _ in queries]
+        return [x for a in range(0, len(queries), BATCH) for x in self._together(queries[a : a + BATCH], k, None if without is None else without[a : a + BATCH])]
+
+    def _together(self, queries: list[Vector], k: int, without: list[int] | None) -> list[list[tuple[float, int]]]:
+        n, (blocks, block, columns) = len(queries), self.matrix.shape
+        known = [(ids[keep], x[keep]) for ids, x in queries for keep in [ids < self.n_terms]]
+        dense, places, parts = np.zeros((n, columns), np.float32), [np.zeros(0, np.int64)], [np.zeros(0)]
+        for i, (ids, x) in enumerate(known):
+            column = self.column[ids]
+            held = column >= 0
+            dense[i, column[held]] = x[held]
+            start, length = self.first[ids[~held]], self.first[ids[~held] + 1] - self.first[ids[~held]]
+            at = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
+            places.append(i * blocks * block + self.posting[at])
+            parts.append(np.repeat(x[~held], length) * self.weight[at])
+        sums = np.bincount(np.concatenate(places), np.concatenate(parts), n * blocks * block).astype(np.float32).reshape(n, blocks, block)
+        bound = dense @ self.largest.T + sums.max(axis=2)
+        found, row = np.full((n, blocks, block), -1, np.float32), np.arange(n)
+
+        def look(which: np.ndarray) -> np.ndarray:
+            """Open blocks (query, block); the k-th similarity of each query so far."""
+            for b in np.flatnonzero(which.any(axis=0)):
+                own = np.flatnonzero(which[:, b])
+                found[own, b] = dense[own] @ self.matrix[b].T + sums[own, b]
+            flat = found.reshape(n, -1)
+            if without is not None:
+                flat[row, without] = -1
+            return np.partition(flat, -min(k, flat.shape[1]), axis=1)[:, -min(k, flat.shape[1])]
+
+        first = np.zeros((n, blocks), bool)
+        first[row[:, None], np.argpartition(-bound, min(FIRST, blocks) - 1, axis=1)[:, :FIRST]] = True
+        kth = look(first)
+        kth = look(~first & (bound >= kth[:, None] - NEAR) & (bound > 0))
+        out, whole = [], np.zeros(self.n_terms)
+        for i, (ids, x) in enumerate(known):
+            likely = np.flatnonzero((found[i].ravel() >= kth[i] - NEAR) & (found[i].ravel() > 0))
+            if not len(likely):
+                out.append([])
+                continue
+            whole[ids] = x
+            start, length = self.starts[likely], self.starts[likely + 1] - self.starts[likely]
+            first_ = np.cumsum(length) - length
+            at = np.repeat(start - first_, length) + np.arange(length.sum())
+            dots = np.add.reduceat(whole[self.ids[at]] * self.weights[at], first_)
+            whole[ids] = 0
+            exact = sorted((-round(s, 12), self.docs[p], p) for s, p in zip(dots.tolist(), likely.tolist(), strict=True))
+            out.append([(-s, p) for s, _, p in exact[:k] if s < 0])
+        return out
 
 
 class Model:
@@ -153,9 +194,10 @@ class Model:
     def vote(self, near: list[tuple[float, int]]) -> float:
         return (sum(s * self.index.labels[i] for s, i in near) + PRIOR * self.base) / (sum(s for s, _ in near) + PRIOR)
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(self.vectors(text), NEIGHBOURS)
-        return (min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base), near
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """Score and evidence of each text."""
+        found = self.index.nearest([self.vectors(t) for t in texts], NEIGHBOURS)
+        return [(min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base, near) for near in found]
 
 
 def monotone(votes: list[float], labels: list[int]) -> tuple[list[float], list[float]]:
@@ -175,8 +217,21 @@ def sample(labelled: DataFrame, teach: Column | None = None, limit: int = TRAIN)
     return rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
+def association(n: np.ndarray, ones: np.ndarray, rows: int, toxic: int) -> np.ndarray:
+    """G-squared of terms in n rows, of which `ones` have label 1, over FULL: 1 at most, 0 if they go with label 0."""
+    a, b = ones.astype(float), (n - ones).astype(float)
+    c, d = toxic - a, rows - toxic - b
+
+    def part(x: np.ndarray, row: np.ndarray, column: float) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(x > 0, x * np.log(x * rows / (row * column)), 0.0)
+
+    g2 = 2 * (part(a, a + b, toxic) + part(b, a + b, rows - toxic) + part(c, c + d, toxic) + part(d, c + d, rows - toxic))
+    return np.where(ones * rows > toxic * n, np.clip(g2 / FULL, 0, 1), 0.0)
+
+
 def fit(docs: DataFrame, labelled: DataFrame, teach: Column | None = None, limit: int = TRAIN) -> Model:
-    """docs: whose texts teach. At most `limit` labelled rows are broadcast; FEATURES names and the examples' vectors reach the driver."""
+    """docs: whose texts teach. At most `limit` labelled rows are broadcast; their terms and vectors reach the driver."""
 
     def split(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -184,59 +239,42 @@ def fit(docs: DataFrame, labelled: DataFrame, teach: Column | None = None, limit
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.string()))], ["toxic", "features"])
 
     chosen = F.broadcast(sample(labelled, teach, limit))
-    rows = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id").select("doc_id", "toxic", "text")
-    counts = rows.mapInArrow(split, "toxic int, features array<string>")
+    # The one scan of the corpus for these texts; what follows reads a table of `limit` documents or, with repeats, a few more.
+    rows = materialize(docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id").select("doc_id", "toxic", "text").distinct(), "examples")
     totals = rows.agg(F.count("*"), F.sum("toxic")).first()
     n, ones = totals[0], totals[1] or 0
-    a, b = F.col("ones"), F.col("n") - F.col("ones")
-    c, d = F.lit(ones) - a, F.lit(n - ones) - b
-
-    def term(x: Column, row: Column, column: Column) -> Column:
-        return F.when(x > 0, x * F.log(x * n / (row * column))).otherwise(0.0)
-
-    g2 = 2 * (term(a, a + b, a + c) + term(b, a + b, b + d) + term(c, c + d, a + c) + term(d, c + d, b + d))
-    found = (
-        counts.select("toxic", F.explode("features").alias("feature"))
-        .groupBy("feature")
-        .agg(F.count("*").alias("n"), F.sum("toxic").alias("ones"))
-        .where((F.col("n") >= 3) & (F.col("ones") * n > F.lit(ones) * F.col("n")) & (F.col("ones") >= LEAST_SHARE * F.col("n")))
-        .withColumn("g2", g2)
-        .where(F.col("g2") >= LEAST_G2)
-        .orderBy(F.desc("g2"), "feature")
-        .limit(FEATURES)
-        .collect()
-        if ones
-        else []
-    )
-    vectors = Vectors([r["feature"] for r in found], [math.log((1 + n) / (1 + r["n"])) + 1 for r in found])
+    found = rows.mapInArrow(split, "toxic int, features array<string>").select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).orderBy("feature").toArrow() if n else None
+    counts, toxic = (found[c].to_numpy() if n else np.zeros(0, np.int64) for c in ("n", "ones"))
+    weights = (np.log((1 + n) / (1 + counts)) + 1) * (FLOOR + association(counts, toxic, n, ones))
+    vectors = Vectors(found["feature"].to_pylist() if n else [], weights)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def vectorize(rows_: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_:
-            made = [vectors(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(m) for m in made], pa.list_(pa.int32())), pa.array([list(m.values()) for m in made], pa.list_(pa.float64()))], ["doc_id", "toxic", "f", "x"])
-
-    examples = rows.mapInArrow(vectorize, "doc_id bigint, toxic int, f array<int>, x array<double>").distinct().collect() if found else []
-    index = BlockMaxIndex([(r["doc_id"], r["toxic"], dict(zip(r["f"], r["x"], strict=True))) for r in examples if r["f"]])
-    bare = [r["toxic"] for r in examples if not r["f"]]
-    base = (sum(bare) + 0.5) / (len(bare) + 1) if bare else ones / n if n else 0.0
-    model = Model(vectors, index, min(base, 0.49) if found else base, ([0.0, 1.0], [0.0, 1.0]))
-    vectors_of: list[dict[int, float]] = [{} for _ in range(index.n)]
-    for f, (_, _, _, at, weight) in index.postings.items():
-        for i, x in zip(at.tolist(), weight.tolist(), strict=True):
-            vectors_of[i][f] = x
-    if index.n:
-        model.knots = monotone([model.vote(index.nearest(v, NEIGHBOURS, without=i)) for i, v in enumerate(vectors_of)], index.labels)
+            made = [shared.value(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f.astype(np.int32).tobytes() for f, _ in made], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in made], pa.binary())], ["doc_id", "toxic", "f", "x"])
+
+    examples = rows.mapInArrow(vectorize, "doc_id bigint, toxic int, f binary, x binary").collect() if n else []
+    index = BlockMaxIndex([(r["doc_id"], r["toxic"], np.frombuffer(r["f"], np.int32), np.frombuffer(r["x"], np.float32)) for r in examples if r["f"]])
+    shared.unpersist()
+    discard(rows)
+    model = Model(vectors, index, ones / n if n else 0.0, ([0.0, 1.0], [0.0, 1.0]))
+    own = [(index.ids[a:b].astype(np.int64), index.weights[a:b].astype(float)) for a, b in zip(index.starts[:-1], index.starts[1:], strict=True)]
+    if index.n and ones:
+        model.knots = monotone([model.vote(near) for near in index.nearest(own, NEIGHBOURS, list(range(index.n)))], index.labels)
     return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted and evidence of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         index = model.index
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         for batch in rows:
-            made = [model.score(t.as_py()) for t in batch.column(1)]
+            made = model.scores(batch.column(1).to_pylist())
             evidence = [[{"doc_id": index.docs[i], "similarity": s, "toxic": index.labels[i]} for s, i in near] for _, near in made]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in made], pa.float64()), pa.array([int(s >= 0.5) for s, _ in made], pa.int32()), pa.array(evidence, kind)], ["doc_id", "score", "predicted", "evidence"])
 
@@ -255,11 +293,11 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 def reject(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """docs without the rows that are predicted toxic; the columns stay as they are. Every label teaches."""
-    model = fit(docs, labelled)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labelled))
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            keep = [model.score(t.as_py())[0] < 0.5 for t in batch.column(batch.schema.names.index("text"))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            texts = batch.column(batch.schema.names.index("text")).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array([s < 0.5 for s, _ in shared.value.scores(texts)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

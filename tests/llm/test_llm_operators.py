@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -52,29 +53,65 @@ def test_quality(spark, docs, empty):
     assert {r["score"] for r in quality.score_quality(docs, labelled.where("false")).collect()} == {0.0}
 
 
-def test_toxicity_index_is_exact():
+@pytest.mark.parametrize(("block", "dense"), [(16, 8), (64, 1000), (7, 0)])
+def test_toxicity_index_is_exact(block, dense):
+    """Nearest examples by all dot products, with ties, repeated rows, terms that no example has, and a query without terms."""
     rng = np.random.default_rng(0)
-    make = lambda: {int(f): float(x) for f, x in zip(rng.choice(30, 4, False), rng.random(4), strict=True)}
-    unit = lambda v: {f: x / sum(y * y for y in v.values()) ** 0.5 for f, x in v.items()}
-    rows = [(i, i % 2, unit(make())) for i in range(500)]
-    index = toxicity.BlockMaxIndex(rows, 16)
-    for _ in range(50):
-        q = unit(make())
-        dots = sorted(((-round(sum(x * v.get(f, 0) for f, x in q.items()), 12), d) for d, _, v in rows), key=lambda z: z)[:16]
-        assert [(s, index.docs[i]) for s, i in index.nearest(q, 16)] == [(-s, d) for s, d in dots if s < 0]
+
+    def unit(high):
+        ids = np.sort(rng.choice(high, int(rng.integers(1, 9)), False))
+        x = rng.random(len(ids))
+        return ids, x / np.sqrt(x @ x)
+
+    rows = [(i, i % 2, ids, x.astype(np.float32)) for i in range(500) for ids, x in [unit(60)]]
+    rows += [(1000 + i, i % 2, *rows[7][2:]) for i in range(40)]
+    index = toxicity.BlockMaxIndex(rows, block, dense)
+    whole = np.zeros((len(rows), 80))
+    for r, (_, _, ids, x) in enumerate(rows):
+        whole[r, ids] = x
+    queries = [unit(70) for _ in range(300)] + [(rows[7][2], rows[7][3].astype(float)), (np.zeros(0, np.int64), np.zeros(0))]
+    for q, near in zip(queries, index.nearest(queries, 16), strict=True):
+        dots = sorted((-round(float(s), 12), rows[r][0]) for r, s in enumerate(whole[:, q[0]] @ q[1]))[:16]
+        assert [(round(s, 9), index.docs[i]) for s, i in near] == [(round(-s, 9), d) for s, d in dots if s < 0]
+    own = index.nearest(queries[:1], 3)[0]
+    assert [i for _, i in index.nearest(queries[:1], 2, [own[0][1]])[0]] == [i for _, i in own[1:]]
+    assert toxicity.BlockMaxIndex([]).nearest(queries[:2], 4) == [[], []]
+
+
+def test_toxicity_vectors_and_calibration():
+    """Vectors and votes against plain Python."""
+    texts = ["Rude, rude words here", "polite words only", "rude again"]
+    n, names = len(texts), sorted({f for t in texts for f in toxicity.terms(t)})
+    df = np.array([sum(f in toxicity.terms(t) for t in texts) for f in names])
+    ones = np.array([sum(f in toxicity.terms(t) for t in (texts[0], texts[2])) for f in names])
+    vectors = toxicity.Vectors(names, (np.log((1 + n) / (1 + df)) + 1) * (toxicity.FLOOR + toxicity.association(df, ones, n, 2)))
+    ids, x = vectors("RUDE rude (again) unknown")
+    assert {names[i] for i in ids} == {"rude", "rude*", "again", "agai*", "again*"} and abs(x @ x - 1) < 1e-12
+    weight = {f: (math.log((1 + n) / (1 + d)) + 1) * (toxicity.FLOOR + a) for f, d, a in zip(names, df, toxicity.association(df, ones, n, 2), strict=True)}
+    raw = {f: (1 + math.log(2 if f.startswith("rude") else 1)) * weight[f] for f in ("rude", "rude*", "again", "agai*", "again*")}
+    norm = math.sqrt(sum(v * v for v in raw.values()))
+    assert all(abs(x[list(ids).index(names.index(f))] - v / norm) < 1e-12 for f, v in raw.items())
+    both, some = toxicity.association(np.array([10, 10]), np.array([10, 0]), 100, 20)
+    assert some == 0 and abs(both - 2 * (10 * math.log(5) + 10 * math.log(10 * 100 / (90 * 20)) + 80 * math.log(100 / 90)) / toxicity.FULL) < 1e-12
+    knots = toxicity.monotone([0.1, 0.2, 0.3, 0.4], [0, 1, 0, 1])
+    assert knots[1] == sorted(knots[1]) and len(knots[0]) == 3
 
 
 def test_toxicity(spark, empty):
     bad = ["vile", "rotten", "foul"]
     rows = [(i, " ".join([*random.choices(WORDS, k=40), *(random.choices(bad, k=4) if i % 4 == 0 else [])]), 0) for i in range(200)]
-    docs = spark.createDataFrame([*rows, (1000, None, 0), (1001, "", 0), (1000, None, 0)], SCHEMA)
-    labelled = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(3, None)], "doc_id bigint, toxic int")
+    long = " ".join(random.choices(WORDS, k=60_000))
+    docs = spark.createDataFrame([*rows, (1000, None, 0), (1001, "", 0), (1000, None, 0), (1002, long, 0), (1003, "Ünknown ☃", 0), (None, rows[0][1], 0)], SCHEMA)
+    labelled = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(3, None), (5, 0), (1000, 0), (1002, 0), (None, 1)], "doc_id bigint, toxic int")
     out = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, labelled).collect()}
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert {i for i in held if out[i]["held_out"]} == set(held)
     assert all(out[i]["predicted"] == int(i % 4 == 0) for i in held)
-    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[1000]["score"] == out[1001]["score"]
-    assert toxicity.reject(docs, labelled).columns == docs.columns
+    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[1000]["score"] == out[1001]["score"] == out[1003]["score"] < 0.5
+    assert out[1002]["predicted"] == 0 and out[None]["score"] == out[0]["score"] and out[None]["evidence"] == out[0]["evidence"]
+    kept = toxicity.reject(docs, labelled)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in out.items() if i is None or i >= 200 or i % 4} - {None}
+    assert toxicity.reject(empty, labelled).count() == 0
     assert toxicity.score_toxicity(empty, labelled).count() == 0
     assert {r["score"] for r in toxicity.score_toxicity(docs, labelled.where("false")).collect()} == {0.0}
 
