@@ -36,7 +36,7 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.features(media.media_column(documents(spark, sf_dir)))
+    return media.features(media.write_media(documents(spark, sf_dir)))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,35 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def assert_scores(table, trusted, rows):
+    """The rows of score_quality() from n-grams that are counted here; trusted: doc_ids of the target."""
+    from xxhash import xxh64_intdigest
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+
+    def buckets(text):
+        w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())]
+        one = [xxh64_intdigest(x, 42) for x in w]
+        return [signed(h) % quality.BUCKETS for h in one + [xxh64_intdigest(b, a) for a, b in zip(one, w[1:])]]  # noqa: B905
+
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, t, _ in table:
+        np.add.at(raw, buckets(t), 1)
+        if i in trusted:
+            np.add.at(target, buckets(t), 1)
+    smooth = lambda c: np.log((c + quality.SMOOTHING * c.sum() / quality.BUCKETS) / (c.sum() * (1 + quality.SMOOTHING)))
+    weights = smooth(target) - smooth(raw)
+    expected = []
+    for i, t, _ in table:
+        own = buckets(t)
+        expected.append((i, weights[own].mean() if own else 0.0, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+    key = lambda r: (r[0] is None, r[0], r[2])
+    got = sorted(((r["doc_id"], r["score"], r["n_words"], r["kept"], r["base_failed"]) for r in rows), key=key)
+    for (i, score, n), (j, mine, m, kept, failed) in zip(sorted(expected, key=key), got, strict=True):
+        assert (i, n) == (j, m) and abs(score - mine) < 1e-4 and kept == (not failed and mine >= quality.THRESHOLD)
+    assert {r["kept"] for r in rows} == {True, False}
+
+
 def test_quality(spark, docs, empty):
     labelled = spark.createDataFrame([(12, 1, 0), (13, 1, 0), (14, 0, None), (None, 1, 0), (12, 1, 0)], "doc_id bigint, quality int, toxic int")
     rows = quality.score_quality(docs, labelled).collect()
@@ -47,6 +76,7 @@ def test_quality(spark, docs, empty):
         lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         assert (r["n_words"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered))
         assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and (r["kept"] <= (not r["base_failed"]))
+    assert_scores(ROWS, [12, 13], rows)
     kept = quality.keep(docs, labelled)
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in rows)
     assert quality.score_quality(empty, labelled).count() == 0
@@ -419,7 +449,7 @@ def test_encoder_of_other_files():
 
 
 def test_media(docs, empty):
-    rows = media.features(media.media_column(docs)).collect()
+    rows = media.features(media.write_media(docs)).collect()
     expected = []
     for i, t, _ in ROWS:
         b = (t or "").encode()
@@ -429,6 +459,29 @@ def test_media(docs, empty):
     assert media.features(media.media_column(empty)).count() == 0
 
 
+def test_images_choose_their_form():
+    """Samples that one way suits are written that way, whatever it is, and come back."""
+    rng = np.random.default_rng(4)
+    n = 16 * 144
+    ramp = (np.arange(n)[:, None] * np.array([3, 5, 7, 11]) + rng.integers(0, 2, (n, 4))).astype(np.uint8)
+    columns = np.tile(rng.integers(0, 256, (144, 4)), (16, 1)) + rng.integers(0, 2, (n, 4))
+    grey = rng.integers(0, 256, (n, 1)).repeat(4, axis=1)
+    grey[:, 3] = 255
+    half = grey.astype(np.uint8).astype(np.int8) // 2
+    tinted = np.stack([half[:, 0], grey[:, 1].astype(np.int8), -half[:, 2], np.full(n, -1)], axis=1)
+    few = rng.integers(0, 256, (5, 4))[rng.integers(0, 5, n)]
+    again = np.tile(rng.integers(0, 256, (400, 4)), (6, 1))[:n]
+    words = ["".join(random.choices("etaoinshrdlu", k=random.randrange(2, 11))) for _ in range(3000)]
+    prose = np.frombuffer(" ".join(words).encode()[: 4 * n], np.uint8).reshape(n, 4)
+    images = np.stack([x.astype(np.uint8) for x in (ramp, columns, grey, tinted, few, again, prose)])
+    plans = media.plans_of(images)
+    chosen = [None if p is None else (p.get("transforms"), p.get("mode"), p.get("cache_bits")) for p in plans]
+    assert chosen == [((webp.PREDICTOR,), 1, None), ((webp.PREDICTOR,), 2, None), ((webp.SUBTRACT_GREEN,), None, None), ((webp.CROSS_COLOUR,), None, None), ((webp.PALETTE,), None, None), (None, None, 8), None]
+    payloads = [x.tobytes() for x in images] + [images[0][:144].tobytes(), b"".join(x.tobytes() for x in images)]
+    stored = media.store(payloads)
+    assert media.load(stored) == payloads and all(len(s) < 0.7 * len(p) for s, p in zip(stored, payloads, strict=True) if len(p) > 576)
+
+
 def test_webp_features():
     rng = np.random.default_rng(1)
     images = [rng.integers(0, 256, (11, 19, 4), dtype=np.uint8), rng.integers(0, 256, (5, 4), dtype=np.uint8)[rng.integers(0, 5, (13, 21))], np.full((3, 3, 4), 255, np.uint8)]
