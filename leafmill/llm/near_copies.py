@@ -172,8 +172,8 @@ def similar(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int,
     counted = pairs.join(side(points, "a", "counts", "n"), "a").join(side(points, "b", "counts", "n"), "b")
     left = materialize(counted.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(allowed, "a bigint, b bigint"), "pairs")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("r_id"), F.col("rep.th").alias("r_th"))
-    texts = with_hash(docs.select("doc_id", whole_text().alias("text"))).join(reps, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("__th") == F.col("r_th"))).select("node", "text")
+    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("__r_id"), F.col("rep.th").alias("__r_th"))
+    texts = with_hash(docs.select("doc_id", whole_text().alias("text"))).join(reps, F.col("doc_id").eqNullSafe(F.col("__r_id")) & (F.col("__th") == F.col("__r_th"))).select("node", "text")
     texts = materialize(texts.dropDuplicates(["node"]), "texts")
     both = left.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b").select("a", "b", "text_a", "text_b")
     found = materialize(both.mapInArrow(compare, "a bigint, b bigint"), "links")
@@ -220,7 +220,7 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
         release(spark)
     label = components(found)
     named = points.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("k_id"), F.col("rep.th").alias("k_th")), "kept")
+    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("__k_id"), F.col("rep.th").alias("__k_th")), "kept")
     release(spark)
-    chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("__th") == F.col("k_th")), "left_semi")
+    chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__th") == F.col("__k_th")), "left_semi")
     return chosen.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)

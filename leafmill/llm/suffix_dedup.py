@@ -203,8 +203,8 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
 
 def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
-    """docs (with __th) and a table of one row for each (k_id, k_th)."""
-    on: Column = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("__th") == F.col("k_th"))
+    """docs (with __th) and a table of one row for each (__k_id, __k_th)."""
+    on: Column = F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__th") == F.col("__k_th"))
     return docs.join(per_doc.hint("merge"), on, how)  # per_doc grows with the documents: never broadcast
 
 
@@ -218,7 +218,7 @@ def candidates(found: DataFrame) -> DataFrame:
 def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, s, off, data): the bytes of wanted segments; a repeated document gives its own more than once."""
     # Parts of a document are its own segments at most.
-    parts = wanted.groupBy(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
+    parts = wanted.groupBy(F.col("doc_id").alias("__k_id"), F.col("th").alias("__k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
     texts = _join_docs(_keyed(docs.select("doc_id", "text")).select("doc_id", "__th", F.encode("__text", "utf-8").alias("data")), parts, "inner")
     return texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
 
@@ -338,7 +338,7 @@ def covers(docs: DataFrame, twice: DataFrame, length: int, gram: int, folder: st
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(k_id, k_th, spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap.
+    """(__k_id, __k_th, __spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap.
 
     Each step is written, so that the shuffle files of the one before can go.
     """
@@ -361,7 +361,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     absolute = F.transform("cover", lambda x: x + F.col("start"))
     # One row of a segment with many occurrences meets them; the skewed side is split as the join needs.
     hits = found.select("h", "s", "doc_id", "th", "start").join(covered, ["h", "s"])
-    removed = materialize(hits.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), absolute.alias("c")).groupBy("k_id", "k_th").agg(F.flatten(F.collect_list("c")).alias("spans")), "spans")
+    removed = materialize(hits.select(F.col("doc_id").alias("__k_id"), F.col("th").alias("__k_th"), absolute.alias("c")).groupBy("__k_id", "__k_th").agg(F.flatten(F.collect_list("c")).alias("__spans")), "spans")
     discard(found)
     discard(covered)
     release(spark)
@@ -391,7 +391,7 @@ def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _join_docs(_keyed(docs.select("doc_id", "text")), spans(docs, length, gram), "left").select("doc_id", "__text", "spans")
+    joined = _join_docs(_keyed(docs.select("doc_id", "text")), spans(docs, length, gram), "left").select("doc_id", "__text", "__spans")
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -418,8 +418,8 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, over_words:
         return kept.decode("utf-8", "ignore")
 
     joined = _join_docs(_keyed(docs), spans(docs, length, gram), "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut("__text", "spans"))
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("__text", "__spans"))
     found = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+        found = found.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
     return found.select(*docs.columns)
