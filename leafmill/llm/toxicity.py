@@ -22,26 +22,26 @@ similarity go to the smaller doc_id. Without labels every score is 0. Other colu
 from __future__ import annotations
 
 import string
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import discard, materialize, whole_text
 
 #: Labelled rows to learn from at most: a bounded fit, the same at every size.
-TRAIN = 3000
-PREFIXES = (4, 5, 6)
+TRAIN = 2500
+PREFIXES = (4, 6)
 #: Weight of a term without association, and G-squared of full association.
 FLOOR, FULL = 0.05, 50.0
 NEIGHBOURS, BLOCK, DENSE = 16, 64, 1024
 #: Queries that are looked up together, and blocks that each opens first.
 BATCH, FIRST = 128, 8
 #: Similarities in single precision are off by less.
-NEAR = 1e-4
+NEAR = 1e-5
 #: Weight of the prior in a vote, as so much similarity.
 PRIOR = 0.25
 STRIP = string.punctuation + "«»“”„‘’…¿¡"
@@ -59,7 +59,7 @@ def features_of(word: str) -> list[str]:
 
 def terms(text: str) -> set[str]:
     """All terms of a text."""
-    return {f for word in set(text.lower().split()) for f in features_of(word)}
+    return {f for word in pc.utf8_split_whitespace(pc.utf8_lower(text)).as_py() for f in features_of(word) if f}
 
 
 Vector = tuple[np.ndarray, np.ndarray]  # rising numbers of terms, weights
@@ -89,22 +89,38 @@ class Vectors:
         i = self.words.get(word)
         return found if i is None else [*found, i]
 
-    def __call__(self, text: str | None) -> Vector:
-        cache, ids, counts = self.cache, [], []
+    def __call__(self, texts: list[str | None]) -> list[Vector]:
+        """The vector of each text. The different words of all are looked up once."""
+        found: list[Vector] = []
+        for a in range(0, len(texts), BATCH):
+            found += self._together(texts[a : a + BATCH])
+        return found
+
+    def _together(self, texts: list[str | None]) -> list[Vector]:
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array([t or "" for t in texts], pa.large_string())))
+        edges, flat = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
-        for word, n in Counter((text or "").lower().split()).items():
-            found = cache.get(word)
-            if found is None:
-                found = cache[word] = self.known(word)
-            if found:
-                ids += found
-                counts += [n] * len(found)
-        if not ids:
-            return np.zeros(0, np.int64), np.zeros(0)
-        own, place = np.unique(np.array(ids), return_inverse=True)
-        x = (1 + np.log(np.bincount(place, counts))) * self.weights[own]
-        return own, x / np.sqrt(x @ x)
+        features = []
+        for word in flat.dictionary.to_pylist():
+            known = cache.get(word)
+            if known is None:
+                known = cache[word] = self.known(word)
+            features.append(known)
+        sizes, ids = np.array([len(x) for x in features], np.int64), np.array([i for x in features for i in x], np.int64)
+        ends, word = np.cumsum(sizes), flat.indices.to_numpy()
+        length = sizes[word]
+        upto = np.cumsum(length)
+        if not len(upto) or not upto[-1]:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
+        term = ids[np.arange(upto[-1]) + np.repeat(ends[word] - upto, length)]
+        cuts, out = np.append(0, upto)[edges], []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own, counts = np.unique(term[a:b], return_counts=True)
+            x = (1 + np.log(counts)) * self.weights[own]
+            out.append((own, x / np.sqrt(x @ x) if len(x) else x))
+        return out
 
 
 class BlockMaxIndex:
@@ -131,7 +147,7 @@ class BlockMaxIndex:
         self.matrix = matrix.reshape(self.blocks, block, len(common))
         self.largest = self.matrix.max(axis=1) if self.n else matrix
         order = np.argsort(self.ids[~held], kind="stable")
-        self.posting, self.weight = owner[~held][order], self.weights[~held][order]
+        self.posting, self.weight = owner[~held][order].astype(np.int64), self.weights[~held][order]
         self.first = np.searchsorted(self.ids[~held][order], np.arange(self.n_terms + 1))
 
     def nearest(self, queries: list[Vector], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
@@ -143,16 +159,19 @@ class BlockMaxIndex:
     def _together(self, queries: list[Vector], k: int, without: list[int] | None) -> list[list[tuple[float, int]]]:
         n, (blocks, block, columns) = len(queries), self.matrix.shape
         known = [(ids[keep], x[keep]) for ids, x in queries for keep in [ids < self.n_terms]]
-        dense, places, parts = np.zeros((n, columns), np.float32), [np.zeros(0, np.int64)], [np.zeros(0)]
+        dense, sums = np.zeros((n, columns), np.float32), np.zeros((n, blocks * block), np.float32)
         for i, (ids, x) in enumerate(known):
             column = self.column[ids]
             held = column >= 0
             dense[i, column[held]] = x[held]
-            start, length = self.first[ids[~held]], self.first[ids[~held] + 1] - self.first[ids[~held]]
-            at = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
-            places.append(i * blocks * block + self.posting[at])
-            parts.append(np.repeat(x[~held], length) * self.weight[at])
-        sums = np.bincount(np.concatenate(places), np.concatenate(parts), n * blocks * block).astype(np.float32).reshape(n, blocks, block)
+            rest = ids[~held]
+            start, end = self.first[rest], self.first[rest + 1]
+            length = end - start
+            ends = np.cumsum(length)
+            if len(ends) and ends[-1]:
+                at = np.arange(ends[-1]) + np.repeat(end - ends, length)
+                sums[i] = np.bincount(self.posting[at], np.repeat(x[~held], length) * self.weight[at], blocks * block)
+        sums = sums.reshape(n, blocks, block)
         bound = dense @ self.largest.T + sums.max(axis=2)
         found, row = np.full((n, blocks, block), -1, np.float32), np.arange(n)
 
@@ -172,17 +191,18 @@ class BlockMaxIndex:
         kth = look(~first & (bound >= kth[:, None] - NEAR) & (bound > 0))
         out, whole = [], np.zeros(self.n_terms)
         for i, (ids, x) in enumerate(known):
-            likely = np.flatnonzero((found[i].ravel() >= kth[i] - NEAR) & (found[i].ravel() > 0))
-            if not len(likely):
+            near = found[i].ravel()
+            likely = np.flatnonzero(near >= max(kth[i] - NEAR, 1e-9)).tolist()
+            if not likely:
                 out.append([])
                 continue
             whole[ids] = x
-            start, length = self.starts[likely], self.starts[likely + 1] - self.starts[likely]
-            first_ = np.cumsum(length) - length
-            at = np.repeat(start - first_, length) + np.arange(length.sum())
-            dots = np.add.reduceat(whole[self.ids[at]] * self.weights[at], first_)
+            spans = [(int(self.starts[p]), int(self.starts[p + 1])) for p in likely]
+            terms_, weights = (np.concatenate([c[a:b] for a, b in spans]) for c in (self.ids, self.weights))
+            edges = np.cumsum([0, *[b - a for a, b in spans[:-1]]])
+            dots = np.add.reduceat(whole[terms_] * weights, edges).tolist()
             whole[ids] = 0
-            exact = sorted((-round(s, 12), self.docs[p], p) for s, p in zip(dots.tolist(), likely.tolist(), strict=True))
+            exact = sorted((-round(s, 12), self.docs[p], p) for s, p in zip(dots, likely, strict=True))
             out.append([(-s, p) for s, _, p in exact[:k] if s < 0])
         return out
 
@@ -195,9 +215,11 @@ class Model:
         return (sum(s * self.index.labels[i] for s, i in near) + PRIOR * self.base) / (sum(s for s, _ in near) + PRIOR)
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """Score and evidence of each text."""
-        found = self.index.nearest([self.vectors(t) for t in texts], NEIGHBOURS)
-        return [(min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base, near) for near in found]
+        """Score and evidence of each text; equal ones are looked up once."""
+        different = list(dict.fromkeys(texts))
+        found = self.index.nearest(self.vectors(different), NEIGHBOURS)
+        made = {t: (min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base, near) for t, near in zip(different, found, strict=True)}
+        return [made[t] for t in texts]
 
 
 def monotone(votes: list[float], labels: list[int]) -> tuple[list[float], list[float]]:
@@ -251,7 +273,7 @@ def fit(docs: DataFrame, labelled: DataFrame, teach: Column | None = None, limit
 
     def vectorize(rows_: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_:
-            made = [shared.value(t.as_py()) for t in batch.column(2)]
+            made = shared.value(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f.astype(np.int32).tobytes() for f, _ in made], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in made], pa.binary())], ["doc_id", "toxic", "f", "x"])
 
     examples = rows.mapInArrow(vectorize, "doc_id bigint, toxic int, f binary, x binary").collect() if n else []

@@ -97,7 +97,7 @@ def test_each_stage_against_brute_force(spark, corpus):
     model = toxicity.fit(good, labels(spark, folder))
     plain = []
     for r in good.collect():
-        ids, x = model.vectors(r["text"])
+        ((ids, x),) = model.vectors([r["text"]])
         whole = np.zeros(model.index.n_terms)
         whole[ids[ids < model.index.n_terms]] = x[ids < model.index.n_terms]
         dots = [(-round(float(whole[model.index.ids[a:b]] @ model.index.weights[a:b].astype(float)), 12), model.index.docs[p], p) for p, (a, b) in enumerate(zip(model.index.starts, model.index.starts[1:]))]  # noqa: B905
