@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, new_path, whole_text
-from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
+from leafmill.llm.tokenizing import END_ID, batches, encoder, vocabulary
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -41,6 +41,8 @@ PERCENTILE = 90
 #: A shard ends after the document with which it has so many ids.
 SHARD_IDS = 4 << 20
 HEAD, BLOCK_HEAD = struct.Struct("<4sIQII"), np.dtype([("low", "<u4"), ("n", "<u4"), ("width", "u1"), ("exceptions", "<u2"), ("pad", "u1")])
+#: Tasks that read files at most.
+FILES_READ = 20_000
 #: Blocks that are packed or unpacked at once.
 AT_ONCE = 256
 
@@ -174,7 +176,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
 
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        encoder = Encoder(path, special_as_text)
+        encode = encoder(path, special_as_text).encode_batch
         held: list[bytes] = []
         doc_ids: list[int | None] = []
         part, seq = TaskContext.get().partitionId(), 0
@@ -192,7 +194,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
         for batch in rows:
             texts, ids = (batch.column(i).to_pylist() for i in range(2))
             for a, b in batches(texts):
-                for data, doc in zip(encoder.encode_batch(texts[a:b]), ids[a:b], strict=True):
+                for data, doc in zip(encode(texts[a:b]), ids[a:b], strict=True):
                     held.append(data + end)
                     doc_ids.append(doc)
                     size += len(held[-1]) // 2
@@ -229,4 +231,5 @@ def read_ids(index: DataFrame) -> DataFrame:
                 columns = [pa.array(ids, pa.int64()), pa.array(shard.docs["first"].astype(np.int64) + base + before[part]), pa.array(shard.docs["n"].astype(np.int64)), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.repartition("file").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # So many tasks in any case: the index is small, what its rows point to isn't.
+    return placed.repartition(max(1, min(FILES_READ, index.count())), "file").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

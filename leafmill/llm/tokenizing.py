@@ -55,8 +55,8 @@ def safe_pieces(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-#: Chunks whose ids a worker keeps at most.
-CACHE = 600_000
+#: Chunks whose ids a worker keeps, twice: those met since so many others were, and those met before that.
+CACHE = 400_000
 #: A mark after letters that ends a word: the pattern begins a new match there.
 MARKS = frozenset(".,;:!?")
 #: Printable stand-ins of the byte-level alphabet: bytes that are printable stand for themselves, the others follow from 256 on.
@@ -85,7 +85,8 @@ class Encoder:
         self.special = [] if special_as_text else [x["content"] for x in file["added_tokens"]]
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.marks = {m: self.of_match(m) for m in MARKS} if self.cuts else {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -104,7 +105,7 @@ class Encoder:
         # Chunks, with each line end as one of them; white space beside a cut leaves an empty chunk or one that has some at its end.
         parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n "), " ")
         at, chunks = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
-        index, different = chunks.indices.to_numpy().astype(np.int64), chunks.dictionary.to_pylist()
+        index, different = chunks.indices.to_numpy(), chunks.dictionary.to_pylist()
         # The first chunk of a line has no space before it: it is kept with one, as all others go without.
         first = np.append(True, index[:-1] == pc.index(chunks.dictionary, "\n").as_py())
         first[at[:-1]] = True
@@ -112,50 +113,65 @@ class Encoder:
         used = np.zeros(2 * len(different), bool)
         used[code] = True
         keys = [f" {different[c >> 1]}" if c & 1 else different[c >> 1] for c in np.flatnonzero(used).tolist()]
-        if len(self.known) > CACHE or len(self.words) > CACHE:
-            self.known.clear()
-            self.words.clear()
+        if len(self.known) > CACHE:
+            self.before, self.known = self.known, {}
         if not self.known:
             self.known["\n"] = self.known[" \n"] = self.of_match("\n")
-        self.learn([k for k in keys if k not in self.known and not self.apart(k)])
-        found = [self.known.get(k) for k in keys]
-        place = np.cumsum(used)[code] - 1
-        odd = np.array([x is None for x in found])[place]
-        sizes = np.array([len(x or b"") // 2 for x in found])
-        starts, length = (np.cumsum(sizes) - sizes)[place], sizes[place]
-        ends = np.cumsum(length)
-        ids = np.frombuffer(b"".join([x or b"" for x in found]), "<u2")[np.repeat(starts - ends + length, length) + np.arange(ends[-1])].tobytes()
+        of = self.known.get
+        found = list(map(of, keys))
+        if None in found:
+            self.learn([k for k, x in zip(keys, found, strict=True) if x is None])
+            found = list(map(of, keys))
+        missing = [i for i, x in enumerate(found) if x is None] if None in found else []
+        for i in missing:
+            found[i] = b""
+        place = (np.cumsum(used, dtype=np.int32) - 1)[code]
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 2
+        last = np.cumsum(sizes, dtype=np.int32)
+        length = sizes[place]
+        ends = np.cumsum(length, dtype=np.int32)
+        ids = np.frombuffer(b"".join(found), "<u2")[np.repeat(last[place] - ends, length) + np.arange(ends[-1], dtype=np.int32)].tobytes()
         edges = (2 * np.append(0, ends)[at]).tolist()
-        alone = {i for i, x in enumerate(np.logical_or.reduceat(odd, at[:-1]).tolist()) if x} | {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        alone = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        if missing:
+            odd = np.isin(place, missing)
+            alone |= {i for i, x in enumerate(np.logical_or.reduceat(odd, at[:-1]).tolist()) if x}
         whole = dict(zip(sorted(alone), self.whole([texts[i] for i in sorted(alone)]), strict=True))
         return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
 
-    def apart(self, key: str) -> bool:
-        """Whether a text with this chunk is encoded whole."""
-        return key in ("", " ") or key[key[0] == " "].isspace() or key[-1].isspace()
-
     def learn(self, chunks: list[str]) -> None:
         """Keep the ids of chunks."""
-        known, words, rest, tokenize, gap = self.known, self.words, [], self.model.tokenize, " ".translate(_STAND_INS)
+        known, before, rest, tokenize, gap = self.known, self.before, [], self.model.tokenize, " ".translate(_STAND_INS)
         for c in chunks:
-            first = c[0] == " "
-            body = c[1:] if first else c
-            mark = body[-1] if body[-1] in MARKS else ""
-            word = body[:-1] if mark else body
+            found = before.get(c)
+            if found is not None:
+                known[c] = found
+                continue
+            mark = c[-1:] in MARKS
+            own = c[:-1] if mark else c
+            first = own[:1] == " "
+            word = own[1:] if first else own
             if not word.isalpha() or not word.isascii() and max(word) > "\u024f":
-                rest.append(c)
+                body = c[1:] if c[0:1] == " " else c
+                if body and not body[0].isspace() and not body[-1].isspace():  # else a text with it is encoded whole
+                    rest.append(c)
                 continue
-            key = word if first else f" {word}"
-            found = words.get(key)
+            found = known.get(own) or before.get(own)
             if found is None:
-                found = words[key] = array("H", [t.id for t in tokenize(word if first else gap + word)]).tobytes() if word.isascii() else self.of_match(key)
-            if mark and mark not in words:
-                words[mark] = self.of_match(mark)
-            known[c] = found + words[mark] if mark else found
+                found = array("H", [t.id for t in tokenize(word if first else gap + word)]).tobytes() if word.isascii() else self.of_match(word if first else f" {word}")
+            known[own] = found
+            if mark:
+                known[c] = found + self.marks[c[-1]]
         known.update(zip(rest, self.whole([c[1:] if c[0] == " " else f" {c}" for c in rest]), strict=True))
 
 
-def batches(texts: list[str], characters: int = 2_000_000) -> Iterator[tuple[int, int]]:
+@functools.cache
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    """One for all tasks of a worker, with what it has learned."""
+    return Encoder(path, special_as_text)
+
+
+def batches(texts: list[str], characters: int = 5_000_000) -> Iterator[tuple[int, int]]:
     """(start, end) of runs of texts that together have about so many characters."""
     start = held = 0
     for i, t in enumerate(texts):
