@@ -217,10 +217,13 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
         labelled = cells.join(label.join(degree, "node"), "node", "left").select("t", "node", "n", "at", F.coalesce("label", "node").alias("label"), F.coalesce("degree", F.lit(0)).alias("degree"))
         pairs = all_pairs(labelled, similarity) if hubs is None else chosen_pairs(labelled, similarity, hubs)
         found = found.union(similar(pairs, points, docs, shingle, similarity))
+        discard(label)
         release(spark)
     label = components(found)
     named = points.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("__k_id"), F.col("rep.th").alias("__k_th")), "kept")
+    for table in (cells, points, label):
+        discard(table)
     release(spark)
     chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__th") == F.col("__k_th")), "left_semi")
     return chosen.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)

@@ -201,8 +201,8 @@ def join_cells(cell: np.ndarray, home: np.ndarray, fps: np.ndarray, radius: int)
 def hot_cells(points: DataFrame, grid: Grid) -> DataFrame:
     """`cell` of the cells that over CELL points are at home in or visit.
 
-    Counted from the homes: a cell has so many only if one of the at most 33 cells whose points come
-    here has over CELL / 34 homes, so only such cells pass their numbers on.
+    Counted from the homes: points come from 17 cells at most, so a cell has so many only if one of these has over
+    CELL / 17 homes, and only such cells pass their numbers on. A cell that isn't hot has less than twice CELL.
     """
 
     def homes(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +215,7 @@ def hot_cells(points: DataFrame, grid: Grid) -> DataFrame:
             which, above = grid.above(cells)
             yield pa.RecordBatch.from_arrays([_signed(np.concatenate([cells, above])), pa.array(np.concatenate([n, n[which]]))], ["cell", "n"])
 
-    counted = points.select("fp").mapInArrow(homes, "cell bigint").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL // 34)
+    counted = points.select("fp").mapInArrow(homes, "cell bigint").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL // 17)
     return counted.mapInArrow(spread, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > CELL).select("cell")
 
 
@@ -311,8 +311,11 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> Da
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (least doc_id of its class) of every row."""
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     points = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    label = components(materialize(links(points, radius), "links"))
+    found = materialize(links(points, radius), "links")
+    label = components(found)
     named = points.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of = materialize(named.join(least, "label").select("fp", "component_id"), "classes")
+    discard(found)
+    discard(label)
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

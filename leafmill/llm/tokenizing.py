@@ -143,25 +143,28 @@ class Encoder:
         """Keep the ids of chunks."""
         known, before, rest, tokenize, gap = self.known, self.before, [], self.model.tokenize, " ".translate(_STAND_INS)
         for c in chunks:
-            found = before.get(c)
-            if found is not None:
+            if before and (found := before.get(c)) is not None:
                 known[c] = found
                 continue
-            mark = c[-1:] in MARKS
-            own = c[:-1] if mark else c
-            first = own[:1] == " "
-            word = own[1:] if first else own
-            if not word.isalpha() or not word.isascii() and max(word) > "\u024f":
-                body = c[1:] if c[0:1] == " " else c
+            mark = c[-1:]
+            own = c[:-1] if mark in MARKS else c
+            if own.isalpha():
+                word = gap + own
+            elif own[:1] == " " and own[1:].isalpha():
+                word = own[1:]
+            else:
+                word = ""
+            if not word or not own.isascii() and max(own) > "\u024f":
+                body = c[1:] if c[:1] == " " else c
                 if body and not body[0].isspace() and not body[-1].isspace():  # else a text with it is encoded whole
                     rest.append(c)
                 continue
-            found = known.get(own) or before.get(own)
+            found = None if own is c else known.get(own) or before.get(own)
             if found is None:
-                found = array("H", [t.id for t in tokenize(word if first else gap + word)]).tobytes() if word.isascii() else self.of_match(word if first else f" {word}")
-            known[own] = found
-            if mark:
-                known[c] = found + self.marks[c[-1]]
+                ids = tokenize(word) if own.isascii() else tokenize((own[1:] if own[0] == " " else f" {own}").encode().decode("latin-1").translate(_STAND_INS))
+                known[own] = found = array("H", [t.id for t in ids]).tobytes()
+            if own is not c:
+                known[c] = found + self.marks[mark]
         known.update(zip(rest, self.whole([c[1:] if c[0] == " " else f" {c}" for c in rest]), strict=True))
 
 
@@ -171,7 +174,7 @@ def encoder(path: str, special_as_text: bool = False) -> Encoder:
     return Encoder(path, special_as_text)
 
 
-def batches(texts: list[str], characters: int = 5_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: list[str], characters: int = 10_000_000) -> Iterator[tuple[int, int]]:
     """(start, end) of runs of texts that together have about so many characters."""
     start = held = 0
     for i, t in enumerate(texts):

@@ -34,6 +34,8 @@ from leafmill.llm.shared import materialize, new_path, whole_text
 
 #: Bytes between two records that are read rather than skipped, bytes of one read, bytes of an archive.
 GAP, SPAN, ARCHIVE = 1 << 16, 8 << 20, 1 << 30
+#: Tasks that read archives at most.
+TASKS = 20_000
 #: A fixed date keeps archives alike from run to run.
 DATE = "2020-01-01T00:00:00Z"
 INDEX = "archive string, offset bigint, length bigint, url string, digest string, page_id bigint"
@@ -156,7 +158,10 @@ def read(index: DataFrame, wanted: Column | None = None, payload: bool = True) -
     """
     rows = index if wanted is None else index.where(wanted)
     # Slices of an archive go to tasks of their own: SPAN-sized ones keep the reads whole and no archive in one task.
-    placed = rows.select("store", "archive", "offset", "length", F.expr(f"offset div {8 * SPAN}").alias("slice")).repartition("archive", "slice").sortWithinPartitions("archive", "offset")
+    placed = rows.select("store", "archive", "offset", "length", F.expr(f"offset div {8 * SPAN}").alias("slice"))
+    # So many tasks in any case: the index is small, what its rows point to isn't.
+    tasks = max(1, min(TASKS, placed.select("archive", "slice").distinct().count()))
+    placed = placed.repartition(tasks, "archive", "slice").sortWithinPartitions("archive", "offset")
     schema = "page_id bigint, url string, record_type string, digest string, payload_bytes bigint, refers_to bigint" + ", payload binary" * payload
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
