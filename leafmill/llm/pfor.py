@@ -69,22 +69,23 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
-    """n values that _pack() made a row of bytes of."""
+    """Rows of n values that _pack() made rows of bytes of."""
+    rows = len(data)
     if width > 16:
-        padded = np.zeros((n, 32), np.uint8)
-        padded[:, :width] = np.unpackbits(data, count=n * width, bitorder="little").reshape(n, width)
-        return np.packbits(padded, axis=1, bitorder="little").view("<u4")[:, 0]
+        padded = np.zeros((rows, n, 32), np.uint8)
+        padded[:, :, :width] = np.unpackbits(data, axis=1, count=n * width, bitorder="little").reshape(rows, n, width)
+        return np.packbits(padded, axis=2, bitorder="little").reshape(rows, -1).view("<u4")
     groups = -(-n // 8)
-    flat = np.zeros(groups * width, np.uint8)
-    flat[: len(data)] = data
-    words = np.zeros((groups, 16), np.uint8)
-    words[:, :width] = flat.reshape(groups, width)
+    flat = np.zeros((rows, groups * width), np.uint8)
+    flat[:, : data.shape[1]] = data
+    words = np.zeros((rows * groups, 16), np.uint8)
+    words[:, :width] = flat.reshape(-1, width)
     low, high = words.view(np.uint64).T
     half = np.uint64((1 << 4 * width) - 1)
     pair = low & half, (low >> np.uint64(4 * width) | high << np.uint64(64 - 4 * width) if width < 16 else high) & half
     shifts = np.arange(4, dtype=np.uint64) * np.uint64(width)
     out = np.stack(pair, axis=1)[:, :, None] >> shifts & np.uint64((1 << width) - 1)
-    return out.reshape(-1)[:n].astype(np.uint32)
+    return out.reshape(rows, -1)[:, :n].astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
@@ -122,7 +123,7 @@ def decode_block(data: memoryview | bytes, at: int) -> np.ndarray:
     size = (n * width + 7) // 8
     out = np.zeros(n, np.uint32)
     if width:
-        out[:] = _unpack(np.frombuffer(data, np.uint8, size, at), n, width)
+        out[:] = _unpack(np.frombuffer(data, np.uint8, size, at)[None], n, width)[0]
     if exceptions:
         places = np.frombuffer(data, "<u2", exceptions, at + size)
         out[places] |= np.frombuffer(data, "<u4", exceptions, at + size + 2 * exceptions) << np.uint32(width)
@@ -159,6 +160,26 @@ class Shard:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+    def all(self) -> np.ndarray:
+        """Every id; blocks of one width are unpacked together."""
+        raw, starts = np.frombuffer(self.data, np.uint8), self.starts.astype(np.int64)
+        heads = np.ascontiguousarray(raw[starts[:, None] + np.arange(BLOCK_HEAD.itemsize)]).view(BLOCK_HEAD)[:, 0]
+        out = np.zeros((len(starts), self.block), np.uint32)
+        kinds = heads["n"].astype(np.int64) << 8 | heads["width"]
+        for kind in np.unique(kinds).tolist():
+            n, width = kind >> 8, kind & 255
+            own = np.flatnonzero(kinds == kind)
+            size = (n * width + 7) // 8
+            for a in range(0, len(own) if width else 0, AT_ONCE):
+                part = own[a : a + AT_ONCE]
+                out[part, :n] = _unpack(raw[starts[part][:, None] + BLOCK_HEAD.itemsize + np.arange(size)], n, width)
+            for i in own[heads["exceptions"][own] > 0].tolist():
+                at, m = int(starts[i]) + BLOCK_HEAD.itemsize + size, int(heads["exceptions"][i])
+                places = np.frombuffer(self.data, "<u2", m, at)
+                out[i, places] |= np.frombuffer(self.data, "<u4", m, at + 2 * m) << np.uint32(width)
+        return (out + heads["low"][:, None]).ravel()[: self.n_ids]
+
+
 #: part: the task that wrote the file, in order of its documents; seq: its number there.
 INDEX = "part bigint, seq bigint, null_docs bigint, n_ids bigint, store string, file string"
 
@@ -226,7 +247,8 @@ def read_ids(index: DataFrame) -> DataFrame:
                 store, _ = fs.FileSystem.from_uri(folder)
                 with store.open_input_file(file) as f:
                     shard = Shard(f.read())
-                crcs = [zlib.crc32(shard.read(int(f), int(n)).astype("<u4").tobytes()) for f, n in zip(shard.docs["first"], shard.docs["n"], strict=True)]
+                found = shard.all().astype("<u4").tobytes()
+                crcs = [zlib.crc32(found[4 * a : 4 * (a + n)]) for a, n in zip(shard.docs["first"].tolist(), shard.docs["n"].tolist(), strict=True)]
                 ids = [None] * nulls + shard.docs["doc"][nulls:].tolist()
                 columns = [pa.array(ids, pa.int64()), pa.array(shard.docs["first"].astype(np.int64) + base + before[part]), pa.array(shard.docs["n"].astype(np.int64)), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])

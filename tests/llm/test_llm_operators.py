@@ -419,7 +419,7 @@ def test_packed_bits(width):
         packed = pfor._pack(values, width)
         assert packed.shape == (2, (n * width + 7) // 8)
         assert int.from_bytes(packed[1].tobytes(), "little") == sum(int(v) << i * width for i, v in enumerate(values[1]))
-        assert np.array_equal(pfor._unpack(packed[0], n, width), values[0])
+        assert np.array_equal(pfor._unpack(packed, n, width), values)
 
 
 @pytest.mark.parametrize("n", [0, 1, 5, 1024, 1025, 5000])
@@ -427,7 +427,7 @@ def test_pfor_round_trip(n):
     rng = np.random.default_rng(n)
     for values in (rng.integers(0, 50257, n), rng.integers(0, 1 << 32, n, dtype=np.uint64), np.full(n, 7), np.where(rng.random(n) < 0.05, 4e9, 3)):
         shard = pfor.Shard(pfor.write_shard(values.astype(np.uint32), [1], [n]))
-        assert np.array_equal(shard.read(0, n), values.astype(np.uint32))
+        assert np.array_equal(shard.read(0, n), values.astype(np.uint32)) and np.array_equal(shard.all(), values.astype(np.uint32))
         assert np.array_equal(shard.read(n // 3, n // 2), values.astype(np.uint32)[n // 3 : n // 3 + n // 2])
 
 
