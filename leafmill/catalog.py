@@ -712,3 +712,51 @@ _BOTH = "greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0) * greatest(le
 def region_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap removal, with the SQL walking each cluster as a recursion."""
     return layout.remove_overlaps(layout.filter_regions(D.boxes_regions(spark, sf_dir)))
+
+
+# --- hooks, registries and the records' date -----------------------------------------------------------
+
+
+@query(f"WITH {SECTIONS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no, lower({rendered('heading', 'body')}) || ' #' || (row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1) AS text FROM filled")
+def enrich_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hook that changes items before chunking and one that changes chunks after it."""
+    config = pipeline.Config(chunk_size=0, return_level="postprocess", pre_enrich=(lambda d: d.withColumn("text", F.lower("text")),), post_enrich=(lambda d: d.withColumn("text", F.concat("text", F.lit(" #"), F.col("chunk_no").cast("string"))),))
+    return pipeline.run(D.items_doc(spark, sf_dir), config).select("doc_id", "chunk_no", "text")
+
+
+@query(f"WITH {ITEMS} SELECT doc_id, page - 1 AS chunk_no, string_agg(text, ' / ' ORDER BY seq) AS text, page AS i_page FROM items GROUP BY doc_id, page")
+def custom_chunker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chunker of the caller's own: one chunk a page."""
+
+    def by_page(items: DataFrame, size: int, overlap: int) -> DataFrame:
+        text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " / ")
+        return items.groupBy("doc_id", "page").agg(text.alias("text")).select("doc_id", (F.col("page") - 1).alias("chunk_no"), "text", F.col("page").alias("i_page"))
+
+    config = pipeline.Config(chunker="pages", chunkers={"pages": by_page}, return_level="chunker")
+    return pipeline.run(D.items_doc(spark, sf_dir), config)
+
+
+@query("SELECT p_partkey AS doc_id, CAST(i AS INT) AS seq, 'code' AS category, [p_name, p_brand][i + 1] AS text FROM part, unnest(range(2)) AS r(i)")
+def custom_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parser that is registered for a type of its own."""
+    files.register_parser("pairs", lambda content: ((1, "code", x, files.NOWHERE, None) for x in content.decode().split("=")))
+    rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a").alias("path"), F.encode(F.concat("p_name", F.lit("="), "p_brand"), "utf-8").alias("content"))
+    return files.lines_of(files.parse(rows, "pairs")).select("doc_id", "seq", "category", "text")
+
+
+@query("SELECT p_partkey AS doc_id, CAST(i AS INT) AS seq, ['title', 'list_item', 'table'][i + 1] AS category, [p_name, p_brand, p_type][i + 1] AS text FROM part, unnest(range(3)) AS r(i)")
+def load_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose format gives their category pass through the load step as they are."""
+    kinds = zip(("title", "list_item", "table"), ("p_name", "p_brand", "p_type"), strict=True)
+    box = F.struct(*[F.lit(0.0).alias(k) for k in ("x0", "y0", "x1", "y1")])
+    lines = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(1).alias("page"), F.lit(k).alias("category"), F.col(c).alias("text"), box.alias("bbox"), F.lit(None).cast("double").alias("font_size")) for i, (k, c) in enumerate(kinds)])
+    parsed = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a.docx").alias("path"), F.lit("docx").alias("ext"), F.lit(None).cast("string").alias("error"), lines.alias("lines"), F.array().cast(files.PAGES.removeprefix("pages ")).alias("pages"))
+    return pipeline.load(parsed, pipeline.Config()).select("doc_id", "seq", "category", "text")
+
+
+@query("SELECT r_regionkey AS id, true AS shaped, true AS recent FROM region")
+def record_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date of records made now: ISO seconds with a Z, and not a day old."""
+    now = metadata.utc_now()
+    rows = D.read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), now.alias("t"))
+    return rows.select("id", F.col("t").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$").alias("shaped"), (F.abs(F.unix_timestamp(F.to_timestamp("t", "yyyy-MM-dd'T'HH:mm:ssX")) - F.unix_timestamp()) < 86400).alias("recent"))
