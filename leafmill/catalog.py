@@ -147,7 +147,9 @@ def html_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.rule_layout(lines).select("doc_id", "seq", "category", "text", "font_size")
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, i, trim(x[i + 1], ' ' || chr(9)) AS t FROM (SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS x FROM documents) d, unnest(range(len(x))) AS r(i)),
+ m AS (SELECT doc_id, i, CASE WHEN regexp_matches(t, '^#{1,6}\\s+') THEN 'section_header' WHEN regexp_matches(t, '^(?:[-*+]|\\d+[.)])\\s+') THEN 'list_item' ELSE 'text' END AS category, CASE WHEN regexp_matches(t, '^#{1,6}\\s+') THEN regexp_replace(t, '^#{1,6}\\s+', '') WHEN regexp_matches(t, '^(?:[-*+]|\\d+[.)])\\s+') THEN regexp_replace(t, '^(?:[-*+]|\\d+[.)])\\s+', '') ELSE t END AS text FROM l WHERE t <> '')
+ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INT) AS seq, category, text FROM m WHERE text <> ''""")
 def md_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.lines_of(files.parse(_contents(spark, sf_dir, "documents", "doc_id", "text"), "md")).select("doc_id", "seq", "category", "text")
 
@@ -545,14 +547,14 @@ def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.load(parsed, pipeline.Config()).select("doc_id", "seq", "page", "split_no", "text", "category")
 
 
-@query("""WITH s AS (SELECT l_orderkey AS doc_id, CAST(l_partkey % 3 + 1 AS INT) AS page, CAST(l_suppkey % 4 AS INT) AS line_no, row_number() OVER (PARTITION BY l_orderkey, l_partkey % 3, l_suppkey % 4 ORDER BY l_linenumber, l_partkey) AS seq, l_linenumber * 40 + l_quantity / 2 AS x0, l_quantity AS w, CAST(8 + l_suppkey % 3 * 2 + l_linenumber % 2 AS DOUBLE) AS size, l_returnflag || CASE WHEN l_linenumber % 3 = 0 THEN ' ' ELSE '' END AS text FROM lineitem),
+@query("""WITH s AS (SELECT l_orderkey AS doc_id, CAST(l_partkey % 3 + 1 AS INT) AS page, CAST(l_suppkey % 4 AS INT) AS line_no, row_number() OVER (PARTITION BY l_orderkey, l_partkey % 3, l_suppkey % 4 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag) AS seq, l_linenumber * 40 + l_quantity / 2 AS x0, l_quantity AS w, CAST(8 + l_suppkey % 3 * 2 + l_linenumber % 2 AS DOUBLE) AS size, l_returnflag || CASE WHEN l_linenumber % 3 = 0 THEN ' ' ELSE '' END AS text FROM lineitem),
  g AS (SELECT *, lag(x0 + w) OVER k AS x1b, lag(size) OVER k AS sizeb, lag(text) OVER k AS textb, sum(length(text)) OVER (PARTITION BY doc_id, page, line_no, size) AS n, min(seq) OVER (PARTITION BY doc_id, page, line_no, size) AS f FROM s WINDOW k AS (PARTITION BY doc_id, page, line_no ORDER BY seq)),
  p AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page, line_no ORDER BY n DESC, f) AS best FROM g)
  SELECT doc_id, page, line_no AS seq, string_agg(CASE WHEN x0 - x1b > (size + sizeb) / 2 * 0.25 AND right(textb, 1) <> ' ' THEN ' ' || text ELSE text END, '' ORDER BY seq) AS text, min(x0) AS x0, max(x0 + w) AS x1, max(CASE WHEN best = 1 THEN size END) AS font_size FROM p GROUP BY doc_id, page, line_no""")
 def span_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans made from line items, joined to lines."""
     x0 = F.col("l_linenumber") * 40 + F.col("l_quantity") / 2
-    w = Window.partitionBy("l_orderkey", F.col("l_partkey") % 3, F.col("l_suppkey") % 4).orderBy("l_linenumber", "l_partkey")
+    w = Window.partitionBy("l_orderkey", F.col("l_partkey") % 3, F.col("l_suppkey") % 4).orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
     spans = D.read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("doc_id"), (F.col("l_partkey") % 3 + 1).cast("int").alias("page"), (F.col("l_suppkey") % 4).cast("int").alias("line_no"), F.row_number().over(w).alias("seq"),
         F.concat("l_returnflag", F.when(F.col("l_linenumber") % 3 == 0, " ").otherwise("")).alias("text"), (8 + F.col("l_suppkey") % 3 * 2 + F.col("l_linenumber") % 2).cast("double").alias("size"),
