@@ -92,8 +92,8 @@ class Vectors:
     def __call__(self, texts: list[str | None]) -> list[Vector]:
         """The vector of each text. The different words of all are looked up once."""
         found: list[Vector] = []
-        for a in range(0, len(texts), BATCH):
-            found += self._together(texts[a : a + BATCH])
+        for a in range(0, len(texts), 8 * BATCH):
+            found += self._together(texts[a : a + 8 * BATCH])
         return found
 
     def _together(self, texts: list[str | None]) -> list[Vector]:
