@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, whole_text
-from leafmill.llm.tokenizing import END_ID, batches, encoder, vocabulary
+from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
 
 WIDTH = 1024
 #: Relative excess over the lower bound at which column generation stops, and pricing rounds at most.
@@ -179,7 +179,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) ->
     path = tokenizer or vocabulary("byte_bpe_50k.json")
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, n = encoder(path).encode_batch, TaskContext.get().partitionId(), 0
+        encode, part, n = Encoder(path).encode_batch, TaskContext.get().partitionId(), 0
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number"]
         for batch in rows:
             ids, texts = (c.to_pylist() for c in batch.columns)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, new_path, whole_text
-from leafmill.llm.tokenizing import END_ID, batches, encoder, vocabulary
+from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
 
 MAGIC = b"PFR1"
 BLOCK = 1024
@@ -197,7 +197,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, block: int = BLOCK,
 
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        encode = encoder(path, special_as_text).encode_batch
+        encode = Encoder(path, special_as_text).encode_batch
         held: list[bytes] = []
         doc_ids: list[int | None] = []
         part, seq = TaskContext.get().partitionId(), 0

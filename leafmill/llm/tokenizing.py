@@ -46,6 +46,18 @@ def json_tokenizer(path: str, special_as_text: bool = False):
     return found
 
 
+@functools.cache
+def form_of(path: str) -> tuple[bool, tuple[str, ...]]:
+    """Whether texts can be cut for a tokenizer (byte-level BPE without a normalizer), and the strings of its special tokens."""
+    tokenizer = json_tokenizer(path)
+    if tokenizer.get_vocab_size() > 65536:
+        raise ValueError("the vocabulary has more than 65,536 ids")
+    file = json.loads(tokenizer.to_str())
+    before = file["pre_tokenizer"] or {}
+    cuts = file["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not file["normalizer"]
+    return cuts, tuple(x["content"] for x in file["added_tokens"])
+
+
 def safe_pieces(text: str, size: int) -> Iterator[str]:
     """text in pieces of about `size` characters, cut at safe places only; encoding them one by one gives the ids of the whole."""
     start = 0
@@ -55,7 +67,7 @@ def safe_pieces(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
-#: Chunks whose ids a worker keeps, twice: those met since so many others were, and those met before that.
+#: Chunks whose ids a task keeps, twice: those met since so many others were, and those met before that.
 CACHE = 400_000
 #: A mark after letters that ends a word: the pattern begins a new match there.
 MARKS = frozenset(".,;:!?")
@@ -76,13 +88,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
-        self.tokenizer = json_tokenizer(path, special_as_text)
-        if self.tokenizer.get_vocab_size() > 65536:
-            raise ValueError("the vocabulary has more than 65,536 ids")
-        file = json.loads(self.tokenizer.to_str())
-        before = file["pre_tokenizer"] or {}
-        self.cuts = file["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not file["normalizer"]
-        self.special = [] if special_as_text else [x["content"] for x in file["added_tokens"]]
+        self.tokenizer, (self.cuts, special) = json_tokenizer(path, special_as_text), form_of(path)
+        self.special = () if special_as_text else special
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -168,12 +175,6 @@ class Encoder:
         known.update(zip(rest, self.whole([c[1:] if c[0] == " " else f" {c}" for c in rest]), strict=True))
 
 
-@functools.cache
-def encoder(path: str, special_as_text: bool = False) -> Encoder:
-    """One for all tasks of a worker, with what it has learned."""
-    return Encoder(path, special_as_text)
-
-
 def batches(texts: list[str], characters: int = 10_000_000) -> Iterator[tuple[int, int]]:
     """(start, end) of runs of texts that together have about so many characters."""
     start = held = 0
