@@ -9,7 +9,6 @@ from leafmill.schemas import CATEGORIES
 
 #: Unicode white space, as the class of strip() and split().
 WS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
-LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 BAD = r"[\x{FFFD}\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]"
 
 
@@ -49,9 +48,15 @@ def n_words(c: Column) -> Column:
     return F.regexp_count(c, F.lit(f"[^{WS[1:]}+"))
 
 
+#: Characters that end a line; a carriage return with a line feed is one end.
+ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
 def n_lines(c: Column) -> Column:
-    """Line ends, and one for a last line without one."""
-    return F.regexp_count(c, F.lit(LINE_ENDS)) + F.when((c != "") & ~F.right(c, F.lit(1)).rlike(LINE_ENDS), 1).otherwise(0)
+    """Line ends, and one for a last line without one. Counted by what is left without them: no regular expression runs over the text."""
+    ends = F.length(c) - F.length(F.translate(c, ENDS, ""))
+    pairs = (F.length(c) - F.length(F.replace(c, F.lit("\r\n"), F.lit("")))) / 2
+    return (ends - pairs.cast("int") + F.when((c != "") & ~F.lit(ENDS).contains(F.right(c, F.lit(1))), 1).otherwise(0)).cast("int")
 
 
 def escape(c: Column) -> Column:
