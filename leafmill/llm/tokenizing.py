@@ -68,7 +68,7 @@ def safe_pieces(text: str, size: int) -> Iterator[str]:
 
 
 #: Chunks whose ids a task keeps, twice: those met since so many others were, and those met before that.
-CACHE = 400_000
+CACHE = 250_000
 #: A mark after letters that ends a word: the pattern begins a new match there.
 MARKS = frozenset(".,;:!?")
 #: Printable stand-ins of the byte-level alphabet: bytes that are printable stand for themselves, the others follow from 256 on.

@@ -46,7 +46,7 @@ NEAR = 1e-5
 PRIOR = 0.25
 STRIP = string.punctuation + "«»“”„‘’…¿¡"
 #: Words that a worker's cache holds at most.
-CACHE = 300_000
+CACHE = 50_000
 
 SCHEMA = "doc_id bigint, score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, toxic: int>>"
 
@@ -215,10 +215,12 @@ class Model:
         return (sum(s * self.index.labels[i] for s, i in near) + PRIOR * self.base) / (sum(s for s, _ in near) + PRIOR)
 
     def scores(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """Score and evidence of each text; equal ones are looked up once."""
-        different = list(dict.fromkeys(texts))
-        found = self.index.nearest(self.vectors(different), NEIGHBOURS)
-        made = {t: (min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base, near) for t, near in zip(different, found, strict=True)}
+        """Score and evidence of each text; equal ones are looked up once, some at a time."""
+        different, made = list(dict.fromkeys(texts)), {}
+        for a in range(0, len(different), 8 * BATCH):
+            part = different[a : a + 8 * BATCH]
+            for t, near in zip(part, self.index.nearest(self.vectors(part), NEIGHBOURS), strict=True):
+                made[t] = (min(1.0, max(0.0, float(np.interp(self.vote(near), *self.knots)))) if near else self.base, near)
         return [made[t] for t in texts]
 
 
