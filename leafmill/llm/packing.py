@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import materialize, whole_text
+from leafmill.llm.shared import give_back, materialize, whole_text
 from leafmill.llm.tokenizing import END_ID, Encoder, batches, vocabulary
 
 WIDTH = 1024
@@ -196,6 +196,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) ->
                         out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(tokens), part, n if whole else None))
                         n += whole
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
+        encode = batch = ids = texts = out = None
+        give_back()
 
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part bigint, number bigint"
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
