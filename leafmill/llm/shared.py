@@ -62,6 +62,20 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def path_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder inside the shared folder."""
+    a, b = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (old, new))
+    store = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(b.getParent())
+    if not store.rename(a, b):
+        raise OSError(f"{old} can't be moved to {new}")
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a materialized table that no later plan reads."""
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
