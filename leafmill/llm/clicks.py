@@ -207,6 +207,7 @@ def _session(spark: SparkSession) -> SparkSession:
     for k, v in {
         "stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "stateStore.unloadOnCommit": "true",  # a start runs one batch: its stores and their files aren't needed any more
         "stateStore.rocksdb.boundedMemoryUsage": "true",
         "stateStore.rocksdb.maxMemoryUsageMB": "256",
         "noDataMicroBatches.enabled": "false",
