@@ -103,10 +103,10 @@ def ocr_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LABELS = "(['Text','Title','List-item','Table','Picture','Code','Strange label'])[CAST(c_custkey % 7 + 1 AS INT)]"
-REGIONS = f"""regions AS (SELECT c_custkey % 10 AS doc_id, CAST(c_custkey // 10 % 5 + 1 AS INT) AS page, CAST(c_custkey AS INT) AS region_no, {LABELS} AS label, (c_custkey % 100) / 100.0::DOUBLE AS confidence,
-  CAST(c_custkey // 100 * 41 % 480 + c_custkey % 3 AS DOUBLE) AS l, CAST(c_custkey // 100 * 59 % 640 AS DOUBLE) AS t, CAST(c_custkey // 100 * 41 % 480 + 40 + c_custkey % 80 AS DOUBLE) AS r, CAST(c_custkey // 100 * 59 % 640 + 30 + c_custkey % 70 AS DOUBLE) AS b FROM customer),
+REGIONS = f"""regions AS (SELECT c_custkey // 150 AS doc_id, CAST(c_custkey // 30 % 5 + 1 AS INT) AS page, CAST(c_custkey AS INT) AS region_no, {LABELS} AS label, (c_custkey % 100) / 100.0::DOUBLE AS confidence,
+  CAST(c_custkey // 6 * 41 % 480 + c_custkey % 3 AS DOUBLE) AS l, CAST(c_custkey // 6 * 59 % 640 AS DOUBLE) AS t, CAST(c_custkey // 6 * 41 % 480 + 40 + c_custkey % 80 AS DOUBLE) AS r, CAST(c_custkey // 6 * 59 % 640 + 30 + c_custkey % 70 AS DOUBLE) AS b FROM customer),
  named AS (SELECT *, CASE label WHEN 'Strange label' THEN 'text' ELSE replace(lower(label), '-', '_') END AS category FROM regions)"""
-LINES = """lines AS (SELECT p_partkey % 10 AS doc_id, CAST(p_partkey // 10 % 5 + 1 AS INT) AS page, CAST(p_partkey AS INT) AS seq, p_name AS text, CAST(p_partkey * 37 % 500 AS DOUBLE) AS x0, CAST(p_partkey * 53 % 700 AS DOUBLE) AS y0,
+LINES = """lines AS (SELECT p_partkey // 200 AS doc_id, CAST(p_partkey // 40 % 5 + 1 AS INT) AS page, CAST(p_partkey AS INT) AS seq, p_name AS text, CAST(p_partkey * 37 % 500 AS DOUBLE) AS x0, CAST(p_partkey * 53 % 700 AS DOUBLE) AS y0,
   CAST(p_partkey * 37 % 500 + 20 + p_partkey % 60 AS DOUBLE) AS x1, CAST(p_partkey * 53 % 700 + 8 + p_partkey % 9 AS DOUBLE) AS y1, CAST(8 + p_partkey % 4 * 2 AS DOUBLE) AS font_size FROM part)"""
 
 
@@ -335,8 +335,7 @@ def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
  body AS (SELECT doc_id, page, font_size AS body FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY n DESC, font_size) AS k FROM sizes) WHERE k = 1)
  SELECT doc_id, page, seq, body, CASE WHEN font_size >= 1.2::DOUBLE * body THEN 'section_header' ELSE 'text' END AS category FROM lines JOIN body USING (doc_id, page)""")
 def rule_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = D.boxes_lines(spark, sf_dir)
-    return layout.rule_layout(lines).select("doc_id", "page", "seq", "category").join(layout.body_size(lines).select("doc_id", "page", "seq", "body"), ["doc_id", "page", "seq"])
+    return layout.rule_layout(D.boxes_lines(spark, sf_dir), body=True).select("doc_id", "page", "seq", "category", "body")
 
 
 _INTER = "greatest(least({a}.x1, {b}.r) - greatest({a}.x0, {b}.l), 0) * greatest(least({a}.y1, {b}.b) - greatest({a}.y0, {b}.t), 0)".format(a="x", b="g")
@@ -377,7 +376,15 @@ def reading_order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.edges(D.boxes_lines(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {LINES}, flow AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0, seq) AS r FROM lines WHERE seq % 6 <> 0),
+ e AS (SELECT a.doc_id, a.page, a.r AS above, b.r AS below FROM flow a JOIN flow b ON a.doc_id = b.doc_id AND a.page = b.page AND a.seq <> b.seq AND a.y1 <= b.y0 AND {_WIDE.format(a="a", b="b")}
+  WHERE NOT EXISTS (SELECT 1 FROM flow c WHERE c.doc_id = a.doc_id AND c.page = a.page AND c.seq <> a.seq AND c.seq <> b.seq AND a.y1 <= c.y0 AND c.y1 <= b.y0 AND ({_WIDE.format(a="a", b="c")} OR {_WIDE.format(a="b", b="c")}))),
+ node AS (SELECT f.doc_id, f.page, f.r, (SELECT count(*) FROM e WHERE e.doc_id = f.doc_id AND e.page = f.page AND e.below = f.r) AS waits, coalesce((SELECT list(e.below ORDER BY e.below) FROM e WHERE e.doc_id = f.doc_id AND e.page = f.page AND e.above = f.r), []) AS next FROM flow f),
+ pages AS (SELECT doc_id, page, list(waits ORDER BY r) AS waits, list(next ORDER BY r) AS next FROM node GROUP BY doc_id, page),
+ walk AS (SELECT doc_id, page, 0 AS k, CAST(NULL AS BIGINT) AS took, list_reverse(list_filter(range(1, len(waits) + 1), lambda i: waits[i] = 0)) AS todo, waits, next FROM pages
+  UNION ALL SELECT doc_id, page, k + 1, t, list_concat(todo[:-2], list_reverse(list_filter(next[t], lambda c: left_[c] = 0))), left_, next FROM (SELECT *, todo[-1] AS t, list_transform(range(1, len(waits) + 1), lambda i: waits[i] - CASE WHEN list_contains(next[todo[-1]], i) THEN 1 ELSE 0 END) AS left_ FROM walk WHERE len(todo) > 0)),
+ led AS (SELECT l.doc_id, l.page, l.seq, last_value(f.r IGNORE NULLS) OVER (PARTITION BY l.doc_id, l.page ORDER BY l.seq) AS leader FROM lines l LEFT JOIN flow f ON f.seq = l.seq)
+ SELECT d.doc_id, d.page, d.seq, CAST(row_number() OVER (PARTITION BY d.doc_id, d.page ORDER BY coalesce(w.k, 0), d.seq) - 1 AS INT) AS position FROM led d LEFT JOIN walk w ON w.doc_id = d.doc_id AND w.page = d.page AND w.took = d.leader""")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = D.boxes_lines(spark, sf_dir).withColumn("category", F.when(F.col("seq") % 6 == 0, "formula").otherwise("text"))
     return order.reading_order(lines).select("doc_id", "page", "seq", "position")

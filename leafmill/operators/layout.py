@@ -5,11 +5,12 @@ lines: doc_id, page, seq, text, bbox, font_size; regions: doc_id, page, region_n
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import strip, to_category
+from leafmill.operators import graph, grid
+from leafmill.store import written
 
 #: Headings are so much larger than the body; overlap of lines and of regions; thresholds.
 HEADING_RATIO, LINE_OVERLAP, REGION_OVERLAP, FULL_PAGE = 1.2, 0.2, 0.8, 0.9
@@ -26,8 +27,10 @@ def body_size(lines: DataFrame) -> DataFrame:
     return counted.withColumn("body", F.max(F.when(F.col("__n").isNotNull(), F.struct("__n", (-F.col("font_size")).alias("s")))).over(page)).withColumn("body", -F.col("body.s")).drop("__n")
 
 
-def rule_layout(lines: DataFrame) -> DataFrame:
-    return body_size(lines).withColumn("category", F.when(F.col("font_size") >= HEADING_RATIO * F.col("body"), "section_header").otherwise("text")).drop("body")
+def rule_layout(lines: DataFrame, body: bool = False) -> DataFrame:
+    """lines with `category`, by their size against the page's body; with that size as `body` if asked for."""
+    found = body_size(lines).withColumn("category", F.when(F.col("font_size") >= HEADING_RATIO * F.col("body"), "section_header").otherwise("text"))
+    return found if body else found.drop("body")
 
 
 def filter_regions(regions: DataFrame, width: float | None = None, height: float | None = None) -> DataFrame:
@@ -39,35 +42,40 @@ def filter_regions(regions: DataFrame, width: float | None = None, height: float
     return out
 
 
-def _overlap(a: str, b: str) -> Column:
+PAGE = ["doc_id", "page"]
+
+
+def area(box: str) -> Column:
+    at = lambda c: F.col(f"{box}.{c}" if box else c)
+    return (at("r") - at("l")) * (at("b") - at("t"))
+
+
+def shared_area(a: str = "a", b: str = "b") -> Column:
     w = F.least(F.col(f"{a}.r"), F.col(f"{b}.r")) - F.greatest(F.col(f"{a}.l"), F.col(f"{b}.l"))
     h = F.least(F.col(f"{a}.b"), F.col(f"{b}.b")) - F.greatest(F.col(f"{a}.t"), F.col(f"{b}.t"))
     return F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
 
 
-def _boxed(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({"l": F.col("bbox.x0"), "t": F.col("bbox.y0"), "r": F.col("bbox.x1"), "b": F.col("bbox.y1")})
+def _best(lines: DataFrame, pairs: DataFrame, rank: list[Column], carry: tuple[str, ...]) -> DataFrame:
+    """lines with region_no and the columns `carry` of the region of the least rank, then number; null where there is none."""
+    ranked = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col("b.region_no").alias("region_no"), *[F.col(f"b.{c}").alias(c) for c in carry])
+    best = pairs.groupBy(*PAGE, F.col("a.seq").alias("seq")).agg(F.min(ranked).alias("m")).select(*PAGE, "seq", "m.region_no", *[F.col(f"m.{c}").alias(c) for c in carry])
+    return lines.join(best, [*PAGE, "seq"], "left")
 
 
-def match_overlap(lines: DataFrame, regions: DataFrame) -> DataFrame:
-    """region_no of the region that covers most of each line, if over LINE_OVERLAP; the first of equals."""
-    x, g = _boxed(lines).alias("x"), regions.alias("g")
-    area = (F.col("x.r") - F.col("x.l")) * (F.col("x.b") - F.col("x.t"))
-    share = F.when(area > 0, _overlap("x", "g") / area)
-    pairs = x.join(g, (F.col("x.doc_id") == F.col("g.doc_id")) & (F.col("x.page") == F.col("g.page")) & (share > LINE_OVERLAP)).select("x.doc_id", "x.page", "x.seq", F.struct(share.alias("share"), (-F.col("g.region_no")).alias("first")).alias("m"))
-    best = pairs.groupBy("doc_id", "page", "seq").agg(F.max("m").alias("m")).select("doc_id", "page", "seq", (-F.col("m.first")).alias("region_no"))
-    return lines.join(best, ["doc_id", "page", "seq"], "left")
+def match_overlap(lines: DataFrame, regions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """region_no of the region that covers most of each line, if over LINE_OVERLAP; the first of equals. carry: more columns of that region."""
+    boxes = lines.select(*PAGE, "seq", *[F.col(f"bbox.{x}").alias(k) for k, x in zip("ltrb", ("x0", "y0", "x1", "y1"), strict=True)])
+    pairs = grid.sharing(boxes, regions.select(*PAGE, "region_no", *"ltrb", *carry), PAGE)
+    share = shared_area() / area("a")
+    return _best(lines, pairs.where(share > LINE_OVERLAP), [-share], carry)
 
 
-def match_center(lines: DataFrame, regions: DataFrame) -> DataFrame:
-    """region_no of the smallest region that holds each line's centre, edges included; the first of equals."""
-    x, g = _boxed(lines).alias("x"), regions.alias("g")
-    cx, cy = (F.col("x.l") + F.col("x.r")) / 2, (F.col("x.t") + F.col("x.b")) / 2
-    inside = (F.col("g.l") <= cx) & (cx <= F.col("g.r")) & (F.col("g.t") <= cy) & (cy <= F.col("g.b"))
-    area = (F.col("g.r") - F.col("g.l")) * (F.col("g.b") - F.col("g.t"))
-    pairs = x.join(g, (F.col("x.doc_id") == F.col("g.doc_id")) & (F.col("x.page") == F.col("g.page")) & inside).select("x.doc_id", "x.page", "x.seq", F.struct(area.alias("area"), "g.region_no").alias("m"))
-    best = pairs.groupBy("doc_id", "page", "seq").agg(F.min("m").alias("m")).select("doc_id", "page", "seq", F.col("m.region_no").alias("region_no"))
-    return lines.join(best, ["doc_id", "page", "seq"], "left")
+def match_center(lines: DataFrame, regions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """region_no of the smallest region that holds each line's centre, edges included; the first of equals. carry: more columns of that region."""
+    centres = lines.select(*PAGE, "seq", ((F.col("bbox.x0") + F.col("bbox.x1")) / 2).alias("x"), ((F.col("bbox.y0") + F.col("bbox.y1")) / 2).alias("y"))
+    pairs = grid.holding(centres, regions.select(*PAGE, "region_no", *"ltrb", *carry), PAGE)
+    return _best(lines, pairs, [area("b")], carry)
 
 
 def group_of(category: Column) -> Column:
@@ -76,55 +84,47 @@ def group_of(category: Column) -> Column:
 
 def overlap_edges(regions: DataFrame) -> DataFrame:
     """(doc_id, page, a, b): pairs of regions of one group that overlap or contain one another."""
-    r = regions.withColumn("grp", group_of(F.col("category")))
-    a, b = r.alias("a"), r.alias("b")
-    area = lambda s: (F.col(f"{s}.r") - F.col(f"{s}.l")) * (F.col(f"{s}.b") - F.col(f"{s}.t"))
-    inter = _overlap("a", "b")
-    near = (area("a") > 0) & (area("b") > 0) & ((inter / (area("a") + area("b") - inter) > REGION_OVERLAP) | (inter / area("a") > REGION_OVERLAP) | (inter / area("b") > REGION_OVERLAP))
-    on = (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.grp") == F.col("b.grp")) & (F.col("a.region_no") < F.col("b.region_no"))
-    return a.join(b, on & near).select("a.doc_id", "a.page", F.col("a.region_no").alias("a"), F.col("b.region_no").alias("b"))
-
-
-def _keep(page: pd.DataFrame) -> pd.DataFrame:
-    """The regions that stay of one page (tens of them)."""
-    rows = page.sort_values("region_no").to_dict("records")
-    area = lambda x: (x["r"] - x["l"]) * (x["b"] - x["t"])
-    inter = lambda x, y: max(0.0, min(x["r"], y["r"]) - max(x["l"], y["l"])) * max(0.0, min(x["b"], y["b"]) - max(x["t"], y["t"]))
-
-    def touch(x, y) -> bool:
-        if min(area(x), area(y)) <= 0:
-            return False
-        both = inter(x, y)
-        return max(both / (area(x) + area(y) - both), both / area(x), both / area(y)) > REGION_OVERLAP
-
-    def preferred(x, y, limits) -> bool:
-        if x["category"] == "list_item" and y["category"] == "text" and abs(1 - area(x) / area(y)) < 0.2:
-            return True
-        if x["category"] == "code" and inter(x, y) / area(y) > REGION_OVERLAP:
-            return True
-        return not (area(x) / area(y) <= limits[0] and y["confidence"] - x["confidence"] > limits[1])
-
-    kept = []
-    for name, limits in OVERLAP_PARAMS.items():
-        left = [x for x in rows if ("picture" if x["category"] == "picture" else "wrapper" if x["category"] in WRAPPERS else "regular") == name]
-        while left:
-            cluster = [left.pop(0)]
-            for x in cluster:  # grows while it is walked
-                near = [y for y in left if touch(x, y)]
-                left = [y for y in left if not any(y is n for n in near)]
-                cluster += near
-            cluster.sort(key=lambda x: x["region_no"])
-            best = None
-            for x in cluster:
-                if all(y is x or preferred(x, y, limits) for y in cluster) and (best is None or area(x) > area(best) and best["confidence"] - x["confidence"] <= limits[1]):
-                    best = x
-            kept.append(best or cluster[0])
-    return page[page["region_no"].isin([x["region_no"] for x in kept])]
+    boxes = regions.select(*PAGE, group_of(F.col("category")).alias("grp"), "region_no", *"ltrb")
+    pairs = grid.sharing(boxes, boxes, [*PAGE, "grp"]).where("a.region_no < b.region_no")
+    both = shared_area()
+    near = (both / (area("a") + area("b") - both) > REGION_OVERLAP) | (both / area("a") > REGION_OVERLAP) | (both / area("b") > REGION_OVERLAP)
+    return pairs.where(near).select(*PAGE, F.col("a.region_no").alias("a"), F.col("b.region_no").alias("b"))
+
+
+def _stands_back(c: str, other: str) -> Column:
+    """Whether region c gives way to another of its cluster: it is hardly larger and clearly less sure, unless it is a list item
+    as large as a text or code around the other."""
+    most, loss = (F.create_map(*[x for k, v in OVERLAP_PARAMS.items() for x in (F.lit(k), F.lit(v[i]))])[F.col(f"{c}.grp")] for i in (0, 1))
+    ratio = area(c) / area(other)
+    as_list = (F.col(f"{c}.category") == "list_item") & (F.col(f"{other}.category") == "text") & (F.abs(1 - ratio) < 0.2)
+    as_code = (F.col(f"{c}.category") == "code") & (shared_area(c, other) / area(other) > REGION_OVERLAP)
+    return ~as_list & ~as_code & (ratio <= most) & (F.col(f"{other}.confidence") - F.col(f"{c}.confidence") > loss)
 
 
 def remove_overlaps(regions: DataFrame) -> DataFrame:
-    """regions without those that another of their cluster stands for. Clusters and preferences of a page are settled together."""
-    return regions.groupBy("doc_id", "page").applyInPandas(_keep, regions.schema)
+    """regions without those that another of their cluster stands for.
+
+    Clusters are what overlap_edges() connects. Of a cluster stays, among the regions that give way to no other, the first
+    one unless a later one is larger and not clearly less sure; where all give way, the first of the cluster. A region that
+    overlaps no other stays.
+    """
+    regions = written(regions, "regions")
+    label = graph.components(overlap_edges(regions), PAGE).withColumnRenamed("node", "region_no")
+    members = written(regions.withColumn("grp", group_of(F.col("category"))).join(label, [*PAGE, "region_no"]), "clusters")
+    cluster = [*PAGE, "label"]
+    c, o = members.alias("c"), members.alias("o")
+    same = (F.col("c.region_no") != F.col("o.region_no")) & _stands_back("c", "o")
+    for k in cluster:
+        same = same & (F.col(f"c.{k}") == F.col(f"o.{k}"))
+    able = c.join(o, same, "left_anti")
+    loss = F.create_map(*[x for k, v in OVERLAP_PARAMS.items() for x in (F.lit(k), F.lit(v[1]))])[F.first("grp")]
+    candidates = able.groupBy(*cluster).agg(F.sort_array(F.collect_list(F.struct("region_no", area("").alias("area"), "confidence"))).alias("able"), loss.alias("loss"))
+    better = lambda best, x: (x["area"] > best["area"]) & (best["confidence"] - x["confidence"] <= F.col("loss"))
+    chosen = F.aggregate(F.slice("able", 2, F.size("able")), F.get("able", 0), lambda best, x: F.when(better(best, x), x).otherwise(best))
+    best = candidates.select(*cluster, chosen["region_no"].alias("best"))
+    # The label is the least number of the cluster.
+    gone = members.select(*cluster, "region_no").join(best, cluster, "left").where(F.col("region_no") != F.coalesce("best", "label"))
+    return regions.join(gone.select(*PAGE, "region_no"), [*PAGE, "region_no"], "left_anti").select(*regions.columns)
 
 
 def table_items(lines: DataFrame, regions: DataFrame, tables: DataFrame) -> DataFrame:

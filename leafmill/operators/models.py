@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.text import corrupted, strip, to_category
 from leafmill.operators import layout, tables
+from leafmill.store import written
 
 Answers = Callable[[list[dict]], list]
 Client = Callable[[], Answers]
@@ -148,7 +149,10 @@ class Structure:
 
 
 def answered(rows: DataFrame, client: Client, into: Callable[[dict, object], list[dict]], schema: str) -> DataFrame:
-    """The rows that into(row, answer) gives for each row of `rows`; the client is made once in each task."""
+    """The rows that into(row, answer) gives for each row of `rows`; the client is made once in each task.
+
+    They are written: a service is asked once about a row, however often its answers are read.
+    """
     names = [f.name for f in rows.sparkSession.createDataFrame([], schema).schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,7 +162,7 @@ def answered(rows: DataFrame, client: Client, into: Callable[[dict, object], lis
             if out := [x for r, a in zip(asked, call(asked), strict=True) for x in into(r, a)]:
                 yield pd.DataFrame(out, columns=names)
 
-    return rows.mapInPandas(run, schema)
+    return written(rows.mapInPandas(run, schema), "answers")
 
 
 def shown(pages: DataFrame) -> DataFrame:
@@ -241,9 +245,13 @@ def _box(*names: str) -> Column:
     return F.struct(*[F.col(n).cast("double").alias(k) for n, k in zip(names, ("x0", "y0", "x1", "y1"), strict=True)]).alias("bbox")
 
 
-def _categories(lines: DataFrame, matched: DataFrame, regions: DataFrame) -> DataFrame:
-    named = regions.select("doc_id", "page", "region_no", F.col("category").alias("__category"))
-    return matched.join(named, ["doc_id", "page", "region_no"], "left").select(*lines.columns, F.coalesce("__category", F.lit("text")).alias("category"))
+def _categories(lines: DataFrame, matched: DataFrame) -> DataFrame:
+    return matched.select(*lines.columns, F.coalesce("region", F.lit("text")).alias("category"))
+
+
+def _named(regions: DataFrame) -> DataFrame:
+    """regions with their category as `region`, which a match carries to the lines."""
+    return regions.withColumn("region", F.col("category"))
 
 
 def _without_category(lines: DataFrame) -> DataFrame:
@@ -262,11 +270,10 @@ def detector(lines: DataFrame, pages: DataFrame, words: DataFrame | None, client
     area = shown(pages).select("doc_id", "page", (layout.rescale(size["width"], clients.dpi) * layout.rescale(size["height"], clients.dpi)).alias("__area"))
     kept = layout.filter_regions(found).join(area, ["doc_id", "page"]).where(~F.coalesce((F.col("category") == "picture") & ((F.col("r") - F.col("l")) * (F.col("b") - F.col("t")) > layout.FULL_PAGE * F.col("__area")), F.lit(False))).drop("__area")
     regions = layout.remove_overlaps(kept)
-    matched = layout.match_overlap(lines, regions)
     if clients.structure is None:
-        return _categories(lines, matched, regions)
+        return _categories(lines, layout.match_overlap(lines, _named(regions), ("region",)))
     html = table_html(regions, pages, words if words is not None else layout.word_tokens(lines).select("doc_id", "page", "id", F.col("token").alias("text"), _box("l", "t", "r", "b")), clients)
-    return layout.table_items(matched, regions, html).withColumn("font_size", F.lit(None).cast("double"))
+    return layout.table_items(layout.match_overlap(lines, regions), regions, html).withColumn("font_size", F.lit(None).cast("double"))
 
 
 def table_html(regions: DataFrame, pages: DataFrame, words: DataFrame, clients: Clients) -> DataFrame:
@@ -294,7 +301,7 @@ def vlm(lines: DataFrame, pages: DataFrame, words: DataFrame | None, clients: Cl
     """Categories of the smallest region of a VLM that holds each line's centre."""
     lines = _without_category(lines)
     regions = vlm_regions(pages, clients.of("vlm"), LAYOUT_PROMPT, clients.dpi)
-    return _categories(lines, layout.match_center(lines, regions), regions)
+    return _categories(lines, layout.match_center(lines, _named(regions), ("region",)))
 
 
 def _region_items(regions: DataFrame, text: Column) -> DataFrame:
@@ -317,13 +324,12 @@ def vlm_auto(lines: DataFrame, pages: DataFrame, words: DataFrame | None, client
     """As vlm(); only damaged lines inside a region are read again, from their region's box."""
     lines = _without_category(lines)
     regions = vlm_regions(pages, clients.of("vlm"), LAYOUT_PROMPT, clients.dpi)
-    matched = layout.match_center(lines, regions)
+    matched = written(layout.match_center(lines, _named(regions), ("region",)), "matched")
     damaged = matched.where(corrupted(F.col("text")) & F.col("region_no").isNotNull()).select("doc_id", "page", "region_no").distinct()
     again = grounded(regions.join(damaged, ["doc_id", "page", "region_no"], "left_semi"), pages, clients.of("vlm")).select("doc_id", "page", "region_no", "answer")
-    named = regions.select("doc_id", "page", "region_no", F.col("category").alias("__category"))
-    rows = matched.join(named, ["doc_id", "page", "region_no"], "left").join(again, ["doc_id", "page", "region_no"], "left")
+    rows = matched.join(again, ["doc_id", "page", "region_no"], "left")
     text = F.when(corrupted(F.col("text")), F.coalesce(F.nullif("answer", F.lit("")), F.col("text"))).otherwise(F.col("text"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in lines.columns], F.coalesce("__category", F.lit("text")).alias("category"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in lines.columns], F.coalesce("region", F.lit("text")).alias("category"))
 
 
 @dataclass(frozen=True)

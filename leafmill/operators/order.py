@@ -1,75 +1,134 @@
-"""Reading order of the lines of a page."""
+"""Reading order of the lines of a page.
+
+A line sees another below it if they share some width, the other begins where it ends or further down, and no third line
+that shares width with either lies between. A page is read along these links: a line's followers, the upper and then the left
+one first, each with all that it alone was waited for, come before what waits for other lines as well.
+
+Links are found by a sweep from the top of the page down. It holds the lines that can still be seen, and for each stretch of
+the page's width the lowest top of the lines that ended over it: a line that begins sees those that are open above it and
+end below that top; a line that ends hides what it covers. A page is one group; it is swept in O(n log n) steps, each over the lines
+that are open at that height.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from leafmill.schemas import FLOW
 
-#: Lines of a page that are put in order at most; longer pages stay as they are.
-MOST = 500
+#: Rows of the matrix that is held at once for pages with lines that have no width or height.
+ROWS = 256
 
 
-def edges(lines: DataFrame) -> DataFrame:
-    """(doc_id, page, above, below): lines over one another with nothing between."""
-    x = lines.select("doc_id", "page", "seq", "bbox.*")
-    a, b, c = x.alias("a"), x.alias("b"), x.alias("c")
-    page = lambda p, q: (F.col(f"{p}.doc_id") == F.col(f"{q}.doc_id")) & (F.col(f"{p}.page") == F.col(f"{q}.page"))
-    wide = lambda p, q: (F.col(f"{p}.x0") < F.col(f"{q}.x1")) & (F.col(f"{q}.x0") < F.col(f"{p}.x1"))
-    over = a.join(b, page("a", "b") & (F.col("a.seq") != F.col("b.seq")) & (F.col("a.y1") <= F.col("b.y0")) & wide("a", "b"))
-    pairs = over.select("a.doc_id", "a.page", F.struct("a.seq", "a.x0", "a.y0", "a.x1", "a.y1").alias("p"), F.struct("b.seq", "b.x0", "b.y0", "b.x1", "b.y1").alias("q")).alias("e")
-    meets = lambda s: (F.col(f"e.{s}.x0") < F.col("c.x1")) & (F.col("c.x0") < F.col(f"e.{s}.x1"))
-    between = (F.col("e.doc_id") == F.col("c.doc_id")) & (F.col("e.page") == F.col("c.page")) & (F.col("c.seq") != F.col("e.p.seq")) & (F.col("c.seq") != F.col("e.q.seq")) & (F.col("e.p.y1") <= F.col("c.y0")) & (F.col("c.y1") <= F.col("e.q.y0")) & (meets("p") | meets("q"))
-    return pairs.join(c, between, "left_anti").select("doc_id", "page", F.col("p.seq").alias("above"), F.col("q.seq").alias("below"))
-
-
-def sort_boxes(boxes: list[tuple[float, float, float, float]]) -> list[int]:
-    """Order of boxes (x0, y0, x1, y1): columns from the top down, of free ones the upper and then the left first."""
-    n = len(boxes)
-    if n <= 1 or n > MOST:
-        return list(range(n))
-    wide = lambda a, b: a[0] < b[2] and b[0] < a[2]
-    under: list[list[int]] = [[] for _ in range(n)]
-    waits = [0] * n
-    for i, a in enumerate(boxes):
-        below = [j for j, b in enumerate(boxes) if j != i and a[3] <= b[1]]
-        for j in (j for j in below if wide(a, boxes[j])):
-            b = boxes[j]
-            if not any(k != j and boxes[k][3] <= b[1] and (wide(a, boxes[k]) or wide(b, boxes[k])) for k in below):
-                under[i].append(j)
-                waits[j] += 1
-    rank = {i: r for r, i in enumerate(sorted(range(n), key=lambda i: (boxes[i][1], boxes[i][0], i)))}
-    free, out = sorted((i for i in range(n) if not waits[i]), key=rank.get, reverse=True), []
-    while free:
-        i = free.pop()
-        out.append(i)
-        for j in sorted(under[i], key=rank.get, reverse=True):
-            waits[j] -= 1
-            if not waits[j]:
-                free.append(j)
-    return out
-
-
-def _page(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("seq").reset_index(drop=True)
-    flow = [i for i, c in enumerate(rows["category"]) if c in FLOW]
-    if len(flow) < 2:
-        return rows.assign(position=range(len(rows)))
-    boxes = [(b["x0"], b["y0"], b["x1"], b["y1"]) for b in rows["bbox"]]
-    follow: dict[int, list[int]] = {-1: []}
-    last = -1
-    for i in range(len(rows)):
-        if i in set(flow):
-            last = i
-            follow[i] = []
+def _sides(boxes: pd.Series) -> np.ndarray:
+    """x0, y0, x1 and y1 as four arrays."""
+    return np.array([[b["x0"], b["y0"], b["x1"], b["y1"]] for b in boxes], float).reshape(-1, 4).T
+
+
+def swept(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(above, below): the links of lines that all have a width and a height."""
+    n = len(x0)
+    stretches = np.unique(np.concatenate([x0, x1]))
+    first, last = np.searchsorted(stretches, x0), np.searchsorted(stretches, x1)
+    lowest_top = np.full(len(stretches), -np.inf)
+    open_ = np.zeros(0, np.int64)
+    above, below = [open_], [open_]
+    # Ends come before beginnings at the same height.
+    for event in np.lexsort((np.repeat([0, 1], n), np.concatenate([y1, y0]))).tolist():
+        k = event % n
+        meets = (x0[open_] < x1[k]) & (x0[k] < x1[open_])
+        stretch = slice(first[k], last[k])
+        if event < n:
+            open_ = np.append(open_[~(meets & (y1[open_] <= y0[k]))], k)
+            np.maximum(lowest_top[stretch], y0[k], out=lowest_top[stretch])
         else:
-            follow[last].append(i)
-    order = follow[-1] + [k for i in sort_boxes([boxes[i] for i in flow]) for k in (flow[i], *follow[flow[i]])]
-    return rows.assign(position=pd.Series(range(len(order)), index=order))
+            seen = open_[meets]
+            seen = seen[y1[seen] > lowest_top[stretch].max()]
+            above.append(seen)
+            below.append(np.full(len(seen), k))
+    return np.concatenate(above), np.concatenate(below)
+
+
+def compared(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same links for any boxes, by comparing all: the two first ends under each line and the two last tops over each one
+    say whether a third line is between."""
+    n = len(x0)
+    ends, tops = np.full((n, 2), np.inf), np.full((n, 2), -np.inf)
+    pairs = []
+    for a in range(0, n, ROWS):
+        i = np.arange(a, min(a + ROWS, n))[:, None]
+        meets = (x0[i] < x1) & (x0 < x1[i]) & (i != np.arange(n))
+        under, over = meets & (y1[i] <= y0), meets & (y1 <= y0[i])
+        two = lambda values, k: np.partition(np.concatenate([values, np.full((len(values), 2), k)], axis=1), 1, axis=1)[:, :2]
+        ends[a : a + ROWS] = two(np.where(under, y1, np.inf), np.inf)
+        tops[a : a + ROWS] = -two(np.where(over, -y0, np.inf), np.inf)
+        pairs.append(np.stack(np.nonzero(under)) + [[a], [0]])
+    above, below = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    # The line itself doesn't lie between, though one without height ends where it begins.
+    end = np.where((y1[below] == ends[above, 0]), ends[above, 1], ends[above, 0])
+    top = np.where((y0[above] == tops[below, 0]), tops[below, 1], tops[below, 0])
+    free = (end > y0[below]) & (top < y1[above])
+    return above[free], below[free]
+
+
+def links(sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x0, y0, x1, y1 = sides
+    return (swept if ((x0 < x1) & (y0 < y1)).all() else compared)(x0, y0, x1, y1)
+
+
+def read_along(sides: np.ndarray) -> Iterator[int]:
+    """The lines in the order in which they are read."""
+    x0, y0, _, _ = sides
+    n = len(x0)
+    above, below = links(sides)
+    rank = np.empty(n, np.int64)
+    rank[np.lexsort((np.arange(n), x0, y0))] = np.arange(n)
+    by = np.lexsort((rank[below], above))
+    followers = np.split(below[by], np.searchsorted(above[by], np.arange(1, n)))
+    waits = np.bincount(below, minlength=n)
+    ways = [iter(sorted(np.flatnonzero(waits == 0).tolist(), key=rank.__getitem__))]
+    while ways:
+        line = next(ways[-1], None)
+        if line is None:
+            ways.pop()
+            continue
+        yield line
+        waits[followers[line]] -= 1
+        ways.append(iter(followers[line][waits[followers[line]] == 0].tolist()))
+
+
+def positions(flow: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Place of each line of a page: those of the flow as they are read, each other one behind the flow line before it; what comes before all flow stays in front."""
+    of_flow = np.cumsum(flow) - 1
+    read = np.empty(int(flow.sum()), np.int64)
+    read[list(read_along(sides[:, flow]))] = np.arange(len(read))
+    leader = np.where(of_flow < 0, -1, read[np.maximum(of_flow, 0)] if len(read) else -1)
+    place = np.empty(len(flow), np.int64)
+    place[np.argsort(leader, kind="stable")] = np.arange(len(flow))
+    return place
+
+
+def edges(lines: DataFrame) -> DataFrame:
+    """(doc_id, page, above, below): numbers of the lines that see one another."""
+    kind = lines.schema["seq"].dataType.simpleString()
+
+    def of_page(rows: pd.DataFrame) -> pd.DataFrame:
+        above, below = links(_sides(rows["bbox"]))
+        seq = rows["seq"].to_numpy()
+        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[0], "page": rows["page"].iloc[0], "above": seq[above], "below": seq[below]})
+
+    return lines.select("doc_id", "page", "seq", "bbox").groupBy("doc_id", "page").applyInPandas(of_page, f"doc_id bigint, page int, above {kind}, below {kind}")
 
 
 def reading_order(lines: DataFrame) -> DataFrame:
-    """lines with `position`: only flow categories move, others follow the flow line before them. A page is one group of MOST lines or so."""
-    return lines.groupBy("doc_id", "page").applyInPandas(_page, f"{lines._jdf.schema().toDDL()}, position int")
+    """lines with `position`: flow categories move, the others follow the flow line before them."""
+
+    def of_page(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("seq", kind="stable")
+        return rows.assign(position=positions(rows["category"].isin(FLOW).to_numpy(), _sides(rows["bbox"])))
+
+    return lines.groupBy("doc_id", "page").applyInPandas(of_page, f"{lines._jdf.schema().toDDL()}, position int")

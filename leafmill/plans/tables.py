@@ -48,18 +48,18 @@ def corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines at places given by the keys of part."""
+    """Lines at places given by the keys of part: forty a page and five pages a document, however many there are."""
     k = F.col("p_partkey")
     left, top = (k * 37 % 500).cast("double"), (k * 53 % 700).cast("double")
-    return read(spark, sf_dir, "part").select(F.expr("p_partkey % 10").alias("doc_id"), F.expr("cast(p_partkey div 10 % 5 + 1 as int)").alias("page"), k.cast("int").alias("seq"), F.col("p_name").alias("text"), F.struct(left.alias("x0"), top.alias("y0"), (left + 20 + k % 60).alias("x1"), (top + 8 + k % 9).alias("y1")).alias("bbox"), (8 + k % 4 * 2).cast("double").alias("font_size"))
+    return read(spark, sf_dir, "part").select(F.expr("p_partkey div 200").alias("doc_id"), F.expr("cast(p_partkey div 40 % 5 + 1 as int)").alias("page"), k.cast("int").alias("seq"), F.col("p_name").alias("text"), F.struct(left.alias("x0"), top.alias("y0"), (left + 20 + k % 60).alias("x1"), (top + 8 + k % 9).alias("y1")).alias("bbox"), (8 + k % 4 * 2).cast("double").alias("font_size"))
 
 
 def boxes_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions at places given by the keys of customer."""
+    """Regions at places given by the keys of customer: thirty a page, six of them in one place."""
     k = F.col("c_custkey")
-    left, top = F.expr("cast(c_custkey div 100 * 41 % 480 as double)"), F.expr("cast(c_custkey div 100 * 59 % 640 as double)")
+    left, top = F.expr("cast(c_custkey div 6 * 41 % 480 as double)"), F.expr("cast(c_custkey div 6 * 59 % 640 as double)")
     label = F.element_at(F.array(*[F.lit(x) for x in ("Text", "Title", "List-item", "Table", "Picture", "Code", "Strange label")]), (k % 7 + 1).cast("int"))
-    return read(spark, sf_dir, "customer").select(F.expr("c_custkey % 10").alias("doc_id"), F.expr("cast(c_custkey div 10 % 5 + 1 as int)").alias("page"), k.cast("int").alias("region_no"), label.alias("category"), ((k % 100) / 100.0).alias("confidence"), (left + k % 3).alias("l"), top.alias("t"), (left + 40 + k % 80).alias("r"), (top + 30 + k % 70).alias("b"))
+    return read(spark, sf_dir, "customer").select(F.expr("c_custkey div 150").alias("doc_id"), F.expr("cast(c_custkey div 30 % 5 + 1 as int)").alias("page"), k.cast("int").alias("region_no"), label.alias("category"), ((k % 100) / 100.0).alias("confidence"), (left + k % 3).alias("l"), top.alias("t"), (left + 40 + k % 80).alias("r"), (top + 30 + k % 70).alias("b"))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Small literal cases of the document operators."""
 
+import random
 import urllib.error
+import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,11 +66,99 @@ def test_paragraphs(spark):
     assert len(merge(("text", 1, "a depth of"), ("formula", 1, "d = 3t"), ("text", 1, "is enough"))) == 3
 
 
+def read(boxes):
+    return list(order.read_along(np.array(boxes, float).reshape(-1, 4).T))
+
+
 def test_reading_order():
     banner, east, west = (5, 1, 305, 21), [(165, 30, 300, 44), (165, 50, 300, 64), (165, 70, 290, 84)], [(5, 31, 150, 45), (5, 52, 140, 66)]
-    assert order.sort_boxes([*east, banner, *west]) == [3, 0, 1, 2, 4, 5]
-    assert order.sort_boxes([banner, *[(a, b + 2, c, d + 2) for a, b, c, d in east], *west]) == [0, 4, 5, 1, 2, 3]
-    assert order.sort_boxes([(0, 0, 0, 0)] * 3) == [0, 1, 2]
+    assert read([*east, banner, *west]) == [3, 0, 1, 2, 4, 5]
+    assert read([banner, *[(a, b + 2, c, d + 2) for a, b, c, d in east], *west]) == [0, 4, 5, 1, 2, 3]
+    assert read([(0, 0, 0, 0)] * 3) == [0, 1, 2] and read([]) == [] and read([(0, 0, 1, 1)]) == [0]
+    assert read([(5, 100, 305, 120), *east[:2], *[(5, a[1], 150, a[3]) for a in east[:2]]]) == [3, 4, 1, 2, 0]
+
+
+def links_one_by_one(boxes):
+    wide = lambda a, b: a[0] < b[2] and b[0] < a[2]
+    n = range(len(boxes))
+    return {(i, j) for i in n for j in n if i != j and boxes[i][3] <= boxes[j][1] and wide(boxes[i], boxes[j]) and not any(k not in (i, j) and boxes[i][3] <= c[1] and c[3] <= boxes[j][1] and (wide(boxes[i], c) or wide(boxes[j], c)) for k, c in enumerate(boxes))}
+
+
+@pytest.mark.parametrize("solid", [True, False])
+def test_links_of_lines(solid):
+    """The sweep and the comparison of all pairs against the rule itself; without `solid` some lines have no width or height, or less."""
+    pick = random.Random(4)
+    for _ in range(300):
+        boxes = []
+        for _ in range(pick.randrange(1, 14)):
+            x, y = pick.randrange(12), pick.randrange(12)
+            boxes.append((x, y, x + (pick.randrange(1, 6) if solid else pick.randrange(-1, 5)), y + (pick.randrange(1, 4) if solid else pick.randrange(-1, 3))))
+        sides = np.array(boxes, float).T
+        want = links_one_by_one(boxes)
+        for way in [order.links, *([order.swept] if solid else []), order.compared]:
+            found = list(zip(*(x.tolist() for x in (way(sides) if way is order.links else way(*sides))), strict=True))
+            assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_long_pages_are_read(spark):
+    """Ten thousand lines of a page in fifty columns, shuffled: columns are read from left to right; a note follows the line before it."""
+    schema = f"doc_id bigint, page int, seq int, category string, bbox {BBOX}"
+    boxes = [(20.0 * c, 10.0 * r, 20.0 * c + 15, 10.0 * r + 8) for c in range(50) for r in range(200)]
+    place = list(range(len(boxes)))
+    random.Random(1).shuffle(place)
+    rows = [(1, 1, 2 * i, "text", boxes[p]) for i, p in enumerate(place)] + [(1, 1, 2 * i + 1, "footnote", boxes[0]) for i in range(0, len(place), 500)]
+    found = {r["seq"]: r["position"] for r in order.reading_order(spark.createDataFrame(rows, schema)).select("seq", "position").collect()}
+    assert sorted(found.values()) == list(range(len(rows)))
+    assert [place[s // 2] for s in sorted((s for s in found if s % 2 == 0), key=found.get)] == list(range(len(boxes)))
+    assert all(found[s] == found[s - 1] + 1 for s in found if s % 2)
+
+
+def test_pages_keep_what_cannot_move(spark):
+    schema = f"doc_id bigint, page int, seq int, category string, bbox {BBOX}"
+    rows = [(1, 1, 0, "page_header", (0.0, 0.0, 90.0, 8.0)), (1, 1, 1, "text", (0.0, 40.0, 90.0, 50.0)), (1, 1, 2, "formula", (0.0, 0.0, 0.0, 0.0)), (1, 1, 3, "title", (0.0, 20.0, 90.0, 30.0)), (1, 2, 0, "formula", (0.0, 9.0, 1.0, 10.0)), (1, 2, 1, "text", (0.0, 0.0, 1.0, 1.0))]
+    found = order.reading_order(spark.createDataFrame(rows, schema)).orderBy("page", "position").collect()
+    assert [(r["page"], r["seq"]) for r in found] == [(1, 0), (1, 3), (1, 1), (1, 2), (2, 0), (2, 1)]
+
+
+REGION = "doc_id bigint, page int, region_no int, category string, confidence double, l double, t double, r double, b double"
+
+
+def scattered(n, seed, wide=60.0, side=1000.0, large=0.02):
+    """Boxes of a page, some of them as large as the page, some without area."""
+    pick = random.Random(seed)
+    out = []
+    for i in range(n):
+        l, t = pick.uniform(-50, side), pick.uniform(-50, side)
+        w, h = (side, side) if pick.random() < large else (0.0, 5.0) if pick.random() < 0.05 else (pick.uniform(1, wide), pick.uniform(1, wide))
+        out.append((1, 1 + i % 2, i, pick.choice(["text", "table", "picture", "code", "list_item"]), round(pick.random(), 2), l, t, l + w, t + h))
+    return out
+
+
+def test_boxes_that_share_area(spark):
+    """Each pair once, by the grid, against all pairs; boxes beyond the grid's ends and of all sizes."""
+    from leafmill.operators import grid
+
+    a, b = scattered(150, 1), scattered(150, 2) + [(1, 1, 900, "text", 0.5, -1e9, -1e9, 1e9, 1e9), (1, 2, 901, "text", 0.5, 1e6, 1e6, 1e6 + 9, 1e6 + 9)]
+    a += [(1, 2, 902, "text", 0.5, 1e6 + 4, 1e6 + 4, 2e6, 2e6), (1, 1, 903, "text", None, None, 0.0, 1.0, 1.0)]
+    left, right = spark.createDataFrame(a, REGION), spark.createDataFrame(b, REGION)
+    found = [(r["a"]["region_no"], r["b"]["region_no"]) for r in grid.sharing(left, right, ["doc_id", "page"]).collect()]
+    solid = lambda x: x[5] is not None and x[7] > x[5] and x[8] > x[6]
+    want = {(x[2], y[2]) for x in a for y in b if solid(x) and solid(y) and x[1] == y[1] and x[5] < y[7] and y[5] < x[7] and x[6] < y[8] and y[6] < x[8]}
+    assert len(found) == len(set(found)) and set(found) == want
+    points = spark.createDataFrame([(1, x[1], x[2], x[5], x[6]) for x in a if x[5] is not None], "doc_id bigint, page int, seq int, x double, y double")
+    held = [(r["a"]["seq"], r["b"]["region_no"]) for r in grid.holding(points, right, ["doc_id", "page"]).collect()]
+    assert len(held) == len(set(held)) and set(held) == {(x[2], y[2]) for x in a for y in b if x[5] is not None and x[1] == y[1] and y[5] <= x[5] <= y[7] and y[6] <= x[6] <= y[8]}
+
+
+def test_candidates_follow_the_boxes_not_their_square(spark):
+    """With as many boxes on as much paper, four times the boxes meet about four times as often."""
+    from leafmill.operators import grid
+
+    def met(n, side):
+        df = spark.createDataFrame(scattered(n, 3, side=side, large=0.0), REGION)
+        return grid.placed(df.where("r > l and b > t"), ["doc_id", "page"], "a").where("level = a.own").join(grid.placed(df.where("r > l and b > t"), ["doc_id", "page"], "b"), ["doc_id", "page", "level", "cx", "cy"]).count()
+
+    assert met(2000, 2000.0) < 6 * met(500, 1000.0)
 
 
 def test_overlapping_regions(spark):
@@ -77,6 +168,16 @@ def test_overlapping_regions(spark):
     assert {r["region_no"] for r in kept} == {1, 2, 3}
 
 
+def test_large_pages_lose_their_overlaps(spark):
+    """Ten thousand regions of a page in clusters of four, and a chain of boxes that only touch their neighbours."""
+    rows = [(1, 1, 4 * k + i, "text", 0.9 - 0.1 * i, 30.0 * (k % 100), 30.0 * (k // 100), 30.0 * (k % 100) + 20 + 0.1 * i, 30.0 * (k // 100) + 20) for k in range(2500) for i in range(4)]
+    rows += [(1, 2, i, "text", 0.5 + i / 1024, 1.0 * i, 0.0, 1.0 * i + 20, 10.0) for i in range(60)]
+    kept = layout.remove_overlaps(spark.createDataFrame(rows, REGION)).collect()
+    assert {r["region_no"] for r in kept if r["page"] == 1} == {4 * k for k in range(2500)}
+    # All are as large, so each gives way to one that is surer by over 0.05; of the last ones none is larger than the first of them.
+    assert {r["region_no"] for r in kept if r["page"] == 2} == {8}
+
+
 def test_words(spark):
     schema = f"doc_id bigint, page int, seq int, text string, bbox {BBOX}"
     out = layout.word_tokens(spark.createDataFrame([(1, 1, 0, "x yz", (0.0, 0.0, 60.0, 8.0))], schema)).orderBy("id").collect()
@@ -159,6 +260,33 @@ def test_clients_of_services():
         models.Vlm("u", send=refuse)()([{"image": b"x", "prompt": "p"}])
 
 
+@pytest.mark.parametrize("name, calls", [("detector", 40), ("vlm", 40), ("vlm_all", 40), ("vlm_grounding", 40 + 4 * 40), ("vlm_auto", 40)])
+def test_a_service_is_asked_once_about_a_page(spark, tmp_path, name, calls):
+    """Grounding asks once more for each region; here no region is a picture, and no line is damaged."""
+    seen = tmp_path / name
+    seen.mkdir()
+
+    def counting(client):
+        def made():
+            call = client()
+
+            def answers(rows):
+                for _ in rows:
+                    (seen / uuid.uuid4().hex).touch()
+                return call(rows)
+
+            return answers
+
+        return made
+
+    pages = spark.range(40).select(F.col("id").alias("doc_id"), F.lit(1).alias("page"), F.unhex(F.lit(stubs.PNG)).alias("image"))
+    lines = pages.select("doc_id", "page", F.lit(0).alias("seq"), F.lit("a").alias("text"), F.struct(*[F.lit(float(v)).alias(k) for k, v in (("x0", 1), ("y0", 1), ("x1", 9), ("y1", 9))]).alias("bbox"), F.lit(9.0).alias("font_size"))
+    vlm = lambda: lambda rows: [stubs.vlm()([r | {"doc_id": 1, "page": 6}])[0].replace("Picture", "Text") for r in rows]
+    out = models.strategy(name).apply(lines, pages, None, models.Clients(detector=counting(stubs.detector), vlm=counting(vlm)))
+    assert out.count() == len(out.collect())
+    assert len(list(seen.iterdir())) == calls
+
+
 def test_empty_relations(spark):
     lines = spark.createDataFrame([], f"doc_id bigint, page int, seq int, text string, bbox {BBOX}, font_size double")
     pages = spark.createDataFrame([], "doc_id bigint, page int, image binary")
