@@ -184,7 +184,7 @@ def hierarchical_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {smart_sql(1000, 100)} SELECT doc_id, chunk_no, text, i_page, e_page FROM chunks")
 def smart_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk.smart(D.items_doc(spark, sf_dir), 1000, 100).select(*PLAIN)
+    return chunk.smart(D.items_doc(spark, sf_dir), 1000, 100, boxes=False).select(*PLAIN)
 
 
 @query(f"WITH {SECTIONS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS INT) AS chunk_no, {rendered('heading', 'body')} AS text, i_page, e_page FROM filled")

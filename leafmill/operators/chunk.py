@@ -5,7 +5,7 @@ Items come in the order of seq. Chunks are (doc_id, chunk_no, text, i_page, e_pa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import render, window_starts
@@ -46,8 +46,13 @@ def hierarchical(items: DataFrame) -> DataFrame:
     return _numbered(rows, "seq").select("doc_id", "chunk_no", "text", "i_page", "e_page", "bboxes")
 
 
-def smart(items: DataFrame, size: int = 0, overlap: int = 100) -> DataFrame:
-    """A chunk for each section; bodies longer than `size` are cut in windows, each under the heading, with the boxes it touches."""
+def smart(items: DataFrame, size: int = 0, overlap: int = 100, boxes: bool = True) -> DataFrame:
+    """A chunk for each section; bodies longer than `size` are cut in windows, each under the heading, with the boxes it touches.
+
+    Without `boxes`, where nobody reads them, only texts and pages are collected and bboxes is null.
+    """
+    if not boxes:
+        return _sections_as_text(items, size, overlap)
     placed = sections(items).withColumn("text", F.coalesce("text", F.lit("")))
     before = Window.partitionBy("doc_id", "section").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.when(~is_header(), F.length("text") + 1).otherwise(0)).over(before), F.lit(0)).cast("int")
@@ -77,43 +82,78 @@ def smart(items: DataFrame, size: int = 0, overlap: int = 100) -> DataFrame:
     return _numbered(rows, "section", "piece").select("doc_id", "chunk_no", "text", "i_page", "e_page", "bboxes")
 
 
+def _sections_as_text(items: DataFrame, size: int, overlap: int) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    grouped = sections(items).groupBy("doc_id", "section").agg(
+        F.max(F.when(is_header(), text)).alias("heading"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(~is_header(), F.struct("seq", text.alias("text"))))), lambda x: x["text"]), "\n").alias("body"),
+        F.min("page").alias("i_page"),
+        F.max("page").alias("e_page"),
+    )
+    filled = grouped.where(render(F.col("heading"), F.col("body")) != "")
+    if not size:
+        rows = filled.select("doc_id", "section", F.lit(0).alias("piece"), render(F.col("heading"), F.col("body")).alias("text"), "i_page", "e_page")
+    else:
+        starts = F.when(F.col("body") == "", F.array(F.lit(0))).otherwise(window_starts(F.length("body"), size, overlap))
+        pieces = F.transform(starts, lambda s: F.substring(F.col("body"), s + 1, F.lit(size)))
+        rows = filled.select("doc_id", "section", "heading", "i_page", "e_page", F.posexplode(pieces).alias("piece", "part"))
+        rows = rows.select("doc_id", "section", "piece", render(F.col("heading"), F.col("part")).alias("text"), "i_page", "e_page")
+    return _numbered(rows, "section", "piece").select("doc_id", "chunk_no", "text", "i_page", "e_page", F.lit(None).cast(f"array<{ENTRY}>").alias("bboxes"))
+
+
+#: Items that group_starts() looks at before it sets their starts aside.
+STRIDE = 256
+
+
+def group_starts(lengths: Column, size: int) -> Column:
+    """Places in an array of lengths where a new group begins, if each takes items while they fit in `size`, joined by one character.
+
+    A fold in two levels: a stride's starts are an array of their own, so adding one never copies more than a stride.
+    """
+    none = F.array().cast("array<int>")
+
+    def take(a: Column, n: Column) -> Column:
+        fits = (a["held"] >= 0) & (a["held"] + 1 + n <= size)
+        return F.struct(F.when(fits, a["held"] + 1 + n).otherwise(n).alias("held"), (a["at"] + 1).alias("at"), F.when(fits, a["starts"]).otherwise(F.array_append(a["starts"], a["at"])).alias("starts"))
+
+    def stride(a: Column, k: Column) -> Column:
+        one = F.aggregate(F.slice(lengths, k * STRIDE + 1, F.lit(STRIDE)), F.struct(a["held"].alias("held"), (k * STRIDE).alias("at"), none.alias("starts")), take)
+        # An array of one binds what is read twice.
+        return F.element_at(F.transform(F.array(one), lambda x: F.struct(x["held"].alias("held"), F.array_append(a["starts"], x["starts"]).alias("starts"))), 1)
+
+    strides = F.sequence(F.lit(0), F.floor((F.greatest(F.size(lengths), F.lit(1)) - 1) / STRIDE).cast("int"))
+    return F.aggregate(strides, F.struct(F.lit(-1).cast("bigint").alias("held"), F.array().cast("array<array<int>>").alias("starts")), stride, lambda a: F.flatten(a["starts"]))
+
+
 def hybrid(items: DataFrame, size: int = 0, overlap: int = 100) -> DataFrame:
     """Body items under equal headings merged in order while they fit in `size`, longer ones cut in windows.
 
-    Merging depends on what was merged before, so an Arrow function folds the lengths of a document;
-    the texts stay in the JVM.
+    Merging never goes on past a change of the heading, so the runs between changes are folded alone; all of it is one shuffle by doc_id.
     """
     if not size:
         return hierarchical(items)
     if not 0 <= overlap < size:
         raise ValueError("a window needs 0 <= overlap < size")
-
-    @F.udf("array<int>", useArrow=True)
-    def fold(rows: list) -> list[int]:
-        out, group, heading, held = [], -1, None, 0
-        for r in rows:
-            if group >= 0 and r["heading"] == heading and held + 1 + r["n"] <= size:
-                held += 1 + r["n"]
-            else:
-                group, heading, held = group + 1, r["heading"], r["n"]
-            out.append(group)
-        return out
-
-    base = _base(items)
-    docs = base.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("seq", "heading", "text", "page"))).alias("rows"))
-    folded = docs.withColumn("groups", fold(F.transform("rows", lambda r: F.struct(r["heading"].alias("heading"), F.length(r["text"]).alias("n")))))
-    merged = (
-        folded.select("doc_id", F.explode(F.arrays_zip("rows", "groups")).alias("x"))
-        .select("doc_id", F.col("x.groups").alias("g"), "x.rows.*")
-        .groupBy("doc_id", "g")
-        .agg(F.max("heading").alias("heading"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda r: r["text"]), "\n").alias("body"), F.min("page").alias("i_page"), F.max("page").alias("e_page"))
-    )
+    w = _doc().orderBy("seq")
+    same = F.lag("seq").over(w).isNotNull() & F.col("heading").eqNullSafe(F.lag("heading").over(w))
+    base = _base(items).select("doc_id", "seq", "heading", "text", "page", (~same).cast("int").alias("new"))
+    runs = base.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    grouped = runs.groupBy("doc_id", "run").agg(F.max("heading").alias("heading"), F.sort_array(F.collect_list(F.struct("seq", "text", "page"))).alias("rows"))
+    folded = grouped.withColumn("lengths", F.transform("rows", lambda r: F.length(r["text"]).cast("bigint"))).withColumn("starts", group_starts(F.col("lengths"), size))
+
+    def part(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("rows"))
+        body = F.slice("rows", start + 1, end - start)
+        bound = F.transform(F.array(body), lambda x: F.struct(F.array_join(F.transform(x, lambda r: r["text"]), "\n").alias("body"), F.array_min(F.transform(x, lambda r: r["page"])).alias("i_page"), F.array_max(F.transform(x, lambda r: r["page"])).alias("e_page")))
+        return F.element_at(bound, 1)
+
+    merged = folded.select("doc_id", "run", "heading", F.posexplode(F.transform("starts", part)).alias("g", "x")).select("doc_id", "run", "heading", "g", "x.*")
     fits = F.length(render(F.col("heading"), F.col("body"))) <= size
     starts = F.when(fits, F.array(F.lit(0))).otherwise(window_starts(F.length("body"), size, overlap))
-    cut = merged.select("*", fits.alias("fits"), F.posexplode(starts).alias("piece", "start"))
-    piece = F.when(F.col("fits"), F.col("body")).otherwise(F.substring("body", F.col("start") + 1, F.lit(size)))
-    rows = cut.select("doc_id", "g", "piece", render(F.col("heading"), piece).alias("text"), "i_page", "e_page", F.lit(None).cast(f"array<{ENTRY}>").alias("bboxes"))
-    return _numbered(rows, "g", "piece").select("doc_id", "chunk_no", "text", "i_page", "e_page", "bboxes")
+    pieces = F.transform(starts, lambda s: F.when(fits, F.col("body")).otherwise(F.substring(F.col("body"), s + 1, F.lit(size))))
+    rows = merged.select("doc_id", "run", "heading", "g", "i_page", "e_page", F.posexplode(pieces).alias("piece", "part"))
+    rows = rows.select("doc_id", "run", "g", "piece", render(F.col("heading"), F.col("part")).alias("text"), "i_page", "e_page", F.lit(None).cast(f"array<{ENTRY}>").alias("bboxes"))
+    return _numbered(rows, "run", "g", "piece").select("doc_id", "chunk_no", "text", "i_page", "e_page", "bboxes")
 
 
 def whole_document(items: DataFrame, size: int, overlap: int) -> DataFrame:

@@ -45,31 +45,37 @@ def merge_paragraphs(items: DataFrame) -> DataFrame:
     its ends is a few booleans, and only these are passed to its neighbours. A head keeps its page; its box takes in the members on
     that page. Items are taken as stripped texts, in the order of page and seq.
     """
-    split = Window.partitionBy("doc_id", "split_no")
-    w = split.orderBy("page", "seq")
+    w = Window.partitionBy("doc_id", "split_no").orderBy("page", "seq")
     t, text = F.col("text"), F.col("category") == "text"
+    # What a pattern over the whole line would say is in its trimmed ends: the last or first character, and that no line ends inside.
+    space_ = F.lit(" \t\n\x0b\f\r")
+    left, right = F.ltrim(t, space_), F.rtrim(t, space_)
+    small = lambda c: (c >= "a") & (c <= "z")
+    last = F.right(right, F.lit(1))
+    ends = text & (F.length(right) > 1) & (small(last) | last.isin(",", "-")) & ~right.contains("\n")
+    begins = text & (F.length(left) > 1) & small(F.left(left, F.lit(1))) & ~left.contains("\n")
     word = lambda pattern: F.regexp_extract(t, pattern, 1).rlike(r"(?U)^[\p{L}\p{N}]+$")
-    ends, begins = text & t.rlike(r"(?d)^.+[a-z,\-]\s*\z"), text & t.rlike(r"(?d)^\s*[a-z].+\z")
     hyphen = ends & t.endswith("-")
-    rows = _split(items).withColumns({"__ends": ends, "__begins": begins, "__hyphen": hyphen, "__last": hyphen & word(r"(?U)(\w+)\W*$"), "__first": begins & word(r"(?U)^\W*(\w+)")})
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    rows = _split(items).withColumns({"__ends": sure(ends), "__begins": sure(begins), "__hyphen": sure(hyphen)}).withColumn("__half", F.when(F.col("__hyphen"), word(r"(?U)(\w+)\W*$")).otherwise(False))
     before = lambda c: F.coalesce(F.lag(c).over(w), F.lit(False))
-    after = lambda c: F.coalesce(F.lead(c).over(w), F.lit(False))
-    link = F.coalesce(F.col("__begins"), F.lit(False)) & before("__ends")
+    linked = rows.withColumns({"__link": F.col("__begins") & before("__ends"), "__after": before("__hyphen"), "__other": before("__half")})
     # A hyphen between two halves of a word goes; one after something else stays, without a space; all others get a space.
-    space = link & ~before("__hyphen")
-    cut = F.coalesce(F.col("__hyphen") & F.col("__last"), F.lit(False)) & after("__begins") & after("__first")
-    marked = rows.withColumns({"__link": link, "__space": space, "__cut": cut})
-    part = F.concat(F.when(F.col("__space"), " ").otherwise(""), F.when(F.col("__cut"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(t))
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    grouped = marked.withColumns({"__part": part, "__group": F.sum((~F.col("__link")).cast("int")).over(upto)})
-    head = Window.partitionBy("doc_id", "split_no", "__group").orderBy("page", "seq")
-    same = grouped.withColumn("__page", F.first("page").over(head)).withColumn("__box", F.when(F.col("page") == F.col("__page"), F.col("bbox")))
+    linked = linked.withColumn("__joins", F.when(F.col("__other") & F.col("__begins"), word(r"(?U)^\W*(\w+)")).otherwise(False))
+    cut = F.coalesce(F.lead("__joins").over(w), F.lit(False))
+    grouped = linked.withColumns({"__cut": cut, "__group": F.sum((~F.col("__link")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    part = F.concat(F.when(F.col("__link") & ~F.col("__after"), " ").otherwise(""), F.when(F.col("__cut"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(t))
     at = F.struct("page", "seq")
-    out = same.groupBy("doc_id", "split_no", "__group").agg(
+    # A head has the least page; the boxes on it are those with the least page of all that have a box, if that is the head's.
+    side = lambda k: F.when(F.col("bbox").isNotNull(), k)
+    first, far = (F.struct("page", F.col(f"bbox.{k}").alias("v")) for k in ("x0", "y0")), (F.struct((-F.col("page")).alias("page"), F.col(f"bbox.{k}").alias("v")) for k in ("x1", "y1"))
+    (x0, y0), (x1, y1) = ([F.min(side(c)) for c in first], [F.max(side(c)) for c in far])
+    box = F.struct(x0["v"].alias("x0"), y0["v"].alias("y0"), x1["v"].alias("x1"), y1["v"].alias("y1"))
+    out = grouped.withColumn("__part", part).groupBy("doc_id", "split_no", "__group").agg(
         F.min(at)["seq"].alias("seq"),
-        F.min("__page").alias("page"),
+        F.min("page").alias("page"),
         F.min_by("category", at).alias("category"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "seq", "__part"))), lambda x: x["__part"]), "").alias("text"),
-        F.when(F.count("__box") > 0, F.struct(F.min("__box.x0").alias("x0"), F.min("__box.y0").alias("y0"), F.max("__box.x1").alias("x1"), F.max("__box.y1").alias("y1"))).alias("bbox"),
+        F.when(x0["page"] == F.min("page"), box).alias("bbox"),
     )
     return out.select(*[c for c in ("doc_id", "split_no", "seq", "page", "category", "text", "bbox") if c in items.columns])

@@ -119,7 +119,10 @@ def run(items: DataFrame, config: Config | None = None, page_sizes: DataFrame |
     items = apply_hooks(apply_hooks(items, config.preprocess), config.pre_enrich)
     if config.return_level == "loader":
         return items
-    chunks = chunkers[config.chunker](items, config.chunk_size, config.over_lap)
+    # Boxes are collected only where a later step may read them.
+    unread = config.return_level == "build_metadata" and page_sizes is None and not (config.metadata or config.postprocess or config.post_enrich)
+    more = {"boxes": False} if unread and chunkers[config.chunker] is chunk.smart else {}
+    chunks = chunkers[config.chunker](items, config.chunk_size, config.over_lap, **more)
     if config.return_level == "chunker":
         return chunks
     chunks = apply_hooks(apply_hooks(chunks, config.postprocess), config.post_enrich)

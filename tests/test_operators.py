@@ -45,6 +45,38 @@ def test_hybrid(spark):
     assert len(got(chunk.hybrid(df, 0))) == 3
 
 
+def test_hybrid_groups_of_long_documents(spark):
+    """Over a stride of items under one heading, headings that come again, a heading that is empty and items longer than a group."""
+    pick = random.Random(9)
+    rows = [("text", 1 + i // 50, "x" * pick.randrange(1, 60)) for i in range(3 * chunk.STRIDE + 5)]
+    for i in (3, 4, 300, 301, 305, 600):
+        rows.insert(i, ("section_header", 7, pick.choice(["H", "H", ""])))
+    heading, want, held = None, [], None
+    for c, p, t in rows:
+        if c == "section_header":
+            heading = t
+        elif held and held[0] == heading and held[1] + 1 + len(t) <= 50:
+            held[1] += 1 + len(t)
+            held[2].append((t, p))
+        else:
+            held = [heading, len(t), [(t, p)]]
+            want.append(held)
+    found = got(chunk.hybrid(items(spark, rows), 50, 10))
+    texts = [(h, "\n".join(t for t, _ in g), min(p for _, p in g), max(p for _, p in g)) for h, _, g in want]
+    flat = []
+    for h, body, a, b in texts:
+        whole = ", ".join(x for x in (h, body) if x)
+        cuts = [body] if len(whole) <= 50 else [body[s : s + 50] for s in range(0, max(1, len(body) - 10), 40)]
+        flat += [(", ".join(x for x in (h, c) if x), a, b) for c in cuts]
+    assert found == flat
+
+
+def test_smart_without_boxes(spark):
+    df = items(spark, SECTIONED)
+    for size in (0, 10):
+        assert got(chunk.smart(df, size, 2, boxes=False)) == got(chunk.smart(df, size, 2))
+
+
 def test_windows_that_never_end_are_refused(spark):
     with pytest.raises(ValueError):
         chunk.smart(items(spark, SECTIONED), 10, 10).collect()
