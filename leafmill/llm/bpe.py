@@ -5,7 +5,7 @@ characters, where no match of the pattern can span), so that one call never hold
 decode() returns raw bytes: ids may end inside a character.
 
 Null is the empty text: no ids, the hashes of nothing. Repeated rows are encoded one by one, alike.
-Columns of the input with other names stay; a result column wins over one of the same name.
+Only doc_id and text are read; other columns of the input don't come out. An empty table gives no rows.
 """
 
 from __future__ import annotations

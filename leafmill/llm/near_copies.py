@@ -7,8 +7,8 @@ complete  A pair of similarity 0.8 differs in about ten bits of 64, far beyond a
           shingles of each. Pairs of one class already aren't looked at again.
 
 Null texts are empty; texts without words are copies of one another. Of a class, the row with the least doc_id stays,
-then that with the least hash of the text; rows without doc_id come after the others. Repeated rows leave one. An
-empty table gives no rows. Other columns stay as they are.
+then that with the least key (128 bits of SHA-256) of the text; rows without doc_id come after the others. Repeated rows
+leave one. An empty table gives no rows. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm import simhash
-from leafmill.llm.shared import discard, materialize, release, whole_text
+from leafmill.llm.shared import discard, materialize, packed, release, text_key, unpacked, whole_text
 from leafmill.llm.simhash import components, hashes_of, whole_cells
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -54,7 +54,7 @@ def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def shingled(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, th (the text's hash), fp (its fingerprint), node (the hash of its shingle set), n (its size), prefix and counts of every row.
+    """doc_id, th (the text's key), fp (its fingerprint), node (the hash of its shingle set), n (its size), prefix and counts of every row.
 
     prefix: the first shingles of the set, common ones last; two sets of that similarity share one of
     them. counts: shingles by their hash modulo COUNTS, 255 at most.
@@ -80,8 +80,8 @@ def shingled(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
                 counts.append(np.minimum(np.bincount((found % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS), 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["doc_id", "th", "fp", "node", "n", "prefix", "counts"])
 
-    texts = docs.select("doc_id", whole_text().alias("text")).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    return texts.mapInArrow(run, "doc_id bigint, th bigint, fp bigint, node bigint, n int, prefix array<bigint>, counts binary")
+    texts = docs.select("doc_id", text_key(whole_text()).alias("th"), whole_text().alias("text"))
+    return texts.mapInArrow(run, "doc_id bigint, th binary, fp bigint, node bigint, n int, prefix array<bigint>, counts binary")
 
 
 def shared_cells(points: DataFrame) -> DataFrame:
@@ -172,8 +172,8 @@ def similar(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int,
     counted = pairs.join(side(points, "a", "counts", "n"), "a").join(side(points, "b", "counts", "n"), "b")
     left = materialize(counted.select("a", "b", "counts_a", "counts_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(allowed, "a bigint, b bigint"), "pairs")
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("__r_id"), F.col("rep.th").alias("__r_th"))
-    texts = with_hash(docs.select("doc_id", whole_text().alias("text"))).join(reps, F.col("doc_id").eqNullSafe(F.col("__r_id")) & (F.col("__th") == F.col("__r_th"))).select("node", "text")
+    reps = points.join(nodes, "node").select("node", F.col("rep.doc_id").alias("r_id"), F.col("rep.th").alias("r_th"))
+    texts = docs.select("doc_id", text_key(whole_text()).alias("th"), whole_text().alias("text")).join(reps, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("th") == F.col("r_th"))).select("node", "text")
     texts = materialize(texts.dropDuplicates(["node"]), "texts")
     both = left.join(side(texts, "a", "text"), "a").join(side(texts, "b", "text"), "b").select("a", "b", "text_a", "text_b")
     found = materialize(both.mapInArrow(compare, "a bigint, b bigint"), "links")
@@ -182,10 +182,6 @@ def similar(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int,
     return found
 
 
-def with_hash(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__th", F.xxhash64(whole_text()))
-
-
 def grid_pairs(points: DataFrame) -> DataFrame:
     """(a, b): the points whose fingerprints the SimHash operator links, and those with one fingerprint, as a star for each fingerprint."""
     first = materialize(points.groupBy("fp").agg(F.min("node").alias("first")), "first")
@@ -221,9 +217,10 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIM
         release(spark)
     label = components(found)
     named = points.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("__k_id"), F.col("rep.th").alias("__k_th")), "kept")
+    kept = materialize(named.groupBy("label").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("k_id"), F.col("rep.th").alias("k_th")), "kept")
     for table in (cells, points, label):
         discard(table)
     release(spark)
-    chosen = with_hash(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__th") == F.col("__k_th")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "__th"]).select(*docs.columns)
+    named = docs.select("doc_id", text_key(whole_text()).alias("th"), packed(docs))
+    chosen = named.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "th"]).select(*unpacked(docs.columns))

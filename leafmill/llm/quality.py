@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import WS, whole_text
+from leafmill.llm.shared import WS, packed, unpacked, whole_text
 
 #: Hash buckets of the two multinomials.
 BUCKETS = 16384
@@ -87,14 +87,14 @@ def trusted_ids(labelled: DataFrame, limit: int = TRUSTED) -> DataFrame:
 
 def fit(docs: DataFrame, labelled: DataFrame, limit: int = TRUSTED) -> list[float]:
     """Weight of each bucket: log p_target - log p_raw, from every document."""
-    target = F.broadcast(trusted_ids(labelled, limit).withColumn("__t", F.lit(1)))  # at most `limit` ids
+    target = F.broadcast(trusted_ids(labelled, limit).withColumn("t", F.lit(1)))  # at most `limit` ids
     counts = (
-        docs.select("doc_id", F.lower(whole_text()).alias("__text"))
+        docs.select("doc_id", F.lower(whole_text()).alias("text"))
         .join(target, "doc_id", "left")
-        .select("__t", words(F.col("__text")).alias("__w"))  # a column of its own: an expression would be computed for each n-gram
-        .select("__t", F.explode(ngram_buckets(F.col("__w"))).alias("bucket"))
+        .select("t", words(F.col("text")).alias("w"))  # a column of its own: an expression would be computed for each n-gram
+        .select("t", F.explode(ngram_buckets(F.col("w"))).alias("bucket"))
         .groupBy("bucket")
-        .agg(F.count("*").alias("raw"), F.count("__t").alias("target"))
+        .agg(F.count("*").alias("raw"), F.count("t").alias("target"))
         .collect()
     )
     raw, trusted = [0] * BUCKETS, [0] * BUCKETS
@@ -111,28 +111,32 @@ def fit(docs: DataFrame, labelled: DataFrame, limit: int = TRUSTED) -> list[floa
     return [round(t - r, 6) for t, r in zip(logs(trusted), logs(raw), strict=True)]
 
 
-def apply_rules(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
-    """docs with the columns RESULT."""
+def judged(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """`row` (the columns of docs) and the columns RESULT."""
     table = F.expr(f"cast(split('{','.join(f'{x:g}' for x in weights)}', ',') as array<float>)")  # folds to one literal
-    text = whole_text()
-    kept_columns = [c for c in docs.columns if c.lower() not in RESULT]
-    grams = F.col("__g")
+    grams = F.col("grams")
     rows = (
-        docs.select(*kept_columns, text.alias("__text"))
-        .withColumns({"__w": words(F.col("__text")), "__lw": words(F.lower("__text"))})
+        docs.select(packed(docs), whole_text().alias("text"))
+        .select("row", "text", words(F.col("text")).alias("w"), words(F.lower("text")).alias("lower"))
         .select(
-            *kept_columns,
-            F.size("__w").cast("long").alias("n_words"),
-            F.length(F.translate("__text", WS, "")).cast("long").alias("word_chars"),
-            (F.length("__text") - F.length(F.translate("__text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-            _dup_lines(F.col("__text")).alias("n_dup_lines"),
-            repeat_words(F.col("__w")).alias("n_repeat_words"),
-            ngram_buckets(F.col("__lw")).alias("__g"),
+            "row",
+            F.size("w").cast("long").alias("n_words"),
+            F.length(F.translate("text", WS, "")).cast("long").alias("word_chars"),
+            (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+            _dup_lines(F.col("text")).alias("n_dup_lines"),
+            repeat_words(F.col("w")).alias("n_repeat_words"),
+            ngram_buckets(F.col("lower")).alias("grams"),
         )
     )
     score = F.coalesce(F.aggregate(grams, F.lit(0.0), lambda a, b: a + F.get(table, b).cast("double")) / F.nullif(F.size(grams), F.lit(0)), F.lit(0.0))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed).withColumn("score", F.round(score, 9)).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__g")
+    return rows.withColumn("base_failed", failed).withColumn("score", F.round(score, 9)).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("grams")
+
+
+def apply_rules(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """docs with the columns RESULT."""
+    others = [x for x, c in zip(unpacked(docs.columns), docs.columns, strict=True) if c.lower() not in RESULT]
+    return judged(docs, weights, threshold).select(*others, *RESULT)
 
 
 def _dup_lines(text: Column) -> Column:
@@ -150,6 +154,5 @@ def keep(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     The task number holds the filter above the projection that computes the verdict: pushed below it,
     each lambda of the rules would compute the arrays that it reads anew.
     """
-    scored = score_quality(docs.withColumns({f"__c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}), labelled)
-    held = scored.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("kept").alias("__kept"), F.spark_partition_id().alias("__task"))
-    return held.where("__kept and __task >= 0").drop("__kept", "__task")
+    held = judged(docs, fit(docs, labelled)).select("row", "kept", F.spark_partition_id().alias("task"))
+    return held.where("kept and task >= 0").select(*unpacked(docs.columns))

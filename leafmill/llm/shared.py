@@ -90,6 +90,21 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text's SHA-256: with doc_id the name of a row. Rows with one name are alike in both."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
+def packed(df: DataFrame, leave: tuple[str, ...] = ()) -> Column:
+    """The columns of df but those named in `leave` as one struct `row`: whatever they are called, they don't meet the names of an operator."""
+    return F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns) if c.lower() not in leave]).alias("row")
+
+
+def unpacked(columns: list[str], **found: Column) -> list[Column]:
+    """The columns that packed() took, by their names; those in `found` (by lower-case name) are given anew."""
+    return [(found[c.lower()] if c.lower() in found else F.col(f"row.c{i}")).alias(c) for i, c in enumerate(columns)]
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -23,7 +23,7 @@ spans   A prefix of `length` or more bytes common to neighbours marks both windo
 Matches never cross documents; strings are judged on the input. Null and empty texts, and those
 shorter than `length`, lose nothing; kept_sha256 is then that of the text. Repeated rows are copies
 like any other, so all of them lose their text. Tables without rows give none. Rows are told apart
-by doc_id (which may be null) and the text's hash. Other columns stay in remove().
+by doc_id (which may be null) and 128 bits of the text's SHA-256. Other columns stay in remove(), whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.shared import delete, discard, materialize, new_path, release, whole_text
+from leafmill.llm.shared import delete, discard, materialize, new_path, packed, release, text_key, unpacked, whole_text
 
 LENGTH, GRAM = 400, 32
 #: Windows of a text that are looked at together.
@@ -165,8 +165,9 @@ def union(starts: np.ndarray, ends: np.ndarray) -> list[int]:
     return np.stack([starts[np.append(0, cut + 1)], reach[np.append(cut, len(starts) - 1)]], axis=1).ravel().tolist()
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__text", whole_text()).withColumn("__th", F.hash("__text"))
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, th (the text's key), text and more columns of every row."""
+    return docs.select("doc_id", text_key(whole_text()).alias("th"), F.col("text").cast("string").alias("text"), *more)
 
 
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -188,7 +189,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
         for batch in rows:
             for a in range(0, len(batch), 512):
                 part, out = batch.slice(a, 512), []
@@ -199,12 +200,12 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["h", "s", "doc_id", "th", "start", "len", "off"])
 
-    return _keyed(docs).select("doc_id", "__th", "__text").mapInArrow(run, "h bigint, s bigint, doc_id bigint, th int, start bigint, len int, off int")
+    return _keyed(docs).select("doc_id", "th", whole_text().alias("text")).mapInArrow(run, "h bigint, s bigint, doc_id bigint, th binary, start bigint, len int, off int")
 
 
 def _join_docs(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
-    """docs (with __th) and a table of one row for each (__k_id, __k_th)."""
-    on: Column = F.col("doc_id").eqNullSafe(F.col("__k_id")) & (F.col("__th") == F.col("__k_th"))
+    """docs (keyed) and a table of one row for each (k_id, k_th)."""
+    on: Column = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))
     return docs.join(per_doc.hint("merge"), on, how)  # per_doc grows with the documents: never broadcast
 
 
@@ -218,8 +219,8 @@ def candidates(found: DataFrame) -> DataFrame:
 def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, s, off, data): the bytes of wanted segments; a repeated document gives its own more than once."""
     # Parts of a document are its own segments at most.
-    parts = wanted.groupBy(F.col("doc_id").alias("__k_id"), F.col("th").alias("__k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
-    texts = _join_docs(_keyed(docs.select("doc_id", "text")).select("doc_id", "__th", F.encode("__text", "utf-8").alias("data")), parts, "inner")
+    parts = wanted.groupBy(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")).agg(F.collect_list(F.struct("h", "s", "start", "len", "off")).alias("parts"))
+    texts = _join_docs(_keyed(docs).select("doc_id", "th", F.encode(whole_text(), "utf-8").alias("data")), parts, "inner")
     return texts.select("data", F.explode("parts").alias("p")).select("p.h", "p.s", "p.off", F.expr("substring(data, cast(p.start + 1 as int), p.len)").alias("data"))
 
 
@@ -338,7 +339,7 @@ def covers(docs: DataFrame, twice: DataFrame, length: int, gram: int, folder: st
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(__k_id, __k_th, __spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap.
+    """(k_id, k_th, spans): what is removed of each document that loses bytes, as [from, to, ...] pieces that may overlap.
 
     Each step is written, so that the shuffle files of the one before can go.
     """
@@ -361,7 +362,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     absolute = F.transform("cover", lambda x: x + F.col("start"))
     # One row of a segment with many occurrences meets them; the skewed side is split as the join needs.
     hits = found.select("h", "s", "doc_id", "th", "start").join(covered, ["h", "s"])
-    removed = materialize(hits.select(F.col("doc_id").alias("__k_id"), F.col("th").alias("__k_th"), absolute.alias("c")).groupBy("__k_id", "__k_th").agg(F.flatten(F.collect_list("c")).alias("__spans")), "spans")
+    removed = materialize(hits.select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), absolute.alias("c")).groupBy("k_id", "k_th").agg(F.flatten(F.collect_list("c")).alias("spans")), "spans")
     discard(found)
     discard(covered)
     release(spark)
@@ -391,7 +392,7 @@ def digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _join_docs(_keyed(docs.select("doc_id", "text")), spans(docs, length, gram), "left").select("doc_id", "__text", "__spans")
+    joined = _join_docs(_keyed(docs), spans(docs, length, gram), "left").select("doc_id", whole_text().alias("text"), "spans")
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -417,9 +418,11 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, over_words:
             kept = _cut(text, long)[1]
         return kept.decode("utf-8", "ignore")
 
-    joined = _join_docs(_keyed(docs), spans(docs, length, gram), "left")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("__text", "__spans"))
-    found = joined.withColumn("text", text)
+    # The text goes along once, outside of the other columns.
+    joined = _join_docs(_keyed(docs, packed(docs, ("text",))), spans(docs, length, gram), "left")
+    lost = F.col("spans").isNotNull()
+    found = joined.select("row", lost.alias("lost"), F.when(lost, cut(whole_text(), "spans")).otherwise(F.col("text")).alias("text"))
+    again = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return found.select(*docs.columns)
+        again["n_chars"] = F.when(F.col("lost"), F.length("text").cast("bigint")).otherwise(F.col(f"row.c{docs.columns.index('n_chars')}"))
+    return found.select(*unpacked(docs.columns, **again))

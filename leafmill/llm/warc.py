@@ -75,27 +75,14 @@ def page_number(urn: str) -> int | None:
 
 
 def digests(pages: DataFrame) -> DataFrame:
-    """page_id, digest and payload_bytes of every row."""
-
-    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            payloads = [x.as_py().encode("utf-8", "surrogatepass") for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([digest_of(p) for p in payloads], pa.string()), pa.array([len(p) for p in payloads], pa.int64())], ["page_id", "digest", "payload_bytes"])
-
-    return pages.select("page_id", whole_text("html").alias("html")).mapInArrow(run, "page_id bigint, digest string, payload_bytes bigint")
-
-
-def base16(name: str) -> Column:
-    """A column of base-32 digests as lower-case hexadecimal digits."""
-    from pyspark.sql.types import StringType
-
-    return F.udf(lambda x: base64.b32decode(x).hex(), StringType(), useArrow=True)(name)
+    """page_id, sha (the payload's SHA-1 in hexadecimal digits) and payload_bytes of every row."""
+    return pages.select("page_id", whole_text("html").alias("html")).select("page_id", F.sha1(F.encode("html", "utf-8")).alias("sha"), F.octet_length("html").cast("bigint").alias("payload_bytes"))
 
 
 def revisits(found: DataFrame, least: int = 0) -> DataFrame:
-    """page_id and digest (of revisits) and the page_id of the response with the same payload."""
-    top = found.where(F.col("payload_bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return found.where(F.col("payload_bytes") >= least).join(top, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
+    """page_id and sha (of revisits) and the page_id of the response with the same payload."""
+    top = found.where(F.col("payload_bytes") >= least).groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return found.where(F.col("payload_bytes") >= least).join(top, "sha").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "sha", "refers_to").distinct()
 
 
 def write(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -104,9 +91,9 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
     folder = new_path(spark, "warc")
     refers = revisits(materialize(digests(pages), "digests"), least)
     rows = pages.select("page_id", whole_text("url").alias("url"), whole_text("html").alias("html")).withColumn("sha", F.sha1(F.encode("html", "utf-8")))
-    # digest is the same SHA-1 in base 32; each key on the right is one row: page_id keeps a hot payload's rows apart.
-    refers = refers.withColumn("revisit", F.lit(True)).select(F.col("page_id").alias("r_id"), base16("digest").alias("r_sha"), "refers_to", "revisit")
-    joined = rows.join(refers, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha") == F.col("r_sha")), "left").select("page_id", "url", "html", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"))
+    # Each key on the right is one row: page_id keeps a hot payload's rows apart.
+    refers = refers.withColumn("revisit", F.lit(True)).select(F.col("page_id").alias("r_id"), F.col("sha").alias("r_sha"), "refers_to", "revisit")
+    joined = rows.join(refers, F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha") == F.col("r_sha")), "left").select("page_id", "url", "html", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"), "sha")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -117,14 +104,14 @@ def write(pages: DataFrame, least: int = 0) -> DataFrame:
         try:
             for batch in batches:
                 index = []
-                for page_id, url, html, refers_to, revisit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page_id, url, html, refers_to, revisit, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if out is None or at >= ARCHIVE:
                         if out is not None:
                             out.close()
                         name, at = f"{base}/{uuid.uuid4().hex}.warc.gz", 0
                         out = store.open_output_stream(name, compression=None)
                     payload = html.encode("utf-8", "surrogatepass")
-                    digest = digest_of(payload)
+                    digest = base64.b32encode(bytes.fromhex(sha)).decode()
                     data = gzip.compress(record(page_id, url, payload, digest, refers_to, revisit), 1, mtime=0)
                     out.write(data)
                     index.append((name, at, len(data), url, digest, page_id))
