@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
 from leafmill.operators import chunk, clean, layout, metadata, models, order, tables
-from leafmill.plans import pipeline, stubs
+from leafmill.plans import pdfs, pipeline, stubs
 from leafmill.plans import tables as D
-from leafmill.sources import files
+from leafmill.sources import files, pdf
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,6 +164,23 @@ def page_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.split_pages(D.items_doc(spark, sf_dir), 2).select("doc_id", "seq", "page", "split_no")
 
 
+PDF_LINES = """l AS (SELECT doc_id, i, CAST(i // 40 + 1 AS INT) AS page, x[i + 1] AS text FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents) d, unnest(range(len(x))) AS r(i))"""
+
+
+@query(f"""WITH {PDF_LINES} SELECT doc_id, page, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY i) - 1 AS INT) AS seq, text, CASE WHEN length(text) <= 40 THEN 18.0::DOUBLE ELSE 12.0::DOUBLE END AS font_size, 50.0::DOUBLE AS x0, round(18.0::DOUBLE * (i % 40 + 1) - 0.8::DOUBLE * CASE WHEN length(text) <= 40 THEN 18 ELSE 12 END, 6) AS y0
+ FROM l WHERE NOT regexp_full_match(text, '[\\s\\x0b\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{3000}}]*')""")
+def pdf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as PDF files, read back by ranges of two pages: every line with its place and size."""
+    pages = pdf.read_pdf(pdfs.documents_as_pdf(spark, sf_dir), 2)
+    return pdf.lines_of_spans(pages).select("doc_id", "page", "seq", "text", "font_size", F.col("bbox.x0").alias("x0"), F.round("bbox.y0", 6).alias("y0"))
+
+
+@query(f"WITH {PDF_LINES} SELECT DISTINCT doc_id, page, CAST((page - 1) // 2 AS INT) AS split_no, 500.0::DOUBLE + page AS width, 800.0::DOUBLE + (page - 1) % 2 AS height FROM l")
+def pdf_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of these files, with their sizes and the range that each was read in."""
+    return pdf.read_pdf(pdfs.documents_as_pdf(spark, sf_dir), 2).select(F.col("key").alias("doc_id"), "page", "split_no", "width", "height")
+
+
 # --- chunkers and records --------------------------------------------------------------------------
 
 

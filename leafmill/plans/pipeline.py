@@ -99,7 +99,11 @@ def load(parsed: DataFrame, config: Config) -> DataFrame:
 
     seq counts up over a document, page by page.
     """
-    lines, pages = files.lines_of(parsed.where("error is null")), files.pages_of(parsed)
+    return load_lines(files.lines_of(parsed.where("error is null")), files.pages_of(parsed), config)
+
+
+def load_lines(lines: DataFrame, pages: DataFrame, config: Config) -> DataFrame:
+    """load() of lines and pages as they are, whatever parsed them."""
     columns = ["doc_id", "page", "seq", "category", "text", "bbox"]
     given = lines.where("category is not null").select(*columns)
     items = given.unionByName(analysed(lines.where("category is null"), pages, config)).withColumn("text", normalize_typography(F.col("text")))
@@ -134,8 +138,8 @@ def run(items: DataFrame, config: Config | None = None, page_sizes: DataFrame |
 def process(spark: SparkSession, path: str, config: Config | None = None) -> DataFrame:
     """Records of the files under `path`; those of PDFs have their boxes as shares of the page."""
     config = config or Config()
-    parsed = files.read_files(spark, path)
-    return run(load(parsed, config), config, files.page_sizes(files.pages_of(parsed)))
+    lines, pages = files.read_lines(spark, path, config.max_page_split)
+    return run(load_lines(lines, pages, config), config, files.page_sizes(pages))
 
 
 def fixed_pipeline(spark: SparkSession, path: str, size: int = 1000, overlap: int = 100) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import html.parser
+import importlib.util
 import io
 import os
 import re
@@ -251,11 +252,11 @@ def parse_docx(content: bytes) -> Iterator[Row]:
 
 
 def parse_pdf(content: bytes, dpi: int | None = 150) -> Iterator[Row | Page]:
-    """Lines of a PDF by its spans, with size, image (unless dpi is None) and words of each page; needs PyMuPDF, else see pdf_fragments()."""
+    """Lines of a PDF by its spans, with size, image (unless dpi is None) and words of each page by PyMuPDF; without it see pdf_fragments(), and without any library sources.pdf."""
     try:
         import fitz
     except ImportError:
-        yield from pdf_fragments(content)
+        yield from pdf_fragments(content) if importlib.util.find_spec("pypdf") else pdf_spans(content)
         return
     with fitz.open(stream=content, filetype="pdf") as pdf:
         for number, page in enumerate(pdf, 1):
@@ -268,6 +269,19 @@ def parse_pdf(content: bytes, dpi: int | None = 150) -> Iterator[Row | Page]:
                     yield number, None, text, (min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)), size
 
 
+def pdf_spans(content: bytes) -> Iterator[Row | Page]:
+    """Lines and page sizes of a PDF that is taken whole; read_lines() reads files by ranges of pages."""
+    from leafmill.sources import pdf
+
+    doc = pdf.Document(io.BytesIO(content))
+    interpreter = pdf.Interpreter(doc)
+    for number, page in enumerate(doc.pages(), 1):
+        left, bottom, right, top = doc.box(page)
+        yield Page(number, right - left, top - bottom)
+        for text, box, size in pdf.lines_in_order(interpreter.page(page), left, top):
+            yield number, None, text, box, size
+
+
 def pdf_fragments(content: bytes) -> Iterator[Row]:
     """Lines of a PDF by its text fragments, without images; needs pypdf."""
     import pypdf
@@ -431,6 +445,22 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return parse(files.select(F.xxhash64("path").alias("key"), "path", "content"))
 
 
+def read_lines(spark: SparkSession, path: str, most: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Lines and pages of the files under `path`. Files named .pdf are read by ranges of `most` pages in tasks of their own, unless a library is at hand that renders them too."""
+    from leafmill.sources import pdf
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.xxhash64("path").alias("key"), "path", "content")
+    if importlib.util.find_spec("fitz"):
+        parsed = parse(found)
+        return lines_of(parsed.where("error is null")), pages_of(parsed)
+    named = F.lower("path").endswith(".pdf")
+    parsed = parse(found.where(~named))
+    by_range = pdf.read_pdf(found.where(named).drop("content"), most)
+    sizes = by_range.where("page is not null").select(F.col("key").alias("doc_id"), "path", "page", "width", "height", F.lit(None).cast("binary").alias("image"), F.lit(None).cast(f"array<struct<text: string, bbox: {BOX}>>").alias("words"))
+    lines = pdf.lines_of_spans(by_range).select("doc_id", F.lit(None).cast("string").alias("path"), "seq", "page", F.lit(None).cast("string").alias("category"), "text", "bbox", "font_size")
+    return lines_of(parsed.where("error is null")).unionByName(lines), pages_of(parsed).unionByName(sizes)
+
+
 def split_pages(lines: DataFrame, most: int = 50) -> DataFrame:
     """split_no of each page, as if long files were cut into files of `most` pages."""
     return lines.withColumn("split_no", F.expr(f"cast((page - 1) div {most} as int)"))
