@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
 from leafmill.operators import chunk, clean, layout, metadata, models, order, tables
-from leafmill.plans import pdfs, pipeline, stubs
+from leafmill.plans import offices, pdfs, pipeline, stubs
 from leafmill.plans import tables as D
 from leafmill.sources import files, pdf
 
@@ -181,6 +181,23 @@ def pdf_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pdf.read_pdf(pdfs.documents_as_pdf(spark, sf_dir), 2).select(F.col("key").alias("doc_id"), "page", "split_no", "width", "height")
 
 
+@query("""WITH o AS (SELECT o_custkey AS doc_id, o_orderkey AS k, '<tr><td>' || o_orderkey || '</td><td>' || CAST(o_totalprice AS VARCHAR) || '</td><td>' || CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END || '</td><td>' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '</td><td>' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00</td><td>1 day, ' || 3 * (o_orderkey % 5) || ':00:00</td><td>' || o_orderpriority || '</td></tr>' AS line FROM orders),
+ b AS (SELECT doc_id, count(*) AS n, string_agg(line, '' ORDER BY k) AS body FROM o GROUP BY doc_id)
+ SELECT doc_id, 0 AS seq, 1 AS page, '<table><caption>Orders</caption><thead><tr><th>key</th><th>price</th><th>final</th><th>day</th><th>at</th><th>took</th><th>priority</th></tr></thead><tbody>' || body || '</tbody></table>' AS text FROM b
+ UNION ALL SELECT doc_id, 1, 1, '<table><thead><tr><th>n</th><th>ratio</th></tr></thead><tbody><tr><td>' || n || '</td><td>#DIV/0!</td></tr></tbody></table>' FROM b UNION ALL SELECT doc_id, 2, 1, '<table><thead><tr><th></th><th>end</th></tr></thead><tbody></tbody></table>' FROM b""")
+def xlsx_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as workbooks, read back: sheets in the workbook's order, dates, times, durations, truth values, errors, merged cells."""
+    return files.lines_of(files.parse(offices.orders_as_workbooks(spark, sf_dir))).select("doc_id", "seq", "page", "text")
+
+
+@query("""WITH p AS (SELECT p_partkey AS doc_id, p_name AS n, p_brand AS b FROM part), k AS (SELECT * FROM (VALUES (0, 'title', 'Title '), (1, 'section_header', 'heading 2 '), (2, 'section_header', 'Subtitle '), (3, 'text', 'Subtitle Small '), (4, 'caption', 'caption '), (5, 'text', 'Captioned '), (6, 'list_item', 'List Bullet '), (7, 'text', 'Normal ')) v(seq, category, head))
+ SELECT doc_id, seq, category, head || n AS text FROM p, k UNION ALL SELECT doc_id, 8, 'list_item', n FROM p UNION ALL SELECT doc_id, 9, 'text', b FROM p UNION ALL SELECT doc_id, 10, 'text', n || chr(9) || 'b' || chr(10) || b FROM p
+ UNION ALL SELECT doc_id, 11, 'table', '<table><tbody><tr><td>&lt;' || n || '</td><td>&lt;' || n || '</td><td>h</td></tr><tr><td>1</td><td>2</td><td>h</td></tr></tbody></table>' FROM p""")
+def docx_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as word-processor documents, read back: paragraphs by their styles, tables with wide and high cells."""
+    return files.lines_of(files.parse(offices.parts_as_documents(spark, sf_dir))).select("doc_id", "seq", "category", "text")
+
+
 # --- chunkers and records --------------------------------------------------------------------------
 
 

@@ -18,12 +18,13 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.sources import office
+
 Row = tuple[int, str | None, str, tuple[float, float, float, float], float | None]
 
 
@@ -45,8 +46,6 @@ BODY_SIZE = 12.0
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 MAGIC = ((b"%PDF", "pdf"), (b"\x89PNG\r\n\x1a\n", "png"), (b"\xff\xd8\xff", "jpeg"), (b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1", "ppt"))
 ZIPPED = (("word/", "docx"), ("xl/", "xlsx"), ("ppt/", "pptx"))
-W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
 def sniff(path: str, content: bytes) -> str:
@@ -182,73 +181,16 @@ def parse_csv(content: bytes) -> Iterator[Row]:
         yield 1, "table", table, NOWHERE, None
 
 
-def _cell(ref: str) -> tuple[int, int]:
-    letters, digits = re.match(r"([A-Z]+)(\d+)", ref).groups()
-    column = 0
-    for x in letters:
-        column = column * 26 + ord(x) - 64
-    return int(digits) - 1, column - 1
-
-
 def parse_xlsx(content: bytes) -> Iterator[Row]:
-    """Values of every sheet, merged ranges filled with their first value."""
-    z = zipfile.ZipFile(io.BytesIO(content))
-    names = z.namelist()
-    shared = ["".join(t.text or "" for t in si.iter(f"{S}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall(f"{S}si")] if "xl/sharedStrings.xml" in names else []
-    for page, name in enumerate(sorted((n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n)), key=lambda n: int(re.search(r"\d+", n)[0])), 1):
-        sheet = ElementTree.fromstring(z.read(name))
-        values: dict[tuple[int, int], str] = {}
-        for c in sheet.iter(f"{S}c"):
-            v = c.find(f"{S}v")
-            text = "".join(t.text or "" for t in c.iter(f"{S}t")) if c.get("t") == "inlineStr" else (shared[int(v.text)] if c.get("t") == "s" else v.text or "") if v is not None else ""
-            values[_cell(c.get("r"))] = text
-        for m in sheet.iter(f"{S}mergeCell"):
-            (r0, c0), (r1, c1) = map(_cell, (m.get("ref") + ":" + m.get("ref")).split(":")[:2])
-            values |= {(r, c): values.get((r0, c0), "") for r in range(r0, r1 + 1) for c in range(c0, c1 + 1)}
-        if values:
-            rows, columns = max(r for r, _ in values) + 1, max(c for _, c in values) + 1
-            for table in grid_html([[values.get((r, c), "") for c in range(columns)] for r in range(rows)]):
-                yield page, "table", table, NOWHERE, None
-
-
-def paragraph_category(style: str, numbered: bool) -> str:
-    style = style.lower()
-    if style == "title":
-        return "title"
-    if style.startswith(("heading", "subtitle")):
-        return "section_header"
-    if style.startswith("caption"):
-        return "caption"
-    return "list_item" if style.startswith("list") or numbered else "text"
+    """The tables of every sheet, in the workbook's order."""
+    for grid in office.sheet_grids(content):
+        for table in grid_html(grid):
+            yield 1, "table", table, NOWHERE, None
 
 
 def parse_docx(content: bytes) -> Iterator[Row]:
-    from html import escape
-
-    z = zipfile.ZipFile(io.BytesIO(content))
-    styles = {}
-    if "word/styles.xml" in z.namelist():
-        for s in ElementTree.fromstring(z.read("word/styles.xml")).iter(f"{W}style"):
-            name = s.find(f"{W}name")
-            styles[s.get(f"{W}styleId")] = name.get(f"{W}val") if name is not None else ""
-    text_of = lambda e: "".join(t.text or "" for t in e.iter(f"{W}t"))
-
-    def walk(parent) -> Iterator[Row]:
-        for e in parent:
-            if e.tag == f"{W}p":
-                if text := text_of(e).strip():
-                    style = e.find(f"{W}pPr/{W}pStyle")
-                    key = style.get(f"{W}val") if style is not None else ""
-                    yield 1, paragraph_category(styles.get(key, key), e.find(f"{W}pPr/{W}numPr") is not None), text, NOWHERE, None
-            elif e.tag == f"{W}tbl":
-                rows = [r.findall(f"{W}tc") for r in e.findall(f"{W}tr")]
-                if len(rows) == 1 and len(rows[0]) == 1 and rows[0][0].find(f"{W}tbl") is not None:
-                    yield from walk(rows[0][0])  # a frame around tables
-                else:
-                    cells = [["\n".join(text_of(p) for p in c.findall(f"{W}p")).strip() for c in r] for r in rows]
-                    yield 1, "table", "<table><tbody>" + "".join("<tr>" + "".join(f"<td>{escape(c)}</td>" for c in r) + "</tr>" for r in cells) + "</tbody></table>", NOWHERE, None
-
-    yield from walk(ElementTree.fromstring(z.read("word/document.xml")).find(f"{W}body"))
+    for category, text in office.document_items(content):
+        yield 1, category, text, NOWHERE, None
 
 
 def parse_pdf(content: bytes, dpi: int | None = 150) -> Iterator[Row | Page]:

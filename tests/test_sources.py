@@ -6,7 +6,7 @@ import zipfile
 import pytest
 
 from leafmill.plans import pipeline
-from leafmill.sources import files
+from leafmill.sources import files, office
 from leafmill.streaming.files import watch
 
 
@@ -46,13 +46,28 @@ def test_text_and_csv():
 
 
 def test_xlsx():
-    sheet = f'<worksheet xmlns="{files.S[1:-1]}"><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>Top</t></is></c></row><row r="2"><c r="A2"><v>1</v></c><c r="B2"><v>2</v></c></row><row r="3"><c r="A3"><v>3</v></c></row></sheetData><mergeCells><mergeCell ref="A1:B1"/></mergeCells></worksheet>'
+    sheet = f'<worksheet xmlns="{office.S[1:-1]}"><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>Top</t></is></c></row><row r="2"><c r="A2"><v>1</v></c><c r="B2"><v>2</v></c></row><row r="3"><c r="A3"><v>3</v></c></row></sheetData><mergeCells><mergeCell ref="A1:B1"/></mergeCells></worksheet>'
     (row,) = files.parse_xlsx(zipped(xl__worksheets__sheet1=sheet))
     assert row[2].startswith("<table><caption>Top</caption><thead><tr><th>1</th><th>2</th>")
 
 
+def test_numbers_of_cells():
+    assert [office.kind_of(c, 0) for c in ("0.00", 'yyyy"d"', '0"d"', "[Red]0", "[h]:mm:ss", "[$-F800]dddd", "General", "mm:ss")] == ["number", "date", "number", "number", "duration", "date", "number", "date"]
+    assert [office.kind_of(None, n) for n in (0, 14, 22, 46, 49)] == ["number", "date", "date", "duration", "number"]
+    shown = lambda text, kind="date", first=office.FIRST_DAY: office.number_text(text, kind, first)
+    assert [shown("45292"), shown("45292.75"), shown("0.5"), shown("1"), shown("60"), shown("0", first=office.FIRST_DAY_1904)] == ["2024-01-01 00:00:00", "2024-01-01 18:00:00", "12:00:00", "1900-01-01 00:00:00", "1900-02-28 00:00:00", "00:00:00"]
+    assert [shown("1.5", "duration"), shown("7", "number"), shown("7.0", "number"), shown("1E3", "number"), shown("1e20")] == ["1 day, 12:00:00", "7", "7.0", "1000.0", "#VALUE!"]
+
+
+def test_a_workbook_without_references():
+    sheet = f'<worksheet xmlns="{office.S[1:-1]}"><sheetData><row><c t="str"><v>a</v></c><c t="b"><v>1</v></c></row><row><c/><c t="str"><v>b</v></c></row><row r="5"><c t="str"><v>c</v></c></row></sheetData></worksheet>'
+    assert list(office.sheet_grids(zipped(xl__worksheets__sheet1=sheet, xl__worksheets__sheet10=sheet.replace("c<", "d<"), xl__worksheets__sheet2="<worksheet/>"))) == [
+        [["a", "True"], ["", "b"], ["", ""], ["", ""], ["c", ""]], [], [["a", "True"], ["", "b"], ["", ""], ["", ""], ["d", ""]],
+    ]
+
+
 def test_docx():
-    w = files.W[1:-1]
+    w = office.W[1:-1]
     body = '<w:p><w:pPr><w:pStyle w:val="Heading1"/></w:pPr><w:r><w:t>Head</w:t></w:r></w:p><w:p><w:r><w:t>Text</w:t></w:r></w:p><w:p><w:pPr><w:numPr/></w:pPr><w:r><w:t>Item</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>a&lt;</w:t></w:r></w:p></w:tc></w:tr></w:tbl>'
     doc = zipped(word__document=f'<w:document xmlns:w="{w}"><w:body>{body}</w:body></w:document>')
     assert texts(files.parse_docx(doc)) == [("section_header", "Head"), ("text", "Text"), ("list_item", "Item"), ("table", "<table><tbody><tr><td>a&lt;</td></tr></tbody></table>")]
