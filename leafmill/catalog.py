@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,8 @@ from leafmill.functions import text as T
 from leafmill.operators import chunk, clean, layout, metadata, models, order, tables
 from leafmill.plans import offices, pdfs, pipeline, stubs
 from leafmill.plans import tables as D
-from leafmill.sources import files, pdf
+from leafmill.sources import datasource, files, pdf
+from leafmill.store import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,6 +339,36 @@ def vectors_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", F.col("v.i_chunk_on_doc").alias("chunk_no"), "v.text", "v.i_page", "v.e_page", "v.n_chars", "n_vectors")
 
 
+@query(f"WITH {smart_sql(1000, 100)} SELECT doc_id AS source, chunk_no, text, i_page, e_page, CAST(length(text) AS INT) AS n_chars, count(*) OVER (PARTITION BY doc_id) AS n_vectors FROM chunks")
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of each document written as a JSON document of its own by the data source, and read back by Spark."""
+    folder = f"{shared_dir(spark)}/leafmill/json-{uuid.uuid4().hex}"
+    datasource.write_documents(metadata_vectors(spark, sf_dir), folder)
+    schema = "source bigint, vectors array<struct<text: string, i_page: int, e_page: int, n_chars: int, i_chunk_on_doc: int>>"
+    read = spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(folder)
+    rows = read.select("source", F.size("vectors").cast("bigint").alias("n_vectors"), F.explode("vectors").alias("v"))
+    return rows.select("source", F.col("v.i_chunk_on_doc").alias("chunk_no"), "v.text", "v.i_page", "v.e_page", "v.n_chars", "n_vectors")
+
+
+@query(f"WITH {smart_sql(300, 30)} SELECT doc_id, chunk_no, text, i_page, e_page FROM chunks")
+def merged_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defaults, the settings of a service and those of a call, later ones first."""
+    config = pipeline.Config.merged({"chunk_size": 1000, "over_lap": 100}, {"chunk_size": 300}, {"over_lap": 30, "return_level": "chunker"})
+    return pipeline.run(D.items_doc(spark, sf_dir), config).select(*PLAIN)
+
+
+@query("""WITH t AS (SELECT 's' || s_suppkey AS source, s_name || ' of nation ' || s_nationkey || '.' || chr(10) || 'Balance ' || CAST(s_acctbal AS VARCHAR) || '.' AS text FROM supplier)
+ SELECT source, text, CAST(length(text) AS INT) AS n_chars, 2 AS n_lines, 1 AS i_page, 0 AS i_chunk_on_doc, 1 AS n_chunk_of_doc FROM t""")
+def fixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as text files in a folder, through the pipeline that takes no settings."""
+    text = F.concat("s_name", F.lit(" of nation "), F.col("s_nationkey").cast("string"), F.lit(".\n\nBalance "), F.col("s_acctbal").cast("string"), F.lit("."))
+    folder = f"{shared_dir(spark)}/leafmill/texts-{uuid.uuid4().hex}"
+    made = offices.as_files(D.read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey", F.lit(".txt")).alias("name"), text.alias("text")), folder)
+    records = pipeline.fixed_pipeline(spark, folder)
+    named = made.select(F.xxhash64("path").alias("doc_id"), F.replace("name", F.lit(".txt"), F.lit("")).alias("source"))
+    return records.join(named, "doc_id").select("source", "text", "n_chars", "n_lines", "i_page", "i_chunk_on_doc", "n_chunk_of_doc")
+
+
 # --- cleaning --------------------------------------------------------------------------------------
 
 

@@ -82,3 +82,22 @@ def word_document(part: dict) -> bytes:
 def parts_as_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.struct(F.col("p_name").alias("name"), F.col("p_brand").alias("brand")).alias("value"))
     return _made(rows, word_document, "docx")
+
+
+def as_files(rows: DataFrame, folder: str) -> DataFrame:
+    """Each row (name, text) as a file under `folder`; name and path, as Spark names it, of those that are there."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        for batch in batches:
+            for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with store.open_output_stream(f"{base}/{name}") as out:
+                    out.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["name"])
+
+    rows.mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
+    found = rows.sparkSession.read.format("binaryFile").load(folder).select("path")
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "path")

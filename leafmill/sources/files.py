@@ -50,12 +50,20 @@ ZIPPED = (("word/", "docx"), ("xl/", "xlsx"), ("ppt/", "pptx"))
 
 def sniff(path: str, content: bytes) -> str:
     """The type of a file by its first bytes, then its members, then its suffix; ValueError if unknown."""
-    head = content[:64]
+    return sniff_file(path, io.BytesIO(content))
+
+
+def sniff_file(path: str, file) -> str:
+    """sniff() of an open file: of most only the first bytes are read, of an archive its directory."""
+    head = file.read(64)
     for magic, kind in MAGIC:
         if head.startswith(magic):
             return kind
     if head.startswith(b"PK\x03\x04"):
-        names = zipfile.ZipFile(io.BytesIO(content)).namelist()
+        try:
+            names = zipfile.ZipFile(file).namelist()
+        except ValueError as e:  # a store's file says so if its end is too near
+            raise zipfile.BadZipFile(str(e)) from e
         for prefix, kind in ZIPPED:
             if any(n.startswith(prefix) for n in names):
                 return kind
