@@ -11,6 +11,7 @@ import csv
 import html.parser
 import importlib.util
 import io
+import itertools
 import os
 import re
 import subprocess
@@ -135,34 +136,40 @@ def table_html(head: list[str], body: list[list[str]], caption: str | None = Non
     return f"<table>{top}<thead>{line(head, 'th')}</thead><tbody>{''.join(line(r, 'td') for r in body)}</tbody></table>"
 
 
-def parse_md(content: bytes) -> Iterator[Row]:
-    lines, i = _text(content).split("\n"), 0
-    cells = lambda x: [c.strip() for c in x.strip().strip("|").split("|")]
-    while i < len(lines):
-        line = lines[i].strip()
-        i += 1
-        if not line:
-            continue
+#: What a line outside of code is, by the first pattern that fits it, and the line under a table's head.
+MD_RULES = tuple((kind, re.compile(pattern, re.S)) for kind, pattern in (("section_header", r"#{1,6}\s+(?P<text>.*)$"), ("table", r"(?P<text>\|.*)$"), ("list_item", r"(?:[-*+]|\d+[.)])\s+(?P<text>.*)$"), ("text", r"(?P<text>.*)$")))
+MD_RULER = re.compile(r"\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?$")
+
+
+def md_lines(text: str) -> Iterator[tuple[tuple, str]]:
+    """(label, text) of each line that isn't blank or a fence: lines that make up one item have one label."""
+    fences, head = 0, -2
+    for i, raw in enumerate(text.split("\n")):
+        line = raw.strip()
         if line.startswith("```"):
-            start = i
-            while i < len(lines) and not lines[i].strip().startswith("```"):
-                i += 1
-            kind, text = "code", "\n".join(lines[start:i])
-            i += 1
-        elif m := re.match(r"^(#{1,6})\s+(.*)$", line):
-            kind, text = "section_header", m[2]
-        elif line.startswith("|"):
-            if i < len(lines) and re.match(r"^\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?$", lines[i].strip()):
-                i += 1
-            body = []
-            while i < len(lines) and lines[i].strip().startswith("|"):
-                body.append(cells(lines[i]))
-                i += 1
-            kind, text = "table", table_html(cells(line), body)
-        elif m := re.match(r"^(?:[-*+]|\d+[.)])\s+(.*)$", line):
-            kind, text = "list_item", m[1]
-        else:
-            kind, text = "text", line
+            fences, head = fences + 1, -2
+            continue
+        if fences % 2:
+            yield ("code", fences), raw
+            continue
+        if head == i - 1 and MD_RULER.match(line):
+            continue
+        kind, found = next((kind, m) for kind, rule in MD_RULES if (m := rule.match(line)))
+        if kind == "table":
+            head = i if head < 0 else head
+            yield ("table", head), line
+            continue
+        head = -2
+        if found["text"]:
+            yield (kind, -1 - i), found["text"]
+
+
+def parse_md(content: bytes) -> Iterator[Row]:
+    """Fenced code, pipe tables, headings, list items, and any other line as a text."""
+    cells = lambda x: [c.strip() for c in x.strip("|").split("|")]
+    for (kind, _), lines in itertools.groupby(md_lines(_text(content)), key=lambda x: x[0]):
+        lines = [x for _, x in lines]
+        text = table_html(cells(lines[0]), list(map(cells, lines[1:]))) if kind == "table" else "\n".join(lines)
         if text:
             yield 1, kind, text, NOWHERE, None
 
@@ -321,13 +328,20 @@ PARSERS: dict[str, Callable[[bytes], Iterator[Row]]] = {
     "ppt": convert_with(soffice, ".ppt"), "pptx": convert_with(soffice, ".pptx"), "hwpx": convert_with(rhwp, ".hwpx"),
 }
 
-LINE_TYPE = pa.struct([("seq", pa.int32()), ("page", pa.int32()), ("category", pa.string()), ("text", pa.string()), ("bbox", pa.struct([(k, pa.float64()) for k in ("x0", "y0", "x1", "y1")])), ("font_size", pa.float64())])
 PAGE_TYPE = pa.struct([("page", pa.int32()), ("width", pa.float64()), ("height", pa.float64()), ("image", pa.binary()), ("words", pa.list_(pa.struct([("text", pa.string()), ("bbox", pa.struct([(k, pa.float64()) for k in ("x0", "y0", "x1", "y1")]))])))])
 BOX = "struct<x0: double, y0: double, x1: double, y1: double>"
 PAGES = f"pages array<struct<page: int, width: double, height: double, image: binary, words: array<struct<text: string, bbox: {BOX}>>>>"
 LINES = "ext string, error string, lines array<struct<seq: int, page: int, category: string, text: string, bbox: struct<x0: double, y0: double, x1: double, y1: double>, font_size: double>>"
 
 
+def line_structs(lines: list[tuple]) -> pa.StructArray:
+    """(seq, page, category, text, box, size) of lines as Arrow structs, column by column."""
+    seq, page, category, text, box, size = zip(*lines, strict=True) if lines else ((),) * 6
+    sides = pa.StructArray.from_arrays([pa.array(side, pa.float64()) for side in (zip(*box, strict=True) if box else ((),) * 4)], ["x0", "y0", "x1", "y1"])
+    columns = [pa.array(seq, pa.int32()), pa.array(page, pa.int32()), pa.array(category, pa.string()), pa.array(text, pa.string()), sides, pa.array(size, pa.float64())]
+    return pa.StructArray.from_arrays(columns, ["seq", "page", "category", "text", "bbox", "font_size"])
+
+
 def register_parser(kind: str, parser: Callable[[bytes], Iterator[Row]]) -> None:
     """Use `parser` for files of that type."""
     PARSERS[kind] = parser
@@ -343,7 +357,7 @@ def parse(rows: DataFrame, kind: str | None = None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            exts, errors, lines, pages = [], [], [], []
+            exts, errors, pages, lines, ends = [], [], [], [], [0]
             for path, content in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 ext, error, found, sheets = kind, None, [], []
                 try:
@@ -352,14 +366,15 @@ def parse(rows: DataFrame, kind: str | None = None) -> DataFrame:
                         raise ValueError(f"no parser for {ext}")
                     made = list(parsers[ext](content or b""))
                     sheets = [x._asdict() | {"words": None if x.words is None else [{"text": t, "bbox": boxed(b)} for t, b in x.words]} for x in made if isinstance(x, Page)]
-                    found = [{"seq": i, "page": p, "category": c, "text": t, "bbox": boxed(b), "font_size": s} for i, (p, c, t, b, s) in enumerate(x for x in made if not isinstance(x, Page))]
+                    found = [(i, *x) for i, x in enumerate(x for x in made if not isinstance(x, Page))]
                 except Exception as e:  # one bad file is a row with an error, not a failed job
                     error, found, sheets = f"{type(e).__name__}: {e}", [], []
                 exts.append(ext)
                 errors.append(error)
-                lines.append(found)
+                lines += found
+                ends.append(len(lines))
                 pages.append(sheets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exts, pa.string()), pa.array(errors, pa.string()), pa.array(lines, pa.list_(LINE_TYPE)), pa.array(pages, pa.list_(PAGE_TYPE))], ["key", "path", "ext", "error", "lines", "pages"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exts, pa.string()), pa.array(errors, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), line_structs(lines)), pa.array(pages, pa.list_(PAGE_TYPE))], ["key", "path", "ext", "error", "lines", "pages"])
 
     return rows.select("key", "path", "content").mapInArrow(run, f"key bigint, path string, {LINES}, {PAGES}")
 
