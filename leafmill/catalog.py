@@ -518,13 +518,14 @@ def table_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- tables ----------------------------------------------------------------------------------------
 
-GRID = """grid AS (SELECT r_regionkey * 100 AS row_no, [r_name, '', ''] AS cells FROM region UNION ALL SELECT r_regionkey * 100 + 1, ['key', 'nation', 'a<b & ''c'''] FROM region UNION ALL SELECT n_regionkey * 100 + 2 + n_nationkey, [CAST(n_nationkey AS VARCHAR), n_name, '<' || n_nationkey || '>'] FROM nation),
- blocked AS (SELECT CAST(row_no // 100 + 1 AS INT) AS block, CAST(row_no AS BIGINT) AS row_no, cells FROM grid)"""
+GRID = """o AS (SELECT o_orderkey // 100 AS doc_id, o_orderkey // 20 % 5 AS b, * FROM orders), bs AS (SELECT DISTINCT doc_id, b FROM o),
+ grid AS (SELECT doc_id, b, b * 100 AS row_no, ['block ' || b, '', ''] AS cells FROM bs UNION ALL SELECT doc_id, b, b * 100 + 1, ['key', 'priority', 'a<b & ''c'''] FROM bs UNION ALL SELECT doc_id, b, b * 100 + 2 + o_orderkey % 20, [CAST(o_orderkey AS VARCHAR), o_orderpriority, '<' || o_orderstatus || '>'] FROM o),
+ blocked AS (SELECT doc_id, CAST(dense_rank() OVER (PARTITION BY doc_id ORDER BY b) AS INT) AS block, CAST(row_no AS BIGINT) AS row_no, cells FROM grid)"""
 
 
-@query(f"WITH {GRID} SELECT block, row_no, cells[1] AS first FROM blocked")
+@query(f"WITH {GRID} SELECT doc_id, block, row_no, cells[1] AS first FROM blocked")
 def table_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.blocks(D.grid(spark, sf_dir)).select("block", "row_no", F.get("cells", 0).alias("first"))
+    return tables.blocks(D.grid(spark, sf_dir)).select("doc_id", "block", "row_no", F.get("cells", 0).alias("first"))
 
 
 _ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
@@ -534,12 +535,12 @@ def _tr(tag: str) -> str:
     return "'<tr>' || list_aggregate(list_transform(cells, lambda x: '<" + tag + ">' || " + _ESC.format("x") + " || '</" + tag + ">'), 'string_agg', '') || '</tr>'"
 
 
-@query(f"""WITH {GRID} SELECT block, '<table><caption>' || max(CASE WHEN row_no % 100 = 0 THEN cells[1] END) || '</caption><thead>' || max(CASE WHEN row_no % 100 = 1 THEN {_tr("th")} END) || '</thead><tbody>' || string_agg(CASE WHEN row_no % 100 > 1 THEN {_tr("td")} END, '' ORDER BY row_no) || '</tbody></table>' AS html FROM blocked GROUP BY block""")
+@query(f"""WITH {GRID} SELECT doc_id, block, '<table><caption>' || max(CASE WHEN row_no % 100 = 0 THEN cells[1] END) || '</caption><thead>' || max(CASE WHEN row_no % 100 = 1 THEN {_tr("th")} END) || '</thead><tbody>' || string_agg(CASE WHEN row_no % 100 > 1 THEN {_tr("td")} END, '' ORDER BY row_no) || '</tbody></table>' AS html FROM blocked GROUP BY doc_id, block""")
 def rows_to_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.grid_tables(D.grid(spark, sf_dir)).select("block", "html")
+    return tables.grid_tables(D.grid(spark, sf_dir)).select("doc_id", "block", "html")
 
 
-CELLS = """cells AS (SELECT CAST(n_regionkey % 2 AS BIGINT) AS table_id, CAST(n_nationkey // 5 AS INT) AS r, CAST(n_nationkey % 5 AS INT) AS c, CASE WHEN n_nationkey % 7 = 0 THEN 2 ELSE 1 END AS cs, n_nationkey // 5 = 0 AS head, n_name || ' x|y' AS text FROM nation),
+CELLS = """cells AS (SELECT o_orderkey // 25 AS table_id, CAST(o_orderkey // 5 % 5 AS INT) AS r, CAST(o_orderkey % 5 AS INT) AS c, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS cs, o_orderkey // 5 % 5 = 0 AS head, o_orderpriority || ' x|y' AS text FROM orders),
  slots AS (SELECT table_id, CAST(a AS INT) AS r, CAST(b AS INT) AS c FROM (SELECT DISTINCT table_id FROM cells), unnest(range(5)) AS x(a), unnest(range(5)) AS y(b))"""
 
 
@@ -556,11 +557,12 @@ def structure_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.structure_markdown(D.structures(spark, sf_dir))
 
 
-@query("SELECT n_regionkey AS doc_id, CAST(n_nationkey // 5 AS INT) AS r, CAST(n_nationkey % 5 AS INT) AS c, CASE WHEN n_nationkey // 5 <= 1 AND n_nationkey % 5 <= 1 THEN coalesce((SELECT m.n_name FROM nation m WHERE m.n_regionkey = nation.n_regionkey AND m.n_nationkey = 0), '') ELSE n_name END AS value FROM nation")
+@query("SELECT o_orderkey // 25 AS doc_id, CAST(o_orderkey // 5 % 5 AS INT) AS r, CAST(o_orderkey % 5 AS INT) AS c, CASE WHEN o_orderkey // 5 % 5 <= 1 AND o_orderkey % 5 <= 1 THEN max(CASE WHEN o_orderkey % 25 = 0 THEN o_orderpriority ELSE '' END) OVER (PARTITION BY o_orderkey // 25) ELSE o_orderpriority END AS value FROM orders")
 def merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = D.read(spark, sf_dir, "nation")
-    cells = nation.select(F.col("n_regionkey").alias("doc_id"), F.expr("cast(n_nationkey div 5 as int)").alias("r"), F.expr("cast(n_nationkey % 5 as int)").alias("c"), F.col("n_name").alias("value"))
-    merged = nation.select(F.col("n_regionkey").alias("doc_id")).distinct().select("doc_id", F.lit(0).alias("r0"), F.lit(0).alias("c0"), F.lit(1).alias("r1"), F.lit(1).alias("c1"))
+    orders = D.read(spark, sf_dir, "orders")
+    key = F.expr("o_orderkey div 25").alias("doc_id")
+    cells = orders.select(key, F.expr("cast(o_orderkey div 5 % 5 as int)").alias("r"), F.expr("cast(o_orderkey % 5 as int)").alias("c"), F.col("o_orderpriority").alias("value"))
+    merged = orders.select(key).distinct().select("doc_id", F.lit(0).alias("r0"), F.lit(0).alias("c0"), F.lit(1).alias("r1"), F.lit(1).alias("c1"))
     return tables.fill_merged(cells, merged)
 
 

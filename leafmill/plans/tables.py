@@ -63,22 +63,23 @@ def boxes_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of each region as rows, with the region as a first row of its own and a blank row after it."""
-    region, nation = read(spark, sf_dir, "region"), read(spark, sf_dir, "nation")
-    key = F.col("r_regionkey").cast("bigint")
-    n = F.col("n_nationkey").cast("string")
-    heads = region.select((key * 100).alias("row_no"), F.array(F.col("r_name"), F.lit(""), F.lit("")).alias("cells"))
-    names = region.select((key * 100 + 1).alias("row_no"), F.array(F.lit("key"), F.lit("nation"), F.lit("a<b & 'c'")).alias("cells"))
-    rows = nation.select((F.col("n_regionkey").cast("bigint") * 100 + 2 + F.col("n_nationkey")).alias("row_no"), F.array(n, F.col("n_name"), F.concat(F.lit("<"), n, F.lit(">"))).alias("cells"))
-    blank = region.select((key * 100 + 99).alias("row_no"), F.array(F.lit(""), F.lit(" "), F.lit("")).alias("cells"))
-    return heads.unionByName(names).unionByName(rows).unionByName(blank).select(F.lit(1).cast("bigint").alias("doc_id"), "row_no", "cells")
+    """Orders as sheets of a hundred: twenty a block, each block with a caption and a head, and a blank row after it."""
+    k = F.col("o_orderkey")
+    rows = read(spark, sf_dir, "orders").select(F.expr("o_orderkey div 100").alias("doc_id"), F.expr("o_orderkey div 20 % 5").alias("b"), k, "o_orderpriority", "o_orderstatus")
+    blocks = rows.select("doc_id", "b").distinct()
+    one = lambda df, at, *cells: df.select("doc_id", (F.col("b") * 100 + at).alias("row_no"), F.array(*cells).alias("cells"))
+    heads = one(blocks, 0, F.concat(F.lit("block "), F.col("b").cast("string")), F.lit(""), F.lit(""))
+    names = one(blocks, 1, F.lit("key"), F.lit("priority"), F.lit("a<b & 'c'"))
+    body = one(rows, k % 20 + 2, k.cast("string"), F.col("o_orderpriority"), F.concat(F.lit("<"), "o_orderstatus", F.lit(">")))
+    blank = one(blocks, 99, F.lit(""), F.lit(" "), F.lit(""))
+    return heads.unionByName(names).unionByName(body).unionByName(blank)
 
 
 def structures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of five nations a row, one for each region: some cells span two columns, the first row is a header."""
-    nation = read(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    token = F.array(F.struct(F.lit(2.0).alias("t"), F.lit(0.0).alias("l"), F.lit("x|y").alias("token")), F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("l"), F.col("n_name").alias("token")))
-    r, c = F.expr("cast(n_nationkey div 5 as int)"), (k % 5).cast("int")
+    """Orders as tables of five times five cells: some cells span two columns, the first row is a header."""
+    k = F.col("o_orderkey")
+    token = F.array(F.struct(F.lit(2.0).alias("t"), F.lit(0.0).alias("l"), F.lit("x|y").alias("token")), F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("l"), F.col("o_orderpriority").alias("token")))
+    r, c = F.expr("cast(o_orderkey div 5 % 5 as int)"), (k % 5).cast("int")
     cell = F.struct(r.alias("start_row_offset_idx"), c.alias("start_col_offset_idx"), F.lit(1).alias("row_span"), F.when(k % 7 == 0, 2).otherwise(1).alias("col_span"), (r == 0).alias("column_header"), token.alias("text_cell_bboxes"))
-    return nation.select((F.col("n_regionkey") % 2).cast("bigint").alias("table_id"), F.struct(k.alias("k"), cell.alias("c")).alias("x")).groupBy("table_id").agg(F.transform(F.sort_array(F.collect_list("x")), lambda v: v["c"]).alias("cells")).select("table_id", F.lit(5).alias("num_rows"), F.lit(5).alias("num_cols"), "cells")
+    rows = read(spark, sf_dir, "orders").select(F.expr("o_orderkey div 25").alias("table_id"), F.struct(k.alias("k"), cell.alias("c")).alias("x"))
+    return rows.groupBy("table_id").agg(F.transform(F.sort_array(F.collect_list("x")), lambda v: v["c"]).alias("cells")).select("table_id", F.lit(5).alias("num_rows"), F.lit(5).alias("num_cols"), "cells")
