@@ -159,7 +159,8 @@ def hybrid(items: DataFrame, size: int = 0, overlap: int = 100) -> DataFrame:
 def whole_document(items: DataFrame, size: int, overlap: int) -> DataFrame:
     """Windows over a document's items joined by line ends."""
     docs = items.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", F.coalesce("text", F.lit("")).alias("t")))), lambda r: r["t"]), "\n").alias("body"), F.min("page").alias("i_page"), F.max("page").alias("e_page"))
-    return docs.select("doc_id", F.posexplode(window_starts(F.length("body"), size, overlap)).alias("chunk_no", "start"), "body", "i_page", "e_page").select("doc_id", "chunk_no", F.substring("body", F.col("start") + 1, F.lit(size)).alias("text"), "i_page", "e_page", F.lit(None).cast(f"array<{ENTRY}>").alias("bboxes"))
+    pieces = F.transform(window_starts(F.length("body"), size, overlap), lambda s: F.substring(F.col("body"), s + 1, F.lit(size)))
+    return docs.select("doc_id", F.posexplode(pieces).alias("chunk_no", "text"), "i_page", "e_page").select("doc_id", "chunk_no", "text", "i_page", "e_page", F.lit(None).cast(f"array<{ENTRY}>").alias("bboxes"))
 
 
 CHUNKERS = {"hierarchical": lambda items, size, overlap: hierarchical(items), "smart": smart, "hybrid": hybrid, "document": whole_document}

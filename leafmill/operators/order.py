@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from leafmill.schemas import FLOW
@@ -24,9 +25,9 @@ from leafmill.schemas import FLOW
 ROWS = 256
 
 
-def _sides(boxes: pd.Series) -> np.ndarray:
+def _sides(lines: pa.Table) -> np.ndarray:
     """x0, y0, x1 and y1 as four arrays."""
-    return np.array([[b["x0"], b["y0"], b["x1"], b["y1"]] for b in boxes], float).reshape(-1, 4).T
+    return np.array([pc.struct_field(lines["bbox"], k).to_numpy() for k in ("x0", "y0", "x1", "y1")], float)
 
 
 def swept(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,19 +117,19 @@ def edges(lines: DataFrame) -> DataFrame:
     """(doc_id, page, above, below): numbers of the lines that see one another."""
     kind = lines.schema["seq"].dataType.simpleString()
 
-    def of_page(rows: pd.DataFrame) -> pd.DataFrame:
-        above, below = links(_sides(rows["bbox"]))
-        seq = rows["seq"].to_numpy()
-        return pd.DataFrame({"doc_id": rows["doc_id"].iloc[0], "page": rows["page"].iloc[0], "above": seq[above], "below": seq[below]})
+    def of_page(rows: pa.Table) -> pa.Table:
+        above, below = links(_sides(rows))
+        return pa.table({"doc_id": rows["doc_id"].take(above), "page": rows["page"].take(above), "above": rows["seq"].take(above), "below": rows["seq"].take(below)})
 
-    return lines.select("doc_id", "page", "seq", "bbox").groupBy("doc_id", "page").applyInPandas(of_page, f"doc_id bigint, page int, above {kind}, below {kind}")
+    return lines.select("doc_id", "page", "seq", "bbox").groupBy("doc_id", "page").applyInArrow(of_page, f"doc_id bigint, page int, above {kind}, below {kind}")
 
 
 def reading_order(lines: DataFrame) -> DataFrame:
     """lines with `position`: flow categories move, the others follow the flow line before them."""
 
-    def of_page(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("seq", kind="stable")
-        return rows.assign(position=positions(rows["category"].isin(FLOW).to_numpy(), _sides(rows["bbox"])))
+    def of_page(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pa.array(np.argsort(rows["seq"].to_numpy(), kind="stable")))
+        flow = pc.is_in(rows["category"], value_set=pa.array(FLOW)).to_numpy()
+        return rows.append_column("position", pa.array(positions(flow, _sides(rows)), pa.int32()))
 
-    return lines.groupBy("doc_id", "page").applyInPandas(of_page, f"{lines._jdf.schema().toDDL()}, position int")
+    return lines.groupBy("doc_id", "page").applyInArrow(of_page, f"{lines._jdf.schema().toDDL()}, position int")

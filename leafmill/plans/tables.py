@@ -32,12 +32,13 @@ def items_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def items_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents cut every 60 characters and stripped, as text items, ten to a page."""
-    from leafmill.functions.text import strip, window_starts
+    from leafmill.functions.text import strip
 
     lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "t"))
-    cut = lines.select("doc_id", "line", "t", F.posexplode(window_starts(F.length("t"), 60, 0)).alias("k", "start"))
+    # Pieces are exploded, not the line with each of them.
+    cut = lines.select("doc_id", "line", F.length("t").cast("double").alias("width"), F.posexplode(F.regexp_extract_all("t", F.lit("(?s).{1,60}"), F.lit(0))).alias("k", "part"))
     seq = F.col("line") * 10000 + F.col("k")
-    return cut.select("doc_id", seq.alias("seq"), F.expr("cast(line div 10 + 1 as int)").alias("page"), F.lit("text").alias("category"), strip(F.substring("t", F.col("start") + 1, F.lit(60))).alias("text"), F.struct(F.lit(0.0).alias("x0"), F.col("k").cast("double").alias("y0"), F.length("t").cast("double").alias("x1"), (F.col("k") + 1).cast("double").alias("y1")).alias("bbox"))
+    return cut.select("doc_id", seq.alias("seq"), F.expr("cast(line div 10 + 1 as int)").alias("page"), F.lit("text").alias("category"), strip(F.col("part")).alias("text"), F.struct(F.lit(0.0).alias("x0"), F.col("k").cast("double").alias("y0"), F.col("width").alias("x1"), (F.col("k") + 1).cast("double").alias("y1")).alias("bbox"))
 
 
 def corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
