@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.shared import materialize, whole_text
@@ -142,9 +142,7 @@ def report(counts: DataFrame, names: str, lost: tuple[str, ...]) -> DataFrame:
     parts = counts.groupBy("part").agg(by_set.alias("c"))
     orders = F.array(F.lit(""))
     for _ in range(n):
-        longer = F.flatten(F.transform(orders, lambda o: F.transform(F.filter(F.split(F.lit(names), ""), lambda x: (x != "") & ~F.contains(o, x)), lambda x: F.concat(o, x))))
-        orders = longer
-    bit = lambda letter: F.shiftleft(F.lit(1), F.instr(F.lit(names), letter) - 1)
+        orders = F.flatten(F.transform(orders, lambda o: F.transform(F.filter(F.split(F.lit(names), ""), lambda x: (x != "") & ~F.contains(o, x)), lambda x: F.concat(o, x))))
     steps = parts.select("part", "c", F.explode(orders).alias("filter_order")).select("part", "c", "filter_order", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"))
     steps = steps.withColumn("own", F.expr(f"shiftleft(1, instr('{names}', substring(filter_order, step, 1)) - 1)"))
     before = F.expr(f"aggregate(filter(split(substring(filter_order, 1, step - 1), ''), x -> x <> ''), 0, (a, x) -> a | shiftleft(1, instr('{names}', x) - 1))")
@@ -157,8 +155,6 @@ def report(counts: DataFrame, names: str, lost: tuple[str, ...]) -> DataFrame:
         "part", "filter_order", F.col("step"), "own", kept(after).alias("kept"), removed.alias("removed"), (kept(F.lit(0)) - kept(F.col("own")) - removed).alias("redundant"),
         (kept(F.lit(every) - F.col("own")) - kept(F.lit(every))).alias("unique_fails"), *[m.alias(x) for m, x in zip(marked, lost, strict=True)],
     )
-    from pyspark.sql import Window
-
     return made.withColumn("shapley", F.sum("removed").over(Window.partitionBy("part", "own"))).drop("own")
 
 
