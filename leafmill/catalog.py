@@ -110,6 +110,12 @@ REGIONS = f"""regions AS (SELECT c_custkey // 150 AS doc_id, CAST(c_custkey // 3
  named AS (SELECT *, CASE label WHEN 'Strange label' THEN 'text' ELSE replace(lower(label), '-', '_') END AS category FROM regions)"""
 LINES = """lines AS (SELECT p_partkey // 200 AS doc_id, CAST(p_partkey // 40 % 5 + 1 AS INT) AS page, CAST(p_partkey AS INT) AS seq, p_name AS text, CAST(p_partkey * 37 % 500 AS DOUBLE) AS x0, CAST(p_partkey * 53 % 700 AS DOUBLE) AS y0,
   CAST(p_partkey * 37 % 500 + 20 + p_partkey % 60 AS DOUBLE) AS x1, CAST(p_partkey * 53 % 700 + 8 + p_partkey % 9 AS DOUBLE) AS y1, CAST(8 + p_partkey % 4 * 2 AS DOUBLE) AS font_size FROM part)"""
+#: The same on fifty pages, however many there are.
+CROWDED_REGIONS = f"""regions AS (SELECT c_custkey % 10 AS doc_id, CAST(c_custkey // 10 % 5 + 1 AS INT) AS page, CAST(c_custkey AS INT) AS region_no, {LABELS} AS label, (c_custkey % 100) / 100.0::DOUBLE AS confidence,
+  CAST(c_custkey // 100 * 41 % 480 + c_custkey % 3 AS DOUBLE) AS l, CAST(c_custkey // 100 * 59 % 640 AS DOUBLE) AS t, CAST(c_custkey // 100 * 41 % 480 + 40 + c_custkey % 80 AS DOUBLE) AS r, CAST(c_custkey // 100 * 59 % 640 + 30 + c_custkey % 70 AS DOUBLE) AS b FROM customer),
+ named AS (SELECT *, CASE label WHEN 'Strange label' THEN 'text' ELSE replace(lower(label), '-', '_') END AS category FROM regions)"""
+CROWDED_LINES = """lines AS (SELECT p_partkey % 10 AS doc_id, CAST(p_partkey // 10 % 5 + 1 AS INT) AS page, CAST(p_partkey AS INT) AS seq, p_name AS text, CAST(p_partkey * 37 % 500 AS DOUBLE) AS x0, CAST(p_partkey * 53 % 700 AS DOUBLE) AS y0,
+  CAST(p_partkey * 37 % 500 + 20 + p_partkey % 60 AS DOUBLE) AS x1, CAST(p_partkey * 53 % 700 + 8 + p_partkey % 9 AS DOUBLE) AS y1, CAST(8 + p_partkey % 4 * 2 AS DOUBLE) AS font_size FROM part)"""
 
 
 @query(f"WITH {REGIONS} SELECT doc_id, page, region_no, category FROM named")
@@ -407,18 +413,18 @@ def rule_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INTER = "greatest(least({a}.x1, {b}.r) - greatest({a}.x0, {b}.l), 0) * greatest(least({a}.y1, {b}.b) - greatest({a}.y0, {b}.t), 0)".format(a="x", b="g")
 
 
-@query(f"""WITH {LINES}, {REGIONS}, best AS (SELECT x.doc_id, x.page, x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY {_INTER} / ((x.x1 - x.x0) * (x.y1 - x.y0)) DESC, g.region_no) AS k
+@query(f"""WITH {CROWDED_LINES}, {CROWDED_REGIONS}, best AS (SELECT x.doc_id, x.page, x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY {_INTER} / ((x.x1 - x.x0) * (x.y1 - x.y0)) DESC, g.region_no) AS k
   FROM lines x JOIN regions g ON g.doc_id = x.doc_id AND g.page = x.page AND {_INTER} / ((x.x1 - x.x0) * (x.y1 - x.y0)) > 0.2)
  SELECT l.doc_id, l.page, l.seq, b.region_no FROM lines l LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.seq = l.seq""")
 def region_match_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.match_overlap(D.boxes_lines(spark, sf_dir), D.boxes_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
+    return layout.match_overlap(D.crowded_lines(spark, sf_dir), D.crowded_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
 
 
-@query(f"""WITH {LINES}, {REGIONS}, best AS (SELECT x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN regions g ON g.doc_id = x.doc_id AND g.page = x.page
+@query(f"""WITH {CROWDED_LINES}, {CROWDED_REGIONS}, best AS (SELECT x.seq, g.region_no, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN regions g ON g.doc_id = x.doc_id AND g.page = x.page
   AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN g.t AND g.b)
  SELECT l.doc_id, l.page, l.seq, b.region_no FROM lines l LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.seq = l.seq""")
 def region_match_center(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.match_center(D.boxes_lines(spark, sf_dir), D.boxes_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
+    return layout.match_center(D.crowded_lines(spark, sf_dir), D.crowded_regions(spark, sf_dir)).select("doc_id", "page", "seq", "region_no")
 
 
 _RI = "greatest(least(x.r, y.r) - greatest(x.l, y.l), 0) * greatest(least(x.b, y.b) - greatest(x.t, y.t), 0)"
@@ -426,20 +432,20 @@ _AX, _AY = "((x.r - x.l) * (x.b - x.t))", "((y.r - y.l) * (y.b - y.t))"
 _GRP = "CASE WHEN category = 'picture' THEN 'p' WHEN category IN ('form', 'key_value_region', 'table', 'document_index') THEN 'w' ELSE 'r' END"
 
 
-@query(f"""WITH {REGIONS}, grouped AS (SELECT *, {_GRP} AS grp FROM named) SELECT x.doc_id, x.page, x.region_no AS a, y.region_no AS b FROM grouped x JOIN grouped y ON x.doc_id = y.doc_id AND x.page = y.page AND x.grp = y.grp AND x.region_no < y.region_no
+@query(f"""WITH {CROWDED_REGIONS}, grouped AS (SELECT *, {_GRP} AS grp FROM named) SELECT x.doc_id, x.page, x.region_no AS a, y.region_no AS b FROM grouped x JOIN grouped y ON x.doc_id = y.doc_id AND x.page = y.page AND x.grp = y.grp AND x.region_no < y.region_no
  AND ({_RI} / ({_AX} + {_AY} - {_RI}) > 0.8 OR {_RI} / {_AX} > 0.8 OR {_RI} / {_AY} > 0.8)""")
 def region_overlap_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = D.boxes_regions(spark, sf_dir)
+    regions = D.crowded_regions(spark, sf_dir)
     return layout.overlap_edges(regions.withColumn("category", T.to_category(F.col("category"))))
 
 
 _WIDE = "({a}.x0 < {b}.x1 AND {b}.x0 < {a}.x1)"
 
 
-@query(f"""WITH {LINES} SELECT a.doc_id, a.page, a.seq AS above, b.seq AS below FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND a.page = b.page AND a.seq <> b.seq AND a.y1 <= b.y0 AND {_WIDE.format(a="a", b="b")}
+@query(f"""WITH {CROWDED_LINES} SELECT a.doc_id, a.page, a.seq AS above, b.seq AS below FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND a.page = b.page AND a.seq <> b.seq AND a.y1 <= b.y0 AND {_WIDE.format(a="a", b="b")}
  WHERE NOT EXISTS (SELECT 1 FROM lines c WHERE c.doc_id = a.doc_id AND c.page = a.page AND c.seq <> a.seq AND c.seq <> b.seq AND a.y1 <= c.y0 AND c.y1 <= b.y0 AND ({_WIDE.format(a="a", b="c")} OR {_WIDE.format(a="b", b="c")}))""")
 def reading_order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.edges(D.boxes_lines(spark, sf_dir))
+    return order.edges(D.crowded_lines(spark, sf_dir))
 
 
 @query(f"""WITH RECURSIVE {LINES}, flow AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY y0, x0, seq) AS r FROM lines WHERE seq % 6 <> 0),
@@ -506,12 +512,12 @@ def viewer_pixel_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "page", "seq", *[F.round(f"p.{c}", 6).alias(c) for c in ("left", "top", "width", "height")], "colour")
 
 
-@query(f"""WITH {LINES}, {REGIONS}, hit AS (SELECT x.seq, g.region_no, g.category, g.l, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN named g ON g.doc_id = x.doc_id AND g.page = x.page AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN g.t AND g.b),
+@query(f"""WITH {CROWDED_LINES}, {CROWDED_REGIONS}, hit AS (SELECT x.seq, g.region_no, g.category, g.l, row_number() OVER (PARTITION BY x.seq ORDER BY (g.r - g.l) * (g.b - g.t), g.region_no) AS k FROM lines x JOIN named g ON g.doc_id = x.doc_id AND g.page = x.page AND (x.x0 + x.x1) / 2 BETWEEN g.l AND g.r AND (x.y0 + x.y1) / 2 BETWEEN g.t AND g.b),
  rows AS (SELECT l.doc_id, l.page, l.seq, l.text, l.x0, h.region_no, h.category, h.l, row_number() OVER (PARTITION BY l.doc_id, l.page, h.region_no ORDER BY l.seq) AS n FROM lines l LEFT JOIN hit h ON h.seq = l.seq AND h.k = 1)
  SELECT doc_id, page, seq, coalesce(category, 'text') AS category, CASE WHEN category = 'table' AND region_no % 2 = 0 THEN '<table>' || region_no || '</table>' ELSE text END AS text, CASE WHEN category = 'table' THEN l ELSE x0 END AS x0 FROM rows WHERE category IS DISTINCT FROM 'table' OR n = 1""")
 def table_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regions = D.boxes_regions(spark, sf_dir).withColumn("category", T.to_category(F.col("category")))
-    lines = layout.match_center(D.boxes_lines(spark, sf_dir), regions)
+    regions = D.crowded_regions(spark, sf_dir).withColumn("category", T.to_category(F.col("category")))
+    lines = layout.match_center(D.crowded_lines(spark, sf_dir), regions)
     html = regions.where("category = 'table' and region_no % 2 = 0").select("doc_id", "page", "region_no", F.concat(F.lit("<table>"), F.col("region_no").cast("string"), F.lit("</table>")).alias("html"))
     return layout.table_items(lines, regions, html).select("doc_id", "page", "seq", "category", "text", F.col("bbox.x0").alias("x0"))
 
@@ -779,7 +785,7 @@ _AREA = "({0}.r - {0}.l) * ({0}.b - {0}.t)"
 _BOTH = "greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0) * greatest(least({0}.b, {1}.b) - greatest({0}.t, {1}.t), 0)"
 
 
-@query(f"""WITH RECURSIVE {REGIONS}, x AS (SELECT doc_id, page, region_no, CASE WHEN category = 'title' THEN 'section_header' ELSE category END AS category, confidence, l, t, r, b, (r - l) * (b - t) AS area FROM named WHERE confidence >= CASE WHEN category IN ('title', 'code') THEN 0.45 ELSE 0.5 END),
+@query(f"""WITH RECURSIVE {CROWDED_REGIONS}, x AS (SELECT doc_id, page, region_no, CASE WHEN category = 'title' THEN 'section_header' ELSE category END AS category, confidence, l, t, r, b, (r - l) * (b - t) AS area FROM named WHERE confidence >= CASE WHEN category IN ('title', 'code') THEN 0.45 ELSE 0.5 END),
  g AS (SELECT *, {_GRP} AS grp, CASE WHEN category = 'picture' OR category = 'table' THEN 2.0 ELSE 1.3 END AS most, CASE WHEN category = 'picture' THEN 0.3 WHEN category = 'table' THEN 0.2 ELSE 0.05 END AS loss FROM x),
  e AS (SELECT p.region_no AS a, q.region_no AS b FROM g p JOIN g q ON p.doc_id = q.doc_id AND p.page = q.page AND p.grp = q.grp AND p.region_no <> q.region_no AND ({_BOTH.format("p", "q")} / (p.area + q.area - {_BOTH.format("p", "q")}) > 0.8 OR {_BOTH.format("p", "q")} / p.area > 0.8 OR {_BOTH.format("p", "q")} / q.area > 0.8)),
  reach(a, b) AS (SELECT region_no, region_no FROM g UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b), cluster AS (SELECT a AS region_no, min(b) AS c FROM reach GROUP BY a), m AS (SELECT g.*, c FROM g JOIN cluster USING (region_no)),
@@ -788,7 +794,7 @@ _BOTH = "greatest(least({0}.r, {1}.r) - greatest({0}.l, {1}.l), 0) * greatest(le
  best AS (SELECT c, max_by(region_no, n) AS region_no FROM walk GROUP BY c) SELECT m.doc_id, m.page, m.region_no, m.category, m.confidence, m.l, m.t, m.r, m.b FROM m JOIN (SELECT c, coalesce(b.region_no, c) AS region_no FROM (SELECT DISTINCT c FROM m) LEFT JOIN best b USING (c)) k USING (region_no)""")
 def region_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap removal, with the SQL walking each cluster as a recursion."""
-    return layout.remove_overlaps(layout.filter_regions(D.boxes_regions(spark, sf_dir)))
+    return layout.remove_overlaps(layout.filter_regions(D.crowded_regions(spark, sf_dir)))
 
 
 # --- hooks, registries and the records' date -----------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Width of the finest cells in points, by how much a level is coarser than the one before, and levels.
-FINEST, COARSER, LEVELS = 32, 8, 4
+FINEST, COARSER, LEVELS = 32, 4, 6
 #: Beyond so many cells of the coarsest level from the origin everything is in the last one.
 FARTHEST = 4
 
@@ -44,10 +44,18 @@ def placed(boxes: DataFrame, keys: list[str], name: str, finer: bool = True) ->
     return rows.select("*", F.explode(F.sequence(_cell(at("t"), F.col("level")), _cell(at("b"), F.col("level")))).alias("cy"))
 
 
+def _met(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """a and b joined by cell, in as many parts as the session's shuffles have: placed boxes take so little room in a shuffle that
+    Spark would join all of them in one task, whose memory grows with the pairs."""
+    cell = [*keys, "level", "cx", "cy"]
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return a.repartition(parts, *cell).join(b.repartition(parts, *cell), cell)
+
+
 def sharing(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """keys, a and b (structs of the tables' columns): the pairs whose boxes share area."""
     solid = "r > l and b > t"
-    met = placed(a.where(solid), keys, "a").join(placed(b.where(solid), keys, "b"), [*keys, "level", "cx", "cy"])
+    met = _met(placed(a.where(solid), keys, "a"), placed(b.where(solid), keys, "b"), keys)
     corner = lambda c, cell: _cell(F.greatest(F.col(f"a.{c}"), F.col(f"b.{c}")), F.col("level")) == F.col(cell)
     once = (F.col("level") == F.greatest("a.own", "b.own")) & corner("l", "cx") & corner("t", "cy")
     shared = (F.col("a.l") < F.col("b.r")) & (F.col("b.l") < F.col("a.r")) & (F.col("a.t") < F.col("b.b")) & (F.col("b.t") < F.col("a.b"))
@@ -58,5 +66,5 @@ def holding(points: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
     """keys, a and b: the points (x, y) and the boxes that hold them, edges included."""
     at = points.select(*keys, F.struct(*[F.col(c) for c in points.columns]).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level"))
     at = at.select("*", _cell(F.col("a.x"), F.col("level")).alias("cx"), _cell(F.col("a.y"), F.col("level")).alias("cy"))
-    met = at.join(placed(boxes.where("r >= l and b >= t"), keys, "b", finer=False), [*keys, "level", "cx", "cy"])
+    met = _met(at, placed(boxes.where("r >= l and b >= t"), keys, "b", finer=False), keys)
     return met.where("b.l <= a.x and a.x <= b.r and b.t <= a.y and a.y <= b.b").select(*keys, "a", "b")

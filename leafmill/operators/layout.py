@@ -56,49 +56,125 @@ def shared_area(a: str = "a", b: str = "b") -> Column:
     return F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
 
 
-def _best(lines: DataFrame, pairs: DataFrame, rank: list[Column], carry: tuple[str, ...]) -> DataFrame:
-    """lines with region_no and the columns `carry` of the region of the least rank, then number; null where there is none."""
-    ranked = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col("b.region_no").alias("region_no"), *[F.col(f"b.{c}").alias(c) for c in carry])
-    best = pairs.groupBy(*PAGE, F.col("a.seq").alias("seq")).agg(F.min(ranked).alias("m")).select(*PAGE, "seq", "m.region_no", *[F.col(f"m.{c}").alias(c) for c in carry])
-    return lines.join(best, [*PAGE, "seq"], "left")
+BOX = ["l", "t", "r", "b"]
+
+
+def _best(lines: DataFrame, keys: list[str], pairs: DataFrame, rank: Column, carry: tuple[str, ...]) -> DataFrame:
+    """lines with region_no and the columns `carry` of the region of the least rank, then number; null where there is none. Pairs have the
+    lines' `keys` and the region's number and columns as a struct `first`."""
+    best = pairs.groupBy(*PAGE, *keys).agg(F.min(F.struct(rank.alias("rank"), F.col("b.first").alias("first")))["first"].alias("first"))
+    return lines.join(best, [*PAGE, *keys], "left").withColumns({c: F.col(f"first.{c}") for c in ("region_no", *carry)}).drop("first", *keys)
+
+
+def _different(regions: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """The boxes of regions, each once a page, with the least number and its columns as a struct `first`: of regions in one place only that one can be matched."""
+    return regions.groupBy(*PAGE, *BOX).agg(F.min(F.struct("region_no", *carry)).alias("first"))
 
 
 def match_overlap(lines: DataFrame, regions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """region_no of the region that covers most of each line, if over LINE_OVERLAP; the first of equals. carry: more columns of that region."""
-    boxes = lines.select(*PAGE, "seq", *[F.col(f"bbox.{x}").alias(k) for k, x in zip("ltrb", ("x0", "y0", "x1", "y1"), strict=True)])
-    pairs = grid.sharing(boxes, regions.select(*PAGE, "region_no", *"ltrb", *carry), PAGE)
+    """region_no of the region that covers most of each line, if over LINE_OVERLAP; the first of equals. carry: more columns of that region.
+
+    Boxes that are equal are compared once, so the work follows the different ones of a page.
+    """
+    own = ["__l", "__t", "__r", "__b"]
+    placed = lines.withColumns({k: F.col(f"bbox.{x}") for k, x in zip(own, ("x0", "y0", "x1", "y1"), strict=True)})
+    boxes = placed.select(*PAGE, *[F.col(k).alias(c) for k, c in zip(own, BOX, strict=True)]).distinct()
     share = shared_area() / area("a")
-    return _best(lines, pairs.where(share > LINE_OVERLAP), [-share], carry)
+    pairs = grid.sharing(boxes, _different(regions, carry), PAGE).where(share > LINE_OVERLAP)
+    return _best(placed, own, pairs.select(*PAGE, *[F.col(f"a.{c}").alias(k) for k, c in zip(own, BOX, strict=True)], "a", "b"), -share, carry)
 
 
 def match_center(lines: DataFrame, regions: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """region_no of the smallest region that holds each line's centre, edges included; the first of equals. carry: more columns of that region."""
-    centres = lines.select(*PAGE, "seq", ((F.col("bbox.x0") + F.col("bbox.x1")) / 2).alias("x"), ((F.col("bbox.y0") + F.col("bbox.y1")) / 2).alias("y"))
-    pairs = grid.holding(centres, regions.select(*PAGE, "region_no", *"ltrb", *carry), PAGE)
-    return _best(lines, pairs, [area("b")], carry)
+    """region_no of the smallest region that holds each line's centre, edges included; the first of equals. carry: more columns of that region. Equal centres and boxes are compared once."""
+    placed = lines.withColumns({"__x": (F.col("bbox.x0") + F.col("bbox.x1")) / 2, "__y": (F.col("bbox.y0") + F.col("bbox.y1")) / 2})
+    centres = placed.select(*PAGE, F.col("__x").alias("x"), F.col("__y").alias("y")).distinct()
+    pairs = grid.holding(centres, _different(regions, carry), PAGE)
+    return _best(placed, ["__x", "__y"], pairs.select(*PAGE, F.col("a.x").alias("__x"), F.col("a.y").alias("__y"), "b"), area("b"), carry)
 
 
 def group_of(category: Column) -> Column:
     return F.when(category == "picture", "picture").when(category.isin(*WRAPPERS), "wrapper").otherwise("regular")
 
 
-def overlap_edges(regions: DataFrame) -> DataFrame:
-    """(doc_id, page, a, b): pairs of regions of one group that overlap or contain one another."""
-    boxes = regions.select(*PAGE, group_of(F.col("category")).alias("grp"), "region_no", *"ltrb")
-    pairs = grid.sharing(boxes, boxes, [*PAGE, "grp"]).where("a.region_no < b.region_no")
+def _overlapping(boxes: DataFrame) -> DataFrame:
+    """Pairs a and b of boxes (PAGE, grp, region_no, l, t, r, b) of one group that overlap or contain one another, each once, a the smaller.
+
+    Either means that they share over REGION_OVERLAP of the smaller one, so the larger one holds its centre.
+    """
+    keys = [*PAGE, "grp"]
+    solid = boxes.where("r > l and b > t")
+    centres = solid.select(*keys, "region_no", *BOX, ((F.col("l") + F.col("r")) / 2).alias("x"), ((F.col("t") + F.col("b")) / 2).alias("y"))
     both = shared_area()
     near = (both / (area("a") + area("b") - both) > REGION_OVERLAP) | (both / area("a") > REGION_OVERLAP) | (both / area("b") > REGION_OVERLAP)
-    return pairs.where(near).select(*PAGE, F.col("a.region_no").alias("a"), F.col("b.region_no").alias("b"))
+    smaller = (area("a") < area("b")) | ((area("a") == area("b")) & (F.col("a.region_no") < F.col("b.region_no")))
+    return grid.holding(centres, solid, keys).where(smaller & near)
 
 
-def _stands_back(c: str, other: str) -> Column:
+def _copies(regions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Regions as (PAGE, grp, region_no, l, t, r, b), and of those in one place and group only the first."""
+    boxes = regions.select(*PAGE, group_of(F.col("category")).alias("grp"), "region_no", *BOX)
+    return boxes, boxes.groupBy(*PAGE, "grp", *BOX).agg(F.min("region_no").alias("region_no"))
+
+
+def overlap_edges(regions: DataFrame) -> DataFrame:
+    """(doc_id, page, a, b): pairs of regions of one group that overlap or contain one another. Different boxes are compared, their copies join the pairs."""
+    boxes, first = _copies(regions)
+    own = boxes.where("r > l and b > t").join(first.withColumnRenamed("region_no", "first"), [*PAGE, "grp", *BOX]).select(*PAGE, "first", "region_no")
+    side = lambda c: own.withColumnsRenamed({"first": f"f{c}", "region_no": c})
+    pairs = _overlapping(first).select(*PAGE, F.col("a.region_no").alias("fa"), F.col("b.region_no").alias("fb"))
+    apart = pairs.join(side("a"), [*PAGE, "fa"]).join(side("b"), [*PAGE, "fb"]).select(*PAGE, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    same = side("a").withColumnRenamed("fa", "first").join(side("b").withColumnRenamed("fb", "first"), [*PAGE, "first"]).where("a < b").select(*PAGE, "a", "b")
+    return apart.unionByName(same)
+
+
+def _clusters(regions: DataFrame) -> DataFrame:
+    """(doc_id, page, region_no, label) of the regions that overlap others: the least number of those that overlap_edges() connects. Copies follow the first of them."""
+    boxes, first = _copies(regions)
+    members = boxes.where("r > l and b > t").join(first.withColumnRenamed("region_no", "first"), [*PAGE, "grp", *BOX]).select(*PAGE, "first", "region_no")
+    label = graph.components(_overlapping(first).select(*PAGE, F.col("a.region_no").alias("a"), F.col("b.region_no").alias("b")), PAGE)
+    alone = members.groupBy(*PAGE, "first").agg(F.count("*").alias("n"))
+    found = alone.join(label.withColumnRenamed("node", "first"), [*PAGE, "first"], "left").where("n > 1 or label is not null").select(*PAGE, "first", F.coalesce("label", "first").alias("label"))
+    return members.join(found, [*PAGE, "first"]).select(*PAGE, "region_no", "label")
+
+
+def _stands_back(c: str, other: str, exceptions: bool = True) -> Column:
     """Whether region c gives way to another of its cluster: it is hardly larger and clearly less sure, unless it is a list item
     as large as a text or code around the other."""
-    most, loss = (F.create_map(*[x for k, v in OVERLAP_PARAMS.items() for x in (F.lit(k), F.lit(v[i]))])[F.col(f"{c}.grp")] for i in (0, 1))
+    grp, (regular, picture, wrapper) = F.col(f"{c}.grp"), OVERLAP_PARAMS.values()
+    most, loss = (F.when(grp == "picture", picture[i]).when(grp == "wrapper", wrapper[i]).otherwise(regular[i]) for i in (0, 1))
     ratio = area(c) / area(other)
     as_list = (F.col(f"{c}.category") == "list_item") & (F.col(f"{other}.category") == "text") & (F.abs(1 - ratio) < 0.2)
     as_code = (F.col(f"{c}.category") == "code") & (shared_area(c, other) / area(other) > REGION_OVERLAP)
-    return ~as_list & ~as_code & (ratio <= most) & (F.col(f"{other}.confidence") - F.col(f"{c}.confidence") > loss)
+    surer = (ratio <= most) & (F.col(f"{other}.confidence") - F.col(f"{c}.confidence") > loss)
+    return surer & ~as_list & ~as_code if exceptions else surer
+
+
+def _able(members: DataFrame, cluster: list[str]) -> DataFrame:
+    """The members of clusters that give way to no other.
+
+    One gives way to a surer one that is not much smaller, so those are asked first than which none is both surer and larger, among texts and among
+    others. List items and codes for which one of the first would have sufficed but for an exception are then held against the rest: list items against
+    each area of a text with its best confidence, codes against all.
+    """
+
+    def giving_way(rows: DataFrame, others: DataFrame, how: str, exceptions: bool = True) -> DataFrame:
+        c, o = rows.alias("c"), others.alias("o")
+        same = (F.col("c.region_no") != F.col("o.region_no")) & _stands_back("c", "o", exceptions)
+        for k in cluster:
+            same = same & (F.col(f"c.{k}") == F.col(f"o.{k}"))
+        return c.join(o, same, how)
+
+    size, sure = area(""), F.col("confidence")
+    w = Window.partitionBy(*cluster, F.col("category") == "text").orderBy(sure.desc(), size.desc(), "region_no").rowsBetween(Window.unboundedPreceding, -1)
+    first = members.where(sure.isNotNull()).withColumn("__most", F.max(size).over(w)).where(F.col("__most").isNull() | (size > F.col("__most"))).drop("__most")
+    first = written(first, "first")
+    left = written(giving_way(members, first, "left_anti"), "able")
+    excepted = written(giving_way(left.where(F.col("category").isin("list_item", "code")), first, "left_semi", False), "excepted")
+    texts = members.where("category = 'text'").withColumn("__area", size)
+    surest = Window.partitionBy(*cluster, "__area").orderBy(sure.desc_nulls_last(), "region_no")
+    texts = texts.withColumn("__n", F.row_number().over(surest)).where("__n = 1").drop("__n", "__area")
+    gone = giving_way(excepted.where("category = 'list_item'"), texts, "left_semi").unionByName(giving_way(excepted.where("category = 'code'"), members, "left_semi"))
+    return left.join(gone.select(*PAGE, "region_no"), [*PAGE, "region_no"], "left_anti")
 
 
 def remove_overlaps(regions: DataFrame) -> DataFrame:
@@ -109,14 +185,9 @@ def remove_overlaps(regions: DataFrame) -> DataFrame:
     overlaps no other stays.
     """
     regions = written(regions, "regions")
-    label = graph.components(overlap_edges(regions), PAGE).withColumnRenamed("node", "region_no")
-    members = written(regions.withColumn("grp", group_of(F.col("category"))).join(label, [*PAGE, "region_no"]), "clusters")
+    members = written(regions.withColumn("grp", group_of(F.col("category"))).join(_clusters(regions), [*PAGE, "region_no"]), "clusters")
     cluster = [*PAGE, "label"]
-    c, o = members.alias("c"), members.alias("o")
-    same = (F.col("c.region_no") != F.col("o.region_no")) & _stands_back("c", "o")
-    for k in cluster:
-        same = same & (F.col(f"c.{k}") == F.col(f"o.{k}"))
-    able = c.join(o, same, "left_anti")
+    able = _able(members, cluster)
     loss = F.create_map(*[x for k, v in OVERLAP_PARAMS.items() for x in (F.lit(k), F.lit(v[1]))])[F.first("grp")]
     candidates = able.groupBy(*cluster).agg(F.sort_array(F.collect_list(F.struct("region_no", area("").alias("area"), "confidence"))).alias("able"), loss.alias("loss"))
     better = lambda best, x: (x["area"] > best["area"]) & (best["confidence"] - x["confidence"] <= F.col("loss"))

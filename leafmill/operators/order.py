@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from leafmill.schemas import FLOW
 
@@ -114,14 +115,28 @@ def positions(flow: np.ndarray, sides: np.ndarray) -> np.ndarray:
 
 
 def edges(lines: DataFrame) -> DataFrame:
-    """(doc_id, page, above, below): numbers of the lines that see one another."""
+    """(doc_id, page, above, below): numbers of the lines that see one another.
+
+    Lines with one and the same place see the same and hide nothing from one another, so a page's different boxes are swept and
+    their lines join the links. A line without width or height stands for itself.
+    """
     kind = lines.schema["seq"].dataType.simpleString()
 
     def of_page(rows: pa.Table) -> pa.Table:
         above, below = links(_sides(rows))
-        return pa.table({"doc_id": rows["doc_id"].take(above), "page": rows["page"].take(above), "above": rows["seq"].take(above), "below": rows["seq"].take(below)})
-
-    return lines.select("doc_id", "page", "seq", "bbox").groupBy("doc_id", "page").applyInArrow(of_page, f"doc_id bigint, page int, above {kind}, below {kind}")
+        return pa.table({"doc_id": rows["doc_id"].take(above), "page": rows["page"].take(above), "first_above": rows["seq"].take(above), "first_below": rows["seq"].take(below)})
+
+    solid = F.col("bbox.x0") < F.col("bbox.x1"), F.col("bbox.y0") < F.col("bbox.y1")
+    place = ["doc_id", "page", "bbox", "alone"]
+    rows = lines.select("doc_id", "page", "seq", "bbox", F.when(~F.coalesce(solid[0] & solid[1], F.lit(False)), F.col("seq")).alias("alone"))
+    first = rows.groupBy(*place).agg(F.min("seq").alias("first"))
+    found = first.select("doc_id", "page", F.col("first").alias("seq"), "bbox").groupBy("doc_id", "page").applyInArrow(of_page, f"doc_id bigint, page int, first_above {kind}, first_below {kind}")
+    same = F.col("r.alone").eqNullSafe(F.col("f.alone"))
+    for c in place[:3]:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
+    own = rows.alias("r").join(first.alias("f"), same).select("r.doc_id", "r.page", "r.seq", "f.first")
+    side = lambda c: own.withColumnsRenamed({"seq": c, "first": f"first_{c}"})
+    return found.join(side("above"), ["doc_id", "page", "first_above"]).join(side("below"), ["doc_id", "page", "first_below"]).select("doc_id", "page", "above", "below")
 
 
 def reading_order(lines: DataFrame) -> DataFrame:

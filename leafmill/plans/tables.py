@@ -63,6 +63,19 @@ def boxes_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select(F.expr("c_custkey div 150").alias("doc_id"), F.expr("cast(c_custkey div 30 % 5 + 1 as int)").alias("page"), k.cast("int").alias("region_no"), label.alias("category"), ((k % 100) / 100.0).alias("confidence"), (left + k % 3).alias("l"), top.alias("t"), (left + 40 + k % 80).alias("r"), (top + 30 + k % 70).alias("b"))
 
 
+def crowded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of boxes_lines on fifty pages, however many there are."""
+    k = F.col("seq")
+    return boxes_lines(spark, sf_dir).withColumns({"doc_id": (k % 10).cast("bigint"), "page": F.expr("cast(seq div 10 % 5 + 1 as int)")})
+
+
+def crowded_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions like those of boxes_regions on fifty pages, however many there are; a hundred numbers in a row begin in one place."""
+    k = F.col("region_no")
+    left, top = F.expr("cast(region_no div 100 * 41 % 480 as double)"), F.expr("cast(region_no div 100 * 59 % 640 as double)")
+    return boxes_regions(spark, sf_dir).withColumns({"doc_id": (k % 10).cast("bigint"), "page": F.expr("cast(region_no div 10 % 5 + 1 as int)"), "l": left + k % 3, "t": top, "r": left + 40 + k % 80, "b": top + 30 + k % 70})
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as sheets of a hundred: twenty a block, each block with a caption and a head, and a blank row after it."""
     k = F.col("o_orderkey")

@@ -4,6 +4,7 @@ import random
 import urllib.error
 import uuid
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -325,3 +326,65 @@ def test_empty_relations(spark):
     for name in models.STRATEGIES:
         assert models.strategy(name).apply(lines, pages, None, stubs.CLIENTS).count() == 0
     assert clean.strip_headers_footers(spark.createDataFrame([], ITEM)).count() == clean.merge_paragraphs(spark.createDataFrame([], ITEM)).count() == 0
+
+
+def test_crowded_pages(spark, tmp_path):
+    """Parts and customers of a large table meet on fifty pages: no page is cut, and lines and regions in one place are compared once and joined whole."""
+    from leafmill import catalog
+    from leafmill.plans import tables as D
+
+    for table, key, copies, columns in (("part", "p_partkey", 4, "p_name"), ("customer", "c_custkey", 4, "c_name")):
+        rows = spark.range(300).select(F.col("id").alias(key), F.concat(F.lit("n"), F.col("id").cast("string")).alias(columns))
+        rows.write.parquet(f"{tmp_path}/{table}.parquet")
+    assert D.crowded_lines(spark, str(tmp_path)).groupBy("doc_id", "page").count().select("count").distinct().collect() == [(6,)]
+    assert D.crowded_regions(spark, str(tmp_path)).select("doc_id", "page").distinct().count() == 50
+    found = catalog.QUERIES["region_overlap_edges"](spark, str(tmp_path)).count()
+    assert found == duckdb.connect().execute(f"create view customer as from '{tmp_path}/customer.parquet/*.parquet'; {catalog.ORACLES['region_overlap_edges']}").df().shape[0] > 0
+
+
+def test_copies_of_boxes(spark):
+    """Six copies of each of four lines: each sees every copy of the line below it, none of its own place, and finds the same region."""
+    rows = [(1, 1, 10 * k + i, (0.0, 20.0 * k, 50.0, 20.0 * k + 10)) for k in range(4) for i in range(6)]
+    lines = spark.createDataFrame(rows, f"doc_id bigint, page int, seq int, bbox {BBOX}")
+    found = {(r["above"], r["below"]) for r in order.edges(lines).collect()}
+    assert found == {(10 * k + i, 10 * k + 10 + j) for k in range(3) for i in range(6) for j in range(6)}
+    regions = spark.createDataFrame([(1, 1, n, "text", 0.9, 0.0, 20.0 * k, 50.0, 20.0 * k + 10) for n, k in enumerate((0, 0, 1, 1))], REGION)
+    for match in (layout.match_overlap, layout.match_center):
+        assert {(r["seq"] // 10, r["region_no"]) for r in match(lines, regions).collect()} == {(0, 0), (1, 2), (2, None), (3, None)}
+    assert {(r["a"], r["b"]) for r in layout.overlap_edges(regions).collect()} == {(0, 1), (2, 3)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_who_gives_way(spark, seed):
+    """Regions of crowded pages against the rule itself, one region after another."""
+    pick = random.Random(seed)
+    rows = []
+    for i in range(400):
+        l, t = pick.randrange(0, 120), pick.randrange(0, 120)
+        rows.append((1, 1 + i % 2, i, pick.choice(["text", "table", "list_item", "code", "code", "picture"]), pick.randrange(40) / 40, float(l), float(t), float(l + pick.choice((30, 32, 60))), float(t + pick.choice((30, 33, 60)))))
+    group = lambda x: "picture" if x[3] == "picture" else "wrapper" if x[3] == "table" else "regular"
+    size = lambda x: (x[7] - x[5]) * (x[8] - x[6])
+    both = lambda x, y: max(0, min(x[7], y[7]) - max(x[5], y[5])) * max(0, min(x[8], y[8]) - max(x[6], y[6]))
+    label = {x[2]: x[2] for x in rows}
+    pairs = [(x, y) for x in rows for y in rows if x[2] < y[2] and x[1] == y[1] and group(x) == group(y) and both(x, y) / min(size(x), size(y)) > 0.8]
+    assert {(r["a"], r["b"]) for r in layout.overlap_edges(spark.createDataFrame(rows, REGION)).collect()} == {(x[2], y[2]) for x, y in pairs}
+    for _ in rows:
+        for x, y in pairs:
+            label[x[2]] = label[y[2]] = min(label[x[2]], label[y[2]])
+    kept = set()
+    for c in set(label.values()):
+        own = [x for x in rows if label[x[2]] == c]
+
+        def back(x, y):
+            most, loss = {"regular": (1.3, 0.05), "picture": (2.0, 0.3), "wrapper": (2.0, 0.2)}[group(x)]
+            ratio = size(x) / size(y)
+            as_list = x[3] == "list_item" and y[3] == "text" and abs(1 - ratio) < 0.2
+            return not as_list and not (x[3] == "code" and both(x, y) / size(y) > 0.8) and ratio <= most and y[4] - x[4] > loss
+
+        able = [x for x in own if not any(x is not y and back(x, y) for y in own)] or own[:1]
+        best, loss = able[0], {"regular": 0.05, "picture": 0.3, "wrapper": 0.2}[group(own[0])]
+        for x in able[1:]:
+            if size(x) > size(best) and best[4] - x[4] <= loss:
+                best = x
+        kept.add(best[2])
+    assert {r["region_no"] for r in layout.remove_overlaps(spark.createDataFrame(rows, REGION)).collect()} == kept
