@@ -12,7 +12,7 @@ that are open at that height.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,8 @@ from leafmill.schemas import FLOW
 
 #: Rows of the matrix that is held at once for pages with lines that have no width or height.
 ROWS = 256
+#: Pages of so few lines are compared whole, which takes fewer steps than a sweep.
+FEW = 48
 
 
 def _sides(lines: pa.Table) -> np.ndarray:
@@ -79,7 +81,7 @@ def compared(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) ->
 
 def links(sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x0, y0, x1, y1 = sides
-    return (swept if ((x0 < x1) & (y0 < y1)).all() else compared)(x0, y0, x1, y1)
+    return (swept if len(x0) > FEW and ((x0 < x1) & (y0 < y1)).all() else compared)(x0, y0, x1, y1)
 
 
 def read_along(sides: np.ndarray) -> Iterator[int]:
@@ -139,12 +141,39 @@ def edges(lines: DataFrame) -> DataFrame:
     return found.join(side("above"), ["doc_id", "page", "first_above"]).join(side("below"), ["doc_id", "page", "first_below"]).select("doc_id", "page", "above", "below")
 
 
-def reading_order(lines: DataFrame) -> DataFrame:
-    """lines with `position`: flow categories move, the others follow the flow line before them."""
+def _same_page(rows: pa.Table) -> np.ndarray:
+    """Whether each row but the first is on the page of the row before it."""
+    codes = [pc.dictionary_encode(rows[c].combine_chunks(), null_encoding="encode").indices.to_numpy() for c in ("doc_id", "page")]
+    return (codes[0][1:] == codes[0][:-1]) & (codes[1][1:] == codes[1][:-1])
 
-    def of_page(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pa.array(np.argsort(rows["seq"].to_numpy(), kind="stable")))
-        flow = pc.is_in(rows["category"], value_set=pa.array(FLOW)).to_numpy()
-        return rows.append_column("position", pa.array(positions(flow, _sides(rows)), pa.int32()))
 
-    return lines.groupBy("doc_id", "page").applyInArrow(of_page, f"{lines._jdf.schema().toDDL()}, position int")
+def reading_order(lines: DataFrame) -> DataFrame:
+    """lines with `position`: flow categories move, the others follow the flow line before them. A task gets its pages sorted and places all pages of a batch at once; the last one waits for its end."""
+
+    def placed(rows: pa.Table, same: np.ndarray) -> pa.Table:
+        flow, sides = pc.is_in(rows["category"], value_set=pa.array(FLOW)).to_numpy(), _sides(rows)
+        edges = [0, *(np.flatnonzero(~same) + 1).tolist(), len(rows)]
+        return rows.append_column("position", pa.array(np.concatenate([positions(flow[a:b], sides[:, a:b]) for a, b in zip(edges, edges[1:], strict=False)]), pa.int32()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            ends = pa.Table.from_batches([held[0].slice(0, 1), batch.slice(len(batch) - 1)]) if held else None
+            held.append(batch)
+            if ends is not None and _same_page(ends).all():
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            same = _same_page(rows)
+            new = np.flatnonzero(~same)
+            end = int(new[-1]) + 1 if len(new) else 0
+            if end:
+                yield from placed(rows.slice(0, end), same[: end - 1]).to_batches()
+            held = rows.slice(end).to_batches()
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            yield from placed(rows, _same_page(rows)).to_batches()
+
+    page = ["doc_id", "page"]
+    return lines.repartition(*page).sortWithinPartitions(*page, "seq").mapInArrow(run, f"{lines._jdf.schema().toDDL()}, position int")

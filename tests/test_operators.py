@@ -388,3 +388,24 @@ def test_who_gives_way(spark, seed):
                 best = x
         kept.add(best[2])
     assert {r["region_no"] for r in layout.remove_overlaps(spark.createDataFrame(rows, REGION)).collect()} == kept
+
+
+def test_pages_share_batches(spark):
+    """Pages of one task, cut by batches of seven rows, are placed as each page alone: many in a batch, and one over many batches; a null page is a page."""
+    schema = f"doc_id bigint, page int, seq int, category string, bbox {BBOX}"
+    pick = random.Random(3)
+    rows = []
+    for page, n in [(1, 2), (2, 3), (3, 40), (4, 1), (None, 5), (5, 120)]:
+        place = list(range(n))
+        pick.shuffle(place)
+        rows += [(1, page, i, "text", (0.0, 10.0 * p, 50.0, 10.0 * p + 8)) for i, p in enumerate(place)]
+    want = {(r[1], r[2]): int(r[4][1] / 10) for r in rows}
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        plan = order.reading_order(spark.createDataFrame(rows, schema))
+        found = {(r["page"], r["seq"]): r["position"] for r in plan.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert found == want
+    assert "FlatMapGroupsInArrow" not in plan._jdf.queryExecution().toString()  # one call of Python a page was most of the cost
