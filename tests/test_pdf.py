@@ -2,6 +2,7 @@
 
 import io
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,21 @@ def test_a_long_file_is_read_by_several_tasks(spark, sf_dir, tmp_path):
 def test_no_files(spark):
     none = spark.createDataFrame([], "key bigint, path string, content binary")
     assert pdf.read_pdf(none).count() == 0
+
+
+def test_pages_leave_tasks_together(spark):
+    """Pages of many small files are few Arrow batches, and operands read by one pattern are those of the general reader."""
+    from leafmill.sources import pdf
+
+    for data in (b"1 0 0 1 50 .5 Tm (a\\(b) Tj <4 1> Tj [(x) -300 (y)] TJ 1. 2 Td +3 4.25 Td % c\n--3 2 Td /F#31 true null (a\rb) Tj (q(n)ested)' T* <> Tj q", b"12", b"Tj", b"", b"/", b"1.5.2 3-4 abc\0def \0 9 "):
+        general, quick = pdf.Reader(data), pdf.Reader(data)
+        while general.skip() or general.peek():
+            x, y = general.next(False), quick.operand()
+            assert (type(x), x) == (type(y), y)
+        assert quick.skip() or not quick.peek()
+    from leafmill.plans import pdfs
+
+    content = pdfs.write_pdf(pdfs.pages_of_text("Harbour\nShips lie at the east quay."))
+    files = spark.createDataFrame([(i, f"{i}.pdf", bytearray(content)) for i in range(40)], "key bigint, path string, content binary").coalesce(1)
+    batches = pdf.read_pdf(files, tasks=1).select("key").mapInArrow(lambda found: (pa.RecordBatch.from_arrays([pa.array([len(b)])], ["n"]) for b in found), "n bigint")
+    assert [r["n"] for r in batches.collect()] == [40]
