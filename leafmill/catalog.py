@@ -146,7 +146,7 @@ def txt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contents(spark: SparkSession, sf_dir: str, table: str, key: str, column: str) -> DataFrame:
-    return D.read(spark, sf_dir, table).select(F.col(key).alias("key"), F.lit(None).cast("string").alias("path"), F.encode(column, "utf-8").alias("content"))
+    return D.spread(D.read(spark, sf_dir, table).select(F.col(key).alias("key"), F.lit(None).cast("string").alias("path"), F.encode(column, "utf-8").alias("content")), "key")
 
 
 @query()
@@ -580,7 +580,7 @@ def merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit("<!DOCTYPE html><html><h1>"), "p_name", F.lit("</h1><script>x()</script>\n<p>"), "p_brand", F.lit("</p><ul><li>"), "p_type", F.lit("</li></ul></html>"))
     rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a.txt").alias("path"), F.encode(page, "utf-8").alias("content"))
-    return layout.rule_layout(files.lines_of(files.parse(rows))).select("doc_id", "seq", "category", "text", "font_size")
+    return layout.rule_layout(files.lines_of(files.parse(D.spread(rows, "key")))).select("doc_id", "seq", "category", "text", "font_size")
 
 
 @query("""SELECT p_partkey AS doc_id, CAST(i AS INT) AS seq, ['section_header', 'list_item', 'list_item', 'table', 'code', 'text'][i + 1] AS category,
@@ -588,7 +588,7 @@ def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def md_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit("## "), "p_name", F.lit("\n\n- "), "p_brand", F.lit("\n12. "), "p_type", F.lit("\n| size | key |\n|---|:-:|\n| "), F.col("p_size").cast("string"), F.lit(" | "), F.col("p_partkey").cast("string"), F.lit(" |\n```sql\n# "), "p_name", F.lit("\n```\n  "), "p_type")
     rows = D.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.lit("a.md").alias("path"), F.encode(page, "utf-8").alias("content"))
-    return files.lines_of(files.parse(rows)).select("doc_id", "seq", "category", "text")
+    return files.lines_of(files.parse(D.spread(rows, "key"))).select("doc_id", "seq", "category", "text")
 
 
 @query(f"""WITH rows AS (SELECT n_regionkey AS doc_id, n_nationkey, [n_name, CAST(n_nationkey AS VARCHAR), ''] AS cells FROM nation)

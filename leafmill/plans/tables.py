@@ -10,6 +10,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows in as many tasks as the session's shuffles have, before Python makes or reads files of them: by its bytes a table of millions of
+    small rows would be one task or two."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def items_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents as items: ten to a page, short ones are headers."""
     rows = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("seq", "text"))

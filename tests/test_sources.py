@@ -117,3 +117,13 @@ def test_a_converter_that_fails_is_an_error(spark, monkeypatch):
 def test_errors_are_counted_by_kind(spark):
     bad = files.parse(spark.createDataFrame([(1, "a.bin", b"?"), (2, "b.bin", b"?"), (3, "c.docx", b"PK\x03\x04")], "key bigint, path string, content binary"))
     assert {(r["error"], r["n"]) for r in files.errors_by_kind(bad).collect()} == {("ValueError", 2), ("BadZipFile", 1)}
+
+
+def test_files_are_made_and_read_in_many_tasks(spark, sf_dir):
+    """A table that is one task by its bytes is spread before Python makes or reads its files."""
+    from leafmill import catalog
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("docx_items", "xlsx_tables", "md_blocks", "html_lines"):
+        rows = catalog.QUERIES[name](spark, sf_dir)
+        assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString() and parts > 1, name
