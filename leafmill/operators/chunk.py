@@ -75,10 +75,13 @@ def smart(items: DataFrame, size: int = 0, overlap: int = 100, boxes: bool = Tru
         whole = grouped.withColumn("bboxes", F.concat("heads", F.transform("parts", lambda x: x["entry"])))
         rows = whole.select("doc_id", "section", F.lit(0).alias("piece"), render(F.col("heading"), F.col("body")).alias("text"), "i_page", "e_page", "bboxes")
     else:
-        starts = F.when(F.col("body") == "", F.array(F.lit(0))).otherwise(window_starts(F.length("body"), size, overlap))
-        cut = grouped.select("*", F.posexplode(starts).alias("piece", "start")).withColumn("end", F.least(F.col("start") + size, F.length("body")))
-        touched = F.transform(F.filter("parts", lambda x: (x["s"] < F.col("end")) & (x["e"] > F.col("start"))), lambda x: x["entry"])
-        rows = cut.select("doc_id", "section", "piece", render(F.col("heading"), F.substring("body", F.col("start") + 1, F.lit(size))).alias("text"), "i_page", "e_page", F.concat("heads", touched).alias("bboxes"))
+        starts = F.when(F.col("body") == "", F.array(F.lit(0))).otherwise(window_starts(F.col("n"), size, overlap))
+        # Windows are cut and given their boxes before they are exploded, so no window carries the whole section; its length is counted once, not for each part of each window.
+        spans = F.transform("parts", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["entry"].alias("entry")))
+        touched = lambda s: F.transform(F.filter("spans", lambda x: (x["s"] < F.least(s + size, "n")) & (x["e"] > s)), lambda x: x["entry"])
+        pieces = F.transform(starts, lambda s: F.struct(F.substring(F.col("body"), s + 1, F.lit(size)).alias("part"), touched(s).alias("boxes")))
+        cut = grouped.withColumns({"n": F.length("body"), "spans": spans}).select("doc_id", "section", "heading", "heads", "i_page", "e_page", F.posexplode(pieces).alias("piece", "w"))
+        rows = cut.select("doc_id", "section", "piece", render(F.col("heading"), F.col("w.part")).alias("text"), "i_page", "e_page", F.concat("heads", "w.boxes").alias("bboxes"))
     return _numbered(rows, "section", "piece").select("doc_id", "chunk_no", "text", "i_page", "e_page", "bboxes")
 
 

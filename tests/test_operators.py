@@ -1,6 +1,7 @@
 """Small literal cases of the document operators."""
 
 import random
+import time
 import urllib.error
 import uuid
 
@@ -409,3 +410,21 @@ def test_pages_share_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
     assert found == want
     assert "FlatMapGroupsInArrow" not in plan._jdf.queryExecution().toString()  # one call of Python a page was most of the cost
+
+
+def test_windows_of_a_long_section(spark):
+    """A section of 400 lines in 1111 windows, each with the boxes that it touches: the section is measured once, so it takes no minute."""
+    lines = [(1, k, k // 10, "section_header" if k == 0 else "text", f"h{k}" if k == 0 else "ä" * 499 if k % 7 else "") for k in range(401)]
+    items = spark.createDataFrame(lines, "doc_id bigint, seq int, page int, category string, text string").withColumn("bbox", F.struct(F.col("seq").cast("double").alias("x0"), F.lit(0.0).alias("y0"), F.lit(1.0).alias("x1"), F.lit(1.0).alias("y1")))
+    start = time.time()
+    found = [(r["text"], [int(b["bbox"]["x0"]) for b in r["bboxes"]]) for r in chunk.smart(items, 200, 20).orderBy("chunk_no").collect()]
+    assert time.time() - start < 10
+    body, at, spans = "\n".join(x[4] for x in lines[1:]), 0, []
+    for _, k, _, _, text in lines[1:]:
+        spans.append((k, at, at + len(text)))
+        at += len(text) + 1
+    want = []
+    for s in range(0, max(len(body) - 200 + 179, 0) // 180 * 180 + 1, 180):
+        e = min(s + 200, len(body))
+        want.append(("h0, " + body[s:e], [0] + [k for k, a, b in spans if a < e and b > s]))
+    assert found == want
