@@ -351,8 +351,7 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/leafmill/json-{uuid.uuid4().hex}"
     datasource.write_documents(metadata_vectors(spark, sf_dir), folder)
     schema = "source bigint, vectors array<struct<text: string, i_page: int, e_page: int, n_chars: int, i_chunk_on_doc: int>>"
-    read = spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(folder)
-    rows = read.select("source", F.size("vectors").cast("bigint").alias("n_vectors"), F.explode("vectors").alias("v"))
+    rows = datasource.read_documents(spark, folder, schema).select("source", F.size("vectors").cast("bigint").alias("n_vectors"), F.explode("vectors").alias("v"))
     return rows.select("source", F.col("v.i_chunk_on_doc").alias("chunk_no"), "v.text", "v.i_page", "v.e_page", "v.n_chars", "n_vectors")
 
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringContains, StringEndsWith, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -25,6 +26,8 @@ from leafmill.sources import files
 
 #: Bytes of files that one task reads at least, unless it is the last one; rows of a batch.
 BYTES, ROWS = 128 << 20, 1000
+#: Bytes of JSON documents that are read back together, at least; one larger document is a batch of its own.
+READ = 8 << 20
 SCHEMA = f"path string, ext string, error string, page int, seq int, category string, text string, bbox {files.BOX}, font_size double"
 _ARROW = pa.schema([("path", pa.string()), ("ext", pa.string()), ("error", pa.string()), ("page", pa.int32()), ("seq", pa.int32()), ("category", pa.string()), ("text", pa.string()), ("bbox", pa.struct([(k, pa.float64()) for k in ("x0", "y0", "x1", "y1")])), ("font_size", pa.float64())])
 #: What a filter on a path says about it.
@@ -136,6 +139,7 @@ class DocumentsWriter(DataSourceArrowWriter):
         folder, out, source, seen = uuid.uuid4().hex, None, None, 0
         base = f"{self._hidden(name)}/{folder}"
         names: set = set()
+        encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), default=str).encode
         try:
             for batch in iterator:
                 for record in batch.to_pylist():
@@ -146,12 +150,13 @@ class DocumentsWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.write(b"]}")
                             out.close()
-                        store.create_dir(base, recursive=True)
+                        if not seen:
+                            store.create_dir(base, recursive=True)
                         out, source, first = store.open_output_stream(f"{base}/{doc}.json"), doc, True
                         names.add(doc)
                         out.write(b'{"source":%s,"vectors":[' % json.dumps(doc).encode())
                         seen += 1
-                    out.write(b"," * (not first) + json.dumps({k: v for k, v in record.items() if v is not None}, ensure_ascii=False, separators=(",", ":"), default=str).encode())
+                    out.write(b"," * (not first) + encode({k: v for k, v in record.items() if v is not None}).encode())
                     first = False
             if out is not None:
                 out.write(b"]}")
@@ -209,3 +214,33 @@ def write_documents(records: DataFrame, path: str, mode: str = "overwrite") -> N
     """A JSON document for each document of records, under `path`: a document's records meet in one task and are written in order as they pass."""
     register(records.sparkSession)
     records.repartition("doc_id").sortWithinPartitions("doc_id", "i_chunk_on_doc").write.format("documents").mode(mode).save(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The JSON documents that write_documents() left under `path`, a row of `schema` for each.
+
+    A file for each document is too much for a list on the driver, and with the cost that Spark counts for opening one, thirty files would be a task.
+    So the driver lists the folders that writing tasks committed; a task lists and reads the files of one.
+    """
+    from pyarrow import fs
+
+    store, name, before = _store(path)
+    folders = sorted(before + x.path for x in store.get_file_info(fs.FileSelector(name)) if x.type == fs.FileType.Directory and x.base_name.startswith("part-"))
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for k in batch.column(0).to_pylist():
+                store, name, _ = _store(folders[k])
+                held, size = [], 0
+                for f in store.get_file_info(fs.FileSelector(name)):
+                    with store.open_input_file(f.path) as file:
+                        held.append(file.read())
+                    size += len(held[-1])
+                    if size >= READ:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()).cast(pa.string())], ["json"])
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()).cast(pa.string())], ["json"])
+
+    found = spark.range(0, len(folders), 1, max(1, len(folders))).mapInArrow(run, "json string")
+    return found.select(F.from_json("json", schema).alias("r")).select("r.*")

@@ -89,3 +89,17 @@ def test_a_long_document_is_a_stream(spark, tmp_path):
     datasource.write_documents(spark.range(200_000).selectExpr("cast(7 as bigint) as doc_id", "cast(id as int) as i_chunk_on_doc", "concat('t', id) as text"), out)
     (made,) = [json.load(open(os.path.join(d, f), encoding="utf-8")) for d, _, names in os.walk(out) for f in names if f.endswith(".json")]
     assert made["source"] == 7 and [v["i_chunk_on_doc"] for v in made["vectors"]] == list(range(200_000))
+
+
+def test_documents_are_read_back_by_folder(spark, tmp_path):
+    """Two hundred documents, one to a file, are read by as many tasks as wrote them, and by none where there is none."""
+    out, schema = str(tmp_path / "out"), "source bigint, vectors array<struct<i_chunk_on_doc: int, text: string>>"
+    records = spark.range(600).selectExpr("id div 3 as doc_id", "cast(id % 3 as int) as i_chunk_on_doc", "if(id % 3 = 1, null, concat('ä \\n \"', id)) as text")
+    datasource.write_documents(records, f"file://{out}")
+    datasource.write_documents(records.where("doc_id < 5").withColumn("doc_id", F.col("doc_id") + 1000), out, "append")
+    read = datasource.read_documents(spark, f"file://{out}", schema)
+    assert read.rdd.getNumPartitions() == len([x for x in os.listdir(out) if x.startswith("part-")]) <= 8
+    want = [(d + more, [(k, None if k == 1 else f'ä \n "{3 * d + k}') for k in range(3)]) for n, more in ((200, 0), (5, 1000)) for d in range(n)]
+    assert [(r["source"], [tuple(v) for v in r["vectors"]]) for r in read.orderBy("source").collect()] == want
+    datasource.write_documents(records.limit(0), out)
+    assert datasource.read_documents(spark, out, schema).count() == 0
