@@ -23,8 +23,9 @@ from leafmill.llm.shared import materialize, whole_text
 
 #: Rows of an image at most: short images keep the joint decoding even.
 TILE_ROWS = 16
-#: An image leaves the fixed text code, which is coded and decoded for many images at once, where another way is estimated at less than this share of its bits.
-SAVING = 0.5
+#: For callers of plans_of() that prefer the fixed text code, which is coded and decoded for many images at once: another way has to be estimated at less than this
+#: share of its bits. Stored forms take the least estimate whatever it saves (LEAST).
+SAVING, LEAST = 0.5, 1.0
 #: Estimated bits of an image's own prefix codes, and of a reference to 32 earlier pixels.
 CODES, REFERENCE = 2500, 24
 #: Payload bytes that are encoded or decoded together.
@@ -51,12 +52,13 @@ def _element(samples: np.ndarray) -> int:
     return slope(red, green) | slope(blue, green) << 8
 
 
-def plans_of(tiles: np.ndarray) -> list[dict | None]:
+def plans_of(tiles: np.ndarray, saving: float = SAVING) -> list[dict | None]:
     """How webp.encode() writes each image (images, pixels, 4) of one size, or None for the text code.
 
     The bits of the text code are known. Those of the others are estimated: samples under own codes as they are, less green, less
     the pixel to the left or above, or less what green gives red and blue; palettes of up to 256 colours; references and a
-    colour cache where most runs of eight pixels were there before. The least counts, the first of equals.
+    colour cache where most runs of eight pixels were there before. The least counts, the first of equals, if it is under the share `saving`
+    of the text code's bits.
     """
     n, pixels, _ = tiles.shape
     rows = tiles.reshape(n, -1, webp.PIXELS, 4)
@@ -91,7 +93,7 @@ def plans_of(tiles: np.ndarray) -> list[dict | None]:
     ways.append(({"references": True, "cache_bits": 8}, (1 - again) * ways[0][1] + REFERENCE * again * pixels / 32))
     bits = np.stack([b for _, b in ways], axis=1) + CODES
     best = bits.argmin(axis=1)
-    return [ways[k][0] | ({"element": e} if webp.CROSS_COLOUR in ways[k][0].get("transforms", ()) else {}) if bits[i, k] < SAVING * text[i] else None for i, (k, e) in enumerate(zip(best.tolist(), elements, strict=True))]
+    return [ways[k][0] | ({"element": e} if webp.CROSS_COLOUR in ways[k][0].get("transforms", ()) else {}) if bits[i, k] < saving * text[i] else None for i, (k, e) in enumerate(zip(best.tolist(), elements, strict=True))]
 
 
 def store(payloads: list[bytes]) -> list[bytes]:
@@ -105,7 +107,7 @@ def store(payloads: list[bytes]) -> list[bytes]:
     plain = []
     for size, own in of_size.items():
         samples = np.frombuffer(b"".join([tiles[k][1] for k in own]), np.uint8).reshape(len(own), size // 4, 4)
-        for k, image, plan in zip(own, samples, plans_of(samples), strict=True):
+        for k, image, plan in zip(own, samples, plans_of(samples, LEAST), strict=True):
             if plan is None:
                 plain.append(k)
             else:

@@ -9,13 +9,15 @@ to decode(). Pixels are arrays of R, G, B, A bytes.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import itertools
 import struct
 from collections import Counter
 
 import numpy as np
 
-#: Values fixed by the format: order of code-length codes, and the near pixels of distance codes 1 to 120.
+#: Values fixed by the format: order of code-length codes, the near pixels of distance codes 1 to 120, and the least repeats and extra bits of codes of repeated lengths.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 NEAR = (
     (0, 1), (1, 0), (1, 1), (-1, 1), (0, 2), (2, 0), (1, 2), (-1, 2), (2, 1), (-2, 1), (2, 2), (-2, 2), (0, 3), (3, 0), (1, 3), (-1, 3), (3, 1), (-3, 1), (2, 3), (-2, 3),
@@ -25,21 +27,28 @@ NEAR = (
     (4, 6), (-4, 6), (6, 4), (-6, 4), (2, 7), (-2, 7), (7, 2), (-7, 2), (3, 7), (-3, 7), (7, 3), (-7, 3), (5, 6), (-5, 6), (6, 5), (-6, 5), (8, 0), (4, 7), (-4, 7), (7, 4),
     (-7, 4), (8, 1), (8, 2), (6, 6), (-6, 6), (8, 3), (5, 7), (-5, 7), (7, 5), (-7, 5), (8, 4), (6, 7), (-6, 7), (7, 6), (-7, 6), (8, 5), (7, 7), (-7, 7), (8, 6), (8, 7),
 )
+REPEATS = {16: (3, 2), 17: (3, 3), 18: (11, 7)}
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 HASH = 0x1E35A7BD
 BLACK = 0xFF000000
 
 
 class BitReader:
+    """Bits of `data` from the bit `at`; `words` has the 64 bits from each byte on, so up to 57 bits are one look."""
+
     def __init__(self, data: bytes):
-        self.data, self.at = data, 0
-        self.value = int.from_bytes(data, "little") if len(data) <= 64 else None
+        self.at, self.end = 0, 8 * len(data) + 64
+        wide = np.frombuffer(data + bytes(24), np.uint8).astype(np.uint64)
+        words = wide[:-8].copy()
+        for k in range(1, 8):
+            words |= wide[k : k - 8] << np.uint64(8 * k)
+        self.words: list[int] = words.tolist()
 
     def bits(self, n: int) -> int:
         at, self.at = self.at, self.at + n
-        if at + n > 8 * len(self.data) + 64:
+        if at + n > self.end:
             raise ValueError("the image ends too early")
-        return (int.from_bytes(self.data[at >> 3 : (at + n + 7) >> 3], "little") >> (at & 7)) & ((1 << n) - 1)
+        return (self.words[at >> 3] >> (at & 7)) & ((1 << n) - 1)
 
 
 class BitWriter:
@@ -55,23 +64,49 @@ class BitWriter:
             self.value >>= 8
             self.n -= 8
 
+    def many(self, value: int, n: int) -> None:
+        value, n = self.value | value << self.n, self.n + n
+        self.out += (value & ((1 << (n & ~7)) - 1)).to_bytes(n >> 3, "little")
+        self.value, self.n = value >> (n & ~7), n & 7
+
+    def fields(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        """Many values (unsigned 64-bit) of up to 32 bits each."""
+        values, sizes = np.append(np.uint64(self.value), values), np.append(np.int64(self.n), sizes)
+        ends = np.cumsum(sizes)
+        at = ends - sizes
+        word = at >> 5
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        joined = np.bitwise_or.reduceat(values << (at & 31).astype(np.uint64), first)
+        out = np.zeros(int(word[-1]) + 2, np.uint32)
+        out[word[first]] = (joined & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        out[word[first] + 1] |= (joined >> np.uint64(32)).astype(np.uint32)
+        raw, total = out.tobytes(), int(ends[-1])
+        self.out += raw[: total >> 3]
+        self.n = total & 7
+        self.value = raw[total >> 3] & ((1 << self.n) - 1) if self.n else 0
+
     def done(self) -> bytes:
         return bytes(self.out) + (bytes([self.value & 255]) if self.n else b"")
 
 
+#: The 15 bits of each number in the other order.
+REVERSED = np.array([int(f"{k:08b}"[::-1], 2) for k in range(256)])
+REVERSED = ((REVERSED[np.arange(1 << 15) & 255] << 7) | (REVERSED[np.arange(1 << 15) >> 8] >> 1)).tolist()
+
+
 def _canonical(lengths: list[int]) -> dict[int, tuple[int, int]]:
     """Bit-reversed code and its length for each symbol with a length over 0."""
     code, last, found = 0, 0, {}
-    for length, symbol in sorted((n, s) for s, n in enumerate(lengths) if n):
+    for length, symbol in sorted([(n, s) for s, n in enumerate(lengths) if n]):
         code <<= length - last
         last = length
-        found[symbol] = (int(f"{code:0{length}b}"[::-1], 2), length)
+        found[symbol] = (REVERSED[code] >> (15 - length), length)
         code += 1
     return found
 
 
 class Prefix:
-    """A prefix code, read through one table of its longest length."""
+    """A prefix code, read through one table of its longest length; an entry is a symbol and, in its last four bits, the length."""
 
     def __init__(self, lengths: list[int]):
         used = [s for s, n in enumerate(lengths) if n]
@@ -80,19 +115,21 @@ class Prefix:
             self.longest = max(lengths)
             if sum(1 << (self.longest - n) for n in lengths if n) != 1 << self.longest:
                 raise ValueError("not a complete prefix code")
-            self.table: list[tuple[int, int]] = [(0, 0)] * (1 << self.longest)
+            self.table: list[int] = [0] * (1 << self.longest)
             for s, (code, n) in _canonical(lengths).items():
-                for k in range(code, 1 << self.longest, 1 << n):
-                    self.table[k] = (s, n)
+                self.table[code :: 1 << n] = [s << 4 | n] * (1 << (self.longest - n))
         elif not used:
             self.only = 0
+        if self.only is not None:
+            self.table = [self.only << 4]
+        self.mask = (1 << self.longest) - 1
 
     def read(self, r: BitReader) -> int:
-        if self.only is not None:
-            return self.only
-        symbol, n = self.table[r.bits(self.longest)]
-        r.at -= self.longest - n
-        return symbol
+        found = self.table[(r.words[r.at >> 3] >> (r.at & 7)) & self.mask]
+        r.at += found & 15
+        if r.at > r.end:
+            raise ValueError("the image ends too early")
+        return found >> 4
 
 
 def _read_code(r: BitReader, alphabet: int) -> Prefix:
@@ -109,20 +146,29 @@ def _read_code(r: BitReader, alphabet: int) -> Prefix:
     code = Prefix(own)
     left = 2 + r.bits(2 + 2 * r.bits(3)) if r.bits(1) else alphabet
     at, before = 0, 8
+    words, place, table, mask = r.words, r.at, code.table, code.mask
     while at < alphabet and left > 0:
+        if place > r.end:
+            raise ValueError("the image ends too early")
         left -= 1
-        n = code.read(r)
+        bits = words[place >> 3] >> (place & 7)
+        found = table[bits & mask]
+        n, k = found >> 4, found & 15
+        place += k
         if n < 16:
             lengths[at] = n
             before = n or before
             at += 1
             continue
-        times, value = {16: (3, 2), 17: (3, 3), 18: (11, 7)}[n]
-        times += r.bits(value)
+        times, value = REPEATS[n]
+        times += bits >> k & ((1 << value) - 1)
+        place += value
         if at + times > alphabet:
             raise ValueError("too many code lengths")
-        lengths[at : at + times] = [before if n == 16 else 0] * times
+        if n == 16:
+            lengths[at : at + times] = [before] * times
         at += times
+    r.at = place
     return Prefix(lengths)
 
 
@@ -149,14 +195,32 @@ def _read_pixels(r: BitReader, width: int, height: int, main: bool) -> list[int]
     out: list[int] = []
     total, done = width * height, 0
     across = _tiles(width, tile_bits)
-    while len(out) < total:
-        at = len(out)
-        green, red, blue, alpha, distance = codes[tiles[(at // width >> tile_bits) * across + (at % width >> tile_bits)] if tiles else 0]
-        s = green.read(r)
+    words, place, last = r.words, r.at, r.end
+    one = None if tiles else codes[0]
+    while (at := len(out)) < total:
+        green, red, blue, alpha, distance = one or codes[tiles[(at // width >> tile_bits) * across + (at % width >> tile_bits)]]
+        if place > last:
+            raise ValueError("the image ends too early")
+        bits = words[place >> 3] >> (place & 7)
+        found = green.table[bits & green.mask]
+        s, n = found >> 4, found & 15
         if s < 256:
-            red_, blue_, alpha_ = red.read(r), blue.read(r), alpha.read(r)
-            out.append(alpha_ << 24 | red_ << 16 | s << 8 | blue_)
-        elif s < 280:
+            bits >>= n
+            place += n
+            found = red.table[bits & red.mask]
+            p, n = found >> 4 << 16 | s << 8, found & 15
+            bits >>= n
+            place += n
+            found = blue.table[bits & blue.mask]
+            n = found & 15
+            p |= found >> 4
+            place += n
+            found = alpha.table[(words[place >> 3] >> (place & 7)) & alpha.mask]
+            place += found & 15
+            out.append(found >> 4 << 24 | p)
+            continue
+        r.at = place + n
+        if s < 280:
             n = _extra(r, s - 256)
             d = _extra(r, distance.read(r))
             d = d - 120 if d > 120 else max(1, NEAR[d - 1][0] + NEAR[d - 1][1] * width)
@@ -169,6 +233,10 @@ def _read_pixels(r: BitReader, width: int, height: int, main: bool) -> list[int]
                 cache[(HASH * out[done] & 0xFFFFFFFF) >> shift] = out[done]
                 done += 1
             out.append(cache[s - 280])
+        place = r.at
+    r.at = place
+    if place > last:
+        raise ValueError("the image ends too early")
     return out
 
 
@@ -297,13 +365,20 @@ def code_lengths(weights: dict[int, float], alphabet: int, longest: int = 15) ->
         return lengths
     least = 0.0
     while True:
-        heap = [(max(w, least), s, [s]) for s, w in sorted(weights.items())]
+        symbols = sorted(weights)
+        heap = [(max(weights[s], least), s, k) for k, s in enumerate(symbols)]
         heapq.heapify(heap)
-        depth = Counter()
+        above = [0] * len(symbols)
         while len(heap) > 1:
-            a, b = heapq.heappop(heap), heapq.heappop(heap)
-            depth.update(a[2] + b[2])
-            heapq.heappush(heap, (a[0] + b[0], min(a[1], b[1]), a[2] + b[2]))
+            a = heapq.heappop(heap)
+            b = heap[0]
+            above[a[2]] = above[b[2]] = len(above)
+            heapq.heapreplace(heap, (a[0] + b[0], min(a[1], b[1]), len(above)))
+            above.append(0)
+        depths = [0] * len(above)
+        for k in range(len(above) - 2, -1, -1):
+            depths[k] = depths[above[k]] + 1
+        depth = dict(zip(symbols, depths, strict=False))
         if not depth or max(depth.values()) <= longest:
             for s, n in depth.items():
                 lengths[s] = n
@@ -322,13 +397,8 @@ def _write_code(w: BitWriter, lengths: list[int]) -> None:
             w.bits(s, 8)
         return
     steps: list[tuple[int, int, int]] = []  # symbol, extra value, extra bits
-    at = 0
-    while at < len(lengths):
-        end = at
-        while end < len(lengths) and lengths[end] == lengths[at]:
-            end += 1
-        n, value = end - at, lengths[at]
-        at = end
+    for value, same in itertools.groupby(lengths):
+        n = len(list(same))
         if value:
             steps.append((value, 0, 0))
             n -= 1
@@ -340,17 +410,26 @@ def _write_code(w: BitWriter, lengths: list[int]) -> None:
             take = min(n, least + (1 << bits) - 1)
             steps.append((kind, take - least, bits))
             n -= take
-    own = code_lengths(Counter(s for s, _, _ in steps), 19, 7)
+    own = code_lengths(Counter([s for s, _, _ in steps]), 19, 7)
     code = _canonical(own) if sum(map(bool, own)) > 1 else {}
     w.bits(0, 1)
     w.bits(15, 4)
     for k in LENGTH_ORDER:
         w.bits(own[k], 3)
     w.bits(0, 1)
+    held, size = 0, 0
     for s, value, n in steps:
         if code:
-            w.bits(*code[s])
-        w.bits(value, n)
+            c, k = code[s]
+            held |= c << size
+            size += k
+        if n:
+            held |= value << size
+            size += n
+        if size > 400:
+            w.many(held, size)
+            held, size = 0, 0
+    w.many(held, size)
 
 
 def _prefix_of(value: int) -> tuple[int, int, int]:
@@ -368,56 +447,84 @@ def _write_pixels(w: BitWriter, pixels: list[int], width: int, main: bool, cache
         w.bits(cache_bits, 4)
     height = len(pixels) // width
     across = _tiles(width, tile_bits) if tile_bits else 1
-    tile_of = (lambda at: (at // width >> tile_bits) * across + (at % width >> tile_bits)) if tile_bits else lambda at: 0
     if main:
         w.bits(1 if tile_bits else 0, 1)
         if tile_bits:
             w.bits(tile_bits - 2, 3)
             _write_pixels(w, [t << 8 for t in range(across * _tiles(height, tile_bits))], across, False)
-    groups = tile_of(len(pixels) - 1) + 1
+    groups = across * _tiles(height, tile_bits) if tile_bits else 1
     size = 280 + (1 << cache_bits if cache_bits else 0)
-    near = {max(1, x + y * width): k for k, (x, y) in reversed(list(enumerate(NEAR, 1)))}
-    cache, seen, steps = [0] * (1 << cache_bits), {}, []
-    at = 0
-    while at < len(pixels):
-        n, d = 0, 0
-        if references and (key := tuple(pixels[at : at + 3])) in seen and len(key) == 3:
-            start = seen[key]
-            while n < 4096 and at + n < len(pixels) and pixels[start + n] == pixels[at + n]:
+    argb = np.array(pixels, np.uint32)
+    before = [-1] * len(pixels)
+    if references:  # the last place before with the same three pixels
+        seen: dict[tuple[int, int, int], int] = {}
+        for k, key in enumerate(zip(pixels, pixels[1:], pixels[2:])):  # noqa: B905
+            before[k] = seen.get(key, -1)
+            seen[key] = k
+    slots = (HASH * argb.astype(np.uint64) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - cache_bits) if cache_bits else np.zeros(len(pixels), np.uint64)
+    cached = [False] * len(pixels)
+    if cache_bits:  # the pixel is the last one before of its slot, which was 0 at first
+        order = np.argsort(slots, kind="stable")
+        held = np.append(np.uint32(0), argb[order[:-1]])
+        held[np.diff(slots[order], prepend=slots[order[0]]) != 0] = 0
+        hit = np.empty(len(pixels), bool)
+        hit[order] = held == argb[order]
+        hit[0] = False
+        cached = hit.tolist()
+    near = _near(width)
+    places, runs = [], []
+    at, total = 0, len(pixels)
+    while at < total:
+        places.append(at)
+        if (start := before[at]) >= 0:
+            n, most = 3, min(4096, total - at)
+            while n < most and pixels[start + n] == pixels[at + n]:
                 n += 1
             d = at - start
-        p = pixels[at]
-        slot = (HASH * p & 0xFFFFFFFF) >> (32 - cache_bits)
-        if n >= 3:
-            a, b = _prefix_of(n), _prefix_of(near.get(d, d + 120))
-            steps.append((tile_of(at), [(0, 256 + a[0], *a[1:]), (4, *b)]))
-        elif cache_bits and cache[slot] == p and at:
-            n = 1
-            steps.append((tile_of(at), [(0, 280 + slot, 0, 0)]))
+            runs.append((len(places) - 1, *_prefix_of(n), *_prefix_of(near.get(d, d + 120))))
+            at += n
         else:
-            n = 1
-            steps.append((tile_of(at), [(c, p >> s & 255, 0, 0) for c, s in ((0, 8), (1, 16), (2, 0), (3, 24))]))
-        for k in range(at, at + n):
-            if references:
-                seen[tuple(pixels[k : k + 3])] = k
-            if cache_bits:
-                cache[(HASH * pixels[k] & 0xFFFFFFFF) >> (32 - cache_bits)] = pixels[k]
-        at += n
-    counts = [[Counter() for _ in range(5)] for _ in range(groups)]
-    for g, parts in steps:
-        for c, s, _, _ in parts:
-            counts[g][c][s] += 1
-    codes = []
+            at += 1
+    at = np.array(places)
+    group = np.zeros(len(at), np.int64) if not tile_bits else (at // width >> tile_bits) * across + (at % width >> tile_bits)
+    hit, p = np.array(cached)[at], argb[at].astype(np.int64)
+    run = np.array(runs, np.int64).reshape(-1, 7)
+    hit[run[:, 0]] = False
+    literal = ~hit
+    literal[run[:, 0]] = False
+    symbols = np.stack([p >> 8 & 255, p >> 16 & 255, p & 255, p >> 24], axis=1)
+    symbols[hit, 0] = 280 + slots[at[hit]].astype(np.int64)
+    symbols[run[:, 0], 0] = 256 + run[:, 1]
+    values, sizes = np.zeros((len(at), 4), np.uint64), np.zeros((len(at), 4), np.int64)
+    alphabets, codes = (size, 256, 256, 256, 40), []
+    for c, n in enumerate(alphabets):
+        own = run[:, 4] if c == 4 else symbols[literal, c] if c else symbols[:, 0]
+        of = group[run[:, 0]] if c == 4 else group[literal] if c else group
+        codes.append((of, own, np.bincount(of * n + own, minlength=groups * n).reshape(groups, n)))
+    tables = []
     for g in range(groups):
-        lengths = [code_lengths(counts[g][c], n) if counts[g][c] else [0] * n for c, n in enumerate((size, 256, 256, 256, 40))]
-        for x in lengths:
-            _write_code(w, x)
-        codes.append([_canonical(x) if sum(map(bool, x)) > 1 else {} for x in lengths])
-    for g, parts in steps:
-        for c, s, value, n in parts:
-            if codes[g][c]:
-                w.bits(*codes[g][c][s])
-            w.bits(value, n)
+        for c, n in enumerate(alphabets):
+            weights = {s: k for s, k in enumerate(codes[c][2][g].tolist()) if k}
+            lengths = code_lengths(weights, n) if weights else [0] * n
+            _write_code(w, lengths)
+            code, bits = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+            if len(weights) > 1:
+                made = _canonical(lengths)
+                code[list(made)], bits[list(made)] = np.array(list(made.values())).T
+            tables.append((code, bits))
+    for c, (of, own, _) in enumerate(codes):
+        code, bits = np.stack([x[0] for x in tables[c::5]]), np.stack([x[1] for x in tables[c::5]])
+        rows = (run[:, 0], 2) if c == 4 else (literal, c) if c else (slice(None), 0)
+        values[rows], sizes[rows] = code[of, own], bits[of, own]
+    for c, k in ((1, 2), (3, 5)):
+        values[run[:, 0], c], sizes[run[:, 0], c] = run[:, k], run[:, k + 1]
+    w.fields(values.ravel(), sizes.ravel())
+
+
+@functools.lru_cache(64)
+def _near(width: int) -> dict[int, int]:
+    """The codes of near distances in an image of that width."""
+    return {max(1, x + y * width): k for k, (x, y) in reversed(list(enumerate(NEAR, 1)))}
 
 
 def encode(rgba: np.ndarray, transforms: tuple[int, ...] = (), cache_bits: int = 0, references: bool = False, tile_bits: int = 0, mode: int = 11, element: int = 0x00102030) -> bytes:
