@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from leafmill.llm import webp
+from leafmill.llm import webp, webp_many
 from leafmill.llm.shared import materialize, whole_text
 
 #: Rows of an image at most: short images keep the joint decoding even.
@@ -41,8 +41,9 @@ def _entropy(samples: np.ndarray) -> np.ndarray:
     """Bits of each image's samples (images, pixels, 4) under prefix codes of its own for each channel."""
     n, pixels, _ = samples.shape
     at = (np.arange(n)[:, None, None] * 4 + np.arange(4)) * 256 + samples
-    counts = np.bincount(at.ravel(), minlength=n * 1024).reshape(n, 4, 256).astype(float)
-    return (pixels * np.log2(pixels) * 4) - (counts * np.log2(np.maximum(counts, 1))).sum(axis=(1, 2))
+    counts = np.bincount(at.ravel(), minlength=n * 1024).reshape(n, 4, 256)
+    bits = np.arange(pixels + 1) * np.log2(np.maximum(np.arange(pixels + 1), 1))
+    return (pixels * np.log2(pixels) * 4) - bits[counts].sum(axis=(1, 2))
 
 
 def _element(samples: np.ndarray) -> int:
@@ -104,16 +105,21 @@ def store(payloads: list[bytes]) -> list[bytes]:
     of_size: dict[int, list[int]] = {}
     for k, (_, t) in enumerate(tiles):
         of_size.setdefault(len(t), []).append(k)
-    plain = []
+    plain, coded = [], []
     for size, own in of_size.items():
         samples = np.frombuffer(b"".join([tiles[k][1] for k in own]), np.uint8).reshape(len(own), size // 4, 4)
         for k, image, plan in zip(own, samples, plans_of(samples, LEAST), strict=True):
             if plan is None:
                 plain.append(k)
+            elif plan.keys() <= {"references", "cache_bits"} and plan.get("cache_bits", webp_many.CACHE_BITS) == webp_many.CACHE_BITS:
+                coded.append((k, image.reshape(-1, webp.PIXELS, 4), plan))
             else:
                 files[k] = webp.encode(image.reshape(-1, webp.PIXELS, 4), **plan)
     for k, f in zip(plain, webp.encode_texts([tiles[k][1] for k in plain]), strict=True):
         files[k] = f
+    references, cache = (np.array([name in plan for _, _, plan in coded], bool) for name in ("references", "cache_bits"))
+    for (k, _, _), f in zip(coded, webp_many.encode_many([image for _, image, _ in coded], references, cache), strict=True):
+        files[k] = f
     out: list[list[bytes]] = [[] for _ in payloads]
     for (i, _), f in zip(tiles, files, strict=True):
         out[i].append(f)
@@ -131,7 +137,7 @@ def load(media: list[bytes]) -> list[bytes]:
             owners.append(i)
             at += size
     out: list[list[bytes]] = [[] for _ in media]
-    for i, p in zip(owners, webp.decode_many(files), strict=True):
+    for i, p in zip(owners, webp_many.decode_many(files), strict=True):
         out[i].append(p)
     return [b"".join(x) for x in out]
 

@@ -4,7 +4,7 @@ decode() reads prefix codes (one set or one per tile), back-references, the colo
 predictor, cross-colour, subtract-green and palette transforms. encode() writes any of these.
 encode_texts() and decode_many() are for many images with the fixed text code below and no
 transforms: the images are decoded together, one symbol of each per step. Any other file among them goes
-to decode(). Pixels are arrays of R, G, B, A bytes.
+to decode(); webp_many reads and writes many with codes of their own. Pixels are arrays of R, G, B, A bytes.
 """
 
 from __future__ import annotations
@@ -661,14 +661,18 @@ def encode_texts(payloads: list[bytes]) -> list[bytes]:
     return files
 
 
+def is_text(file: bytes) -> bool:
+    """Whether the file has the fixed text code and no transforms."""
+    return file[12:16] == b"VP8L" and int.from_bytes(file[21 : 21 + (DATA_AT + 7) // 8], "little") >> 28 & ((1 << HEADER_BITS) - 1) == HEADER
+
+
 def decode_many(files: list[bytes]) -> list[bytes]:
     """The samples (R, G, B, A by rows) of each file; those with the fixed text code are decoded together."""
     out: list[bytes] = [b""] * len(files)
     lanes, rows = [], []
-    mark = HEADER.to_bytes((HEADER_BITS + 7) // 8, "little")
     for i, f in enumerate(files):
-        head = int.from_bytes(f[21 : 21 + (DATA_AT + 7) // 8], "little") if f[12:16] == b"VP8L" else 0
-        if (head >> 28) & ((1 << HEADER_BITS) - 1) == HEADER and mark:
+        if is_text(f):
+            head = int.from_bytes(f[21:25], "little")
             lanes.append(i)
             rows.append((((head >> 14) & 0x3FFF) + 1) * ((head & 0x3FFF) + 1) * 4)
         else:

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from leafmill.llm import bpe, media, near_copies, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp
+from leafmill.llm import bpe, media, near_copies, packing, pfor, quality, simhash, suffix_dedup, token_counts, toxicity, warc, webp, webp_many
 from leafmill.llm.tokenizing import Encoder, safe_pieces, vocabulary
 
 random.seed(3)
@@ -494,6 +494,57 @@ def test_stored_forms_take_the_least_estimate():
     assert media.load(stored) == [prose, short]
 
 
+def _alone(*_args, **_options):
+    raise AssertionError("an image is coded alone")
+
+
+def test_images_of_own_codes_are_coded_together(monkeypatch):
+    """Prose under codes of its own, with references and a colour cache: written and read for many images at once, with the bytes that each has alone."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 11))) for _ in range(500)]
+    prose = [" ".join(rng.choices(words, k=3000)).encode()[: webp.ROW * k] for k in (5, 16, 16, 11)]
+    payloads = [*prose, prose[1][:1152] * 8]
+    monkeypatch.setattr(webp, "encode", _alone)
+    monkeypatch.setattr(webp, "decode", _alone)
+    stored = media.store(payloads)
+    assert media.load(stored) == payloads and [media.store([p])[0] for p in payloads] == stored
+
+
+def test_many_images_have_the_bytes_of_each():
+    """encode_many() writes what encode() does, decode_many() reads what decode() does: few colours, runs, single colours, noise, all ways; broken files are errors."""
+    rng = np.random.default_rng(5)
+    images = []
+    for k in range(48):
+        pixels = rng.integers(0, 256, (int(rng.choice([1, 2, 3, 40, 300, 4000])), 4), dtype=np.uint8)
+        pixels[0] *= k % 3 > 0
+        image = pixels[np.minimum(*rng.integers(0, len(pixels), (2, 1 + k % 16, webp.PIXELS)))]
+        if k % 5 == 1:  # skewed samples have long codes
+            image = (rng.geometric(0.3, image.shape) % 256).astype(np.uint8)
+        if k % 5 == 2:
+            image.reshape(-1, 4)[60:110] = image.reshape(-1, 4)[:50]
+        images.append(image)
+    references, cache = rng.random((2, 48)) < 0.6
+    files = [webp.encode(i, (), 8 if c else 0, bool(r)) for i, r, c in zip(images, references, cache, strict=True)]
+    assert webp_many.encode_many(images, references, cache) == files
+    others = [webp.encode(images[1], t, c, True, b) for t, c, b in (((webp.SUBTRACT_GREEN,), 0, 0), ((), 5, 0), ((), 8, 2))] + webp.encode_texts([images[15].tobytes()])
+    assert webp_many.decode_many(files + others) == [i.tobytes() for i in [*images, *images[1:2] * 3, images[15]]]
+    assert not any(p is None for p in webp_many._decode(files))
+    for cut in (30, 60, len(files[15]) // 2):
+        with pytest.raises(ValueError):
+            webp_many.decode_many([files[3], files[15][:cut]])
+
+
+def test_side_by_side_code_lengths():
+    """Lengths of many codes at once are those of each alone, also where weights have to be raised."""
+    rng = np.random.default_rng(6)
+    weights = [dict(zip(rng.permutation(300)[:n].tolist(), (rng.pareto(0.4, n) * 3 + 1).astype(int).clip(1, 1 << 20).tolist(), strict=True)) for n in rng.integers(1, 90, 60).tolist()]
+    weights.append({k: 2**k for k in range(18)})
+    rows = np.array([(k, s, w[s]) for k, w in enumerate(weights) for s in sorted(w)])
+    for longest in (7, 15):
+        found = webp_many.code_lengths(*rows.T, longest)
+        assert found.tolist() == [n for w in weights for n in webp.code_lengths(w, 300, longest) if n]
+
+
 def test_webp_features():
     rng = np.random.default_rng(1)
     images = [rng.integers(0, 256, (11, 19, 4), dtype=np.uint8), rng.integers(0, 256, (5, 4), dtype=np.uint8)[rng.integers(0, 5, (13, 21))], np.full((3, 3, 4), 255, np.uint8)]
